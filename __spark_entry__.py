@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync import files
-from tablesync.functions import decode_rowversion, with_defaults, with_generated
+from tablesync.frames import local_frame
+from tablesync.functions import with_defaults, with_generated
 from tablesync.operators import (
     assign_chunks,
     chunk_report,
@@ -187,7 +188,7 @@ def wm_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = WatermarkStore(spark, files.scratch(spark, "watermarks"))
     store.update_timestamp("orders", TableSource(_orders(spark, sf_dir)).high("o_orderdate"))
     rows = [("known", store.get_last_timestamp("orders")), ("missing", store.get_last_timestamp("nothing"))]
-    return spark.createDataFrame(rows, "lookup string, last_value timestamp_ntz")
+    return local_frame(spark, rows, "lookup string, last_value timestamp_ntz")
 
 
 # -- chunks and samples -----------------------------------------------------------------------
@@ -420,8 +421,8 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = table.stage(orders, ["o_orderdate"], 3, F.col("o_orderkey") % 3)
     summary = table.load(staged, config=config)
     row = ("orders", summary.total_rows, summary.chunks_ok, summary.chunks_failed, summary.status)
-    return spark.createDataFrame(
-        [row], "table_name string, total_rows bigint, chunks_ok bigint, chunks_failed bigint, status string"
+    return local_frame(
+        spark, [row], "table_name string, total_rows bigint, chunks_ok bigint, chunks_failed bigint, status string"
     )
 
 
@@ -445,7 +446,7 @@ def _three_runs(spark: SparkSession, sf_dir: str) -> tuple[BucketedTable, list[R
 def pipe_three_runs_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, results = _three_runs(spark, sf_dir)
     rows = [(i, r.low, r.high, r.total_rows) for i, r in enumerate(results, start=1)]
-    return spark.createDataFrame(rows, "run int, low timestamp_ntz, high timestamp_ntz, n bigint")
+    return local_frame(spark, rows, "run int, low timestamp_ntz, high timestamp_ntz, n bigint")
 
 
 def pipe_three_runs_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,7 +462,7 @@ def pipe_rowversion_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run, seen in enumerate((orders.filter("o_orderkey < 500"), orders, orders), start=1):
         result = run_sync(TableSource(seen), table, config)
         rows.append((run, table.mark("orders").last_rowver, result.total_rows))
-    return spark.createDataFrame(rows, "run int, last_rowver bigint, n bigint")
+    return local_frame(spark, rows, "run int, last_rowver bigint, n bigint")
 
 
 def pipe_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -519,7 +520,7 @@ def str_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.filter(arrived).write.mode("append").parquet(folder)
         summary = sync_available_now(_stream(spark, folder, events.schema), table, progress, ["ts"])
         rows.append((start, summary.total_rows))
-    return spark.createDataFrame(rows, "start int, n bigint")
+    return local_frame(spark, rows, "start int, n bigint")
 
 
 # -- contract ---------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.frames import local_frame
 from tablesync.functions.columns import ROWVER
 from tablesync.operators.chunks import first_chunk
 from tablesync.spec import TargetSpec
@@ -36,7 +37,7 @@ FAMILIES = (
     ((T.StringType, T.VarcharType, T.CharType), "text"),
     ((T.BooleanType,), "boolean"),
     ((T.BinaryType,), "binary"),
-    ((T.DateType, T.TimestampType, T.TimestampNTZType), "temporal"),
+    ((T.DateType, T.TimestampType, T.TimestampNTZType, T.TimeType), "temporal"),
     ((T.DayTimeIntervalType,), "interval"),
     ((T.DecimalType,), "decimal"),
 )
@@ -44,16 +45,12 @@ FAMILIES = (
 
 def type_family(data_type: T.DataType) -> str:
     """The rule a Spark type falls under; whatever has none goes with the nested types."""
-    if data_type.typeName().startswith("time("):
-        return "temporal"
     return next((name for classes, name in FAMILIES if isinstance(data_type, classes)), "nested")
 
 
 def _rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(family, list(parts)) for family, parts in ACCEPTED_BY.items()],
-        "family string, accepts array<string>",
-    )
+    rows = [(family, list(parts)) for family, parts in ACCEPTED_BY.items()]
+    return local_frame(spark, rows, "family string, accepts array<string>")
 
 
 def _compatible(data_type: Column, accepts: Column) -> Column:
@@ -62,101 +59,76 @@ def _compatible(data_type: Column, accepts: Column) -> Column:
 
 def type_matrix(spark: SparkSession, types: Mapping[str, T.DataType], targets: Sequence[str]) -> DataFrame:
     """For each named source type and declared target type, whether one can be stored in the other."""
-    sources = spark.createDataFrame(
-        [(name, type_family(t), list(targets)) for name, t in types.items()],
-        "spark_type string, family string, targets array<string>",
+    sources = local_frame(
+        spark, [(name, type_family(t)) for name, t in types.items()], "spark_type string, family string"
     )
     pairs = sources.join(_rules(spark), "family").select(
-        "spark_type", "accepts", F.explode("targets").alias("pg_type")
+        "spark_type", "accepts", F.explode(F.array(*map(F.lit, targets))).alias("pg_type")
     )
     return pairs.select(
         "spark_type", "pg_type", _compatible(F.col("pg_type"), F.col("accepts")).alias("compatible")
     )
 
 
-def _source_columns(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    rows = [
-        (f.name, f.dataType.simpleString(), type_family(f.dataType)) for f in schema if f.name != ROWVER
-    ]
-    return spark.createDataFrame(rows, "column_name string, source_type string, family string")
-
-
-def _ordered(phase: int, position: Column, severity: Column, kind: str, detail: Column, nulls: Column) -> list[Column]:
-    return [
-        F.lit(phase).alias("phase"),
-        position.cast("bigint").alias("position"),
-        severity.alias("severity"),
-        F.col("column_name"),
-        F.lit(kind).alias("kind"),
-        detail.alias("detail"),
-        nulls.cast("bigint").alias("nulls"),
-    ]
-
-
 def _schema_issues(spark: SparkSession, schema: T.StructType, spec: TargetSpec) -> DataFrame:
-    none = F.lit(None)
-    catalog = spec.catalog(spark)
-    pairs = (
-        _source_columns(spark, schema)
-        .join(catalog, "column_name", "full_outer")
-        .join(_rules(spark), "family", "left")
-        .select(
-            "*",
-            (~F.col("is_nullable") & ~F.col("has_default")).alias("required"),
-            F.coalesce(_compatible(F.col("data_type"), F.col("accepts")), F.lit(False)).alias("fits"),
-        )
-    )
-    missing = pairs.filter(F.col("source_type").isNull())
-    name = F.col("column_name")
-    required = missing.filter("required").select(
-        *_ordered(
-            1,
-            F.col("ordinal_position"),
-            F.lit("error"),
-            "missing_required",
-            F.format_string("NOT NULL column '%s' has no default and is absent from the source.", name),
-            none,
+    """One full join of the two column lists; a column raises at most one of these issues."""
+    found = [(f.name, f.dataType.simpleString(), type_family(f.dataType)) for f in schema if f.name != ROWVER]
+    source = local_frame(spark, found, "column_name string, source_type string, family string")
+    pairs = source.join(spec.catalog(spark), "column_name", "full_outer").join(_rules(spark), "family", "left")
+    name, declared = F.col("column_name"), F.col("data_type")
+    absent, unknown = F.col("source_type").isNull(), declared.isNull()
+    optional = F.col("is_nullable") | F.col("has_default")
+    fits = F.coalesce(_compatible(declared, F.col("accepts")), F.lit(False))
+
+    def issue(phase: int, severity: str, kind: str, text: str, *values: Column) -> Column:
+        return F.struct(
+            F.lit(phase).alias("phase"),
+            F.lit(severity).alias("severity"),
+            F.lit(kind).alias("kind"),
+            F.format_string(text, *values).alias("detail"),
         )
-    )
-    optional = missing.filter("not required").select(
-        *_ordered(
-            1,
-            F.col("ordinal_position"),
-            F.lit("warning"),
-            "missing_optional",
-            F.format_string("Column '%s' is absent; it keeps its value, or takes its default or NULL.", name),
-            none,
+
+    issues = (
+        F.when(
+            absent & ~optional,
+            issue(1, "error", "missing_required", "NOT NULL column '%s' has no default and is absent.", name),
         )
-    )
-    extra = pairs.filter(F.col("data_type").isNull()).select(
-        *_ordered(
-            2,
-            F.lit(0),
-            F.lit("warning"),
-            "extra_column",
-            F.format_string(f"Column '%s' does not exist in '{spec.schema}.{spec.table}'; it is not loaded.", name),
-            none,
+        .when(
+            absent,
+            issue(1, "warning", "missing_optional", "Column '%s' is absent; it keeps its value or default.", name),
         )
-    )
-    mismatch = pairs.filter("source_type is not null and data_type is not null and not fits").select(
-        *_ordered(
-            3,
-            F.lit(0),
-            F.lit("error"),
-            "type_mismatch",
-            F.format_string(
-                "Source type '%s' cannot be stored as '%s'.", F.col("source_type"), F.col("data_type")
+        .when(
+            unknown,
+            issue(
+                2,
+                "warning",
+                "extra_column",
+                "Column '%s' is not in '%s'; it is not loaded.",
+                name,
+                F.lit(f"{spec.schema}.{spec.table}"),
             ),
-            none,
+        )
+        .when(
+            ~fits,
+            issue(3, "error", "type_mismatch", "Source type '%s' cannot be stored as '%s'.", F.col("source_type"), declared),
         )
     )
-    return required.unionByName(optional).unionByName(extra).unionByName(mismatch)
+    return pairs.select("column_name", "ordinal_position", issues.alias("issue")).filter("issue is not null").select(
+        "issue.phase",
+        F.when(F.col("issue.phase") == 1, F.col("ordinal_position")).otherwise(F.lit(0)).alias("position"),
+        "column_name",
+        F.lit(0).alias("step"),
+        "issue.severity",
+        "issue.kind",
+        "issue.detail",
+        F.lit(None).cast("bigint").alias("nulls"),
+    )
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, nulls)`` for the named columns, from one pass over them."""
     if not columns:
-        return df.sparkSession.createDataFrame([], "column_name string, nulls bigint")
+        return local_frame(df.sparkSession, [], "column_name string, nulls bigint")
     pairs = [
         F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(c).isNull()).alias("nulls")) for c in columns
     ]
@@ -164,31 +136,29 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _null_issues(nulls: DataFrame) -> DataFrame:
+    text = "Column '%s' is NOT NULL in the target but the source holds %d NULL(s)."
     return nulls.filter("nulls > 0").select(
-        *_ordered(
-            3,
-            F.lit(1),
-            F.lit("error"),
-            "nullable_violation",
-            F.format_string(
-                "Column '%s' is NOT NULL in the target but the source holds %d NULL(s).",
-                F.col("column_name"),
-                F.col("nulls"),
-            ),
-            F.col("nulls"),
-        )
+        F.lit(3).alias("phase"),
+        F.lit(0).cast("bigint").alias("position"),
+        "column_name",
+        F.lit(1).alias("step"),
+        F.lit("error").alias("severity"),
+        F.lit("nullable_violation").alias("kind"),
+        F.format_string(text, F.col("column_name"), F.col("nulls")).alias("detail"),
+        "nulls",
     )
 
 
 def _report(issues: DataFrame) -> DataFrame:
-    """Issues in the order of the checks: missing, extra, then type before NULLs for each column."""
-    missing_first = F.when(F.col("phase") == 1, F.col("position")).otherwise(0)
-    return issues.orderBy("phase", missing_first, "column_name", "position").select(*ISSUE_COLUMNS)
+    """In the order of the checks: missing columns as declared, extra ones by name, then for each
+    shared column its type before its NULLs."""
+    return issues.orderBy("phase", "position", "column_name", "step").select(*ISSUE_COLUMNS)
 
 
 def table_not_found(spark: SparkSession, name: str) -> DataFrame:
     detail = f"Table '{name}' is not in the catalogue (check name, schema and permissions)."
-    return spark.createDataFrame(
+    return local_frame(
+        spark,
         [("error", "*", "table_not_found", detail, None)],
         "severity string, column_name string, kind string, detail string, nulls bigint",
     )

@@ -8,6 +8,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesync import files
+from tablesync.frames import local_frame
 
 AUDIT_SCHEMA = (
     "table_name string, target_table string, mode string, low timestamp_ntz, high timestamp_ntz, "
@@ -35,7 +36,7 @@ class RunResult:
 
 
 def results_frame(spark: SparkSession, results: list[RunResult]) -> DataFrame:
-    return spark.createDataFrame([tuple(asdict(r).values()) for r in results], AUDIT_SCHEMA)
+    return local_frame(spark, [tuple(asdict(r).values()) for r in results], AUDIT_SCHEMA)
 
 
 class AuditTable:
@@ -50,5 +51,5 @@ class AuditTable:
 
     def read(self) -> DataFrame:
         if not files.exists(self.spark, self.path):
-            return self.spark.createDataFrame([], AUDIT_SCHEMA)
+            return local_frame(self.spark, [], AUDIT_SCHEMA)
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.path).orderBy("finished_at")

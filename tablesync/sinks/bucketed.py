@@ -9,55 +9,29 @@ were read before stay readable. One writer per table at a time.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
-from typing import Any
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync import files
+from tablesync.frames import local_frame
 from tablesync.functions.columns import with_defaults
 from tablesync.operators.merge import complete_delta
+from tablesync.sinks import versions
 from tablesync.sinks.report import LoadSummary, Mark, PartialLoadError, run_batches
 from tablesync.sinks.staging import BATCH, BUCKET, StagedDelta, bucket_of, stage_delta, write_bucketed
+from tablesync.sinks.versions import Live, Version
 from tablesync.spec import SyncConfig, TargetSpec
 
 FOLDER = "__folder"
 
 
-@dataclass(frozen=True)
-class Version:
-    """The live folders of each bucket as ``(folder, rows)``, and the watermarks by source table."""
-
-    number: int = 0
-    live: dict[int, list[tuple[str, int]]] = field(default_factory=dict)
-    marks: dict[str, dict[str, Any]] = field(default_factory=dict)
-
-    @property
-    def rows(self) -> int:
-        return sum(rows for parts in self.live.values() for _, rows in parts)
-
-    @property
-    def runs(self) -> set[str]:
-        return {folder.split("/")[0] for parts in self.live.values() for folder, _ in parts}
-
-    def to_json(self) -> str:
-        live = {str(b): parts for b, parts in sorted(self.live.items())}
-        return json.dumps({"number": self.number, "live": live, "marks": self.marks})
-
-    @classmethod
-    def from_json(cls, text: str) -> Version:
-        value = json.loads(text)
-        live = {int(b): [(folder, rows) for folder, rows in parts] for b, parts in value["live"].items()}
-        return cls(value["number"], live, value["marks"])
-
-
 def suggest_buckets(spark: SparkSession, *paths: str, bucket_bytes: int = 4 << 30, least: int = 8) -> int:
     """Bucket count for data like that at the given paths: a power of two, so that it lines up with a
     power of two of shuffle partitions."""
@@ -90,14 +64,14 @@ class BucketedTable:
         spec: TargetSpec,
         keys: Sequence[str],
         buckets: int | None = None,
-        replace: bool = False,
+        recreate: bool = False,
     ) -> BucketedTable:
         """Create the table if it is missing; an existing one is opened unchanged.
 
-        The bucket count is fixed here. It defaults to the shuffle partitions; at scale, size it so
+        Key columns reject NULL. The bucket count is fixed here. It defaults to the shuffle partitions; at scale, size it so
         that a bucket is a few gigabytes.
         """
-        if replace:
+        if recreate:
             cls.drop(spark, path)
         found = cls.open(spark, path)
         if found is not None:
@@ -105,6 +79,8 @@ class BucketedTable:
         unknown = [k for k in keys if k not in spec.names]
         if unknown:
             raise ValueError(f"Key columns {unknown} are not columns of '{spec.table}'.")
+        columns = tuple(replace(c, nullable=False) if c.name in keys else c for c in spec.columns)
+        spec = replace(spec, columns=columns)
         count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         definition = {"spec": spec.to_json(), "keys": list(keys), "buckets": count}
         files.publish_text(spark, f"{path.rstrip('/')}/_table.json", json.dumps(definition))
@@ -128,10 +104,7 @@ class BucketedTable:
     # -- reading ------------------------------------------------------------------------------
 
     def version(self) -> Version:
-        published = [n for n in files.names(self.spark, f"{self.path}/_versions") if n.endswith(".json")]
-        if not published:
-            return Version()
-        return Version.from_json(files.read_text(self.spark, f"{self.path}/_versions/{published[-1]}"))
+        return versions.latest(self.spark, self.path)
 
     def read(self) -> DataFrame:
         """The current rows. Later loads do not change a frame that was read before."""
@@ -141,19 +114,17 @@ class BucketedTable:
             for folder, _ in parts
         ]
         if not paths:
-            return self.spark.createDataFrame([], self.spec.struct())
+            return local_frame(self.spark, [], self.spec.struct())
         return self.spark.read.schema(self.spec.struct()).parquet(*paths)
 
     def is_empty(self) -> bool:
         return self.version().rows == 0
 
     def mark(self, source: str) -> Mark:
-        stored = self.version().marks.get(source, {})
-        value = stored.get("last_value")
-        return Mark(dt.datetime.fromisoformat(value) if value else None, stored.get("last_rowver"))
+        return self.version().mark(source, self.spec.table)
 
     @contextmanager
-    def _bucketed(self, live: dict[int, list[tuple[str, int]]], wanted: Iterable[int]) -> Iterator[DataFrame]:
+    def _bucketed(self, live: Live, wanted: Iterable[int]) -> Iterator[DataFrame]:
         """Some live buckets as a bucketed table, for the length of one action."""
         name = f"tablesync_read_{uuid.uuid4().hex}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spec.struct())
@@ -197,6 +168,7 @@ class BucketedTable:
         config: SyncConfig = SyncConfig(),
     ) -> LoadSummary:
         """Merge a staged delta, batch by batch. The mark is stored with the last one, if all went well."""
+        staged.check_keys()
 
         def one(batch: int, final: bool) -> None:
             version = self.version()
@@ -252,7 +224,7 @@ class BucketedTable:
             live[bucket] = [*live.get(bucket, []), (f"{path.split('/')[-1]}/{BATCH}=0", n)]
         self._commit(version, live)
 
-    def _merge(self, staged: StagedDelta, batch: int, version: Version) -> dict[int, list[tuple[str, int]]]:
+    def _merge(self, staged: StagedDelta, batch: int, version: Version) -> Live:
         """Write what one batch changes and return the new live folders.
 
         Only buckets that hold a key of the delta are rewritten, and of those only the rows that
@@ -295,7 +267,7 @@ class BucketedTable:
         return live
 
     def _write_kept(
-        self, live: dict[int, list[tuple[str, int]]], buckets: list[int], keys: DataFrame, hit: dict[int, int]
+        self, live: Live, buckets: list[int], keys: DataFrame, hit: dict[int, int]
     ) -> str:
         """The rows of some buckets whose key is not in the delta, in a new folder."""
         run = uuid.uuid4().hex
@@ -307,8 +279,8 @@ class BucketedTable:
         return f"{run}/{BATCH}=0"
 
     def _insert_new(
-        self, staged: StagedDelta, batch: int, live: dict[int, list[tuple[str, int]]], occupied: list[int]
-    ) -> dict[int, list[tuple[str, int]]]:
+        self, staged: StagedDelta, batch: int, live: Live, occupied: list[int]
+    ) -> Live:
         """A table of key columns only has nothing to overwrite: add the keys it does not hold."""
         run = uuid.uuid4().hex
         with self._bucketed(live, occupied) as current:
@@ -321,33 +293,21 @@ class BucketedTable:
             result[row[BUCKET]] = [*result.get(row[BUCKET], []), (f"{run}/{BATCH}=0", row["count"])]
         return result
 
-    def _commit(
-        self,
-        version: Version,
-        live: dict[int, list[tuple[str, int]]],
-        source: str | None = None,
-        mark: Mark | None = None,
-    ) -> None:
-        marks = dict(version.marks)
+    def _commit(self, version: Version, live: Live, source: str | None = None, mark: Mark | None = None) -> None:
+        """Publish the rows, and the watermark if one is given, together."""
+        following = version.with_live(live)
         if source is not None and mark is not None:
-            marks[source] = {
-                "last_value": mark.last_value.isoformat() if mark.last_value else None,
-                "last_rowver": mark.last_rowver,
-                "updated_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(),
-            }
-        new = Version(version.number + 1, {b: parts for b, parts in live.items() if parts}, marks)
-        files.publish_text(self.spark, f"{self.path}/_versions/{new.number:012d}.json", new.to_json())
+            following = following.with_mark(source, self.spec.table, mark)
+        versions.publish(self.spark, self.path, following)
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Remove the folders no one of the last ``keep`` versions needs.
 
         Frames read from older versions, and a load in progress, must be over.
         """
-        published = [n for n in files.names(self.spark, f"{self.path}/_versions") if n.endswith(".json")]
+        published = versions.published(self.spark, self.path)
         kept = published[-max(keep, 1) :]
-        needed: set[str] = set()
-        for name in kept:
-            needed |= Version.from_json(files.read_text(self.spark, f"{self.path}/_versions/{name}")).runs
+        needed = {run for name in kept for run in versions.load(self.spark, self.path, name).runs}
         stale = [n for n in files.names(self.spark, self.path) if n not in needed and n[0] not in "_."]
         for name in stale:
             files.delete_tree(self.spark, f"{self.path}/{name}")

@@ -118,6 +118,7 @@ class JdbcTable:
         config: SyncConfig = SyncConfig(),
     ) -> LoadSummary:
         """Merge each batch in its own transaction; the mark follows when all are committed."""
+        staged.check_keys()
         columns = [c for c in self.spec.names if c not in staged.absent]
 
         def one(batch: int, final: bool) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync import files
+from tablesync.frames import local_frame
 from tablesync.functions.columns import ROWVER, with_defaults
 from tablesync.operators.fold import dedup_last
 from tablesync.spec import TargetSpec
@@ -79,7 +80,14 @@ class StagedDelta:
         return sum(self.source_rows.values())
 
     def null_counts(self) -> DataFrame:
-        return self.spark.createDataFrame(list(self.nulls.items()), "column_name string, nulls bigint")
+        return local_frame(self.spark, list(self.nulls.items()), "column_name string, nulls bigint")
+
+    def check_keys(self) -> None:
+        """A NULL in a key cannot be matched, so it is refused whether or not a run validates."""
+        holes = [k for k in self.keys if self.nulls.get(k)]
+        if holes:
+            self.discard()
+            raise ValueError(f"Key columns {holes} of '{self.spec.table}' hold NULLs in the delta.")
 
     def discard(self) -> None:
         files.delete_tree(self.spark, self.path)
@@ -100,7 +108,10 @@ def stage_delta(
     struct = spec.struct()
     present = [c for c in spec.names if c in df.columns]
     absent = tuple(c for c in spec.names if c not in df.columns)
-    required = [c for c in spec.required if c in present]
+    missing = [k for k in keys if k not in present]
+    if missing:
+        raise ValueError(f"Key columns {missing} are absent from the delta for '{spec.table}'.")
+    required = [c for c in present if c in keys or c in spec.required]
     helpers = [c for c in dict.fromkeys([*order_by, ROWVER]) if c in df.columns and c not in present]
     rows = df.select(
         *[F.col(c).cast(struct[c].dataType).alias(c) for c in present],

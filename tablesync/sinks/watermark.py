@@ -3,50 +3,42 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Iterable
-from typing import Any
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tablesync.frames import local_frame
+from tablesync.sinks import versions
 from tablesync.sinks.bucketed import BucketedTable
 from tablesync.sinks.report import Mark
-from tablesync.spec import ColumnSpec, TargetSpec
-
-STORE_SPEC = TargetSpec(
-    "etl_watermarks",
-    (
-        ColumnSpec("table_name", "text", nullable=False),
-        ColumnSpec("target_table", "text", nullable=False),
-        ColumnSpec("last_value", "timestamp with time zone"),
-        ColumnSpec("last_rowver", "bigint"),
-        ColumnSpec("updated_at", "timestamp with time zone", default="localtimestamp()"),
-    ),
+
+MARK_SCHEMA = (
+    "table_name string, target_table string, last_value timestamp_ntz, last_rowver bigint, "
+    "updated_at timestamp_ntz"
 )
-MARK_SCHEMA = "table_name string, last_value timestamp_ntz, last_rowver bigint, updated_at timestamp_ntz"
 
 
 class WatermarkStore:
-    """A table of watermarks by (source, target); created when missing.
+    """Watermarks at a path, by (source, target). Nothing needs to be there before the first update.
 
-    Targets on Parquet keep their watermark in their own version file; this store serves database
-    targets and callers that keep watermarks themselves.
+    Parquet targets keep their watermark in their own version file, where it commits with the rows.
+    This store serves database targets and callers that keep watermarks themselves.
     """
 
+    _writing = threading.Lock()
+
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
-        self.table = BucketedTable.create(spark, path, STORE_SPEC, ["table_name", "target_table"], buckets=1)
+        self.path = path.rstrip("/")
 
     def read(self) -> DataFrame:
-        return self.table.read()
+        """One row per source and target."""
+        return local_frame(self.spark, versions.latest(self.spark, self.path).mark_rows(), MARK_SCHEMA)
 
     def mark(self, source: str, target: str | None = None) -> Mark:
-        row = (
-            self.read()
-            .filter((F.col("table_name") == F.lit(source)) & (F.col("target_table") == F.lit(target or source)))
-            .first()
-        )
-        return Mark(row["last_value"], row["last_rowver"]) if row else Mark()
+        return versions.latest(self.spark, self.path).mark(source, target or source)
 
     def get_last_timestamp(self, source: str, target: str | None = None) -> dt.datetime | None:
         return self.mark(source, target).last_value
@@ -55,28 +47,21 @@ class WatermarkStore:
         return self.mark(source, target).last_rowver
 
     def update_timestamp(self, source: str, value: dt.datetime, target: str | None = None) -> None:
-        self._put(source, target, "last_value timestamp_ntz", value.replace(tzinfo=None))
+        self._put(source, target, last_value=value.replace(tzinfo=None))
 
     def update_rowversion(self, source: str, value: int, target: str | None = None) -> None:
-        self._put(source, target, "last_rowver bigint", value)
+        self._put(source, target, last_rowver=value)
 
-    def _put(self, source: str, target: str | None, slot: str, value: Any) -> None:
-        """Upsert one slot; the other column is not in the frame, so it keeps its value."""
-        row = self.spark.createDataFrame(
-            [(source, target or source, value)], f"table_name string, target_table string, {slot}"
-        )
-        self.table.upsert(row.withColumn("updated_at", F.localtimestamp()))
+    def _put(self, source: str, target: str | None, **slot: dt.datetime | int) -> None:
+        """Set one slot; the other keeps its value. Tables synced side by side take turns."""
+        target = target or source
+        with self._writing:
+            current = versions.latest(self.spark, self.path)
+            mark = replace(current.mark(source, target), **slot)
+            versions.publish(self.spark, self.path, current.with_mark(source, target, mark))
 
 
 def marks_frame(spark: SparkSession, tables: Iterable[BucketedTable]) -> DataFrame:
-    """The watermarks kept by the given tables, one row per source."""
-
-    def moment(text: str | None) -> dt.datetime | None:
-        return dt.datetime.fromisoformat(text) if text else None
-
-    rows = [
-        (source, moment(slots["last_value"]), slots["last_rowver"], moment(slots["updated_at"]))
-        for table in tables
-        for source, slots in table.version().marks.items()
-    ]
-    return spark.createDataFrame(rows, MARK_SCHEMA)
+    """The watermarks kept by the given tables, one row per source and target."""
+    rows = [row for table in tables for row in table.version().mark_rows()]
+    return local_frame(spark, rows, MARK_SCHEMA)

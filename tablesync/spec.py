@@ -11,6 +11,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tablesync.frames import local_frame
+
 MODES = ("timestamp", "rowversion")
 
 # Declared column types of a target and the Spark type that stores them.
@@ -118,7 +120,7 @@ class TargetSpec:
             (c.name, c.data_type.lower(), c.nullable, c.default is not None, i)
             for i, c in enumerate(self.columns, start=1)
         ]
-        return spark.createDataFrame(rows, self.CATALOG_SCHEMA).orderBy("ordinal_position")
+        return local_frame(spark, rows, self.CATALOG_SCHEMA).orderBy("ordinal_position")
 
     def to_json(self) -> dict[str, Any]:
         return {"table": self.table, "schema": self.schema, "columns": [asdict(c) for c in self.columns]}

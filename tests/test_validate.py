@@ -1,0 +1,144 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import types as T
+
+from conftest import PEOPLE, people_frame
+from tablesync.frames import local_frame
+from tablesync.operators import (
+    SchemaValidationError,
+    ValidationResult,
+    schema_issues,
+    summarize,
+    type_matrix,
+    validate,
+)
+from tablesync.operators.validate import type_family
+from tablesync.spec import ColumnSpec, TargetSpec
+
+
+def target(*columns):
+    return TargetSpec("t", tuple(ColumnSpec(*c) for c in columns))
+
+
+def kinds(df, spec, **options):
+    return [(i.severity, i.column_name, i.kind) for i in validate(df, spec, **options).collect()]
+
+
+def test_matching_frame_passes(spark):
+    result = ValidationResult.of(validate(people_frame(spark), PEOPLE))
+    assert result.valid and not result.warnings
+    assert result.summary() == "PASS (warnings=0)"
+
+
+def test_missing_required(spark):
+    assert kinds(people_frame(spark).drop("id"), PEOPLE) == [("error", "id", "missing_required")]
+
+
+def test_missing_nullable_or_defaulted_is_a_warning(spark):
+    spec = target(("id", "integer", False), ("note", "text", True), ("made", "timestamp", False, "now()"))
+    df = local_frame(spark, [(1,)], "id int")
+    assert kinds(df, spec) == [("warning", "note", "missing_optional"), ("warning", "made", "missing_optional")]
+
+
+def test_extra_column_is_a_warning(spark):
+    assert kinds(people_frame(spark).withColumnRenamed("name", "nom"), PEOPLE) == [
+        ("warning", "name", "missing_optional"),
+        ("warning", "nom", "extra_column"),
+    ]
+
+
+def test_internal_rowversion_is_no_extra_column(spark):
+    df = people_frame(spark).selectExpr("*", "id AS __rowver")
+    assert kinds(df, PEOPLE) == []
+
+
+def test_order_of_the_checks(spark):
+    spec = target(("z", "text", False), ("b", "integer", False), ("a", "integer", False), ("y", "text"))
+    df = local_frame(spark, [(None, "x", 1)], "a string, b string, q int")
+    assert kinds(df, spec) == [
+        ("error", "z", "missing_required"),
+        ("warning", "y", "missing_optional"),
+        ("warning", "q", "extra_column"),
+        ("error", "a", "type_mismatch"),
+        ("error", "a", "nullable_violation"),
+        ("error", "b", "type_mismatch"),
+    ]
+
+
+def test_null_in_a_required_column(spark):
+    df = people_frame(spark, [(None, "A", dt.datetime(2024, 1, 1), 1.0), (None, None, dt.datetime(2024, 1, 1), None)])
+    issues = validate(df, PEOPLE).collect()
+    assert [(i.column_name, i.kind, i.nulls) for i in issues] == [("id", "nullable_violation", 2)]
+    assert "2 NULL(s)" in issues[0].detail
+
+
+def test_scopes(spark):
+    """A NULL in the second chunk: seen by the whole, not by the first chunk."""
+    when = [dt.datetime(2024, 1, day) for day in (1, 2, 3)]
+    df = people_frame(spark, [(1, "a", when[0], 1.0), (2, "b", when[1], 1.0), (None, "c", when[2], 1.0)])
+    options = {"watermark_col": "updated_at", "keys": ["id"]}
+    assert kinds(df, PEOPLE, scope="all") == [("error", "id", "nullable_violation")]
+    assert kinds(df, PEOPLE, scope="first_chunk", chunk_size=2, **options) == []
+    assert kinds(df, PEOPLE, scope="first_chunk", chunk_size=3, **options) != []
+    assert kinds(df, PEOPLE, scope="schema") == []
+
+
+def test_missing_table_is_the_only_issue(spark):
+    assert kinds(people_frame(spark).drop("id"), None, name="public.t") == [("error", "*", "table_not_found")]
+    assert schema_issues(spark, people_frame(spark).schema, target(), "t").count() == 1
+
+
+def test_summary_frame_and_exception(spark):
+    spec = target(("id", "text"), ("name", "integer"), ("updated_at", "timestamp"), ("amount", "integer"), ("n", "text"))
+    issues = validate(people_frame(spark), spec)
+    text = "FAIL — type_mismatch:amount; type_mismatch:id; type_mismatch:name"
+    assert tuple(summarize(issues).first()) == (False, 3, 1, text)
+    result = ValidationResult.of(issues)
+    assert result.summary() == text
+    with pytest.raises(SchemaValidationError, match=r"\[type_mismatch\] amount: Source type 'double'") as caught:
+        result.check()
+    assert caught.value.result is result
+
+
+SOURCES = {
+    "tinyint": T.ByteType(), "smallint": T.ShortType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "float": T.FloatType(), "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType(),
+    "binary": T.BinaryType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(), "interval day to second": T.DayTimeIntervalType(),
+    "decimal(12,2)": T.DecimalType(12, 2), "array<int>": T.ArrayType(T.IntegerType()), "void": T.NullType(),
+}
+TARGETS = (
+    "smallint", "integer", "bigint", "numeric", "real", "double precision", "character varying", "text", "uuid",
+    "jsonb", "boolean", "bytea", "date", "time without time zone", "timestamp with time zone", "interval", "array",
+    "user-defined", "int8range", "daterange",
+)
+SMALL = {"smallint", "integer", "bigint", "numeric"}
+TIMES = {"date", "time without time zone", "timestamp with time zone", "daterange"}
+EXPECTED = {
+    "tinyint": SMALL, "smallint": SMALL, "int": SMALL,
+    "bigint": SMALL | {"real", "double precision", "int8range"},
+    "float": {"numeric", "real", "double precision"}, "double": {"numeric", "real", "double precision"},
+    "string": {"character varying", "text", "uuid", "jsonb"}, "boolean": {"boolean"}, "binary": {"bytea"},
+    "date": TIMES, "timestamp": TIMES, "timestamp_ntz": TIMES, "interval day to second": {"interval"},
+    "decimal(12,2)": {"numeric", "real", "double precision"},
+    "array<int>": {"character varying", "text", "jsonb"}, "void": {"character varying", "text", "jsonb"},
+}
+
+
+def test_type_matrix(spark):
+    got: dict[str, set[str]] = {name: set() for name in SOURCES}
+    cells = type_matrix(spark, SOURCES, TARGETS).collect()
+    assert len(cells) == 320
+    for cell in cells:
+        if cell.compatible:
+            got[cell.spark_type].add(cell.pg_type)
+    assert got == EXPECTED
+
+
+def test_families_of_the_other_types():
+    assert type_family(T.MapType(T.StringType(), T.StringType())) == "nested"
+    assert type_family(T.StructType()) == "nested"
+    assert type_family(T.VarcharType(5)) == "text"
+    if hasattr(T, "TimeType"):
+        assert type_family(T.TimeType()) == "temporal"
