@@ -33,7 +33,8 @@ def incremental(
 
 
 def high_watermark(df: DataFrame, watermark_col: str, low: dt.datetime | int | None = None) -> DataFrame:
-    """One row ``high``: the greatest watermark above ``low``, NULL when there is none.
+    """One row ``high, rows``: the greatest watermark above ``low``, NULL when there is none, and the
+    number of rows there.
 
     ``low`` lets the scan skip row groups below the last run. Zoned timestamps lose their zone and
     keep the session's wall clock.
@@ -42,4 +43,4 @@ def high_watermark(df: DataFrame, watermark_col: str, low: dt.datetime | int | N
     column = F.max(watermark_col)
     if df.schema[watermark_col].dataType.typeName() in ("timestamp", "date"):
         column = column.cast("timestamp_ntz")
-    return rows.agg(column.alias("high"))
+    return rows.agg(column.alias("high"), F.count(F.lit(1)).alias("rows"))

@@ -39,11 +39,11 @@ def _sync(
     low = stored.slot(table.mode)
     if table.mode == "timestamp":
         # Taken before the read: rows that arrive meanwhile lie above it and wait for the next run.
-        high = source.high(table.watermark_col, low)
+        high, expected = source.window(table.watermark_col, low)
         delta = source.by_timestamp(table.watermark_col, low, high)
         order = table.watermark_col
     else:
-        high = None
+        high, expected = None, None
         delta = source.by_rowversion(table.watermark_col, low)
         order = ROWVER
 
@@ -60,7 +60,7 @@ def _sync(
             required = [c for c in target.spec.required if c in delta.columns]
             head = first_chunk(delta, order, table.conflict_columns, config.chunk_size)
             ValidationResult.of(null_issues(null_counts(head, required))).check()
-        staged = target.stage(delta, [order], config.batches)
+        staged = target.stage(delta, [order], config.batches, expected_rows=expected)
         if validate_schema and config.validation_scope == "all" and any(staged.nulls.values()):
             violations = ValidationResult.of(null_issues(staged.null_counts()))
             staged.discard()

@@ -1,10 +1,12 @@
 """A keyed target table on Parquet.
 
 Rows lie in ``buckets`` hash buckets of the key, in the layout of Spark's own bucketed tables, so a
-merge joins each bucket of the target where it lies: the target is never shuffled. Every load writes
-new folders only. A small JSON file per version lists the live folders of each bucket together with
-the watermark, so rows and watermark appear at once, a crash leaves the old version, and frames that
-were read before stay readable. One writer per table at a time.
+merge joins each bucket of the target where it lies: the target is never shuffled. A small delta does
+not touch the buckets at all: it goes into one folder of recent changes, whose keys hide the same
+keys in the buckets, until there are enough of them for a merge. Every load writes new folders only.
+A small JSON file per version lists what is live together with the watermark, so rows and watermark
+appear at once, a crash leaves the old version, and frames that were read before stay readable. One
+writer per table at a time.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 from tablesync import files
 from tablesync.frames import local_frame
 from tablesync.functions.columns import with_defaults
-from tablesync.operators.merge import complete_delta
+from tablesync.operators.merge import complete_delta, merge_frames
 from tablesync.sinks import versions
 from tablesync.sinks.report import LoadSummary, Mark, PartialLoadError, run_batches
 from tablesync.sinks.staging import BATCH, BUCKET, StagedDelta, bucket_of, stage_delta, write_bucketed
@@ -44,6 +46,10 @@ class BucketedTable:
 
     # A bucket in more folders than this is rewritten into one with the next load that reaches it.
     MAX_FOLDERS = 8
+    # Recent changes: at most this many rows, so that readers can broadcast their keys, and at most
+    # this share of the rows in the buckets.
+    RECENT_ROWS = 1_000_000
+    RECENT_SHARE = 0.1
 
     def __init__(
         self, spark: SparkSession, path: str, spec: TargetSpec, keys: Sequence[str], buckets: int
@@ -108,17 +114,26 @@ class BucketedTable:
 
     def read(self) -> DataFrame:
         """The current rows. Later loads do not change a frame that was read before."""
+        version = self.version()
         paths = [
             f"{self.path}/{folder}/{BUCKET}={bucket}"
-            for bucket, parts in sorted(self.version().live.items())
+            for bucket, parts in sorted(version.live.items())
             for folder, _ in parts
         ]
+        recent = self._recent(version)
         if not paths:
-            return local_frame(self.spark, [], self.spec.struct())
-        return self.spark.read.schema(self.spec.struct()).parquet(*paths)
+            return local_frame(self.spark, [], self.spec.struct()) if recent is None else recent
+        base = self.spark.read.schema(self.spec.struct()).parquet(*paths)
+        return base if recent is None else merge_frames(base, recent, self.keys, small_delta=True)
+
+    def _recent(self, version: Version) -> DataFrame | None:
+        if version.recent is None:
+            return None
+        return self.spark.read.schema(self.spec.struct()).parquet(f"{self.path}/{version.recent[0]}")
 
     def is_empty(self) -> bool:
-        return self.version().rows == 0
+        version = self.version()
+        return version.bucket_rows + version.recent_rows == 0
 
     def mark(self, source: str) -> Mark:
         return self.version().mark(source, self.spec.table)
@@ -147,6 +162,18 @@ class BucketedTable:
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
+    @contextmanager
+    def _visible(self, version: Version, wanted: Iterable[int]) -> Iterator[DataFrame | None]:
+        """The current rows of some buckets, for the length of one action."""
+        recent = self._recent(version)
+        occupied = [b for b in wanted if version.live.get(b)]
+        if not occupied:
+            yield recent
+            return
+        with self._bucketed(version.live, occupied) as base:
+            rows = base.select(*self.spec.names)
+            yield rows if recent is None else merge_frames(rows, recent, self.keys, small_delta=True)
+
     # -- loading ------------------------------------------------------------------------------
 
     def stage(
@@ -155,10 +182,20 @@ class BucketedTable:
         order_by: Sequence[str] = (),
         batches: int = 1,
         batch_by: Column | None = None,
+        expected_rows: int | None = None,
     ) -> StagedDelta:
-        """Read the delta once and write its last row per key next to the table's data."""
+        """Read the delta once and write its last row per key next to the table's data.
+
+        ``expected_rows`` tells a small delta beforehand, which is then not spread over buckets.
+        """
         path = f"{self.path}/{uuid.uuid4().hex}"
-        return stage_delta(df, path, self.spec, self.keys, self.buckets, order_by, batches, batch_by)
+        small = expected_rows is not None and expected_rows <= self._recent_limit(self.version())
+        return stage_delta(
+            df, path, self.spec, self.keys, self.buckets, order_by, batches, batch_by, bucketed=not small
+        )
+
+    def _recent_limit(self, version: Version) -> int:
+        return min(self.RECENT_ROWS, int(version.bucket_rows * self.RECENT_SHARE))
 
     def load(
         self,
@@ -171,9 +208,8 @@ class BucketedTable:
         staged.check_keys()
 
         def one(batch: int, final: bool) -> None:
-            version = self.version()
-            live = self._merge(staged, batch, version)
-            self._commit(version, live, source if final else None, mark)
+            following = self._merge(staged, batch, self.version())
+            self._commit(following, source if final else None, mark)
 
         summary = run_batches(staged.batches, one, config, self.spec.table)
         if not staged.batches:
@@ -185,8 +221,7 @@ class BucketedTable:
     def record(self, source: str, mark: Mark) -> None:
         """Store a watermark without loading anything."""
         if mark != self.mark(source):
-            version = self.version()
-            self._commit(version, version.live, source, mark)
+            self._commit(self.version(), source, mark)
 
     def upsert(
         self,
@@ -216,44 +251,69 @@ class BucketedTable:
             bucket_of(self.keys, self.buckets).alias(BUCKET),
         )
         write_bucketed(rows.repartition(self.buckets, *self.keys), path, self.keys, self.buckets)
-        written = self.spark.read.schema(rows.schema).parquet(path)
-        counts = {r[BUCKET]: r["count"] for r in written.groupBy(BUCKET).count().collect()}
         version = self.version()
         live = dict(version.live)
-        for bucket, n in counts.items():
-            live[bucket] = [*live.get(bucket, []), (f"{path.split('/')[-1]}/{BATCH}=0", n)]
-        self._commit(version, live)
+        folder = f"{path.split('/')[-1]}/{BATCH}=0"
+        for bucket, n in self._written(folder).items():
+            live[bucket] = [*live.get(bucket, []), (folder, n)]
+        self._commit(replace(version, live=live))
+
+    def _written(self, folder: str) -> dict[int, int]:
+        """Rows by bucket in a folder; at most one row per bucket."""
+        path = f"{self.path}/{folder}"
+        if not files.exists(self.spark, path):
+            return {}
+        schema = self.spec.struct().add(BUCKET, T.IntegerType())
+        counted = self.spark.read.schema(schema).parquet(path).groupBy(BUCKET).count()
+        return {r[BUCKET]: r["count"] for r in counted.collect()}
+
+    def _merge(self, staged: StagedDelta, batch: int, version: Version) -> Version:
+        """Write what one batch changes and return the version that holds it."""
+        incoming = staged.counts[batch]
+        changed = version.recent_rows + sum(incoming.values())
+        if changed <= self._recent_limit(version):
+            folder = self._combine(staged, batch, version, bucketed=False)
+            rows = self.spark.read.schema(self.spec.struct()).parquet(f"{self.path}/{folder}").count()
+            return version.with_recent(folder, rows)
+        folder = staged.batch_path(batch)[len(self.path) + 1 :]
+        if version.recent or not staged.bucketed or (staged.absent and any(version.live.get(b) for b in incoming)):
+            folder = self._combine(staged, batch, version, bucketed=True)
+            incoming = self._written(folder)
+        return version.with_live(self._into_buckets(folder, incoming, version.live))
+
+    def _combine(self, staged: StagedDelta, batch: int, version: Version, bucketed: bool) -> str:
+        """The delta with the columns it lacks, over the recent changes, in a new folder."""
+        delta = staged.batch(batch)
+        recent = self._recent(version)
+        run = uuid.uuid4().hex
+        with self._visible(version, staged.counts[batch] if staged.absent else ()) as current:
+            if staged.absent and current is not None:
+                delta = complete_delta(delta, current, self.keys, staged.absent).drop("__hit")
+            rows = delta if recent is None else merge_frames(recent, delta, self.keys)
+            if bucketed:
+                placed = rows.withColumn(BATCH, F.lit(0)).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+                placed = placed.repartition(self.buckets, *self.keys)
+                write_bucketed(placed, f"{self.path}/{run}", self.keys, self.buckets)
+            else:
+                # Few rows by the limit above, so few files.
+                rows.coalesce(4).write.parquet(f"{self.path}/{run}/{BATCH}=0")
+        return f"{run}/{BATCH}=0"
 
-    def _merge(self, staged: StagedDelta, batch: int, version: Version) -> Live:
-        """Write what one batch changes and return the new live folders.
+    def _into_buckets(self, folder: str, incoming: dict[int, int], current: Live) -> Live:
+        """Add a folder of bucketed rows whose keys replace the same keys in the buckets.
 
-        Only buckets that hold a key of the delta are rewritten, and of those only the rows that
-        survive; the staged files themselves become part of the table. A bucket that gets new keys
-        only is extended, not rewritten.
+        Only buckets that hold such a key are rewritten, and of those only the rows that survive; the
+        folder itself becomes part of the table. A bucket that gets new keys only is extended.
         """
-        incoming = staged.counts[batch]
-        folder = staged.batch_path(batch)
-        live = dict(version.live)
+        live = dict(current)
         occupied = [b for b in incoming if live.get(b)]
+        delta = self.spark.read.schema(self.spec.struct()).parquet(f"{self.path}/{folder}")
+        keys = delta.select(*self.keys)
         if occupied and len(self.keys) == len(self.spec.names):
-            return self._insert_new(staged, batch, live, occupied)
+            return self._insert_new(keys, live, occupied)
         if occupied:
-            delta = staged.batch(batch)
-            keys = delta.select(*self.keys)
-            with self._bucketed(live, occupied) as current:
-                if staged.absent:
-                    folder = f"{self.path}/{uuid.uuid4().hex}/{BATCH}={batch}"
-                    complete = complete_delta(delta, current, self.keys, staged.absent)
-                    write_bucketed(
-                        complete.withColumn(BATCH, F.lit(batch)),
-                        folder.rsplit("/", 1)[0],
-                        self.keys,
-                        self.buckets,
-                    )
-                    schema = T.StructType().add("__hit", T.BooleanType()).add(BUCKET, T.IntegerType())
-                    hits = self.spark.read.schema(schema).parquet(folder).filter("__hit")
-                else:
-                    hits = current.select(*self.keys, BUCKET).join(keys, list(self.keys), "left_semi")
+            with self._bucketed(live, occupied) as base:
+                hits = base.select(*self.keys, BUCKET).join(keys, list(self.keys), "left_semi")
                 # At most one row per bucket.
                 hit = {r[BUCKET]: r["count"] for r in hits.groupBy(BUCKET).count().collect()}
             rewritten = [b for b in occupied if hit.get(b) or len(live[b]) >= self.MAX_FOLDERS]
@@ -261,41 +321,34 @@ class BucketedTable:
             for b in rewritten:
                 kept = sum(rows for _, rows in live[b]) - hit.get(b, 0)
                 live[b] = [(kept_folder, kept)] if kept else []
-        relative = folder[len(self.path) + 1 :]
         for b, rows in incoming.items():
-            live[b] = [*live.get(b, []), (relative, rows)]
+            live[b] = [*live.get(b, []), (folder, rows)]
         return live
 
-    def _write_kept(
-        self, live: Live, buckets: list[int], keys: DataFrame, hit: dict[int, int]
-    ) -> str:
+    def _write_kept(self, live: Live, buckets: list[int], keys: DataFrame, hit: dict[int, int]) -> str:
         """The rows of some buckets whose key is not in the delta, in a new folder."""
         run = uuid.uuid4().hex
         surviving = [b for b in buckets if sum(rows for _, rows in live[b]) > hit.get(b, 0)]
         if surviving:
-            with self._bucketed(live, surviving) as current:
-                kept = current.join(keys, list(self.keys), "left_anti").withColumn(BATCH, F.lit(0))
+            with self._bucketed(live, surviving) as base:
+                kept = base.join(keys, list(self.keys), "left_anti").withColumn(BATCH, F.lit(0))
                 write_bucketed(kept, f"{self.path}/{run}", self.keys, self.buckets)
         return f"{run}/{BATCH}=0"
 
-    def _insert_new(
-        self, staged: StagedDelta, batch: int, live: Live, occupied: list[int]
-    ) -> Live:
+    def _insert_new(self, keys: DataFrame, live: Live, occupied: list[int]) -> Live:
         """A table of key columns only has nothing to overwrite: add the keys it does not hold."""
         run = uuid.uuid4().hex
-        with self._bucketed(live, occupied) as current:
-            new = staged.batch(batch).join(current.select(*self.keys), list(self.keys), "left_anti")
-            write_bucketed(new.withColumn(BATCH, F.lit(0)), f"{self.path}/{run}", self.keys, self.buckets)
-        schema = self.spec.struct().add(BATCH, T.IntegerType()).add(BUCKET, T.IntegerType())
-        written = self.spark.read.schema(schema).parquet(f"{self.path}/{run}")
-        result = dict(live)
-        for row in written.groupBy(BUCKET).count().collect():
-            result[row[BUCKET]] = [*result.get(row[BUCKET], []), (f"{run}/{BATCH}=0", row["count"])]
-        return result
-
-    def _commit(self, version: Version, live: Live, source: str | None = None, mark: Mark | None = None) -> None:
+        with self._bucketed(live, occupied) as base:
+            new = keys.join(base.select(*self.keys), list(self.keys), "left_anti")
+            placed = new.withColumn(BATCH, F.lit(0)).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+            write_bucketed(placed, f"{self.path}/{run}", self.keys, self.buckets)
+        folder = f"{run}/{BATCH}=0"
+        for bucket, rows in self._written(folder).items():
+            live[bucket] = [*live.get(bucket, []), (folder, rows)]
+        return live
+
+    def _commit(self, following: Version, source: str | None = None, mark: Mark | None = None) -> None:
         """Publish the rows, and the watermark if one is given, together."""
-        following = version.with_live(live)
         if source is not None and mark is not None:
             following = following.with_mark(source, self.spec.table, mark)
         versions.publish(self.spark, self.path, following)

@@ -104,11 +104,16 @@ class JdbcTable:
         return self.store.mark(source, self.name) if self.store else Mark()
 
     def stage(
-        self, df: DataFrame, order_by: Sequence[str] = (), batches: int = 1, batch_by: Column | None = None
+        self,
+        df: DataFrame,
+        order_by: Sequence[str] = (),
+        batches: int = 1,
+        batch_by: Column | None = None,
+        expected_rows: int | None = None,
     ) -> StagedDelta:
         path = files.scratch(self.spark, "staged")
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return stage_delta(df, path, self.spec, self.keys, buckets, order_by, batches, batch_by)
+        return stage_delta(df, path, self.spec, self.keys, buckets, order_by, batches, batch_by, False)
 
     def load(
         self,

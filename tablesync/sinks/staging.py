@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablesync import files
 from tablesync.frames import local_frame
@@ -58,6 +57,7 @@ class StagedDelta:
     spec: TargetSpec
     keys: tuple[str, ...]
     buckets: int
+    bucketed: bool
     absent: tuple[str, ...]
     counts: dict[int, dict[int, int]]
     source_rows: dict[int, int]
@@ -68,8 +68,7 @@ class StagedDelta:
         return f"{self.path}/{BATCH}={batch}"
 
     def batch(self, batch: int) -> DataFrame:
-        schema = self.spec.struct().add(BUCKET, T.IntegerType())
-        return self.spark.read.schema(schema).parquet(self.batch_path(batch))
+        return self.spark.read.schema(self.spec.struct()).parquet(self.batch_path(batch))
 
     @property
     def batches(self) -> list[tuple[int, int]]:
@@ -102,8 +101,12 @@ def stage_delta(
     order_by: Sequence[str] = (),
     batches: int = 1,
     batch_by: Column | None = None,
+    bucketed: bool = True,
 ) -> StagedDelta:
-    """Project to the target's columns, keep the last row per key, write, and sum up."""
+    """Project to the target's columns, keep the last row per key, write, and sum up.
+
+    A delta that will not become part of a bucketed table is written without bucket folders.
+    """
     spark = df.sparkSession
     struct = spec.struct()
     present = [c for c in spec.names if c in df.columns]
@@ -132,9 +135,12 @@ def stage_delta(
     staged = folded.select(
         *spec.names, *counters, batch.cast("int").alias(BATCH), bucket.alias(BUCKET)
     )
-    if not _lines_up(spark, buckets):
-        staged = staged.repartition(buckets, *keys)
-    write_bucketed(staged, path, keys, buckets)
+    if not bucketed:
+        staged.write.partitionBy(BATCH).parquet(path)
+    else:
+        if not _lines_up(spark, buckets):
+            staged = staged.repartition(buckets, *keys)
+        write_bucketed(staged, path, keys, buckets)
 
     written = spark.read.schema(staged.schema).parquet(path)
     sums = [F.sum(c).alias(c) for c in counters if c != "__max_rowver"]
@@ -153,6 +159,7 @@ def stage_delta(
         spec=spec,
         keys=tuple(keys),
         buckets=buckets,
+        bucketed=bucketed,
         absent=absent,
         counts=counts,
         source_rows=source_rows,

@@ -16,7 +16,9 @@ from pyspark.sql import SparkSession
 from tablesync import files
 from tablesync.sinks.report import Mark
 
-Live = dict[int, list[tuple[str, int]]]
+# A folder below the table and its number of rows; the live ones of each bucket.
+Part = tuple[str, int]
+Live = dict[int, list[Part]]
 
 
 def utc_now() -> dt.datetime:
@@ -29,19 +31,26 @@ def _moment(text: str | None) -> dt.datetime | None:
 
 @dataclass(frozen=True)
 class Version:
-    """The live folders of each bucket as ``(folder, rows)``, and the slots by source and target."""
+    """The live folders of each bucket, the folder of recent changes that hide rows in the buckets,
+    and the slots by source and target."""
 
     number: int = 0
     live: Live = field(default_factory=dict)
+    recent: Part | None = None
     marks: dict[str, dict[str, dict[str, Any]]] = field(default_factory=dict)
 
     @property
-    def rows(self) -> int:
+    def bucket_rows(self) -> int:
         return sum(rows for parts in self.live.values() for _, rows in parts)
 
+    @property
+    def recent_rows(self) -> int:
+        return self.recent[1] if self.recent else 0
+
     @property
     def runs(self) -> set[str]:
-        return {folder.split("/")[0] for parts in self.live.values() for folder, _ in parts}
+        parts = [part for listed in self.live.values() for part in listed]
+        return {folder.split("/")[0] for folder, _ in [*parts, *([self.recent] if self.recent else [])]}
 
     def mark(self, source: str, target: str) -> Mark:
         slots = self.marks.get(source, {}).get(target, {})
@@ -56,7 +65,11 @@ class Version:
         return replace(self, marks={**self.marks, source: {**self.marks.get(source, {}), target: slots}})
 
     def with_live(self, live: Live) -> Version:
-        return replace(self, live={b: parts for b, parts in live.items() if parts})
+        """All rows in buckets: nothing is left in the recent changes."""
+        return replace(self, live={b: parts for b, parts in live.items() if parts}, recent=None)
+
+    def with_recent(self, folder: str, rows: int) -> Version:
+        return replace(self, recent=(folder, rows))
 
     def mark_rows(self) -> list[tuple[Any, ...]]:
         return [
@@ -67,13 +80,14 @@ class Version:
 
     def to_json(self) -> str:
         live = {str(b): parts for b, parts in sorted(self.live.items())}
-        return json.dumps({"number": self.number, "live": live, "marks": self.marks})
+        return json.dumps({"number": self.number, "live": live, "recent": self.recent, "marks": self.marks})
 
     @classmethod
     def from_json(cls, text: str) -> Version:
         value = json.loads(text)
         live = {int(b): [(folder, rows) for folder, rows in parts] for b, parts in value["live"].items()}
-        return cls(value["number"], live, value["marks"])
+        recent = tuple(value["recent"]) if value["recent"] else None
+        return cls(value["number"], live, recent, value["marks"])
 
 
 def published(spark: SparkSession, path: str) -> list[str]:

@@ -24,14 +24,21 @@ class TableSource:
         return self.frame.sparkSession
 
     def high(self, watermark_col: str, low: dt.datetime | None = None) -> dt.datetime | None:
-        """The greatest watermark. The usual case reads only what lies above the last one.
+        """The greatest watermark of the source."""
+        return self.window(watermark_col, low)[0]
 
-        With nothing new the whole column is read: a source that was set back moves the mark back.
+    def window(
+        self, watermark_col: str, low: dt.datetime | None = None
+    ) -> tuple[dt.datetime | None, int | None]:
+        """The greatest watermark, and how many rows lie above ``low`` if that is known.
+
+        The usual case reads only what lies above the last one. With nothing new the whole column is
+        read: a source that was set back moves the mark back.
         """
-        top = high_watermark(self.frame, watermark_col, low).first()["high"]
+        top, rows = high_watermark(self.frame, watermark_col, low).first()
         if top is None and low is not None:
-            top = high_watermark(self.frame, watermark_col).first()["high"]
-        return top
+            return high_watermark(self.frame, watermark_col).first()["high"], 0
+        return top, rows
 
     def by_timestamp(
         self, watermark_col: str, low: dt.datetime | None = None, high: dt.datetime | None = None

@@ -106,10 +106,12 @@ class JdbcSource(TableSource):
     def high_query(self, watermark_col: str) -> str:
         return f"SELECT MAX({watermark_col}) AS high FROM {self.table}"
 
-    def high(self, watermark_col: str, low: dt.datetime | None = None) -> dt.datetime | None:
+    def window(
+        self, watermark_col: str, low: dt.datetime | None = None
+    ) -> tuple[dt.datetime | None, int | None]:
         """The source computes the maximum itself; the plain JDBC relation would send every row."""
         top = self.query(self.high_query(watermark_col)).first()[0]
-        return top.replace(tzinfo=None) if isinstance(top, dt.datetime) else top
+        return (top.replace(tzinfo=None) if isinstance(top, dt.datetime) else top), None
 
     def by_rowversion(self, rowver_col: str, low: int | None = None) -> DataFrame:
         if self.dialect != "mssql":

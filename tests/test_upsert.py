@@ -73,7 +73,7 @@ def test_insert_and_overwrite(people, spark):
     summary = people.upsert(people_frame(spark, changed))
     assert rows(people.read()) == sorted([PEOPLE_ROWS[0], PEOPLE_ROWS[2], *changed])
     assert (summary.total_rows, summary.chunks_ok, summary.chunks_failed, summary.status) == (2, 1, 0, "success")
-    assert people.version().rows == 4
+    assert people.version().bucket_rows == 4
 
 
 def test_reopened_table_is_the_same(people, spark, folder):
@@ -99,8 +99,11 @@ def test_drop_touches_tables_only(spark, tmp_path):
     assert (tmp_path / "mine" / "file").exists()
 
 
-def test_random_batches_match_a_dictionary(spark, folder):
-    """Replays, partial columns and repeated keys against the obvious model."""
+@pytest.mark.parametrize("share", [0.0, 0.7, 50.0])
+def test_random_batches_match_a_dictionary(spark, folder, monkeypatch, share):
+    """Replays, partial columns and repeated keys against the obvious model, with all changes going
+    to the buckets, some, and (but for the first load) none."""
+    monkeypatch.setattr(BucketedTable, "RECENT_SHARE", share)
     rng = random.Random(5)
     spec = TargetSpec(
         "t",
@@ -108,17 +111,17 @@ def test_random_batches_match_a_dictionary(spark, folder):
     )
     target = BucketedTable.create(spark, folder, spec, ["a", "b"], 4)
     model: dict[tuple[int, str], list[int | None]] = {}
-    for step in range(5):
+    for step in range(4):
         with_y = step % 2 == 0
         drawn = [(rng.randrange(12), rng.choice("pq"), rng.randrange(100), rng.randrange(100), i) for i in range(25)]
         df = local_frame(spark, drawn, "a int, b string, x bigint, y bigint, w int")
-        for _ in range(2):
+        for _ in range(1 + (step == 1)):
             target.upsert(df if with_y else df.drop("y"), ["w"])
         for a, b, x, y, _ in drawn:
             kept = model.get((a, b), [None, -1])[1]
             model[a, b] = [x, y if with_y else kept]
         assert rows(target.read()) == sorted((a, b, x, y) for (a, b), (x, y) in model.items())
-        assert target.version().rows == len(model)
+        assert target.version().recent is not None or target.version().bucket_rows == len(model)
 
 
 def test_absent_column_keeps_its_value_and_defaults_on_insert(spark, folder):
@@ -170,7 +173,41 @@ def test_new_keys_extend_a_bucket_without_rewriting_it(people, spark):
     assert all(set(parts) <= set(after[b]) for b, parts in before.items())
 
 
-def test_only_buckets_with_changed_keys_are_rewritten(spark, folder):
+def test_small_delta_leaves_the_buckets_alone(spark, folder):
+    target = table(spark, folder, "id bigint, v string", ["id"], buckets=8)
+    target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
+    before = target.version().live
+    for i in (0, 1):
+        target.upsert(spark.range(i, 1000, 25).withColumn("v", F.lit(f"b{i}")))
+        assert target.version().live == before
+    assert target.version().recent_rows == 80
+    target.upsert(spark.range(2, 1000, 25).withColumn("v", F.lit("b2")))
+    assert target.version().recent is None and target.version().bucket_rows == 1000
+    counts = {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()}
+    assert counts == {"a": 880, "b0": 40, "b1": 40, "b2": 40}
+
+
+def test_recent_changes_hide_older_rows_without_a_shuffle(spark, folder):
+    target = table(spark, folder, "id bigint, v string", ["id"], buckets=4)
+    target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
+    target.upsert(spark.range(990, 1010).withColumn("v", F.lit("b")))
+    assert target.version().recent_rows == 20 and not target.is_empty()
+    plan = target.read()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 990, "b": 20}
+
+
+def test_wrong_expectation_of_a_small_delta(spark, folder):
+    target = table(spark, folder, "id bigint, v string", ["id"], buckets=4)
+    target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
+    staged = target.stage(spark.range(500).withColumn("v", F.lit("b")), expected_rows=5)
+    assert not staged.bucketed
+    target.load(staged)
+    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 500, "b": 500}
+
+
+def test_only_buckets_with_changed_keys_are_rewritten(spark, folder, monkeypatch):
+    monkeypatch.setattr(BucketedTable, "RECENT_SHARE", 0.0)
     target = table(spark, folder, "id bigint, v string", ["id"], buckets=8)
     target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
     before = target.version().live
@@ -186,7 +223,7 @@ def test_folders_of_a_bucket_are_folded_together(spark, folder, monkeypatch):
     for step in range(7):
         target.upsert(spark.range(step * 20, step * 20 + 20).withColumn("v", F.lit("a")))
         assert max(len(parts) for parts in target.version().live.values()) <= 3
-    assert target.read().distinct().count() == 140 == target.version().rows
+    assert target.read().distinct().count() == 140 == target.version().bucket_rows
 
 
 def test_shuffle_partitions_that_do_not_line_up(spark, folder):
@@ -267,7 +304,7 @@ def test_second_writer_is_refused(people, spark):
     version = people.version()
     people.upsert(people_frame(spark))
     with pytest.raises(FileExistsError):
-        people._commit(version, {})
+        people._commit(version)
     assert people.read().count() == 3
 
 
