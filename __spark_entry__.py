@@ -102,10 +102,9 @@ def src_rowversion_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_tie_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that share the stored watermark: left out of the next read."""
     mark = dt.datetime(1996, 9, 17)
-    orders = _orders(spark, sf_dir)
-    after = TableSource(orders).by_timestamp("o_orderdate", mark).select("o_orderkey")
-    tied = orders.filter(F.col("o_orderdate") == F.lit("1996-09-17").cast("timestamp_ntz"))
-    return tied.join(after, "o_orderkey", "left_anti").select("o_orderkey", "o_orderdate")
+    tied = _orders(spark, sf_dir).filter(F.col("o_orderdate") == F.lit("1996-09-17").cast("timestamp_ntz"))
+    again = TableSource(tied).by_timestamp("o_orderdate", mark).select("o_orderkey")
+    return tied.join(again, "o_orderkey", "left_anti").select("o_orderkey", "o_orderdate")
 
 
 def src_null_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,6 +494,12 @@ def pipe_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams ----------------------------------------------------------------------------------
 
 
+def _arrive(rows: DataFrame, folder: str) -> None:
+    """Add rows to a folder as four files, or as one per task where that is more."""
+    per_file = max(-(-rows.count() // 4), 1)
+    rows.write.mode("append").option("maxRecordsPerFile", per_file).parquet(folder)
+
+
 def _stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """The files of a folder as a stream of about four micro-batches."""
     per_batch = max(files.total_bytes(spark, folder) // 4, 1)
@@ -504,8 +509,7 @@ def _stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame
 def str_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _read(spark, sf_dir, "events")
     folder = files.scratch(spark, "arrivals")
-    for part in range(4):
-        events.filter(F.col("event_id") % 4 == part).write.mode("append").parquet(folder)
+    _arrive(events, folder)
     table = _target(spark, sf_dir, "events", events, ["event_id"])
     sync_available_now(_stream(spark, folder, events.schema), table, files.scratch(spark, "progress"), ["ts"])
     return table.read()
@@ -517,7 +521,7 @@ def str_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _target(spark, sf_dir, "events", events, ["event_id"])
     rows = []
     for start, arrived in enumerate(("event_id % 4 <> 3", "event_id % 4 = 3"), start=1):
-        events.filter(arrived).write.mode("append").parquet(folder)
+        _arrive(events.filter(arrived), folder)
         summary = sync_available_now(_stream(spark, folder, events.schema), table, progress, ["ts"])
         rows.append((start, summary.total_rows))
     return local_frame(spark, rows, "start int, n bigint")

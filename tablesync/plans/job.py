@@ -58,7 +58,12 @@ def _config(args: argparse.Namespace) -> SyncConfig:
         max_workers=loaded.max_workers,
         retry_attempts=loaded.retry_attempts,
         batches=args.batches,
-        source=JdbcLocation(loaded.source),
+        source=JdbcLocation(
+            loaded.source,
+            partition_columns=options.get("PARTITION_COLUMNS", {}),
+            custom_schemas=options.get("CUSTOM_SCHEMAS", {}),
+            num_partitions=loaded.max_workers,
+        ),
         target=JdbcLocation(loaded.target, args.watermarks, num_partitions=loaded.max_workers),
     )
 

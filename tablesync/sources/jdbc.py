@@ -6,7 +6,9 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.functions.columns import ROWVER
 from tablesync.sources.frames import TableSource
@@ -53,9 +55,21 @@ def rowversion_relation(table: str, rowver_col: str) -> str:
     return f"(SELECT t.*, CONVERT(BIGINT, {rowver_col}) AS {ROWVER} FROM {table} t) q"
 
 
-def lower_names(df: DataFrame) -> DataFrame:
-    """Unquoted Oracle names come back in upper case; the target's are in lower case."""
-    return df.toDF(*[c.lower() if c.isupper() else c for c in df.columns])
+def oracle_columns(df: DataFrame) -> DataFrame:
+    """Oracle's rows as the target knows them: lower-case names, and whole numbers as bigint.
+
+    Oracle has one number type; what is declared without decimals is an integer. A bare ``NUMBER``
+    leaves that open: name its type in the source's ``custom_schema``.
+    """
+
+    def column(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        kind = field.dataType
+        if isinstance(kind, T.DecimalType) and kind.scale == 0 and kind.precision <= 18:
+            value = value.cast("bigint")
+        return value.alias(field.name.lower() if field.name.isupper() else field.name)
+
+    return df.select(*[column(f) for f in df.schema])
 
 
 @dataclass
@@ -63,7 +77,8 @@ class JdbcSource(TableSource):
     """One database table.
 
     ``partition_column`` (a numeric key is best: it has no hot values) splits the read into
-    ``num_partitions`` ranges; without it one connection streams the rows.
+    ``num_partitions`` ranges; without it one connection streams the rows. ``custom_schema`` names
+    the types of columns where the database's own are too wide, e.g. ``"ID BIGINT"``.
     """
 
     session: SparkSession
@@ -72,6 +87,7 @@ class JdbcSource(TableSource):
     dialect: str = "oracle"
     partition_column: str | None = None
     num_partitions: int = 1
+    custom_schema: str | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -91,6 +107,8 @@ class JdbcSource(TableSource):
 
     def _read(self, relation: str) -> DataFrame:
         more = {"dbtable": relation}
+        if self.custom_schema:
+            more["customSchema"] = self.custom_schema
         if self.partition_column and self.num_partitions > 1:
             lo, hi = self.query(self.bounds_query()).first()
             if lo is not None and lo != hi:
@@ -101,7 +119,7 @@ class JdbcSource(TableSource):
                     "numPartitions": str(self.num_partitions),
                 }
         rows = read_jdbc(self.session, self.options, **more)
-        return lower_names(rows) if self.dialect == "oracle" else rows
+        return oracle_columns(rows) if self.dialect == "oracle" else rows
 
     def high_query(self, watermark_col: str) -> str:
         return f"SELECT MAX({watermark_col}) AS high FROM {self.table}"
@@ -127,6 +145,7 @@ class JdbcLocation:
     connection: Connection
     watermark_path: str | None = None
     partition_columns: Mapping[str, str] = field(default_factory=dict)
+    custom_schemas: Mapping[str, str] = field(default_factory=dict)
     num_partitions: int = 4
 
     def source(self, spark: SparkSession, table: str) -> JdbcSource:
@@ -138,6 +157,7 @@ class JdbcLocation:
             self.connection.dialect,
             column,
             self.num_partitions if column else 1,
+            self.custom_schemas.get(table),
         )
 
     def target(self, spark: SparkSession, schema: str, table: str, keys: tuple[str, ...]):

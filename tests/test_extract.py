@@ -159,14 +159,14 @@ def test_jdbc_read_is_partitioned_and_the_maximum_is_asked_for(spark, monkeypatc
 
     fake = FakeReads(answers)
     monkeypatch.setattr(jdbc, "read_jdbc", fake)
-    source = JdbcSource(spark, {"url": "u"}, "ventas", "oracle", "id", 8)
+    source = JdbcSource(spark, {"url": "u"}, "ventas", "oracle", "id", 8, "ID BIGINT")
     assert source.high("updated_at") == dt.datetime(2024, 6, 1, 12)
     delta = source.by_timestamp("updated_at", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
     assert rows(delta, "id") == [(2,)]
     assert delta.columns == ["id", "name", "updated_at", "amount"]
     last = fake.calls[-1]
     assert last == {
-        "dbtable": "ventas", "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8",
+        "dbtable": "ventas", "customSchema": "ID BIGINT", "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8",
     }
 
 
