@@ -17,16 +17,13 @@ from tablesync.operators.chunks import first_chunk
 from tablesync.operators.validate import ValidationResult, null_counts, null_issues, schema_issues
 from tablesync.sinks.audit import AuditTable, RunResult, results_frame
 from tablesync.sinks.report import LoadSummary, Mark, PartialLoadError
+from tablesync.sinks.versions import utc_now
 from tablesync.sources.frames import TableSource
 from tablesync.spec import SyncConfig, TableConfig
 
 log = logging.getLogger("tablesync")
 
 
-def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-
-
 def _nothing_new(high: dt.datetime | None, low: dt.datetime | None) -> bool:
     return low is not None and (high is None or high <= low)
 
@@ -86,25 +83,15 @@ def _sync(
     return result, summary
 
 
-def run_sync(
-    source: TableSource,
-    target: Any,
-    table: TableConfig,
-    config: SyncConfig = SyncConfig(),
-    audit: AuditTable | None = None,
-    validate_schema: bool = True,
+def _audited(
+    table: TableConfig, audit: AuditTable | None, sync: Callable[[], tuple[RunResult, LoadSummary]]
 ) -> RunResult:
-    """Bring a target up to date with its source.
-
-    Errors while reading or checking are raised and leave target and mark as they were. If batches
-    fail, the others stay loaded, the mark stays, and :class:`PartialLoadError` is raised. Every run
-    leaves an audit row.
-    """
+    """Run, record the outcome whatever it is, and raise what went wrong."""
     table.check_mode()
     start = time.monotonic()
     failure: Exception | None = None
     try:
-        result, summary = _sync(source, target, table, config, validate_schema)
+        result, summary = sync()
         if summary.chunks_failed:
             failure = PartialLoadError(table.table, summary)
     except Exception as error:
@@ -113,7 +100,7 @@ def run_sync(
         result = RunResult(
             table.table, table.target, table.mode, status="failed", error=f"{type(error).__name__}: {error}"
         )
-    result = replace(result, elapsed_s=round(time.monotonic() - start, 2), finished_at=_now())
+    result = replace(result, elapsed_s=round(time.monotonic() - start, 2), finished_at=utc_now())
     if audit is not None:
         audit.append(result)
     if failure is not None:
@@ -121,6 +108,23 @@ def run_sync(
     return result
 
 
+def run_sync(
+    source: TableSource,
+    target: Any,
+    table: TableConfig,
+    config: SyncConfig = SyncConfig(),
+    audit: AuditTable | None = None,
+    validate_schema: bool = True,
+) -> RunResult:
+    """Bring a target up to date with its source.
+
+    Errors while reading or checking are raised and leave target and mark as they were. If batches
+    fail, the others stay loaded, the mark stays, and :class:`PartialLoadError` is raised. Every run
+    leaves an audit row.
+    """
+    return _audited(table, audit, lambda: _sync(source, target, table, config, validate_schema))
+
+
 def run_pipeline(
     spark: SparkSession,
     table: str,
@@ -135,10 +139,13 @@ def run_pipeline(
 ) -> RunResult:
     """Sync one table between the two locations named by ``config.source`` and ``config.target``."""
     entry = TableConfig(table, watermark_col, tuple(conflict_columns), mode, target_table)
-    entry.check_mode()
-    source = config.source.source(spark, table)
-    target = config.target.target(spark, target_schema, entry.target, entry.conflict_columns)
-    return run_sync(source, target, entry, config, audit, validate_schema)
+
+    def sync() -> tuple[RunResult, LoadSummary]:
+        source = config.source.source(spark, table)
+        target = config.target.target(spark, target_schema, entry.target, entry.conflict_columns)
+        return _sync(source, target, entry, config, validate_schema)
+
+    return _audited(entry, audit, sync)
 
 
 def run_many(
@@ -167,7 +174,7 @@ def run_many(
                 elapsed_s=s.elapsed_s,
                 status=s.status,
                 error=s.error,
-                finished_at=_now(),
+                finished_at=utc_now(),
             )
         except Exception as error:
             return RunResult(
@@ -176,7 +183,7 @@ def run_many(
                 table.mode,
                 status="failed",
                 error=f"{type(error).__name__}: {error}",
-                finished_at=_now(),
+                finished_at=utc_now(),
             )
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)

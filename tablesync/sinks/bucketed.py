@@ -34,7 +34,7 @@ from tablesync.spec import SyncConfig, TargetSpec
 FOLDER = "__folder"
 
 
-def suggest_buckets(spark: SparkSession, *paths: str, bucket_bytes: int = 4 << 30, least: int = 8) -> int:
+def suggest_buckets(spark: SparkSession, *paths: str, bucket_bytes: int = 8 << 30, least: int = 8) -> int:
     """Bucket count for data like that at the given paths: a power of two, so that it lines up with a
     power of two of shuffle partitions."""
     wanted = max(sum(files.total_bytes(spark, p) for p in paths) // bucket_bytes, least)
@@ -44,7 +44,7 @@ def suggest_buckets(spark: SparkSession, *paths: str, bucket_bytes: int = 4 << 3
 class BucketedTable:
     """Open with :meth:`open`, make with :meth:`create`."""
 
-    # A bucket in more folders than this is rewritten into one with the next load that reaches it.
+    # A load that reaches a bucket in this many folders puts all but the largest together.
     MAX_FOLDERS = 8
     # Recent changes: at most this many rows, so that readers can broadcast their keys, and at most
     # this share of the rows in the buckets.
@@ -75,7 +75,7 @@ class BucketedTable:
         """Create the table if it is missing; an existing one is opened unchanged.
 
         Key columns reject NULL. The bucket count is fixed here. It defaults to the shuffle partitions; at scale, size it so
-        that a bucket is a few gigabytes.
+        that a bucket is some gigabytes.
         """
         if recreate:
             cls.drop(spark, path)
@@ -158,7 +158,7 @@ class BucketedTable:
             )
             for start in range(0, len(parts), 1000):
                 self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(parts[start : start + 1000])}")
-            yield self.spark.table(name).drop(FOLDER)
+            yield self.spark.table(name)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -251,13 +251,32 @@ class BucketedTable:
             bucket_of(self.keys, self.buckets).alias(BUCKET),
         )
         write_bucketed(rows.repartition(self.buckets, *self.keys), path, self.keys, self.buckets)
-        version = self.version()
+        version = self._without_recent(self.version())
         live = dict(version.live)
         folder = f"{path.split('/')[-1]}/{BATCH}=0"
         for bucket, n in self._written(folder).items():
             live[bucket] = [*live.get(bucket, []), (folder, n)]
         self._commit(replace(version, live=live))
 
+    def compact(self) -> None:
+        """Move the recent changes into the buckets, so that readers need not hide rows."""
+        version = self.version()
+        if version.recent is not None:
+            self._commit(self._without_recent(version))
+
+    def _without_recent(self, version: Version) -> Version:
+        recent = self._recent(version)
+        if recent is None:
+            return version
+        folder = f"{uuid.uuid4().hex}/{BATCH}=0"
+        self._write_placed(recent, folder)
+        return version.with_live(self._into_buckets(folder, self._written(folder), version.live))
+
+    def _write_placed(self, rows: DataFrame, folder: str) -> None:
+        placed = rows.withColumn(BATCH, F.lit(0)).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+        placed = placed.repartition(self.buckets, *self.keys)
+        write_bucketed(placed, f"{self.path}/{folder.split('/')[0]}", self.keys, self.buckets)
+
     def _written(self, folder: str) -> dict[int, int]:
         """Rows by bucket in a folder; at most one row per bucket."""
         path = f"{self.path}/{folder}"
@@ -285,25 +304,23 @@ class BucketedTable:
         """The delta with the columns it lacks, over the recent changes, in a new folder."""
         delta = staged.batch(batch)
         recent = self._recent(version)
-        run = uuid.uuid4().hex
+        folder = f"{uuid.uuid4().hex}/{BATCH}=0"
         with self._visible(version, staged.counts[batch] if staged.absent else ()) as current:
             if staged.absent and current is not None:
                 delta = complete_delta(delta, current, self.keys, staged.absent).drop("__hit")
             rows = delta if recent is None else merge_frames(recent, delta, self.keys)
             if bucketed:
-                placed = rows.withColumn(BATCH, F.lit(0)).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-                placed = placed.repartition(self.buckets, *self.keys)
-                write_bucketed(placed, f"{self.path}/{run}", self.keys, self.buckets)
+                self._write_placed(rows, folder)
             else:
                 # Few rows by the limit above, so few files.
-                rows.coalesce(4).write.parquet(f"{self.path}/{run}/{BATCH}=0")
-        return f"{run}/{BATCH}=0"
+                rows.coalesce(4).write.parquet(f"{self.path}/{folder}")
+        return folder
 
     def _into_buckets(self, folder: str, incoming: dict[int, int], current: Live) -> Live:
         """Add a folder of bucketed rows whose keys replace the same keys in the buckets.
 
-        Only buckets that hold such a key are rewritten, and of those only the rows that survive; the
-        folder itself becomes part of the table. A bucket that gets new keys only is extended.
+        Only folders of a bucket that hold such a key are rewritten, and of those only the rows that
+        survive; the new folder itself becomes part of the table. With new keys only, nothing is.
         """
         live = dict(current)
         occupied = [b for b in incoming if live.get(b)]
@@ -313,36 +330,39 @@ class BucketedTable:
             return self._insert_new(keys, live, occupied)
         if occupied:
             with self._bucketed(live, occupied) as base:
-                hits = base.select(*self.keys, BUCKET).join(keys, list(self.keys), "left_semi")
-                # At most one row per bucket.
-                hit = {r[BUCKET]: r["count"] for r in hits.groupBy(BUCKET).count().collect()}
-            rewritten = [b for b in occupied if hit.get(b) or len(live[b]) >= self.MAX_FOLDERS]
-            kept_folder = self._write_kept(live, rewritten, keys, hit)
-            for b in rewritten:
-                kept = sum(rows for _, rows in live[b]) - hit.get(b, 0)
-                live[b] = [(kept_folder, kept)] if kept else []
+                found = base.select(*self.keys, BUCKET, FOLDER).join(keys, list(self.keys), "left_semi")
+                # At most one row per bucket and folder.
+                hits = {(r[BUCKET], r[FOLDER]): r["count"] for r in found.groupBy(BUCKET, FOLDER).count().collect()}
+            rewrite: Live = {}
+            for b in occupied:
+                largest = max(live[b], key=lambda part: part[1])
+                crowded = len(live[b]) >= self.MAX_FOLDERS
+                parts = [p for p in live[b] if hits.get((b, p[0])) or (crowded and p != largest)]
+                if parts:
+                    rewrite[b] = parts
+            kept = {b: sum(rows - hits.get((b, f), 0) for f, rows in parts) for b, parts in rewrite.items()}
+            kept_folder = self._write_kept({b: rewrite[b] for b, rows in kept.items() if rows}, keys)
+            for b, parts in rewrite.items():
+                rest = [p for p in live[b] if p not in parts]
+                live[b] = [*rest, (kept_folder, kept[b])] if kept[b] else rest
         for b, rows in incoming.items():
             live[b] = [*live.get(b, []), (folder, rows)]
         return live
 
-    def _write_kept(self, live: Live, buckets: list[int], keys: DataFrame, hit: dict[int, int]) -> str:
-        """The rows of some buckets whose key is not in the delta, in a new folder."""
+    def _write_kept(self, parts: Live, keys: DataFrame) -> str:
+        """The rows of some folders whose key is not in the delta, in a new folder."""
         run = uuid.uuid4().hex
-        surviving = [b for b in buckets if sum(rows for _, rows in live[b]) > hit.get(b, 0)]
-        if surviving:
-            with self._bucketed(live, surviving) as base:
-                kept = base.join(keys, list(self.keys), "left_anti").withColumn(BATCH, F.lit(0))
+        if parts:
+            with self._bucketed(parts, parts) as base:
+                kept = base.drop(FOLDER).join(keys, list(self.keys), "left_anti").withColumn(BATCH, F.lit(0))
                 write_bucketed(kept, f"{self.path}/{run}", self.keys, self.buckets)
         return f"{run}/{BATCH}=0"
 
     def _insert_new(self, keys: DataFrame, live: Live, occupied: list[int]) -> Live:
         """A table of key columns only has nothing to overwrite: add the keys it does not hold."""
-        run = uuid.uuid4().hex
+        folder = f"{uuid.uuid4().hex}/{BATCH}=0"
         with self._bucketed(live, occupied) as base:
-            new = keys.join(base.select(*self.keys), list(self.keys), "left_anti")
-            placed = new.withColumn(BATCH, F.lit(0)).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-            write_bucketed(placed, f"{self.path}/{run}", self.keys, self.buckets)
-        folder = f"{run}/{BATCH}=0"
+            self._write_placed(keys.join(base.select(*self.keys), list(self.keys), "left_anti"), folder)
         for bucket, rows in self._written(folder).items():
             live[bucket] = [*live.get(bucket, []), (folder, rows)]
         return live

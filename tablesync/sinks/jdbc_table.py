@@ -129,7 +129,7 @@ class JdbcTable:
         def one(batch: int, final: bool) -> None:
             self._write_staging(staged.batch(batch).select(*columns))
             merge = merge_sql(self.spec, self.staging_name, columns, self.keys)
-            run_transaction(self._connect(), [merge])
+            run_transaction(self._connect(), [merge, f"DROP TABLE {self.staging_name}"])
 
         summary = run_batches(staged.batches, one, config, self.name)
         staged.discard()

@@ -55,6 +55,11 @@ def rowversion_relation(table: str, rowver_col: str) -> str:
     return f"(SELECT t.*, CONVERT(BIGINT, {rowver_col}) AS {ROWVER} FROM {table} t) q"
 
 
+def timestamp_literal(dialect: str, value: dt.datetime) -> str:
+    text = value.replace(tzinfo=None).isoformat(sep=" ")
+    return f"CAST('{text}' AS datetime2)" if dialect == "mssql" else f"TIMESTAMP '{text}'"
+
+
 def oracle_columns(df: DataFrame) -> DataFrame:
     """Oracle's rows as the target knows them: lower-case names, and whole numbers as bigint.
 
@@ -121,15 +126,17 @@ class JdbcSource(TableSource):
         rows = read_jdbc(self.session, self.options, **more)
         return oracle_columns(rows) if self.dialect == "oracle" else rows
 
-    def high_query(self, watermark_col: str) -> str:
-        return f"SELECT MAX({watermark_col}) AS high FROM {self.table}"
-
     def window(
         self, watermark_col: str, low: dt.datetime | None = None
     ) -> tuple[dt.datetime | None, int | None]:
-        """The source computes the maximum itself; the plain JDBC relation would send every row."""
-        top = self.query(self.high_query(watermark_col)).first()[0]
-        return (top.replace(tzinfo=None) if isinstance(top, dt.datetime) else top), None
+        """The source computes both itself; the plain JDBC relation would send every row."""
+        top = self.query(f"SELECT MAX({watermark_col}) AS high FROM {self.table}").first()[0]
+        if isinstance(top, dt.datetime):
+            top = top.replace(tzinfo=None)
+        if low is None:
+            return top, None
+        above = f"{watermark_col} > {timestamp_literal(self.dialect, low)}"
+        return top, int(self.query(f"SELECT COUNT(*) AS n FROM {self.table} WHERE {above}").first()[0])
 
     def by_rowversion(self, rowver_col: str, low: int | None = None) -> DataFrame:
         if self.dialect != "mssql":

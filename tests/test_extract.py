@@ -153,6 +153,8 @@ def test_jdbc_read_is_partitioned_and_the_maximum_is_asked_for(spark, monkeypatc
     def answers(more):
         if "MIN(id)" in more.get("query", ""):
             return spark.sql("SELECT 1 AS lo, 100 AS hi")
+        if "COUNT(" in more.get("query", ""):
+            return spark.sql("SELECT 2 AS n")
         if "MAX(" in more.get("query", ""):
             return spark.sql("SELECT TIMESTAMP_NTZ '2024-06-01 12:00:00' AS high")
         return people_frame(spark).toDF("ID", "NAME", "UPDATED_AT", "AMOUNT")
@@ -161,6 +163,10 @@ def test_jdbc_read_is_partitioned_and_the_maximum_is_asked_for(spark, monkeypatc
     monkeypatch.setattr(jdbc, "read_jdbc", fake)
     source = JdbcSource(spark, {"url": "u"}, "ventas", "oracle", "id", 8, "ID BIGINT")
     assert source.high("updated_at") == dt.datetime(2024, 6, 1, 12)
+    assert source.window("updated_at", dt.datetime(2024, 1, 1)) == (dt.datetime(2024, 6, 1, 12), 2)
+    assert fake.calls[-1]["query"] == (
+        "SELECT COUNT(*) AS n FROM ventas WHERE updated_at > TIMESTAMP '2024-01-01 00:00:00'"
+    )
     delta = source.by_timestamp("updated_at", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
     assert rows(delta, "id") == [(2,)]
     assert delta.columns == ["id", "name", "updated_at", "amount"]

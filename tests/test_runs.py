@@ -233,7 +233,7 @@ def test_job(spark, place):
     listed = json.dumps([{"table": "people", "watermark_col": "updated_at", "conflict_columns": ["id"]},
                          {"table": "gone", "watermark_col": "updated_at", "conflict_columns": ["id"]}])
     assert main(["--tables", listed, *folders]) == 1
-    assert AuditTable(spark, str(place / "audit")).read().count() == 2
+    assert AuditTable(spark, str(place / "audit")).read().count() == 3
     assert main(["--tables", "[]", *folders]) == 0
     with pytest.raises(SystemExit):
         main(["--table", "people", *folders])

@@ -99,10 +99,18 @@ def test_drop_touches_tables_only(spark, tmp_path):
     assert (tmp_path / "mine" / "file").exists()
 
 
-@pytest.mark.parametrize("share", [0.0, 0.7, 50.0])
-def test_random_batches_match_a_dictionary(spark, folder, monkeypatch, share):
+@pytest.fixture
+def join_limit(spark, request):
+    if request.param is not None:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("share, join_limit", [(0.0, "-1"), (0.7, None), (50.0, None)], indirect=["join_limit"])
+def test_random_batches_match_a_dictionary(spark, folder, monkeypatch, share, join_limit):
     """Replays, partial columns and repeated keys against the obvious model, with all changes going
-    to the buckets, some, and (but for the first load) none."""
+    to the buckets by sort-merge joins, some, and (but for the first load) none."""
     monkeypatch.setattr(BucketedTable, "RECENT_SHARE", share)
     rng = random.Random(5)
     spec = TargetSpec(
@@ -217,15 +225,46 @@ def test_only_buckets_with_changed_keys_are_rewritten(spark, folder, monkeypatch
     assert target.read().count() == 1000
 
 
-def test_folders_of_a_bucket_are_folded_together(spark, folder, monkeypatch):
+def test_small_folders_of_a_bucket_are_put_together(spark, folder, monkeypatch):
     monkeypatch.setattr(BucketedTable, "MAX_FOLDERS", 3)
+    monkeypatch.setattr(BucketedTable, "RECENT_SHARE", 0.0)
     target = table(spark, folder, "id bigint, v string", ["id"], buckets=2)
-    for step in range(7):
+    target.upsert(spark.range(100, 140).withColumn("v", F.lit("a")))
+    first = target.version().live
+    for step in range(5):
         target.upsert(spark.range(step * 20, step * 20 + 20).withColumn("v", F.lit("a")))
-        assert max(len(parts) for parts in target.version().live.values()) <= 3
+        live = target.version().live
+        assert max(len(parts) for parts in live.values()) <= 3
+    assert any(first[b][0] in live[b] for b in live)
     assert target.read().distinct().count() == 140 == target.version().bucket_rows
 
 
+def test_only_folders_with_changed_keys_are_rewritten(spark, folder, monkeypatch):
+    monkeypatch.setattr(BucketedTable, "RECENT_SHARE", 0.0)
+    target = table(spark, folder, "id bigint, v string", ["id"], buckets=2)
+    target.upsert(spark.range(100).withColumn("v", F.lit("a")))
+    first = target.version().live
+    target.upsert(spark.range(100, 150).withColumn("v", F.lit("a")))
+    target.upsert(spark.range(140, 160).withColumn("v", F.lit("b")))
+    live = target.version().live
+    assert all(first[b][0] in live[b] for b in live)
+    assert target.version().bucket_rows == 160
+    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 140, "b": 20}
+
+
+def test_compact_and_append_with_recent_changes(spark, folder):
+    target = table(spark, folder, "id bigint, v string", ["id"], buckets=2)
+    target.upsert(spark.range(100).withColumn("v", F.lit("a")))
+    target.upsert(spark.range(5).withColumn("v", F.lit("b")))
+    before = rows(target.read())
+    target.compact()
+    assert target.version().recent is None and target.version().bucket_rows == 100
+    assert rows(target.read()) == before
+    target.upsert(spark.range(5).withColumn("v", F.lit("c")))
+    target.append(spark.range(3).withColumn("v", F.lit("d")))
+    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 95, "c": 5, "d": 3}
+
+
 def test_shuffle_partitions_that_do_not_line_up(spark, folder):
     spark.conf.set("spark.sql.shuffle.partitions", "5")
     try:
