@@ -302,14 +302,12 @@ def val_type_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for name in ("orders", "customer", "lineitem"):
         rows = _read(spark, sf_dir, name)
-        total = rows.agg(F.count("*").alias("total"))
-        held = null_counts(rows, rows.columns).crossJoin(F.broadcast(total))
+        values = [
+            F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n_values")) for c in rows.columns
+        ]
+        held = rows.agg(F.array(*values).alias("held")).select(F.inline("held"))
         matrix = type_matrix(spark, {f.name: f.dataType for f in rows.schema}, TARGET_TYPES)
-        frames.append(
-            matrix.withColumnRenamed("spark_type", "column_name")
-            .join(held, "column_name")
-            .select("column_name", "pg_type", "compatible", (F.col("total") - F.col("nulls")).alias("n_values"))
-        )
+        frames.append(matrix.withColumnRenamed("spark_type", "column_name").join(held, "column_name"))
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 

@@ -27,7 +27,7 @@ from tablesync.functions.columns import with_defaults
 from tablesync.operators.merge import complete_delta, merge_frames
 from tablesync.sinks import versions
 from tablesync.sinks.report import LoadSummary, Mark, PartialLoadError, run_batches
-from tablesync.sinks.staging import BATCH, BUCKET, StagedDelta, bucket_of, stage_delta, write_bucketed
+from tablesync.sinks.staging import BATCH, BUCKET, CATALOG, StagedDelta, bucket_of, stage_delta, write_bucketed
 from tablesync.sinks.versions import Live, Version
 from tablesync.spec import SyncConfig, TargetSpec
 
@@ -141,12 +141,13 @@ class BucketedTable:
     @contextmanager
     def _bucketed(self, live: Live, wanted: Iterable[int]) -> Iterator[DataFrame]:
         """Some live buckets as a bucketed table, for the length of one action."""
-        name = f"tablesync_read_{uuid.uuid4().hex}"
+        name = f"{CATALOG}.tablesync_read_{uuid.uuid4().hex}"
+        path = self.path.replace("\\", "\\\\").replace("'", "\\'")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spec.struct())
         keys = ", ".join(f"`{k}`" for k in self.keys)
         parts = [
             f"PARTITION (`{FOLDER}`='{folder}', `{BUCKET}`={bucket}) "
-            f"LOCATION '{self.path}/{folder}/{BUCKET}={bucket}'"
+            f"LOCATION '{path}/{folder}/{BUCKET}={bucket}'"
             for bucket in sorted(wanted)
             for folder, _ in live[bucket]
         ]
@@ -154,7 +155,7 @@ class BucketedTable:
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}, `{FOLDER}` STRING, `{BUCKET}` INT) USING parquet "
                 f"PARTITIONED BY (`{FOLDER}`, `{BUCKET}`) CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS "
-                f"LOCATION '{self.path}'"
+                f"LOCATION '{path}'"
             )
             for start in range(0, len(parts), 1000):
                 self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(parts[start : start + 1000])}")

@@ -20,6 +20,8 @@ from tablesync.operators.fold import dedup_last
 from tablesync.spec import TargetSpec
 
 BATCH, BUCKET, ROWS = "__batch", "__bucket", "__rows"
+# Where tables live for the length of one action, whatever the session's current catalogue is.
+CATALOG = "spark_catalog.default"
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -34,7 +36,7 @@ def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int)
     dropping it leaves the files.
     """
     spark = df.sparkSession
-    table = f"tablesync_write_{path.rstrip('/').split('/')[-1].replace('-', '_')}"
+    table = f"{CATALOG}.tablesync_write_{path.rstrip('/').split('/')[-1].replace('-', '_')}"
     writer = df.write.format("parquet").mode("errorifexists").option("path", path)
     try:
         writer.partitionBy(BATCH, BUCKET).bucketBy(buckets, *keys).saveAsTable(table)

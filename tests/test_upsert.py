@@ -385,6 +385,13 @@ def test_schema_names_the_folder(spark, tmp_path):
     assert location.target(spark, "public", "people", ("id",)) is None
 
 
+def test_path_with_a_quote(spark, tmp_path):
+    target = table(spark, str(tmp_path / "o'brien"), "id bigint, v string", ["id"], buckets=2)
+    target.upsert(spark.range(4).withColumn("v", F.lit("a")))
+    target.upsert(spark.range(2, 6).withColumn("v", F.lit("b")))
+    assert target.read().count() == 6
+
+
 def test_no_tables_are_left_in_the_session(people, spark):
     people.upsert(people_frame(spark))
     people.upsert(people_frame(spark, [(1, "X", DAY, 0.0)]))
