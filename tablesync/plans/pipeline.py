@@ -40,7 +40,8 @@ def _sync(
         delta = source.by_timestamp(table.watermark_col, low, high)
         order = table.watermark_col
     else:
-        high, expected = None, None
+        high = None
+        expected = source.rows_by_rowversion(table.watermark_col, low)
         delta = source.by_rowversion(table.watermark_col, low)
         order = ROWVER
 
@@ -48,7 +49,8 @@ def _sync(
         spec = target.spec if target is not None else None
         ValidationResult.of(schema_issues(spark, delta.schema, spec, table.target)).check()
     result = RunResult(table.table, table.target, table.mode)
-    if table.mode == "timestamp" and _nothing_new(high, low):
+    idle = _nothing_new(high, low) if table.mode == "timestamp" else expected == 0
+    if idle:
         mark = replace(stored, last_value=high) if high is not None else stored
         target.record(table.table, mark)
         summary = LoadSummary()

@@ -243,7 +243,10 @@ class BucketedTable:
         return summary
 
     def append(self, df: DataFrame) -> None:
-        """Add rows without looking at keys."""
+        """Add rows without looking at keys.
+
+        Keys may repeat here, so a bucket can be large: adaptive execution splits it over tasks.
+        """
         path = f"{self.path}/{uuid.uuid4().hex}"
         struct = self.spec.struct()
         rows = with_defaults(df.select(*[c for c in self.spec.names if c in df.columns]), self.spec).select(
@@ -251,7 +254,7 @@ class BucketedTable:
             F.lit(0).alias(BATCH),
             bucket_of(self.keys, self.buckets).alias(BUCKET),
         )
-        write_bucketed(rows.repartition(self.buckets, *self.keys), path, self.keys, self.buckets)
+        write_bucketed(rows.hint("rebalance", BUCKET), path, self.keys, self.buckets)
         version = self._without_recent(self.version())
         live = dict(version.live)
         folder = f"{path.split('/')[-1]}/{BATCH}=0"

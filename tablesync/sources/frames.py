@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync import files
 from tablesync.functions.columns import ROWVER, with_rowversion
@@ -49,9 +50,18 @@ class TableSource:
 
     def by_rowversion(self, rowver_col: str, low: int | None = None) -> DataFrame:
         """All columns plus ``__rowver``, above ``low``."""
-        rows = with_rowversion(self.frame, rowver_col)
+        frame = self.frame
+        if low is not None and low >= 0 and isinstance(frame.schema[rowver_col].dataType, T.BinaryType):
+            # Row versions have 8 bytes, so their byte order is the order of the numbers from 0 on. This
+            # comparison reaches the scan; the exact one below drops the negative numbers again.
+            frame = frame.filter(F.col(rowver_col) > F.lit(bytearray(low.to_bytes(8, "big"))))
+        rows = with_rowversion(frame, rowver_col)
         return rows if low is None else rows.filter(F.col(ROWVER) > F.lit(low))
 
+    def rows_by_rowversion(self, rowver_col: str, low: int | None = None) -> int | None:
+        """How many rows lie above ``low``; not counted for a full load."""
+        return None if low is None else self.by_rowversion(rowver_col, low).count()
+
 
 @dataclass(frozen=True)
 class FileLocation:

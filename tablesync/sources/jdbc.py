@@ -47,12 +47,20 @@ def read_jdbc(spark: SparkSession, options: Mapping[str, str], **more: str) -> D
     return spark.read.format("jdbc").options(**{**options, **more}).load()
 
 
-def rowversion_relation(table: str, rowver_col: str) -> str:
-    """A relation that adds ``__rowver``, converted by the source.
+def rowversion_above(rowver_col: str, low: int) -> str:
+    """A condition the source can answer from an index on the row version."""
+    return f"{rowver_col} > CONVERT(BINARY(8), CAST({int(low)} AS BIGINT))"
 
-    Spark then sends ``WHERE __rowver > n`` to the source; it could not push its own conversion.
-    """
-    return f"(SELECT t.*, CONVERT(BIGINT, {rowver_col}) AS {ROWVER} FROM {table} t) q"
+
+def rowversion_relation(table: str, rowver_col: str, low: int | None = None) -> str:
+    """A relation that adds ``__rowver``, converted and filtered by the source."""
+    number = f"CONVERT(BIGINT, {rowver_col})"
+    above = ""
+    if low is not None:
+        above = f" WHERE {number} > {int(low)}"
+        if low >= 0:
+            above += f" AND {rowversion_above(rowver_col, low)}"
+    return f"(SELECT t.*, {number} AS {ROWVER} FROM {table} t{above}) q"
 
 
 def timestamp_literal(dialect: str, value: dt.datetime) -> str:
@@ -141,8 +149,13 @@ class JdbcSource(TableSource):
     def by_rowversion(self, rowver_col: str, low: int | None = None) -> DataFrame:
         if self.dialect != "mssql":
             return super().by_rowversion(rowver_col, low)
-        rows = self._read(rowversion_relation(self.table, rowver_col))
-        return rows if low is None else rows.filter(f"{ROWVER} > {int(low)}")
+        return self._read(rowversion_relation(self.table, rowver_col, low))
+
+    def rows_by_rowversion(self, rowver_col: str, low: int | None = None) -> int | None:
+        if low is None or self.dialect != "mssql":
+            return None
+        relation = rowversion_relation(self.table, rowver_col, low)
+        return int(self.query(f"SELECT COUNT(*) AS n FROM {relation}").first()[0])
 
 
 @dataclass(frozen=True)

@@ -82,6 +82,26 @@ def test_rowversion_mode_keeps_the_raw_column(spark):
     assert rows(TableSource(df).by_rowversion("rv", 1001), "id", "__rowver") == [(2, 1002)]
 
 
+def versions_of(spark, *numbers):
+    raw = [(n, bytes((n % 2**64).to_bytes(8, "big"))) for n in numbers]
+    return local_frame(spark, raw, "n bigint, rv binary")
+
+
+@pytest.mark.parametrize("low", [-6, -1, 0, 255, 256, 2**40])
+def test_rowversion_filter_is_signed(spark, low):
+    numbers = [-(2**63), -5, -1, 0, 1, 255, 256, 257, 2**40, 2**40 + 1, 2**63 - 1]
+    source = TableSource(versions_of(spark, *numbers))
+    assert [r[0] for r in rows(source.by_rowversion("rv", low), "n")] == [n for n in numbers if n > low]
+    assert source.rows_by_rowversion("rv", low) == sum(n > low for n in numbers)
+
+
+def test_rowversion_filter_reaches_the_scan(spark, folder):
+    versions_of(spark, 1, 2, 3).write.parquet(folder)
+    df = TableSource(spark.read.parquet(folder)).by_rowversion("rv", 2)
+    assert rows(df, "n") == [(3,)]
+    assert "GreaterThan(rv," in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_integer_rowversion_is_taken_as_it_is(spark):
     assert with_rowversion(spark.range(3), "id").schema["__rowver"].dataType.simpleString() == "bigint"
 
@@ -176,14 +196,21 @@ def test_jdbc_read_is_partitioned_and_the_maximum_is_asked_for(spark, monkeypatc
     }
 
 
-def test_mssql_converts_the_rowversion_itself(spark, monkeypatch):
-    fake = FakeReads(lambda more: spark.sql("SELECT 1 AS id, 1001L AS __rowver UNION ALL SELECT 2, 1002L"))
+def test_mssql_converts_and_filters_the_rowversion_itself(spark, monkeypatch):
+    fake = FakeReads(lambda more: spark.sql("SELECT 2 AS id, 1002L AS __rowver"))
     monkeypatch.setattr(jdbc, "read_jdbc", fake)
     source = JdbcSource(spark, {"url": "u"}, "accounts", "mssql")
     assert rows(source.by_rowversion("rowver", 1001), "id") == [(2,)]
     assert fake.calls[-1]["dbtable"] == (
-        "(SELECT t.*, CONVERT(BIGINT, rowver) AS __rowver FROM accounts t) q"
+        "(SELECT t.*, CONVERT(BIGINT, rowver) AS __rowver FROM accounts t WHERE CONVERT(BIGINT, rowver) > 1001 "
+        "AND rowver > CONVERT(BINARY(8), CAST(1001 AS BIGINT))) q"
     )
+    source.by_rowversion("rowver")
+    assert fake.calls[-1]["dbtable"] == "(SELECT t.*, CONVERT(BIGINT, rowver) AS __rowver FROM accounts t) q"
+    source.by_rowversion("rowver", -3)
+    assert fake.calls[-1]["dbtable"].endswith("WHERE CONVERT(BIGINT, rowver) > -3) q")
+    assert source.rows_by_rowversion("rowver") is None and source.rows_by_rowversion("rowver", 5) == 2
+    assert fake.calls[-1]["query"].startswith("SELECT COUNT(*) AS n FROM (SELECT")
 
 
 def test_options_carry_fetch_size_and_zone_free_timestamps():

@@ -409,6 +409,19 @@ def test_append_and_append_if_empty(people, spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_append_splits_a_hot_bucket(spark, folder):
+    """All rows on one key: the bucket is written by several tasks, into files of the same bucket."""
+    target = table(spark, folder, "k bigint, v string", ["k"], buckets=4)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1048576")
+    try:
+        hot = spark.range(0, 400_000, 1, 8).select(F.lit(7).cast("bigint").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        target.append(hot)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert target.read().count() == 400_000 == target.version().bucket_rows
+    assert target.read().select("_metadata.file_name").distinct().count() > 1
+
+
 def test_bucket_count_grows_with_the_data(spark, folder):
     spark.range(1000).write.parquet(folder)
     assert suggest_buckets(spark, folder) == 8
