@@ -74,8 +74,8 @@ class BucketedTable:
     ) -> BucketedTable:
         """Create the table if it is missing; an existing one is opened unchanged.
 
-        Key columns reject NULL. The bucket count is fixed here. It defaults to the shuffle partitions; at scale, size it so
-        that a bucket is some gigabytes.
+        Key columns reject NULL. The bucket count is fixed here. It defaults to the shuffle partitions;
+        at scale, size it so that a bucket is some gigabytes (:func:`suggest_buckets`).
         """
         if recreate:
             cls.drop(spark, path)

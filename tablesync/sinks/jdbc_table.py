@@ -13,7 +13,7 @@ from tablesync.sinks.staging import StagedDelta, stage_delta
 from tablesync.sinks.watermark import WatermarkStore
 from tablesync.sources.catalog import read_catalog
 from tablesync.sources.jdbc import read_jdbc
-from tablesync.spec import SyncConfig, TargetSpec
+from tablesync.spec import ColumnSpec, SyncConfig, TargetSpec
 
 
 def merge_sql(spec: TargetSpec, staging: str, columns: Sequence[str], keys: Sequence[str]) -> str:
@@ -34,6 +34,21 @@ def merge_sql(spec: TargetSpec, staging: str, columns: Sequence[str], keys: Sequ
     )
 
 
+def create_sql(spec: TargetSpec, keys: Sequence[str], recreate: bool = False) -> list[str]:
+    """Statements that make the target table: if it is missing, or anew."""
+
+    def column(c: ColumnSpec) -> str:
+        needed = " NOT NULL" if not c.nullable or c.name in keys else ""
+        default = f" DEFAULT {c.default}" if c.default is not None else ""
+        return f'"{c.name}" {c.data_type}{needed}{default}'
+
+    name = f"{spec.schema}.{spec.table}"
+    primary = ", ".join(f'"{k}"' for k in keys)
+    listed = ", ".join([*map(column, spec.columns), f"PRIMARY KEY ({primary})"])
+    drop = [f"DROP TABLE IF EXISTS {name} CASCADE"] if recreate else []
+    return [*drop, f"CREATE TABLE IF NOT EXISTS {name} ({listed})"]
+
+
 def run_transaction(connection: Any, statements: Sequence[str]) -> None:
     """All statements or none, on a JDBC connection."""
     try:
@@ -89,6 +104,10 @@ class JdbcTable:
         store = WatermarkStore(spark, watermark_path) if watermark_path else None
         return cls(spark, options, spec, keys, store, connections)
 
+    def create(self, recreate: bool = False) -> None:
+        """Make the table if it is missing, or drop it and make it anew."""
+        run_transaction(self._connect(), create_sql(self.spec, self.keys, recreate))
+
     @property
     def name(self) -> str:
         return f"{self.spec.schema}.{self.spec.table}"

@@ -10,7 +10,7 @@ from tablesync.frames import local_frame
 from tablesync.operators import dedup_last, merge_frames
 from tablesync.sinks import BucketedTable, JdbcTable, Mark, PartialLoadError, append_rows, merge_sql, suggest_buckets
 from tablesync.sinks import bucketed
-from tablesync.sinks.jdbc_table import run_transaction
+from tablesync.sinks.jdbc_table import create_sql, run_transaction
 from tablesync.sinks.report import with_retry
 from tablesync.sources import FileLocation
 from tablesync.spec import ColumnSpec, SyncConfig, TargetSpec
@@ -510,6 +510,21 @@ def test_merge_statement():
     assert merge_sql(spec, "s", ["id"], ["id"]).endswith('ON CONFLICT ("id") DO NOTHING')
 
 
+def test_create_statements(spark):
+    spec = TargetSpec(
+        "t", (ColumnSpec("id", "integer"), ColumnSpec("n", "smallint", default="1"), ColumnSpec("p", "numeric(12,2)", False)), "mart"
+    )
+    create = (
+        'CREATE TABLE IF NOT EXISTS mart.t ("id" integer NOT NULL, "n" smallint DEFAULT 1, '
+        '"p" numeric(12,2) NOT NULL, PRIMARY KEY ("id"))'
+    )
+    assert create_sql(spec, ["id"]) == [create]
+    assert create_sql(spec, ["id"], recreate=True) == ["DROP TABLE IF EXISTS mart.t CASCADE", create]
+    connection = FakeConnection()
+    JdbcTable(spark, {}, spec, ["id"], connect=lambda: connection).create(recreate=True)
+    assert connection.log.count("execute") == 2 and "commit" in connection.log
+
+
 class FakeConnection:
     def __init__(self, fails=False):
         self.log, self.fails = [], fails
