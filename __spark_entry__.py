@@ -598,7 +598,7 @@ WITH c AS (
   UNION ALL SELECT 'o_totalprice', count(*) - count(o_totalprice) FROM orders
   UNION ALL SELECT 'o_orderdate', count(*) - count(o_orderdate) FROM orders
   UNION ALL SELECT 'o_orderpriority', count(*) - count(o_orderpriority) FROM orders)
-SELECT i.column_name, CAST(i.ordinal_position AS BIGINT) AS ordinal_position,
+SELECT DISTINCT i.column_name, CAST(i.ordinal_position AS BIGINT) AS ordinal_position,
        i.is_nullable = 'YES' AS is_nullable, c.nulls
 FROM information_schema.columns i JOIN c ON i.column_name = c.column_name WHERE i.table_name = 'orders'
 -- name: prj_generated_total

@@ -293,12 +293,14 @@ class BucketedTable:
     def _merge(self, staged: StagedDelta, batch: int, version: Version) -> Version:
         """Write what one batch changes and return the version that holds it."""
         incoming = staged.counts[batch]
+        folder = staged.batch_path(batch)[len(self.path) + 1 :]
         changed = version.recent_rows + sum(incoming.values())
         if changed <= self._recent_limit(version):
+            if version.recent is None and not staged.absent and not staged.bucketed:
+                return version.with_recent(folder, changed)
             folder = self._combine(staged, batch, version, bucketed=False)
             rows = self.spark.read.schema(self.spec.struct()).parquet(f"{self.path}/{folder}").count()
             return version.with_recent(folder, rows)
-        folder = staged.batch_path(batch)[len(self.path) + 1 :]
         if version.recent or not staged.bucketed or (staged.absent and any(version.live.get(b) for b in incoming)):
             folder = self._combine(staged, batch, version, bucketed=True)
             incoming = self._written(folder)

@@ -56,6 +56,13 @@ def test_zoned_watermark_loses_its_zone_and_keeps_the_session_clock(spark):
     assert spark.range(1).select(literal.cast("string")).first()[0] == "2024-01-01 00:00:00"
 
 
+def test_date_watermark(spark):
+    df = spark.sql("SELECT DATE '2024-01-01' AS w UNION ALL SELECT DATE '2024-01-02'")
+    assert TableSource(df).window("w") == (dt.datetime(2024, 1, 2), 2)
+    assert TableSource(df).window("w", dt.datetime(2024, 1, 1)) == (dt.datetime(2024, 1, 2), 1)
+    assert incremental(df, "w", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)).count() == 1
+
+
 def test_high_watermark_of_nothing_is_null(spark):
     df = people_frame(spark).filter("id > 9")
     assert high_watermark(df, "updated_at").first()["high"] is None

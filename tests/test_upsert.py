@@ -205,6 +205,19 @@ def test_recent_changes_hide_older_rows_without_a_shuffle(spark, folder):
     assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 990, "b": 20}
 
 
+def test_expected_small_deltas(spark, folder):
+    """The first is taken over as it was staged, the next is merged with it."""
+    target = table(spark, folder, "id bigint, v string", ["id"], buckets=4)
+    target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
+    for ids, letter in ((range(5), "b"), (range(3, 8), "c")):
+        delta = spark.range(ids.start, ids.stop).withColumn("v", F.lit(letter))
+        staged = target.stage(delta, expected_rows=5)
+        assert not staged.bucketed
+        assert target.load(staged).total_rows == 5
+        assert target.version().runs >= {staged.path.split("/")[-1]} or letter == "c"
+    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 992, "b": 3, "c": 5}
+
+
 def test_wrong_expectation_of_a_small_delta(spark, folder):
     target = table(spark, folder, "id bigint, v string", ["id"], buckets=4)
     target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
