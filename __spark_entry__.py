@@ -36,6 +36,15 @@ from tablesync.sources import TableSource
 from tablesync.spec import ColumnSpec, SyncConfig, TableConfig, TargetSpec
 from tablesync.streaming import sync_available_now
 
+try:
+    import corpus_pipeline
+    from tablesync.llm import registry
+except ImportError:  # the training-data operators are an optional part
+    TRAINING_DATA_QUERIES, TRAINING_DATA_SQL = {}, {}
+else:
+    TRAINING_DATA_QUERIES = {query.__name__: query for query in registry.QUERIES} | {"pipeline": corpus_pipeline.run}
+    TRAINING_DATA_SQL = registry.ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -758,10 +767,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: query for query in QUERIES}
+    return {query.__name__: query for query in QUERIES} | TRAINING_DATA_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     blocks = ORACLE.split("-- name: ")[1:]
     named = (block.split("\n", 1) for block in blocks)
-    return {name.strip(): sql.strip() for name, sql in named}
+    return {name.strip(): sql.strip() for name, sql in named} | TRAINING_DATA_SQL
