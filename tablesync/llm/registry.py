@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.llm.mixing import mix_sources
+from tablesync.llm.packing import pack_documents
 from tablesync.llm.sharding import shard_by_bytes
+from tablesync.llm.tokens import prefix_token_counts
+
+SEQUENCE_LENGTH = 4096
+CONTEXT_TOKENS = 1024
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +29,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_epochs=3)
 
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op5_sharding, op6_mixing)
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_LENGTH)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counts = prefix_token_counts(_table(spark, sf_dir, "documents"), path, [CONTEXT_TOKENS], keep_steps=False)
+    return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
+
+
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op5_sharding,
+    op6_mixing,
+    op7_packing,
+    op10_token_counts,
+)
 
 ORACLE: dict[str, str] = {}
