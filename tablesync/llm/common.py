@@ -63,7 +63,7 @@ def _arrow(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    return to_arrow_schema(_parse_datatype_string(schema), timezone="UTC")
+    return to_arrow_schema(_parse_datatype_string(schema))
 
 
 def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
