@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.mixing import mix_sources
 from tablesync.llm.packing import pack_documents
 from tablesync.llm.sharding import shard_by_bytes
+from tablesync.llm.simhash import near_duplicates
 from tablesync.llm.tokens import prefix_token_counts
 
 SEQUENCE_LENGTH = 4096
@@ -21,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), max_bits=4, shingle_words=4)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(_table(spark, sf_dir, "documents"), shards=24)
 
@@ -40,6 +45,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op2_simhash,
     op5_sharding,
     op6_mixing,
     op7_packing,

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterable
 from functools import lru_cache
+from operator import sub
 
+import ahocorasick
 import numpy as np
-import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,77 +37,82 @@ class PrefixCounter(dict):
     positions, in one pass, and the count is that of the earlier position plus one.
     """
 
-    #: Distinct units kept per Python worker; a full cache starts anew, results do not change.
+    #: Distinct units kept per Python worker, twice; older ones go first, results do not change.
     LIMIT = 400_000
+    NONE = 1 << 40
 
     def __init__(self, path: str):
         super().__init__()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        printable = _byte_characters()
-        to_bytes = lambda token: bytes(printable[c] for c in token)
-        self.tokens = {to_bytes(token) for token in spec["model"]["vocab"]}
-        merges = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.ranks = {(to_bytes(a), to_bytes(b)): k for k, (a, b) in enumerate(merges)}
-        self.specials = [t["content"] for t in spec["added_tokens"]]
-        self.cut_specials = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
-        self.longest = max(map(len, self.tokens))
-        self.agree: dict[tuple[bytes, bytes], bool] = {}
-        self.whole: dict[bytes, bool] = {}
-
-    def encode(self, piece: bytes) -> list[bytes]:
-        """Plain byte-pair merging of one piece."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            ranked = [self.ranks.get(pair, 1 << 60) for pair in zip(parts, parts[1:], strict=False)]
-            best = min(ranked)
-            if best == 1 << 60:
-                break
-            merged, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and ranked[i] == best and (parts[i], parts[i + 1]) in self.ranks:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
-        return parts
-
-    def _agrees(self, before: bytes, token: bytes) -> bool:
-        known = self.agree.get((before, token))
-        if known is None:
-            if len(self.agree) > 2_000_000:
-                self.agree.clear()
-            known = self.agree[before, token] = self.encode(before + token) == [before, token]
-        return known
-
-    def _is_whole(self, token: bytes) -> bool:
-        known = self.whole.get(token)
-        if known is None:
-            known = self.whole[token] = self.encode(token) == [token]
-        return known
-
-    def counts(self, piece: bytes) -> list[int]:
-        """The token count of every byte prefix, the empty one first."""
-        counts, last, tokens = [0], [b""], self.tokens
-        for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = piece[start:end]
-                if token in tokens and (self._agrees(last[start], token) if start else self._is_whole(token)):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
-            else:  # no token of the vocabulary may end here: encode this prefix itself
-                parts = self.encode(piece[:end])
-                counts.append(len(parts))
-                last.append(parts[-1])
+        shown = _byte_characters()
+        to_bytes = lambda token: bytes(shown[c] for c in token)
+        self.names = sorted({to_bytes(token) for token in spec["model"]["vocab"]})
+        number = {token: k for k, token in enumerate(self.names)}
+        count = len(number)
+        #: How each token is made: rank of its merge (-1: a single byte) and its two parts.
+        self.rank, self.left, self.right = [-1] * count, [-1] * count, [-1] * count
+        self.merges: dict[int, int] = {}
+        for rank, merge in enumerate(spec["model"]["merges"]):
+            a, b = map(to_bytes, merge.split(" ") if isinstance(merge, str) else merge)
+            made = number[a + b]
+            self.merges[number[a] << 20 | number[b]] = rank
+            self.rank[made], self.left[made], self.right[made] = rank, number[a], number[b]
+        self.finder = ahocorasick.Automaton()
+        for token, k in number.items():
+            if len(token) == 1 or self.rank[k] >= 0:
+                self.finder.add_word(token.decode("latin-1"), (k, len(token)))
+        self.finder.make_automaton()
+        specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.cut_specials = re.compile("|".join(map(re.escape, specials))) if specials else None
+        self.agree: dict[int, bool] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _agrees(self, before: int, token: int) -> bool:
+        """Whether no merge crosses the border of two tokens.
+
+        The parts at the border grow as merges are applied by rank. Going back from the whole tokens, a merge of the two
+        parts there would cross if its rank comes before those that take the parts in; of equal merges the left one is first.
+        """
+        x, y, taken_x, taken_y = before, token, self.NONE, self.NONE
+        while True:
+            crossing = self.merges.get(x << 20 | y)
+            if crossing is not None and crossing < taken_x and crossing <= taken_y:
+                return False
+            made_x, made_y = self.rank[x], self.rank[y]
+            if made_x < 0 and made_y < 0:
+                return True
+            if made_x > made_y:
+                taken_x, x = made_x, self.right[x]
+            else:
+                taken_y, y = made_y, self.left[y]
+
+    def counts(self, piece: str) -> list[int]:
+        """The token count of every byte prefix, the empty one first; the bytes are given as Latin-1 characters."""
+        counts, last, agree = [0], [0], self.agree
+        for end, (token, size) in self.finder.iter(piece):  # by end, the longest first
+            if end < len(counts) - 1:
+                continue
+            start = end + 1 - size
+            if start:
+                key = last[start] << 20 | token
+                fits = agree.get(key)
+                if fits is None:
+                    if len(agree) > 1_000_000:
+                        agree.clear()
+                    fits = agree[key] = self._agrees(last[start], token)
+                if not fits:
+                    continue
+            counts.append(counts[start] + 1)
+            last.append(token)
+        if len(counts) != len(piece) + 1:
+            raise ValueError("the vocabulary lacks a byte")
         return counts
 
     def _at_characters(self, text: str) -> list[int]:
-        counts = self.counts(text.encode())
-        if len(counts) == len(text) + 1:
-            return counts
+        if text.isascii():
+            return self.counts(text)
+        counts = self.counts(text.encode().decode("latin-1"))
         at, places = 0, [0]
         for character in text:
             at += len(character.encode())
@@ -114,6 +121,8 @@ class PrefixCounter(dict):
 
     def unit_counts(self, unit: str) -> list[int]:
         """The token count of every prefix of a unit, in code points, the empty one first."""
+        if unit.isalpha() or (unit[0] == " " and unit[1:].isalpha()):
+            return self._at_characters(unit)
         body = unit.lstrip(_WHITE_CHARACTERS)
         blank = len(unit) - len(body)
         counts = self._at_characters(unit[:blank])
@@ -131,8 +140,13 @@ class PrefixCounter(dict):
 
     def __missing__(self, unit: str) -> bytes:
         if len(self) >= self.LIMIT:
+            self.older = dict(self)
             self.clear()
-        steps = self[unit] = np.diff(self.unit_counts(unit)).astype("<i2").tobytes()
+        steps = self.older.get(unit)
+        if steps is None:
+            counts = self.unit_counts(unit)
+            steps = np.diff(counts).astype("<i2").tobytes() if len(counts) > 40 else _STEPS[len(counts)](*map(sub, counts[1:], counts))
+        self[unit] = steps
         return steps
 
     def steps(self, text: str) -> np.ndarray:
@@ -154,6 +168,7 @@ class PrefixCounter(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, UNIT.findall(text))), "<i2")
 
 
+_STEPS = [struct.Struct(f"<{max(0, n - 1)}h").pack for n in range(41)]
 _WHITE_CHARACTERS = "".join(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)))
 
 
