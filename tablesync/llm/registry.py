@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.mixing import mix_sources
 from tablesync.llm.packing import pack_documents
+from tablesync.llm.quality import judge_documents
 from tablesync.llm.sharding import shard_by_bytes
 from tablesync.llm.simhash import near_duplicates
+from tablesync.llm.substrings import dedup_substrings
 from tablesync.llm.tokens import prefix_token_counts
 
 SEQUENCE_LENGTH = 4096
@@ -26,6 +28,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), max_bits=4, shingle_words=4)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_table(spark, sf_dir, "documents"), window=13)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(_table(spark, sf_dir, "documents"), shards=24)
 
@@ -38,6 +44,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_LENGTH)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     counts = prefix_token_counts(_table(spark, sf_dir, "documents"), path, [CONTEXT_TOKENS], keep_steps=False)
@@ -46,9 +56,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op2_simhash,
+    op4_substrings,
     op5_sharding,
     op6_mixing,
     op7_packing,
+    op8_quality,
     op10_token_counts,
 )
 
