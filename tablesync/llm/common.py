@@ -84,6 +84,13 @@ def mixed(values: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
+def byte_characters() -> dict[str, int]:
+    """Byte-level vocabularies write printable bytes as themselves and the others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

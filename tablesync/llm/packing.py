@@ -2,43 +2,70 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import encoded, map_batches, partitions, running_total, stored
+from tablesync.llm.common import byte_characters, encoded, map_batches, partitions, running_total, stored
 
 Pattern = tuple[int, ...]
 
 
+# Fixed value: how the tokenizer splits lower-case text without white space.
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Visible characters that are composed already and whose lower case is in the same range.
+PLAIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u00ff]+")
+
+
 class WordIds(dict):
-    """The ids of words as little-endian bytes, by a tokenizer that drops white space.
+    """The ids of words as little-endian bytes, by a word-end BPE that lower-cases and drops white space.
 
-    Such a tokenizer never looks across white space, so a text's ids are those of its words in turn.
+    Such a tokenizer never looks across white space, so a text's ids are those of its words in turn. The pieces of a plain word
+    go to the BPE model itself, once per distinct piece; any other word goes through the whole tokenizer.
     """
 
-    #: Distinct words kept per Python worker; a full cache starts anew, results do not change.
-    LIMIT = 500_000
+    #: Distinct words kept per Python worker, twice; older ones go first, results do not change.
+    LIMIT = 300_000
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.LIMIT:
+        self.model = self.tokenizer.model
+        self.older: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.shown = {b: c for c, b in byte_characters().items()}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.LIMIT:
+            self.older = dict(self)
             self.clear()
-            new = list(words)
-        for begin in range(0, len(new), 10_000):
-            some = new[begin : begin + 10_000]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self[word] = np.array(found.ids, "<u4").tobytes()
+        found = self.older.get(word)
+        if found is None:
+            text = word.decode()
+            if PLAIN.fullmatch(text) and "<|" not in text:
+                found = b"".join(map(self._piece, PIECE.findall(text.lower())))
+            else:
+                found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = found
+        return found
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            if len(self.pieces) >= self.LIMIT:
+                self.pieces.clear()
+            shown = piece.encode().decode("latin-1").translate(self.shown)
+            found = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+            self.pieces[piece] = found
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -55,21 +82,17 @@ def token_pieces(
     def cut(columns: dict) -> dict:
         known, end = word_ids(tokenizer), np.array([end_id], "<u4").tobytes()
         out: dict[str, list] = {name.split()[0]: [] for name in schema.split(", ")}
-        ids, texts = columns["id"].to_pylist(), encoded(columns["text"])
-        split = [text.split() for text in texts]
-        for begin in range(0, len(split), 256):
-            known.learn(set().union(*split[begin : begin + 256]))
-            for doc, words in zip(ids[begin : begin + 256], split[begin : begin + 256], strict=True):
-                data = b"".join(map(known.__getitem__, words)) + end
-                for piece, at in enumerate(range(0, len(data), 4 * length)):
-                    part = data[at : at + 4 * length]
-                    out["id"].append(doc)
-                    out["piece"].append(piece)
-                    out["start"].append(at // 4)
-                    out["length"].append(len(part) // 4)
-                    out["ids_crc32"].append(zlib.crc32(part))
-                    if with_ids:
-                        out["ids"].append(part)
+        for doc, text in zip(columns["id"].to_pylist(), encoded(columns["text"]), strict=True):
+            data = b"".join(map(known.__getitem__, text.split())) + end
+            for piece, at in enumerate(range(0, len(data), 4 * length)):
+                part = data[at : at + 4 * length]
+                out["id"].append(doc)
+                out["piece"].append(piece)
+                out["start"].append(at // 4)
+                out["length"].append(len(part) // 4)
+                out["ids_crc32"].append(zlib.crc32(part))
+                if with_ids:
+                    out["ids"].append(part)
         return out
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -115,6 +138,13 @@ def _pair(there: np.ndarray, total: int) -> Pattern | None:
     return (total - int(small[found]), int(small[found])) if len(ok) and ok[found] else None
 
 
+def _pair_sums(there: np.ndarray) -> np.ndarray:
+    """The sums that two available lengths have, as an index by sum (a convolution of what is there with itself)."""
+    size = 2 * len(there)
+    spectrum = np.fft.rfft((there > 0).astype(float), size)
+    return np.fft.irfft(spectrum * spectrum, size)[: len(there)] > 0.5
+
+
 def _complement(there: np.ndarray, size: int, gap: int) -> Pattern | None:
     there[size] -= 1  # the piece whose gap is filled
     try:
@@ -123,9 +153,10 @@ def _complement(there: np.ndarray, size: int, gap: int) -> Pattern | None:
         pair = _pair(there, gap)
         if pair is not None:
             return pair
-        for third in (np.flatnonzero(there[1:gap]) + 1)[::-1].tolist():
+        thirds = np.arange(1, gap)
+        for third in thirds[(there[1:gap] > 0) & _pair_sums(there)[gap - thirds]][::-1].tolist():
             there[third] -= 1
-            pair = _pair(there, gap - third) if gap - third >= 2 else None
+            pair = _pair(there, gap - third)
             there[third] += 1
             if pair is not None:
                 return (third, *pair)

@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import map_batches
+from tablesync.llm.common import byte_characters, map_batches
 
 # The split rule of byte-level tokenizers and the characters it takes as white space.
 SPLIT = regex.compile(
@@ -45,7 +45,7 @@ class PrefixCounter(dict):
         super().__init__()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        shown = _byte_characters()
+        shown = byte_characters()
         to_bytes = lambda token: bytes(shown[c] for c in token)
         self.names = sorted({to_bytes(token) for token in spec["model"]["vocab"]})
         number = {token: k for k, token in enumerate(self.names)}
@@ -172,13 +172,6 @@ _STEPS = [struct.Struct(f"<{max(0, n - 1)}h").pack for n in range(41)]
 _WHITE_CHARACTERS = "".join(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)))
 
 
-def _byte_characters() -> dict[str, int]:
-    """Byte-level vocabularies write printable bytes as themselves and the others from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
-
-
 @lru_cache(maxsize=2)
 def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
