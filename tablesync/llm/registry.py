@@ -15,6 +15,7 @@ from tablesync.llm.sharding import shard_by_bytes
 from tablesync.llm.simhash import near_duplicates
 from tablesync.llm.substrings import dedup_substrings
 from tablesync.llm.tokens import prefix_token_counts
+from tablesync.llm.warc import archive_round_trip
 
 SEQUENCE_LENGTH = 4096
 CONTEXT_TOKENS = 1024
@@ -24,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(_table(spark, sf_dir, "pages"), min_payload_bytes=0)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), max_bits=4, shingle_words=4)
 
@@ -55,6 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op1_warc,
     op2_simhash,
     op4_substrings,
     op5_sharding,
