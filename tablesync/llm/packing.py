@@ -31,7 +31,7 @@ class WordIds(dict):
     """
 
     #: Distinct words kept per Python worker, twice; older ones go first, results do not change.
-    LIMIT = 300_000
+    LIMIT = 180_000
 
     def __init__(self, path: str):
         super().__init__()
