@@ -38,7 +38,7 @@ class PrefixCounter(dict):
     """
 
     #: Distinct units kept per Python worker, twice; older ones go first, results do not change.
-    LIMIT = 400_000
+    LIMIT = 200_000
     NONE = 1 << 40
 
     def __init__(self, path: str):
@@ -98,7 +98,7 @@ class PrefixCounter(dict):
                 key = last[start] << 20 | token
                 fits = agree.get(key)
                 if fits is None:
-                    if len(agree) > 1_000_000:
+                    if len(agree) > 400_000:
                         agree.clear()
                     fits = agree[key] = self._agrees(last[start], token)
                 if not fits:
