@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.llm.improbable import fingerprint_documents
 from tablesync.llm.mixing import mix_sources
 from tablesync.llm.packing import pack_documents
 from tablesync.llm.quality import judge_documents
@@ -33,6 +34,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), max_bits=4, shingle_words=4)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_table(spark, sf_dir, "documents"), window=13)
 
@@ -62,6 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_warc,
     op2_simhash,
+    op3_fingerprints,
     op4_substrings,
     op5_sharding,
     op6_mixing,
