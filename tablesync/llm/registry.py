@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.improbable import fingerprint_documents
 from tablesync.llm.mixing import mix_sources
 from tablesync.llm.packing import pack_documents
+from tablesync.llm.pseudo import pseudo_likelihood
 from tablesync.llm.quality import judge_documents
 from tablesync.llm.sharding import shard_by_bytes
 from tablesync.llm.simhash import near_duplicates
@@ -58,6 +59,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     counts = prefix_token_counts(_table(spark, sf_dir, "documents"), path, [CONTEXT_TOKENS], keep_steps=False)
@@ -73,6 +78,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op6_mixing,
     op7_packing,
     op8_quality,
+    op9_pseudo_likelihood,
     op10_token_counts,
 )
 
