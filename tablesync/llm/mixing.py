@@ -128,3 +128,10 @@ def mix_sources(
             *(["row"] if with_row else []),
         )
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The input rows as often as the mix takes them, documents whole. One that it does not take goes."""
+    taken = mix_sources(docs, cut_last=False, with_row=True, **options).where("taken > 0")
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), times))).select("row.*")

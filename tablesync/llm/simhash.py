@@ -286,3 +286,35 @@ def near_duplicates(
     return marked.join(of_class, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one_of_each(
+    docs: DataFrame, max_bits: int = 4, shingle_words: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The input rows without near-duplicates: of each group the document with the smallest id stays, of equal rows one.
+
+    A null id is greater than all others. All columns stay as they are.
+    """
+    digest = lambda: F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), digest().alias("digest"))
+
+    def marks(columns: dict) -> dict:
+        fps = fingerprints_of(encoded(columns["text"]), shingle_words).view(np.int64)
+        return {"id": columns["id"], "digest": columns["digest"], "fp": fps}
+
+    marked = stored(map_batches(keyed, marks, "id long, digest long, fp long"), "simhash")
+    roots = _rooted(marked.select("fp").distinct(), max_bits)
+    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "digest")
+    keepers = marked.join(roots, "fp").groupBy("root").agg(F.min(order).alias("least")).select("least.id", "least.digest")
+    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), digest().alias("digest"))
+    known = F.coalesce(F.col("id"), F.lit((1 << 63) - 1))
+    keepers = keepers.select(known.alias("key"), "digest")
+    kept = whole.withColumn("key", known).join(keepers, ["key", "digest"], "left_semi").dropDuplicates(["key", "digest"])
+    return kept.select("row.*")
+
+
+def _rooted(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fp`` and ``root`` of its component, for distinct fingerprints."""
+    fps = stored(fps, "simhash-classes")
+    roots = stored(components(links(fps, max_bits)), "simhash-roots")
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))

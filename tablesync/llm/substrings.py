@@ -284,3 +284,18 @@ def dedup_substrings(
         return out
 
     return map_batches(rows, finish, schema).withColumnRenamed("own_id", id_col)
+
+
+def without_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The input rows with repeated words cut out of the text and ``chars_col``, where it is there, brought up to date.
+
+    A document that loses all its words goes; one that loses none stays as it is.
+    """
+    cut = dedup_substrings(docs, window, id_col, text_col, with_rows=True).where("n_removed = 0 OR n_removed < n_words")
+    changed = F.col("kept_text").isNotNull()
+    new = {text_col: F.col("kept_text"), chars_col: F.length("kept_text")}
+    columns = []
+    for name, kind in docs.dtypes:
+        old = F.col("row")[name]
+        columns.append((F.when(changed, new[name].cast(kind)).otherwise(old) if name in new else old).alias(name))
+    return cut.select(*columns)
