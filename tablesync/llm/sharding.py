@@ -49,26 +49,21 @@ class EndLine:
 
     def learn(self, blocks: list[tuple[int, int, int]], spans: list[tuple[int, int]]) -> None:
         """Take in blocks (first end, last end, ends in it) that cover all ends within the spans."""
-        known, gaps = set(self.points), dict(self.gaps)
-        inner = {}
-        for first, last, count in blocks:
-            known.update((first, last))
-            if count > 2:
-                inner[first] = last
-        self.points = sorted(known)
-        old_starts = sorted(gaps)
-        self.gaps = {}
+        hidden = sorted((first, last) for first, last, count in blocks if count > 2)
+        known = set(self.points).union(*[(first, last) for first, last, _ in blocks])
+        before, self.points, self.gaps = sorted(self.gaps.items()), sorted(known), {}
         for start, end in zip(self.points, self.points[1:], strict=False):
-            if start in inner:
-                self.gaps[start] = end
-                continue
-            at = bisect_right(old_starts, start) - 1
-            open_before = at >= 0 and start < gaps[old_starts[at]]
-            covered = any(a <= start and end <= b for a, b in spans)
-            if open_before and not covered:
+            looked_at = _within(spans, start, end)
+            if _within(before, start, end) and (not looked_at or _within(hidden, start, end)):
                 self.gaps[start] = end
 
 
+def _within(ranges: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether one of some ascending, disjoint ranges holds this one."""
+    at = bisect_right(ranges, (start, float("inf"))) - 1
+    return at >= 0 and end <= ranges[at][1]
+
+
 def cut_places(ends: DataFrame, total: int, largest: int, shards: int) -> list[int]:
     """The greedy cuts at the smallest feasible capacity over all group ends.
 

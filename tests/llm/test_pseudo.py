@@ -1,0 +1,69 @@
+import numpy as np
+import pytest
+
+from tablesync.llm import pseudo
+from tablesync.llm.pseudo import Classes, Network, contexts, pseudo_likelihood, score_tokens, train_network
+
+
+def brute_force(network, tokens):
+    total = 0.0
+    for k, own in enumerate(tokens):
+        around = [tokens[k + o] if 0 <= k + o < len(tokens) else pseudo.PAD for o in pseudo.OFFSETS]
+        h = np.tanh(sum(network.embed[w] * network.weigh[j] for j, w in enumerate(around)))
+        a = h @ network.to_cluster + network.cluster_bias
+        b = h @ network.to_member[own // pseudo.MEMBERS] + network.member_bias[own // pseudo.MEMBERS]
+        total += a[own // pseudo.MEMBERS] - np.log(np.exp(a).sum()) + b[own % pseudo.MEMBERS] - np.log(np.exp(b).sum())
+    return total
+
+
+@pytest.fixture(scope="module")
+def language(spark):
+    """Sentences in which each word decides its neighbours; the last fifth is held out."""
+    r = np.random.default_rng(0)
+    chains = [[f"w{a}x{(7 * a + 3 * k) % 40}" for k in range(12)] for a in range(20)]
+    rows = [(i, " ".join(" ".join(chains[r.integers(20)]) for _ in range(25)), 0) for i in range(400)]
+    return rows, spark.createDataFrame(rows[:320], "doc_id long, text string, n int").repartition(3)
+
+
+def test_training_beats_counts_and_order_matters(language):
+    rows, docs = language
+    network, frequent = train_network(docs)
+    classes = Classes(frequent)
+    held = [classes.of(t.encode()) for _, t, _ in rows[320:]]
+    counts = np.bincount(np.concatenate([classes.of(t.encode()) for _, t, _ in rows[:320]]), minlength=pseudo.PAD + 1).astype(float)
+    r = np.random.default_rng(1)
+    scored = score_tokens(network, held).sum()
+    assert scored > score_tokens(Network.from_counts(counts, 5), held).sum() * 0.9
+    assert scored > score_tokens(network, [r.permutation(t) for t in held]).sum()
+
+
+def test_scores_against_brute_force(docs, corpus):
+    model = train_network(docs)
+    found = pseudo_likelihood(docs, model).collect()
+    classes = Classes(model[1])
+    want = {}
+    for i, text, _ in corpus:
+        tokens = classes.of((text or "").encode())
+        if len(tokens) < 400:
+            want[i, len(tokens)] = brute_force(model[0], tokens)
+    assert len(found) == len(corpus)
+    for r in found:
+        if (key := (r["doc_id"], r["n_tokens"])) in want:
+            assert r["log_likelihood"] == pytest.approx(want[key], rel=1e-4, abs=1e-3)
+            assert (r["mean_log_likelihood"] is None) == (r["n_tokens"] == 0)
+
+
+def test_same_input_same_network(docs):
+    a, b = train_network(docs), train_network(docs)
+    assert a[1] == b[1] and (a[0].flat() == b[0].flat()).all()
+
+
+def test_a_token_does_not_see_itself():
+    tokens = np.arange(10)
+    around = contexts(tokens, np.arange(10))
+    assert not (around == tokens[:, None]).any()
+    assert around[0].tolist() == [pseudo.PAD] * 3 + [1, 2, 3]
+
+
+def test_no_documents(no_docs):
+    assert pseudo_likelihood(no_docs).count() == 0

@@ -1,0 +1,51 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tablesync.llm.tokens import PrefixCounter, longest_prefix, prefix_token_counts, tokens_at
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_every_prefix_against_the_library(library):
+    counter, r = PrefixCounter(PATH), random.Random(1)
+    odd = list("abc  \n\t'srevlmtd019.!?é語ßÄ  \x1c\x85😀ا") + ["'re", "'ve", "'ll", "the ", " <|endoftext|>", "<|endof", "  ", "\r\n", "́"]
+    for _ in range(300):
+        text = "".join(r.choice(odd) for _ in range(r.randrange(26)))
+        counts = np.r_[0, np.cumsum(counter.steps(text))]
+        assert counts.tolist() == [library(text[:k]) for k in range(len(text) + 1)], repr(text)
+
+
+def test_documents_against_the_library(docs, corpus, library):
+    rows = prefix_token_counts(docs, PATH, [100]).withColumn("k", F.lit(37).cast("long"))
+    rows = rows.withColumn("at_k", tokens_at("prefix_steps", "k")).withColumn("cut", longest_prefix("prefix_steps", 100)).collect()
+    texts = {i: t or "" for i, t, _ in corpus}
+    want = [(i, len((t or "").encode()), library(t or "")) for i, t, _ in corpus]
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in rows), key=repr) == sorted(want, key=repr)
+    for r in rows:
+        text = texts[r["doc_id"]]
+        assert r["n_chars"] == len(text) and r["cut"] == r["chars_100"]
+        assert r["at_k"] == library(text[:37])
+        assert library(text[: r["cut"]]) <= 100
+        assert r["cut"] == len(text) or library(text[: r["cut"] + 1]) > 100
+
+
+def test_small_caches_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(PrefixCounter, "LIMIT", 3)
+    counter = PrefixCounter(PATH)
+    for text in ("a b c d e f a b c d", "don't we'll they're", ""):
+        assert int(counter.steps(text).sum()) == library(text)
+
+
+def test_no_documents(no_docs):
+    assert prefix_token_counts(no_docs, PATH).count() == 0
