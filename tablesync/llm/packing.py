@@ -50,7 +50,9 @@ class WordIds(dict):
         found = self.older.get(word)
         if found is None:
             text = word.decode()
-            if PLAIN.fullmatch(text) and "<|" not in text:
+            if text.isascii() and text.isalpha():
+                found = self._piece(text.lower())
+            elif PLAIN.fullmatch(text) and "<|" not in text:
                 found = b"".join(map(self._piece, PIECE.findall(text.lower())))
             else:
                 found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -62,8 +64,8 @@ class WordIds(dict):
         if found is None:
             if len(self.pieces) >= self.LIMIT:
                 self.pieces.clear()
-            shown = piece.encode().decode("latin-1").translate(self.shown)
-            found = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
+            found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
             self.pieces[piece] = found
         return found
 
