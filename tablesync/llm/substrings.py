@@ -4,41 +4,88 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import arrow_schema, encoded, map_batches, mixed, partitions, record_batch, text_or_empty
+from tablesync.llm.common import SPACES, arrow_schema, encoded, map_batches, mixed, partitions, record_batch, stored, text_or_empty
 
 MER = 3  # words per minimiser candidate
 PARTS_PER_TASK, CELLS_PER_PART = 8, 16
 #: A cell with fewer windows is never worth another route.
 SMALL_CELL = 20_000
+#: Texts are hashed together up to CHUNK bytes and packed together up to PACKED bytes.
+CHUNK, PACKED = 1 << 19, 1 << 23
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-STEP = np.uint64(0x9E3779B97F4A7C15)
-PACK = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("text", pa.binary())])
+STEP = 0x9E3779B97F4A7C15
+PACK = pa.schema([("id", pa.int64()), ("digest", pa.int32()), ("start", pa.int32()), ("words", pa.int32()), ("text", pa.binary())])
+_WHITE = np.isin(np.arange(256), list(SPACES))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, in a cache of bounded size."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+    back = np.uint64(pow(STEP, -1, 1 << 64))
+    size = 1 << 16
+    return np.cumprod(np.r_[np.uint64(1), np.full(size, np.uint64(STEP))]), np.cumprod(np.r_[np.uint64(1), np.full(size, back)])
 
 
-@lru_cache(maxsize=1)
-def word_hashes() -> WordHashes:
-    return WordHashes()
+def _run_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of runs of values, the same wherever a run lies; runs are ascending and of any length."""
+    with np.errstate(over="ignore"):
+        forward, back = _powers()
+        size = len(forward) - 1
+        n = len(values)
+        tiles = -(-n // size) if n else 0
+        # Powers by block and within it, so that the tables stay small.
+        jump, unjump = np.uint64(pow(STEP, size, 1 << 64)), np.uint64(pow(pow(STEP, -1, 1 << 64), size, 1 << 64))
+        block, unblock = np.cumprod(np.r_[np.uint64(1), np.full(tiles, jump)]), np.cumprod(np.r_[np.uint64(1), np.full(tiles, unjump)])
+        weights = (forward[None, :size] * block[:tiles, None]).ravel()[:n]
+        sums = np.r_[np.uint64(0), np.cumsum(values * weights)]
+        return mixed((sums[ends] - sums[begins]) * (back[begins % size] * unblock[begins // size]))
+
+
+@dataclass
+class Words:
+    """The words of some texts: where they lie in ``data``, of which text they are, and their hashes."""
+
+    data: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    text: np.ndarray
+    hashes: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Words:
+        """White space becomes one space."""
+        data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+        white = _WHITE[data]
+        keep = np.r_[True, ~(white[1:] & white[:-1])]
+        places = np.cumsum(np.r_[0, np.fromiter(map(len, texts), np.int64, len(texts)) + 1])  # the break before each text
+        data = np.where(white, np.uint8(32), data)[keep]
+        white = white[keep]
+        begins = np.flatnonzero(white[:-1] & ~white[1:]) + 1
+        ends = np.flatnonzero(~white[:-1] & white[1:]) + 1
+        original = np.flatnonzero(keep)[begins]
+        text = np.searchsorted(places, original, side="right") - 1
+        return cls(data, begins, ends, text, _run_hashes(data.astype(np.uint64) + np.uint64(1), begins, ends))
+
+
+def _chunks(texts: list[bytes], limit: int) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts with the number of the first."""
+    first, held = 0, 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held >= limit:
+            yield first, texts[first : k + 1]
+            first, held = k + 1, 0
+    if first < len(texts):
+        yield first, texts[first:]
 
 
 def minimisers(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -46,7 +93,7 @@ def minimisers(hashes: np.ndarray, window: int) -> np.ndarray:
     if len(hashes) < window:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        mers = mixed(mixed(mixed(hashes[: -MER + 1]) + hashes[1 : -MER + 2]) * STEP + hashes[MER - 1 :])
+        mers = mixed(mixed(hashes[: -MER + 1] + np.uint64(STEP) * hashes[1 : -MER + 2]) + hashes[MER - 1 :])
     need, width = window - MER + 1, 1
     while 2 * width <= need:
         mers = np.minimum(mers[:-width], mers[width:])
@@ -54,18 +101,15 @@ def minimisers(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(mers[: len(mers) - (need - width)], mers[need - width :]) if need > width else mers
 
 
-def _cells(smallest: np.ndarray, cells: int) -> np.ndarray:
-    return ((smallest >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first words of all windows within one text, and their minimisers."""
+    smallest = minimisers(words.hashes, window)
+    at = np.flatnonzero(words.text[: len(smallest)] == words.text[window - 1 :]) if len(smallest) else np.zeros(0, np.int64)
+    return at, smallest[at]
 
 
-def _window_hashes(hashes: np.ndarray, window: int) -> np.ndarray:
-    """A hash of every run of ``window`` words: a polynomial in an odd number, so that it can be divided out again."""
-    n = len(hashes)
-    with np.errstate(over="ignore"):
-        powers = np.cumprod(np.r_[np.uint64(1), np.full(n, STEP)])
-        inverse = np.cumprod(np.r_[np.uint64(1), np.full(n, np.uint64(pow(int(STEP), -1, 1 << 64)))])
-        sums = np.r_[np.uint64(0), np.cumsum(mixed(hashes) * powers[:n])]
-        return mixed((sums[window:] - sums[:-window]) * inverse[: n - window + 1])
+def _cells(smallest: np.ndarray, cells: int) -> np.ndarray:
+    return ((smallest >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
 
 
 def covered_windows(ids: np.ndarray, counts: np.ndarray, texts: list[bytes], window: int) -> np.ndarray:
@@ -73,26 +117,28 @@ def covered_windows(ids: np.ndarray, counts: np.ndarray, texts: list[bytes], win
 
     ``counts`` are the words of each string. Windows are sorted by hash, and those of one hash are compared as text.
     """
-    joined = b" ".join(texts)
-    words = joined.split(b" ")
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(sizes + 1) - 1
-    begins = ends - sizes
-    first_word = np.cumsum(counts) - counts
-    windows = counts - window + 1
-    place = np.repeat(first_word - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
-    owner = np.repeat(ids, windows)
-    keys = _window_hashes(word_hashes().of(words), window)[place]
+    keys, begins, ends, joined, base = [], [], [], [], 0
+    for first, some in _chunks(texts, CHUNK):
+        words = Words.of(some)
+        n = counts[first : first + len(some)]
+        windows = n - window + 1
+        at = np.repeat(np.cumsum(n) - n - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+        keys.append(_window_hashes(words.hashes, at, window))
+        begins.append(words.begins[at] + base), ends.append(words.ends[at + window - 1] + base)
+        joined.append(words.data.tobytes())
+        base += len(words.data)
+    keys, begins, ends, data = np.concatenate(keys), np.concatenate(begins), np.concatenate(ends), b"".join(joined)
+    owner = np.repeat(ids, counts - window + 1)
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     new = np.r_[True, ranked[1:] != ranked[:-1]]
-    group = np.cumsum(new) - 1
-    shared = np.flatnonzero((np.bincount(group) > 1)[group])
-    result = np.zeros(len(place), bool)
+    result = np.zeros(len(keys), bool)
+    alone = new & np.r_[new[1:], True]
+    shared = np.flatnonzero(~alone)
     if not len(shared):
         return result
     at = order[shared]
-    texts_of = [joined[a:b] for a, b in zip(begins[place[at]].tolist(), ends[place[at] + window - 1].tolist(), strict=True)]
+    texts_of = [data[a:b] for a, b in zip(begins[at].tolist(), ends[at].tolist(), strict=True)]
     starts = np.flatnonzero(new[shared])
     same = np.fromiter((a == b for a, b in zip(texts_of, texts_of[1:], strict=False)), bool, len(texts_of) - 1)
     differ = ~np.r_[True, same]
@@ -108,6 +154,10 @@ def covered_windows(ids: np.ndarray, counts: np.ndarray, texts: list[bytes], win
     return result
 
 
+def _window_hashes(hashes: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    return _run_hashes(hashes, at, at + window)
+
+
 def _spans(flags: np.ndarray, windows: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of covered windows as (string, first word, word after the last)."""
     string = np.repeat(np.arange(len(windows)), windows)
@@ -121,7 +171,7 @@ def _spans(flags: np.ndarray, windows: np.ndarray, starts: np.ndarray, window: i
 def repeated_spans(keyed: DataFrame, window: int) -> DataFrame:
     """Spans of words covered by a window that also starts in a text with a smaller id.
 
-    ``keyed`` has id (long, not null), digest and text. Returns id, digest, span (first word in the
+    ``keyed`` has id (long, not null), digest (int) and text. Returns id, digest, span (first word in the
     upper, word after the last in the lower half).
 
     Consecutive windows with one minimiser travel as one string to the part of their minimiser, where a
@@ -134,11 +184,11 @@ def repeated_spans(keyed: DataFrame, window: int) -> DataFrame:
     parts = PARTS_PER_TASK * tasks
     cells = CELLS_PER_PART * parts
     hot = _hot_cells(keyed, window, cells, parts)
-    schema = "id long, digest long, span long"
+    schema = "id long, digest int, span long"
     target = arrow_schema(spark, schema)
 
     def solve(table: pa.Table) -> pa.Table:
-        packs = [pa.ipc.open_stream(blob.as_buffer()).read_all() for blob in table.column("pack")]
+        packs = [pa.ipc.open_stream(pa.py_buffer(blob.as_py())).read_all() for blob in table.column("pack")]
         every = pa.concat_tables(packs).combine_chunks()
         ids, digests, starts, counts = (every.column(n).to_numpy().astype(np.int64) for n in ("id", "digest", "start", "words"))
         flags = covered_windows(ids, counts, every.column("text").to_pylist(), window)
@@ -155,12 +205,9 @@ def repeated_spans(keyed: DataFrame, window: int) -> DataFrame:
 def _hot_cells(keyed: DataFrame, window: int, cells: int, parts: int) -> np.ndarray:
     def count(columns: dict) -> dict:
         found = np.zeros(cells, np.int64)
-        for text in encoded(columns["text"]):
-            smallest = minimisers(word_hashes().of(text.split()), window)
-            if len(smallest):
-                found += np.bincount(_cells(smallest, cells), minlength=cells) if len(smallest) * 4 > cells else 0
-                if len(smallest) * 4 <= cells:
-                    np.add.at(found, _cells(smallest, cells), 1)
+        for _, some in _chunks(encoded(columns["text"]), CHUNK):
+            _, smallest = _windows(Words.of(some), window)
+            found += np.bincount(_cells(smallest, cells), minlength=cells)
         at = np.flatnonzero(found)
         return {"cell": at, "n": found[at]}
 
@@ -171,64 +218,69 @@ def _hot_cells(keyed: DataFrame, window: int, cells: int, parts: int) -> np.ndar
 
 
 def _packed(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataFrame:
-    """Super-k-mers, those of one batch and part as one compressed pack."""
-
-    def pack(columns: dict) -> dict:
-        ids, digests = columns["id"].to_numpy(), columns["digest"].to_numpy()
-        cell, doc, start, count, texts = [], [], [], [], []
-        for k, text in enumerate(encoded(columns["text"])):
-            words = text.split()
-            smallest = minimisers(word_hashes().of(words), window)
-            if not len(smallest):
-                continue
-            first = np.flatnonzero(np.r_[True, smallest[1:] != smallest[:-1]])
-            after = np.r_[first[1:], len(smallest)]
-            own = _cells(smallest[first], cells)
-            if len(hot):
-                cold = ~np.isin(own, hot)
-                first, after, own = first[cold], after[cold], own[cold]
-            joined = b" ".join(words)
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-            begins = np.r_[0, ends[:-1] + 1]
-            last = after + window - 2
-            cell.append(own), start.append(first), count.append(last - first + 1), doc.append(np.full(len(own), k))
-            texts += [joined[a:b] for a, b in zip(begins[first].tolist(), ends[last].tolist(), strict=True)]
-        if not texts:
-            return {"part": [], "pack": []}
-        part = np.concatenate(cell) // CELLS_PER_PART
-        doc = np.concatenate(doc)
-        order = np.argsort(part, kind="stable")
-        table = pa.table([ids[doc], digests[doc], np.concatenate(start).astype(np.int32), np.concatenate(count).astype(np.int32), pa.array(texts, pa.binary())], schema=PACK)
-        table, part = table.take(order), part[order]
-        edges = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
-        packs = []
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, PACK, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                writer.write_table(table.slice(a, b - a))
-            packs.append(sink.getvalue().to_pybytes())
-        return {"part": part[edges[:-1]], "pack": packs}
-
-    return map_batches(keyed, pack, "part long, pack binary")
+    """Super-k-mers; those of some texts that go to one part travel as one compressed pack."""
+    schema = "part long, pack binary"
+    target = arrow_schema(keyed.sparkSession, schema)
+
+    def pieces(some: list[bytes], ids: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, pa.Table]:
+        words = Words.of(some)
+        at, smallest = _windows(words, window)
+        new = np.r_[True, (np.diff(at) != 1) | (smallest[1:] != smallest[:-1])] if len(at) else np.zeros(0, bool)
+        first, last = at[new], at[np.r_[new[1:], True]] + window - 1 if len(at) else at
+        own = _cells(smallest[new], cells)
+        if len(hot):
+            cold = ~np.isin(own, hot)
+            first, last, own = first[cold], last[cold], own[cold]
+        data, text = words.data.tobytes(), words.text[first]
+        begin = np.searchsorted(words.text, text)
+        strings = [data[a:b] for a, b in zip(words.begins[first].tolist(), words.ends[last].tolist(), strict=True)]
+        columns = [ids[text], digests[text], (first - begin).astype(np.int32), (last - first + 1).astype(np.int32)]
+        return own // CELLS_PER_PART, pa.table([*columns, pa.array(strings, pa.binary())], schema=PACK)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, digests, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), encoded(batch.column(2))
+            for start, group in _chunks(texts, PACKED):
+                found = []
+                for first, some in _chunks(group, CHUNK):
+                    own = slice(start + first, start + first + len(some))
+                    found.append(pieces(some, ids[own], digests[own]))
+                part = np.concatenate([p for p, _ in found])
+                if not len(part):
+                    continue
+                order = np.argsort(part, kind="stable")
+                table, part = pa.concat_tables([t for _, t in found]).combine_chunks().take(order), part[order]
+                edges = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
+                packs = []
+                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, PACK, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                        writer.write_table(table.slice(a, b - a))
+                    packs.append(sink.getvalue().to_pybytes())
+                yield record_batch({"part": part[edges[:-1]], "pack": packs}, target)
+
+    return keyed.select("id", "digest", "text").mapInArrow(pack, schema)
 
 
 def _hot_spans(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataFrame:
+    """The same answer for windows of hot minimisers: grouped by their text, each window a row."""
+
     def single(columns: dict) -> dict:
         ids, digests = columns["id"].to_numpy(), columns["digest"].to_numpy()
         out: dict[str, list] = {"window": [], "id": [], "digest": [], "span": []}
-        for k, text in enumerate(encoded(columns["text"])):
-            words = text.split()
-            smallest = minimisers(word_hashes().of(words), window)
-            if not len(smallest):
-                continue
-            at = np.flatnonzero(np.isin(_cells(smallest, cells), hot)).tolist()
-            out["window"] += [b" ".join(words[i : i + window]) for i in at]
-            out["span"] += [i << 32 | i + window for i in at]
-            out["id"] += [ids[k]] * len(at)
-            out["digest"] += [digests[k]] * len(at)
+        for start, some in _chunks(encoded(columns["text"]), CHUNK):
+            words = Words.of(some)
+            at, smallest = _windows(words, window)
+            at = at[np.isin(_cells(smallest, cells), hot)]
+            data, text = words.data.tobytes(), words.text[at]
+            place = at - np.searchsorted(words.text, text)
+            out["window"] += [data[a:b] for a, b in zip(words.begins[at].tolist(), words.ends[at + window - 1].tolist(), strict=True)]
+            out["span"] += (place << 32 | place + window).tolist()
+            out["id"] += ids[start + text].tolist()
+            out["digest"] += digests[start + text].tolist()
         return out
 
-    rows = map_batches(keyed, single, "window binary, id long, digest long, span long")
+    rows = stored(map_batches(keyed, single, "window binary, id long, digest int, span long"), "substrings-hot")
     first = rows.groupBy("window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("most > least")
     return rows.join(first.select("window", "least"), "window").where("id > least").select("id", "digest", "span")
 
@@ -264,7 +316,7 @@ def dedup_substrings(
     """
     text = text_or_empty(text_col)
     last = F.lit((1 << 63) - 1)
-    columns = [F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.xxhash64(text).alias("digest"), text.alias("text")]
+    columns = [F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.shiftright(F.xxhash64(text), 32).cast("int").alias("digest"), text.alias("text")]
     keyed = docs.select(*columns)
     lists = repeated_spans(keyed, window).groupBy("id", "digest").agg(F.collect_list("span").alias("spans"))
     row = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if with_rows else []
