@@ -20,7 +20,7 @@ PARTS_PER_TASK, CELLS_PER_PART = 8, 16
 #: A cell with fewer windows is never worth another route.
 SMALL_CELL = 20_000
 #: Texts are hashed together up to CHUNK bytes and packed together up to PACKED bytes.
-CHUNK, PACKED = 1 << 19, 1 << 23
+CHUNK, PACKED = 1 << 19, 1 << 22
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 STEP = 0x9E3779B97F4A7C15
 PACK = pa.schema([("id", pa.int64()), ("digest", pa.int32()), ("start", pa.int32()), ("words", pa.int32()), ("text", pa.binary())])
@@ -138,22 +138,34 @@ def covered_windows(ids: np.ndarray, counts: np.ndarray, texts: list[bytes], win
     if not len(shared):
         return result
     at = order[shared]
-    texts_of = [data[a:b] for a, b in zip(begins[at].tolist(), ends[at].tolist(), strict=True)]
     starts = np.flatnonzero(new[shared])
-    same = np.fromiter((a == b for a, b in zip(texts_of, texts_of[1:], strict=False)), bool, len(texts_of) - 1)
-    differ = ~np.r_[True, same]
-    differ[starts] = False
-    if differ.any():  # another text with the same hash: number the texts instead
-        numbers: dict[bytes, int] = {}
-        named = np.fromiter((numbers.setdefault(t, len(numbers)) for t in texts_of), np.int64, len(texts_of))
-        again = np.argsort(named, kind="stable")
-        at, named = at[again], named[again]
-        starts = np.flatnonzero(np.r_[True, named[1:] != named[:-1]])
     least = np.minimum.reduceat(owner[at], starts)
     result[at] = owner[at] > np.repeat(least, np.diff(np.r_[starts, len(at)]))
+    differ = ~_as_before(data, begins[at], ends[at])
+    differ[starts] = False
+    for k in np.unique(np.searchsorted(starts, np.flatnonzero(differ), side="right") - 1).tolist():
+        # Another text with the same hash: go by the texts themselves.
+        own = at[starts[k] : starts[k + 1] if k + 1 < len(starts) else len(at)].tolist()
+        smallest: dict[bytes, int] = {}
+        for w in own:
+            text = data[begins[w] : ends[w]]
+            smallest[text] = min(smallest.get(text, owner[w]), owner[w])
+        result[own] = [owner[w] > smallest[data[begins[w] : ends[w]]] for w in own]
     return result
 
 
+def _as_before(data: bytes, begins: np.ndarray, ends: np.ndarray, block: int = 50_000) -> np.ndarray:
+    """For slices of the data, whether each is equal to the one before it; few are held at a time."""
+    same, last = np.zeros(len(begins), bool), b""
+    for first in range(0, len(begins), block):
+        places = zip(begins[first : first + block].tolist(), ends[first : first + block].tolist(), strict=True)
+        for k, (a, b) in enumerate(places, first):
+            text = data[a:b]
+            same[k] = text == last
+            last = text
+    return same
+
+
 def _window_hashes(hashes: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     return _run_hashes(hashes, at, at + window)
 
@@ -211,7 +223,8 @@ def _hot_cells(keyed: DataFrame, window: int, cells: int, parts: int) -> np.ndar
         at = np.flatnonzero(found)
         return {"cell": at, "n": found[at]}
 
-    sums = map_batches(keyed.select("text"), count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counts = map_batches(keyed.select("text"), count, "cell long, n long")
+    sums = stored(counts.groupBy("cell").agg(F.sum("n").alias("n")), "substrings-cells")
     every = sums.agg(F.sum("n")).first()[0] or 0
     limit = max(SMALL_CELL, every // parts)
     return np.array(sorted(c for (c,) in sums.where(F.col("n") > limit).select("cell").collect()), np.int64)
@@ -254,7 +267,7 @@ def _packed(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataF
                 packs = []
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                     sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, PACK, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    with pa.ipc.new_stream(sink, PACK, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as writer:
                         writer.write_table(table.slice(a, b - a))
                     packs.append(sink.getvalue().to_pybytes())
                 yield record_batch({"part": part[edges[:-1]], "pack": packs}, target)
