@@ -17,6 +17,7 @@ from tablesync import files
 from tablesync.frames import local_frame
 from tablesync.functions import with_defaults, with_generated
 from tablesync.operators import (
+    SchemaValidationError,
     assign_chunks,
     chunk_report,
     count_since,
@@ -31,7 +32,7 @@ from tablesync.operators import (
 )
 from tablesync.plans import run_many, run_sync
 from tablesync.sinks import BucketedTable, WatermarkStore, suggest_buckets
-from tablesync.sinks.audit import RunResult
+from tablesync.sinks.audit import AuditTable, RunResult
 from tablesync.sources import TableSource
 from tablesync.spec import ColumnSpec, SyncConfig, TableConfig, TargetSpec
 from tablesync.streaming import sync_available_now
@@ -109,11 +110,12 @@ def src_rowversion_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_tie_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows that share the stored watermark: left out of the next read."""
-    mark = dt.datetime(1996, 9, 17)
-    tied = _orders(spark, sf_dir).filter(F.col("o_orderdate") == F.lit("1996-09-17").cast("timestamp_ntz"))
-    again = TableSource(tied).by_timestamp("o_orderdate", mark).select("o_orderkey")
-    return tied.join(again, "o_orderkey", "left_anti").select("o_orderkey", "o_orderdate")
+    """All rows at a stored watermark: those that share it are not read again."""
+    orders, mark = _orders(spark, sf_dir), F.lit("1996-09-17").cast("timestamp_ntz")
+    read = TableSource(orders).by_timestamp("o_orderdate", dt.datetime(1996, 9, 17)).select("o_orderkey", F.lit(1).alias("r"))
+    place = F.when(F.col("o_orderdate") > mark, "above").when(F.col("o_orderdate") == mark, "tied").otherwise("below")
+    marked = orders.withColumn("place", place).join(read, "o_orderkey", "left")
+    return marked.groupBy("place").agg(F.count("*").alias("n"), F.count("r").alias("n_read"))
 
 
 def src_null_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,6 +194,18 @@ def wm_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read().select("table_name", "last_value", "last_rowver")
 
 
+def wm_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots that are set twice, and the row version beside the timestamp."""
+    store = WatermarkStore(spark, files.scratch(spark, "watermarks"))
+    orders = _orders(spark, sf_dir).agg(F.min("o_orderdate"), F.max("o_orderdate"), F.max("o_orderkey")).first()
+    store.update_timestamp("orders", orders[0])
+    store.update_rowversion("orders", 1)
+    store.update_timestamp("orders", orders[1])
+    store.update_rowversion("orders", orders[2])
+    rows = [(name, store.get_last_timestamp(name), store.get_last_rowversion(name)) for name in ("orders", "nothing")]
+    return local_frame(spark, rows, "table_name string, last_value timestamp_ntz, last_rowver bigint")
+
+
 def wm_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = WatermarkStore(spark, files.scratch(spark, "watermarks"))
     store.update_timestamp("orders", TableSource(_orders(spark, sf_dir)).high("o_orderdate"))
@@ -246,7 +260,8 @@ MISMATCH = _base(
 
 
 def _issues(df: DataFrame, spec: TargetSpec) -> DataFrame:
-    return validate(df, spec).select("severity", "column_name", "kind")
+    """What is wrong, with the number of rows that the check is about."""
+    return validate(df, spec).select("severity", "column_name", "kind", F.lit(df.count()).alias("n_rows"))
 
 
 def val_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,7 +308,7 @@ def val_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir)
     cases = {"ok": EXTRA, "bad": MISMATCH}
     frames = [
-        summarize(validate(orders, spec)).select(F.lit(case).alias("case_name"), "summary")
+        summarize(validate(orders, spec)).select(F.lit(case).alias("case_name"), "summary", F.lit(orders.count()).alias("n_rows"))
         for case, spec in cases.items()
     ]
     return frames[0].unionByName(frames[1])
@@ -362,6 +377,7 @@ def ups_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     table = _target(spark, sf_dir, "orders", spec, ["o_orderkey"])
     table.upsert(orders.filter("o_orderkey % 2 = 0"))
+    table.upsert(orders.filter("o_orderkey % 2 = 1").drop("o_totalprice"))
     table.upsert(_status(orders.filter("o_orderkey % 7 = 0").select("o_orderkey")))
     return table.read()
 
@@ -405,9 +421,8 @@ def ups_update_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ups_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _orders(spark, sf_dir).select("o_orderkey", "o_custkey")
     table = _target(spark, sf_dir, "orders", rows, ["o_orderkey"])
-    if table.is_empty():
-        table.append(rows.filter("o_orderkey % 2 = 0"))
-    table.append(rows.filter("o_orderkey % 4 = 0"))
+    for some in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1", "o_orderkey % 4 = 0"):
+        table.append(rows.filter(some))
     return table.read()
 
 
@@ -432,6 +447,39 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class _FailsOnce(BucketedTable):
+    """A target whose first write fails."""
+
+    failed = False
+
+    def _merge(self, staged, batch, version):
+        if not self.failed:
+            self.failed = True
+            raise OSError("injected: connection reset")
+        return super()._merge(staged, batch, version)
+
+
+def ups_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second attempt of a batch loads it."""
+    orders = _orders(spark, sf_dir)
+    table = _target(spark, sf_dir, "orders", orders, ["o_orderkey"], _FailsOnce)
+    config = SyncConfig(retry_attempts=2, retry_wait_min=0.01, retry_wait_max=0.02)
+    summary = table.upsert(orders, ["o_orderdate"], config=config)
+    return table.read().select("o_orderkey", F.lit(summary.status).alias("status"))
+
+
+def ddl_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Creating an existing table leaves it as it is; recreating empties it."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey")
+    table = _target(spark, sf_dir, "orders", orders, ["o_orderkey"])
+    table.upsert(orders)
+    rows = []
+    for step, anew in (("create", False), ("recreate", True)):
+        again = BucketedTable.create(spark, table.path, table.spec, table.keys, table.buckets, recreate=anew)
+        rows.append((step, again.read().count()))
+    return local_frame(spark, rows, "step string, n bigint")
+
+
 # -- runs -------------------------------------------------------------------------------------
 
 ORDERS_SYNC = TableConfig("orders", "o_orderdate", ("o_orderkey",))
@@ -498,6 +546,38 @@ def pipe_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_many(spark, tables, run).select("table_name", "mode", F.col("total_rows").alias("n"), "status")
 
 
+def pipe_multi_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables side by side, the third into a target that does not exist; what the audit table holds of them."""
+    audit = AuditTable(spark, files.scratch(spark, "audit"))
+    columns = {"orders": ("o_orderdate", "o_orderkey"), "events": ("ts", "event_id"), "lineitem": ("l_shipdate", "l_orderkey")}
+
+    def run(table: TableConfig) -> RunResult:
+        rows = _read(spark, sf_dir, table.table)
+        known = table.table != "lineitem"
+        target = _target(spark, sf_dir, table.table, rows, list(table.conflict_columns)) if known else None
+        return run_sync(TableSource(rows), target, table, audit=audit)
+
+    run_many(spark, [TableConfig(name, mark, (key,)) for name, (mark, key) in columns.items()], run)
+    return audit.read().select("table_name", F.col("total_rows").alias("n"), "high", "status")
+
+
+def pipe_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose rows break a NOT NULL rule changes neither the rows nor the mark, and the next one goes on."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", "o_orderdate")
+    spec = TargetSpec.from_frame("orders", orders, ["o_orderkey", "o_orderstatus"])
+    table = _target(spark, sf_dir, "orders", spec, ["o_orderkey"])
+    early = orders.filter(F.col("o_orderdate") <= F.lit("1997-01-01").cast("timestamp_ntz"))
+    broken = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderstatus")))
+    rows = []
+    for step, source in (("early", early), ("broken", broken), ("repaired", orders)):
+        try:
+            status = run_sync(TableSource(source), table, ORDERS_SYNC).status
+        except SchemaValidationError:
+            status = "failed"
+        rows.append((step, status, table.read().count(), table.mark("orders").last_value))
+    return local_frame(spark, rows, "step string, status string, n bigint, mark timestamp_ntz")
+
+
 # -- streams ----------------------------------------------------------------------------------
 
 
@@ -550,6 +630,7 @@ QUERIES: tuple[Query, ...] = (
     agg_count_since,
     wm_high,
     wm_upsert,
+    wm_slots,
     wm_lookup,
     chunk_progress,
     chunk_assign,
@@ -572,6 +653,10 @@ QUERIES: tuple[Query, ...] = (
     ups_update_sample,
     ups_append,
     load_summary,
+    ups_retry,
+    ddl_recreate,
+    pipe_multi_audit,
+    pipe_failed_run,
     pipe_three_runs_audit,
     pipe_three_runs_target,
     pipe_rowversion_runs,
@@ -593,8 +678,9 @@ SELECT *, o_orderkey + 1000 AS __rowver FROM orders
 -- name: src_rowversion_incremental
 SELECT *, o_orderkey + 1000 AS __rowver FROM orders WHERE o_orderkey + 1000 > 1500
 -- name: src_tie_excluded
-SELECT o_orderkey, o_orderdate FROM orders
-WHERE o_orderdate = TIMESTAMP '1996-09-17' AND NOT (o_orderdate > TIMESTAMP '1996-09-17')
+SELECT CASE WHEN o_orderdate > TIMESTAMP '1996-09-17' THEN 'above' WHEN o_orderdate = TIMESTAMP '1996-09-17' THEN 'tied'
+            ELSE 'below' END AS place, count(*) AS n, count(*) FILTER (WHERE o_orderdate > TIMESTAMP '1996-09-17') AS n_read
+FROM orders GROUP BY 1
 -- name: src_null_watermark
 WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderdate END AS w FROM orders)
 SELECT 'full' AS run, count(*) AS n, count(*) - count(w) AS null_w FROM s
@@ -627,6 +713,9 @@ UNION ALL SELECT 'empty', max(o_orderdate) FROM orders WHERE o_orderkey < 0
 SELECT 'orders' AS table_name, max(o_orderdate) AS last_value, CAST(NULL AS BIGINT) AS last_rowver FROM orders
 UNION ALL SELECT 'events', max(ts), max(event_id) + 1000 FROM events
 UNION ALL SELECT 'customer', CAST(NULL AS TIMESTAMP), max(c_custkey) FROM customer
+-- name: wm_slots
+SELECT 'orders' AS table_name, max(o_orderdate) AS last_value, max(o_orderkey) AS last_rowver FROM orders
+UNION ALL SELECT 'nothing', CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT)
 -- name: wm_lookup
 SELECT 'known' AS lookup, max(o_orderdate) AS last_value FROM orders
 UNION ALL SELECT 'missing', CAST(NULL AS TIMESTAMP)
@@ -643,13 +732,13 @@ SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMI
 -- name: sort_sample_topk
 SELECT o_orderkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 200
 -- name: val_missing
-SELECT * FROM (VALUES ('error', 'created_by', 'missing_required'), ('warning', 'note', 'missing_optional'),
-                      ('warning', 'loaded_at', 'missing_optional')) v(severity, column_name, kind)
+SELECT v.*, n_rows FROM (VALUES ('error', 'created_by', 'missing_required'), ('warning', 'note', 'missing_optional'),
+  ('warning', 'loaded_at', 'missing_optional')) v(severity, column_name, kind), (SELECT count(*) AS n_rows FROM orders) o
 -- name: val_extra
-SELECT 'warning' AS severity, 'o_orderpriority' AS column_name, 'extra_column' AS kind
+SELECT 'warning' AS severity, 'o_orderpriority' AS column_name, 'extra_column' AS kind, count(*) AS n_rows FROM orders
 -- name: val_type_mismatch
-SELECT * FROM (VALUES ('error', 'o_orderstatus', 'type_mismatch'), ('error', 'o_totalprice', 'type_mismatch'))
-  v(severity, column_name, kind)
+SELECT v.*, n_rows FROM (VALUES ('error', 'o_orderstatus', 'type_mismatch'), ('error', 'o_totalprice', 'type_mismatch'))
+  v(severity, column_name, kind), (SELECT count(*) AS n_rows FROM orders) o
 -- name: val_nullable_violation
 SELECT 'o_orderstatus' AS column_name, 'nullable_violation' AS kind, count(*) AS nulls
 FROM orders WHERE o_orderkey % 10 = 0
@@ -657,8 +746,8 @@ FROM orders WHERE o_orderkey % 10 = 0
 SELECT 'orders' AS target_table, 'success' AS status, '' AS kind, count(*) AS n FROM orders
 UNION ALL SELECT 'nowhere', 'failed', 'table_not_found', CAST(0 AS BIGINT)
 -- name: val_summary
-SELECT 'ok' AS case_name, 'PASS (warnings=1)' AS summary
-UNION ALL SELECT 'bad', 'FAIL — type_mismatch:o_orderstatus; type_mismatch:o_totalprice'
+SELECT 'ok' AS case_name, 'PASS (warnings=1)' AS summary, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'bad', 'FAIL — type_mismatch:o_orderstatus; type_mismatch:o_totalprice', count(*) FROM orders
 -- name: val_type_matrix
 WITH accepted(spark_type, accepts) AS (VALUES
   ('int', ['smallint','integer','bigint','numeric','serial']),
@@ -709,10 +798,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_
 WHERE r = 1
 -- name: ups_partial_columns
 SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
-       o_totalprice
-FROM orders WHERE o_orderkey % 2 = 0
-UNION ALL SELECT o_orderkey, CAST(NULL AS BIGINT), 'U', CAST(0 AS DOUBLE)
-FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 2 = 1
+       CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE 0 END AS o_totalprice
+FROM orders
 -- name: ups_stale_overwrites
 SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_orderdate - INTERVAL 10 YEAR ELSE o_orderdate END AS o_orderdate
 FROM orders
@@ -726,12 +813,25 @@ SELECT o.o_orderkey, CASE WHEN k.o_orderkey IS NOT NULL THEN 'U' ELSE o_ordersta
        CASE WHEN k.o_orderkey IS NOT NULL THEN 99.5 ELSE o_totalprice END AS o_totalprice
 FROM orders o LEFT JOIN k ON o.o_orderkey = k.o_orderkey
 -- name: ups_append
-SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 0
+SELECT o_orderkey, o_custkey FROM orders
 UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 4 = 0
 -- name: load_summary
 SELECT 'orders' AS table_name, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS total_rows,
        CAST(2 AS BIGINT) AS chunks_ok, CAST(1 AS BIGINT) AS chunks_failed, 'partial_failure' AS status
 FROM orders
+-- name: ups_retry
+SELECT o_orderkey, 'success' AS status FROM orders
+-- name: ddl_recreate
+SELECT 'create' AS step, count(*) AS n FROM orders UNION ALL SELECT 'recreate', CAST(0 AS BIGINT)
+-- name: pipe_multi_audit
+SELECT 'orders' AS table_name, count(*) AS n, max(o_orderdate) AS high, 'success' AS status FROM orders
+UNION ALL SELECT 'events', count(*), max(ts), 'success' FROM events
+UNION ALL SELECT 'lineitem', CAST(0 AS BIGINT), CAST(NULL AS TIMESTAMP), 'failed'
+-- name: pipe_failed_run
+WITH e AS (SELECT count(*) AS n, max(o_orderdate) AS mark FROM orders WHERE o_orderdate <= TIMESTAMP '1997-01-01')
+SELECT 'early' AS step, 'success' AS status, n, mark FROM e
+UNION ALL SELECT 'broken', 'failed', n, mark FROM e
+UNION ALL SELECT 'repaired', 'success', count(*), max(o_orderdate) FROM orders
 -- name: pipe_three_runs_audit
 WITH w AS (SELECT max(o_orderdate) FILTER (WHERE o_orderdate <= TIMESTAMP '1997-01-01') AS h1,
                   max(o_orderdate) FILTER (WHERE o_orderdate <= TIMESTAMP '1999-06-01') AS h2,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import Any
 
@@ -58,7 +57,8 @@ def delete_tree(spark: SparkSession, path: str) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set, as in tests."""
+    """The folder for intermediate data that all executors share: the one the cluster names, else one in the
+    warehouse, never a folder of one machine."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
@@ -68,7 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablesync-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.sparkContext.setCheckpointDir(f"{warehouse}/_tablesync")
         current = spark.sparkContext.getCheckpointDir()
     return current
 

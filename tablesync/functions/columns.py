@@ -41,6 +41,13 @@ def mark_literal(value: dt.datetime | int, data_type: T.DataType) -> Column:
     return F.lit(text).cast("timestamp_ntz").cast(data_type)
 
 
+def as_declared(df: DataFrame, name: str, declared: T.DataType) -> Column:
+    """A column in its declared type; nested values become JSON text, not Spark's display of them."""
+    nested = isinstance(df.schema[name].dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType))
+    value = F.to_json(F.col(name)) if nested and isinstance(declared, T.StringType) else F.col(name)
+    return value.cast(declared)
+
+
 def with_generated(df: DataFrame, name: str, expression: Column | str, data_type: str) -> DataFrame:
     """Add a generated column of a declared type."""
     value = F.expr(expression) if isinstance(expression, str) else expression

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.files import checkpoint_root
 
@@ -64,46 +65,38 @@ def chunk_report(df: DataFrame, chunk_size: int) -> DataFrame:
     )
 
 
+# Ranks of an approximate quantile are exact to one part in so many.
+ACCURACY = 10_000
+
+
 def first_chunk(df: DataFrame, watermark_col: str, keys: Sequence[str], chunk_size: int) -> DataFrame:
-    """The first chunk alone, without a full sort."""
-    rank = [F.col(watermark_col).isNull(), F.col(watermark_col), *[F.col(k) for k in keys if k != watermark_col]]
-    rows = _near_the_front(df, rank, chunk_size)
-    return rows.orderBy(*_load_order(watermark_col, keys)).limit(chunk_size)
+    """The first chunk alone, without a full sort.
+
+    A top-n collects the first rows of every task in one task, so rows above an approximate quantile of
+    the watermark are dropped before. Its share leaves room for the error, and NULLs come last, so at least
+    a chunk stays.
+    """
+    mark = _number(df, watermark_col)
+    if mark is not None:
+        known = df.agg(F.count(watermark_col)).first()[0]
+        share = 2 * (chunk_size + 1) / max(known, 1) + 2 / ACCURACY
+        if share < 1:
+            bound = df.agg(F.percentile_approx(mark, F.lit(share), F.lit(ACCURACY))).first()[0]
+            df = df.filter(mark <= F.lit(bound))
+    return df.orderBy(*_load_order(watermark_col, keys)).limit(chunk_size)
+
+
+def _number(df: DataFrame, column: str) -> Column | None:
+    """A column in whose order a quantile can be taken."""
+    kind = df.schema[column].dataType
+    if kind.typeName() in ("timestamp", "timestamp_ntz", "date"):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.col(column) if isinstance(kind, (T.IntegralType, T.FractionalType)) else None
 
 
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str] = (), seed: int | None = None) -> DataFrame:
     """``n`` rows in random order; with keys, the same rows every time (ordered by their hash)."""
     if keys:
         rank = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-        return _near_the_front(df, [rank], n).orderBy(rank, *keys).limit(n)
-    total = df.count()
-    if total > FRONT_ROWS:
-        thinned = df.sample(min(1.0, (2 * n + 1000) / total), seed)
-        if thinned.count() >= n:
-            df = thinned
+        return df.orderBy(rank, *keys).limit(n)
     return df.orderBy(F.rand(seed)).limit(n)
-
-
-# Up to this many rows a top-n needs no help.
-FRONT_ROWS = 1_000_000
-
-
-def _near_the_front(df: DataFrame, rank: Sequence[Column], n: int) -> DataFrame:
-    """Drop rows that cannot be among the first ``n``.
-
-    A top-n collects the first rows of every task in one task: with many tasks and a large ``n``
-    that is most of the table. A sample of the ranks gives a bound that some multiple of ``n`` rows
-    stay below; it is used only if counting shows that at least ``n`` do, so the result is exact.
-    """
-    total = df.count()
-    if total <= max(FRONT_ROWS, n):
-        return df
-    ranks = df.select(F.struct(*[c.alias(f"r{i}") for i, c in enumerate(rank)]).alias("rank"))
-    fraction = min(1.0, FRONT_ROWS / 10 / total)
-    wanted = int(1.5 * n * fraction) + 20
-    drawn = ranks.sample(fraction, seed=7).orderBy("rank").limit(wanted).agg(F.max("rank").alias("rank"))
-    bound = drawn.select(*[F.col(f"rank.r{i}").cast("string") for i in range(len(rank))]).first()
-    types = [f.dataType for f in ranks.schema["rank"].dataType]
-    literal = F.struct(*[F.lit(v).cast(t).alias(f"r{i}") for i, (v, t) in enumerate(zip(bound, types))])
-    front = df.filter(F.struct(*[c.alias(f"r{i}") for i, c in enumerate(rank)]) <= literal)
-    return front if front.count() >= n else df

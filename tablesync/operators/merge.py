@@ -28,15 +28,11 @@ def complete_delta(delta: DataFrame, current: DataFrame, keys: Sequence[str], ab
     )
 
 
-def merge_frames(
-    target: DataFrame, delta: DataFrame, keys: Sequence[str], small_delta: bool = False
-) -> DataFrame:
+def merge_frames(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key the delta does not hold, and all rows of the delta.
 
     The delta has one row per key and the target's columns; it wins whatever its timestamps say.
-    Catalyst decides from its size whether its keys are broadcast, which leaves the target
-    unshuffled; ``small_delta`` says that a bound on its rows is known.
+    Catalyst decides from its size whether its keys are broadcast, which leaves the target unshuffled.
     """
-    keyed = delta.select(*keys)
-    kept = target.join(F.broadcast(keyed) if small_delta else keyed, list(keys), "left_anti")
+    kept = target.join(delta.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(delta.select(*target.columns))

@@ -8,9 +8,8 @@ import os
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
-
 from tablesync.plans.pipeline import run_many, run_pipeline
+from tablesync.session import builder
 from tablesync.sinks.audit import AuditTable
 from tablesync.sources.frames import FileLocation
 from tablesync.sources.jdbc import JdbcLocation
@@ -28,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--source", help="folder of the source tables")
     args.add_argument("--target", help="folder of the target tables")
     args.add_argument("--options", help="JSON file with database options; else the environment")
-    args.add_argument("--watermarks", help="path of the watermark store of a database target")
+    args.add_argument("--watermarks", help="path of the watermark store of a database target (default: a table there)")
     args.add_argument("--target-schema", default="public")
     args.add_argument("--audit", help="path of the audit table")
     args.add_argument("--batches", type=int, default=1)
@@ -71,7 +70,7 @@ def _config(args: argparse.Namespace) -> SyncConfig:
 def main(argv: Sequence[str] | None = None) -> int:
     args = parser().parse_args(argv)
     tables, config = _tables(args), _config(args)
-    spark = SparkSession.builder.appName("tablesync").getOrCreate()
+    spark = builder("tablesync").getOrCreate()
     audit = AuditTable(spark, args.audit) if args.audit else None
 
     def run(table: TableConfig):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
 import time
 from collections.abc import Callable, Sequence
@@ -24,7 +23,7 @@ from tablesync.spec import SyncConfig, TableConfig
 log = logging.getLogger("tablesync")
 
 
-def _nothing_new(high: dt.datetime | None, low: dt.datetime | None) -> bool:
+def _nothing_new(high: Any, low: Any) -> bool:
     return low is not None and (high is None or high <= low)
 
 
@@ -36,22 +35,22 @@ def _sync(
     low = stored.slot(table.mode)
     if table.mode == "timestamp":
         # Taken before the read: rows that arrive meanwhile lie above it and wait for the next run.
-        high, expected = source.window(table.watermark_col, low)
+        high = source.high(table.watermark_col, low)
         delta = source.by_timestamp(table.watermark_col, low, high)
         order = table.watermark_col
     else:
-        high = None
-        expected = source.rows_by_rowversion(table.watermark_col, low)
-        delta = source.by_rowversion(table.watermark_col, low)
+        high = source.high_rowversion(table.watermark_col, low)
+        delta = source.by_rowversion(table.watermark_col, low, high)
         order = ROWVER
 
-    if target is None or validate_schema:
+    idle = _nothing_new(high, low) if low is not None else high is None and delta.isEmpty()
+    if target is None or (validate_schema and not idle):
         spec = target.spec if target is not None else None
         ValidationResult.of(schema_issues(spark, delta.schema, spec, table.target)).check()
     result = RunResult(table.table, table.target, table.mode)
-    idle = _nothing_new(high, low) if table.mode == "timestamp" else expected == 0
     if idle:
-        mark = replace(stored, last_value=high) if high is not None else stored
+        moved = table.mode == "timestamp" and high is not None
+        mark = replace(stored, last_value=high) if moved else stored
         target.record(table.table, mark)
         summary = LoadSummary()
     else:
@@ -59,7 +58,7 @@ def _sync(
             required = [c for c in target.spec.required if c in delta.columns]
             head = first_chunk(delta, order, table.conflict_columns, config.chunk_size)
             ValidationResult.of(null_issues(null_counts(head, required))).check()
-        staged = target.stage(delta, [order], config.batches, expected_rows=expected)
+        staged = target.stage(delta, [order], config.batches)
         if validate_schema and config.validation_scope == "all" and any(staged.nulls.values()):
             violations = ValidationResult.of(null_issues(staged.null_counts()))
             staged.discard()
@@ -67,8 +66,7 @@ def _sync(
         if table.mode == "timestamp":
             mark = replace(stored, last_value=high) if high is not None else stored
         else:
-            reached = staged.max_rowver or 0
-            mark = replace(stored, last_rowver=reached) if reached > 0 else stored
+            mark = replace(stored, last_rowver=high) if (high or 0) > 0 else stored
         summary = target.load(staged, table.table, mark, config)
     if table.mode == "timestamp":
         result = replace(result, low=low, high=high)

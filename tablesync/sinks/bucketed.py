@@ -1,9 +1,9 @@
 """A keyed target table on Parquet.
 
-Rows lie in ``buckets`` hash buckets of the key, in the layout of Spark's own bucketed tables, so a
-merge joins each bucket of the target where it lies: the target is never shuffled. A small delta does
-not touch the buckets at all: it goes into one folder of recent changes, whose keys hide the same
-keys in the buckets, until there are enough of them for a merge. Every load writes new folders only.
+Rows lie in ``buckets`` hash buckets of the key, in the layout of Spark's own bucketed tables. A load
+does not touch them: whatever its size, the delta becomes a layer whose keys hide the same keys below it,
+so a load writes as many rows as it brings. :meth:`BucketedTable.compact` moves the layers into the buckets,
+joining each bucket where it lies: the target is not shuffled. Every load writes new folders only.
 A small JSON file per version lists what is live together with the watermark, so rows and watermark
 appear at once, a crash leaves the old version, and frames that were read before stay readable. One
 writer per table at a time.
@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ from pyspark.sql import types as T
 
 from tablesync import files
 from tablesync.frames import local_frame
-from tablesync.functions.columns import with_defaults
+from tablesync.functions.columns import as_declared, with_defaults
+from tablesync.operators.fold import dedup_last
 from tablesync.operators.merge import complete_delta, merge_frames
 from tablesync.sinks import versions
 from tablesync.sinks.report import LoadSummary, Mark, PartialLoadError, run_batches
@@ -31,7 +33,7 @@ from tablesync.sinks.staging import BATCH, BUCKET, CATALOG, StagedDelta, bucket_
 from tablesync.sinks.versions import Live, Version
 from tablesync.spec import SyncConfig, TargetSpec
 
-FOLDER = "__folder"
+FOLDER, LAYER = "__folder", "__layer"
 
 
 def suggest_buckets(spark: SparkSession, *paths: str, bucket_bytes: int = 8 << 30, least: int = 8) -> int:
@@ -44,13 +46,6 @@ def suggest_buckets(spark: SparkSession, *paths: str, bucket_bytes: int = 8 << 3
 class BucketedTable:
     """Open with :meth:`open`, make with :meth:`create`."""
 
-    # A load that reaches a bucket in this many folders puts all but the largest together.
-    MAX_FOLDERS = 8
-    # Recent changes: at most this many rows, so that readers can broadcast their keys, and at most
-    # this share of the rows in the buckets.
-    RECENT_ROWS = 1_000_000
-    RECENT_SHARE = 0.1
-
     def __init__(
         self, spark: SparkSession, path: str, spec: TargetSpec, keys: Sequence[str], buckets: int
     ) -> None:
@@ -120,20 +115,25 @@ class BucketedTable:
             for bucket, parts in sorted(version.live.items())
             for folder, _ in parts
         ]
-        recent = self._recent(version)
+        changes = self._changes(version)
         if not paths:
-            return local_frame(self.spark, [], self.spec.struct()) if recent is None else recent
+            return local_frame(self.spark, [], self.spec.struct()) if changes is None else changes
         base = self.spark.read.schema(self.spec.struct()).parquet(*paths)
-        return base if recent is None else merge_frames(base, recent, self.keys, small_delta=True)
+        return base if changes is None else merge_frames(base, changes, self.keys)
 
-    def _recent(self, version: Version) -> DataFrame | None:
-        if version.recent is None:
-            return None
-        return self.spark.read.schema(self.spec.struct()).parquet(f"{self.path}/{version.recent[0]}")
+    def _changes(self, version: Version) -> DataFrame | None:
+        """The last row of each key in the layers."""
+        layers = [
+            self.spark.read.schema(self.spec.struct()).parquet(f"{self.path}/{folder}").withColumn(LAYER, F.lit(k))
+            for k, (folder, _) in enumerate(version.layers)
+        ]
+        if len(layers) > 1:
+            return dedup_last(reduce(DataFrame.unionByName, layers), self.keys, [LAYER]).drop(LAYER)
+        return layers[0].drop(LAYER) if layers else None
 
     def is_empty(self) -> bool:
         version = self.version()
-        return version.bucket_rows + version.recent_rows == 0
+        return version.bucket_rows + version.layer_rows == 0
 
     def mark(self, source: str) -> Mark:
         return self.version().mark(source, self.spec.table)
@@ -166,14 +166,14 @@ class BucketedTable:
     @contextmanager
     def _visible(self, version: Version, wanted: Iterable[int]) -> Iterator[DataFrame | None]:
         """The current rows of some buckets, for the length of one action."""
-        recent = self._recent(version)
+        changes = self._changes(version)
         occupied = [b for b in wanted if version.live.get(b)]
         if not occupied:
-            yield recent
+            yield changes
             return
         with self._bucketed(version.live, occupied) as base:
             rows = base.select(*self.spec.names)
-            yield rows if recent is None else merge_frames(rows, recent, self.keys, small_delta=True)
+            yield rows if changes is None else merge_frames(rows, changes, self.keys)
 
     # -- loading ------------------------------------------------------------------------------
 
@@ -183,20 +183,14 @@ class BucketedTable:
         order_by: Sequence[str] = (),
         batches: int = 1,
         batch_by: Column | None = None,
-        expected_rows: int | None = None,
     ) -> StagedDelta:
         """Read the delta once and write its last row per key next to the table's data.
 
-        ``expected_rows`` tells a small delta beforehand, which is then not spread over buckets.
+        The rows of an empty table go to its buckets, later ones become layers.
         """
         path = f"{self.path}/{uuid.uuid4().hex}"
-        small = expected_rows is not None and expected_rows <= self._recent_limit(self.version())
-        return stage_delta(
-            df, path, self.spec, self.keys, self.buckets, order_by, batches, batch_by, bucketed=not small
-        )
-
-    def _recent_limit(self, version: Version) -> int:
-        return min(self.RECENT_ROWS, int(version.bucket_rows * self.RECENT_SHARE))
+        first = self.is_empty()
+        return stage_delta(df, path, self.spec, self.keys, self.buckets, order_by, batches, batch_by, first)
 
     def load(
         self,
@@ -243,37 +237,50 @@ class BucketedTable:
         return summary
 
     def append(self, df: DataFrame) -> None:
-        """Add rows without looking at keys.
+        """Add rows without looking at keys. NULLs in keys and NOT NULL columns are refused.
 
         Keys may repeat here, so a bucket can be large: adaptive execution splits it over tasks.
         """
         path = f"{self.path}/{uuid.uuid4().hex}"
         struct = self.spec.struct()
-        rows = with_defaults(df.select(*[c for c in self.spec.names if c in df.columns]), self.spec).select(
-            *[F.col(c).cast(struct[c].dataType).alias(c) for c in self.spec.names],
+        rows = with_defaults(df.select(*[c for c in self.spec.names if c in df.columns]), self.spec)
+        rows = rows.select(
+            *[as_declared(rows, c, struct[c].dataType).alias(c) for c in self.spec.names],
             F.lit(0).alias(BATCH),
             bucket_of(self.keys, self.buckets).alias(BUCKET),
         )
         write_bucketed(rows.hint("rebalance", BUCKET), path, self.keys, self.buckets)
-        version = self._without_recent(self.version())
-        live = dict(version.live)
         folder = f"{path.split('/')[-1]}/{BATCH}=0"
+        self._refuse_nulls(folder)
+        version = self._without_layers(self.version())
+        live = dict(version.live)
         for bucket, n in self._written(folder).items():
             live[bucket] = [*live.get(bucket, []), (folder, n)]
         self._commit(replace(version, live=live))
 
+    def _refuse_nulls(self, folder: str) -> None:
+        path = f"{self.path}/{folder}"
+        if not self.spec.required or not files.exists(self.spark, path):
+            return
+        written = self.spark.read.schema(self.spec.struct()).parquet(path)
+        nulls = written.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in self.spec.required]).first()
+        holes = [c for c in self.spec.required if nulls[c]]
+        if holes:
+            files.delete_tree(self.spark, path.rsplit("/", 1)[0])
+            raise ValueError(f"Columns {holes} of '{self.spec.table}' hold NULLs in the appended rows.")
+
     def compact(self) -> None:
-        """Move the recent changes into the buckets, so that readers need not hide rows."""
+        """Move the layers into the buckets, so that readers need not hide rows. Call it when reads, not loads, are to be fast."""
         version = self.version()
-        if version.recent is not None:
-            self._commit(self._without_recent(version))
+        if version.layers:
+            self._commit(self._without_layers(version))
 
-    def _without_recent(self, version: Version) -> Version:
-        recent = self._recent(version)
-        if recent is None:
+    def _without_layers(self, version: Version) -> Version:
+        changes = self._changes(version)
+        if changes is None:
             return version
         folder = f"{uuid.uuid4().hex}/{BATCH}=0"
-        self._write_placed(recent, folder)
+        self._write_placed(changes, folder)
         return version.with_live(self._into_buckets(folder, self._written(folder), version.live))
 
     def _write_placed(self, rows: DataFrame, folder: str) -> None:
@@ -294,32 +301,22 @@ class BucketedTable:
         """Write what one batch changes and return the version that holds it."""
         incoming = staged.counts[batch]
         folder = staged.batch_path(batch)[len(self.path) + 1 :]
-        changed = version.recent_rows + sum(incoming.values())
-        if changed <= self._recent_limit(version):
-            if version.recent is None and not staged.absent and not staged.bucketed:
-                return version.with_recent(folder, changed)
-            folder = self._combine(staged, batch, version, bucketed=False)
-            rows = self.spark.read.schema(self.spec.struct()).parquet(f"{self.path}/{folder}").count()
-            return version.with_recent(folder, rows)
-        if version.recent or not staged.bucketed or (staged.absent and any(version.live.get(b) for b in incoming)):
-            folder = self._combine(staged, batch, version, bucketed=True)
-            incoming = self._written(folder)
-        return version.with_live(self._into_buckets(folder, incoming, version.live))
-
-    def _combine(self, staged: StagedDelta, batch: int, version: Version, bucketed: bool) -> str:
-        """The delta with the columns it lacks, over the recent changes, in a new folder."""
-        delta = staged.batch(batch)
-        recent = self._recent(version)
+        held = bool(version.layers) or any(version.live.get(b) for b in incoming)
+        if staged.bucketed and not held:
+            live = dict(version.live)
+            for b, rows in incoming.items():
+                live[b] = [(folder, rows)]
+            return version.with_live(live)
+        if staged.absent and held:
+            folder = self._completed(staged, batch, version)
+        return version.with_layer(folder, sum(incoming.values()))
+
+    def _completed(self, staged: StagedDelta, batch: int, version: Version) -> str:
+        """The delta with the current values of the columns it lacks, in a new folder."""
         folder = f"{uuid.uuid4().hex}/{BATCH}=0"
-        with self._visible(version, staged.counts[batch] if staged.absent else ()) as current:
-            if staged.absent and current is not None:
-                delta = complete_delta(delta, current, self.keys, staged.absent).drop("__hit")
-            rows = delta if recent is None else merge_frames(recent, delta, self.keys)
-            if bucketed:
-                self._write_placed(rows, folder)
-            else:
-                # Few rows by the limit above, so few files.
-                rows.coalesce(4).write.parquet(f"{self.path}/{folder}")
+        with self._visible(version, staged.counts[batch]) as current:
+            delta = complete_delta(staged.batch(batch), current, self.keys, staged.absent).drop("__hit")
+            delta.write.parquet(f"{self.path}/{folder}")
         return folder
 
     def _into_buckets(self, folder: str, incoming: dict[int, int], current: Live) -> Live:
@@ -341,9 +338,7 @@ class BucketedTable:
                 hits = {(r[BUCKET], r[FOLDER]): r["count"] for r in found.groupBy(BUCKET, FOLDER).count().collect()}
             rewrite: Live = {}
             for b in occupied:
-                largest = max(live[b], key=lambda part: part[1])
-                crowded = len(live[b]) >= self.MAX_FOLDERS
-                parts = [p for p in live[b] if hits.get((b, p[0])) or (crowded and p != largest)]
+                parts = [p for p in live[b] if hits.get((b, p[0]))]
                 if parts:
                     rewrite[b] = parts
             kept = {b: sum(rows - hits.get((b, f), 0) for f, rows in parts) for b, parts in rewrite.items()}

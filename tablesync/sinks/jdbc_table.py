@@ -34,6 +34,33 @@ def merge_sql(spec: TargetSpec, staging: str, columns: Sequence[str], keys: Sequ
     )
 
 
+# Fixed value: the table of watermarks that users of a target database query.
+WATERMARKS = "etl_watermarks"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def watermarks_sql(schema: str) -> str:
+    return (
+        f"CREATE TABLE IF NOT EXISTS {schema}.{WATERMARKS} (table_name text PRIMARY KEY, "
+        "last_value timestamp with time zone, last_rowver bigint, updated_at timestamp with time zone DEFAULT now())"
+    )
+
+
+def mark_sql(schema: str, source: str, mark: Mark) -> str:
+    """Set the slots the mark holds; an empty one keeps its value."""
+    moment = f"TIMESTAMP WITH TIME ZONE '{mark.last_value.isoformat(sep=' ')}+00'" if mark.last_value else "NULL"
+    version = "NULL" if mark.last_rowver is None else str(int(mark.last_rowver))
+    slots = ", ".join(f"{c} = COALESCE(EXCLUDED.{c}, {WATERMARKS}.{c})" for c in ("last_value", "last_rowver"))
+    return (
+        f"INSERT INTO {schema}.{WATERMARKS} (table_name, last_value, last_rowver, updated_at) "
+        f"VALUES ({_quoted(source)}, {moment}, {version}, now()) "
+        f"ON CONFLICT (table_name) DO UPDATE SET {slots}, updated_at = EXCLUDED.updated_at"
+    )
+
+
 def create_sql(spec: TargetSpec, keys: Sequence[str], recreate: bool = False) -> list[str]:
     """Statements that make the target table: if it is missing, or anew."""
 
@@ -67,7 +94,10 @@ def run_transaction(connection: Any, statements: Sequence[str]) -> None:
 
 class JdbcTable:
     """The executors write the delta into a staging table over several connections; one statement in
-    one transaction moves it into the target. Rows never pass through the driver."""
+    one transaction moves it into the target. Rows never pass through the driver.
+
+    Watermarks lie in the target's schema and move in the transaction of the last batch, unless a store
+    elsewhere is given."""
 
     def __init__(
         self,
@@ -120,7 +150,15 @@ class JdbcTable:
         return read_jdbc(self.spark, self.options, dbtable=self.name)
 
     def mark(self, source: str) -> Mark:
-        return self.store.mark(source, self.name) if self.store else Mark()
+        if self.store is not None:
+            return self.store.mark(source, self.name)
+        run_transaction(self._connect(), [watermarks_sql(self.spec.schema)])
+        query = (
+            f"SELECT last_value AT TIME ZONE 'UTC' AS last_value, last_rowver FROM {self.spec.schema}.{WATERMARKS} "
+            f"WHERE table_name = {_quoted(source)}"
+        )
+        found = read_jdbc(self.spark, self.options, query=query).first()
+        return Mark(found["last_value"], found["last_rowver"]) if found else Mark()
 
     def stage(
         self,
@@ -128,11 +166,10 @@ class JdbcTable:
         order_by: Sequence[str] = (),
         batches: int = 1,
         batch_by: Column | None = None,
-        expected_rows: int | None = None,
     ) -> StagedDelta:
         path = files.scratch(self.spark, "staged")
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return stage_delta(df, path, self.spec, self.keys, buckets, order_by, batches, batch_by, False)
+        return stage_delta(df, path, self.spec, self.keys, buckets, order_by, batches, batch_by, False, False)
 
     def load(
         self,
@@ -148,17 +185,22 @@ class JdbcTable:
         def one(batch: int, final: bool) -> None:
             self._write_staging(staged.batch(batch).select(*columns))
             merge = merge_sql(self.spec, self.staging_name, columns, self.keys)
-            run_transaction(self._connect(), [merge, f"DROP TABLE {self.staging_name}"])
+            statements = [merge, f"DROP TABLE {self.staging_name}"]
+            if final and self.store is None and source is not None and mark is not None:
+                statements += [watermarks_sql(self.spec.schema), mark_sql(self.spec.schema, source, mark)]
+            run_transaction(self._connect(), statements)
 
         summary = run_batches(staged.batches, one, config, self.name)
         staged.discard()
-        if summary.chunks_failed == 0 and source is not None and mark is not None:
+        done = summary.chunks_failed == 0 and source is not None and mark is not None
+        if done and (self.store is not None or not staged.batches):
             self.record(source, mark)
         return summary
 
     def record(self, source: str, mark: Mark) -> None:
         """Store the slots of a watermark that changed."""
         if self.store is None:
+            run_transaction(self._connect(), [watermarks_sql(self.spec.schema), mark_sql(self.spec.schema, source, mark)])
             return
         stored = self.mark(source)
         if mark.last_value is not None and mark.last_value != stored.last_value:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tablesync import files
 from tablesync.frames import local_frame
-from tablesync.functions.columns import ROWVER, with_defaults
+from tablesync.functions.columns import ROWVER, as_declared, with_defaults
 from tablesync.operators.fold import dedup_last
 from tablesync.spec import TargetSpec
 
@@ -104,11 +104,15 @@ def stage_delta(
     batches: int = 1,
     batch_by: Column | None = None,
     bucketed: bool = True,
+    defaults: bool = True,
 ) -> StagedDelta:
     """Project to the target's columns, keep the last row per key, write, and sum up.
 
-    A delta that will not become part of a bucketed table is written without bucket folders.
+    A delta that will not become part of the buckets is written without bucket folders. Without
+    ``defaults``, columns the delta lacks stay NULL: a database fills in its own.
     """
+    if batches < 1:
+        raise ValueError("batches is at least 1.")
     spark = df.sparkSession
     struct = spec.struct()
     present = [c for c in spec.names if c in df.columns]
@@ -119,7 +123,7 @@ def stage_delta(
     required = [c for c in present if c in keys or c in spec.required]
     helpers = [c for c in dict.fromkeys([*order_by, ROWVER]) if c in df.columns and c not in present]
     rows = df.select(
-        *[F.col(c).cast(struct[c].dataType).alias(c) for c in present],
+        *[as_declared(df, c, struct[c].dataType).alias(c) for c in present],
         *[F.col(c).alias(f"__order_{c}") for c in helpers],
         (batch_by if batch_by is not None else F.lit(None)).cast("int").alias(BATCH),
     )
@@ -131,7 +135,7 @@ def stage_delta(
     if ROWVER in df.columns:
         counters["__max_rowver"] = F.max(ROWVER if ROWVER in present else f"__order_{ROWVER}")
     order = [c if c in present else f"__order_{c}" for c in order_by if c in df.columns]
-    folded = with_defaults(dedup_last(rows, keys, order, counters), spec)
+    folded = with_defaults(dedup_last(rows, keys, order, counters), spec if defaults else spec.without_defaults())
     bucket = bucket_of(keys, buckets)
     batch = F.col(BATCH) if batch_by is not None else F.pmod(bucket, F.lit(batches))
     staged = folded.select(

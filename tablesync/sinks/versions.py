@@ -31,12 +31,12 @@ def _moment(text: str | None) -> dt.datetime | None:
 
 @dataclass(frozen=True)
 class Version:
-    """The live folders of each bucket, the folder of recent changes that hide rows in the buckets,
+    """The live folders of each bucket, the layers of later changes that hide rows below them, oldest first,
     and the slots by source and target."""
 
     number: int = 0
     live: Live = field(default_factory=dict)
-    recent: Part | None = None
+    layers: tuple[Part, ...] = ()
     marks: dict[str, dict[str, dict[str, Any]]] = field(default_factory=dict)
 
     @property
@@ -44,13 +44,14 @@ class Version:
         return sum(rows for parts in self.live.values() for _, rows in parts)
 
     @property
-    def recent_rows(self) -> int:
-        return self.recent[1] if self.recent else 0
+    def layer_rows(self) -> int:
+        """Rows in the layers; a key may be in several."""
+        return sum(rows for _, rows in self.layers)
 
     @property
     def runs(self) -> set[str]:
         parts = [part for listed in self.live.values() for part in listed]
-        return {folder.split("/")[0] for folder, _ in [*parts, *([self.recent] if self.recent else [])]}
+        return {folder.split("/")[0] for folder, _ in [*parts, *self.layers]}
 
     def mark(self, source: str, target: str) -> Mark:
         slots = self.marks.get(source, {}).get(target, {})
@@ -65,11 +66,11 @@ class Version:
         return replace(self, marks={**self.marks, source: {**self.marks.get(source, {}), target: slots}})
 
     def with_live(self, live: Live) -> Version:
-        """All rows in buckets: nothing is left in the recent changes."""
-        return replace(self, live={b: parts for b, parts in live.items() if parts}, recent=None)
+        """All rows in buckets: nothing is left in layers."""
+        return replace(self, live={b: parts for b, parts in live.items() if parts}, layers=())
 
-    def with_recent(self, folder: str, rows: int) -> Version:
-        return replace(self, recent=(folder, rows))
+    def with_layer(self, folder: str, rows: int) -> Version:
+        return replace(self, layers=(*self.layers, (folder, rows)))
 
     def mark_rows(self) -> list[tuple[Any, ...]]:
         return [
@@ -80,14 +81,14 @@ class Version:
 
     def to_json(self) -> str:
         live = {str(b): parts for b, parts in sorted(self.live.items())}
-        return json.dumps({"number": self.number, "live": live, "recent": self.recent, "marks": self.marks})
+        return json.dumps({"number": self.number, "live": live, "layers": self.layers, "marks": self.marks})
 
     @classmethod
     def from_json(cls, text: str) -> Version:
         value = json.loads(text)
         live = {int(b): [(folder, rows) for folder, rows in parts] for b, parts in value["live"].items()}
-        recent = tuple(value["recent"]) if value["recent"] else None
-        return cls(value["number"], live, recent, value["marks"])
+        layers = value["layers"] if "layers" in value else [part for part in [value.get("recent")] if part]
+        return cls(value["number"], live, tuple((folder, rows) for folder, rows in layers), value["marks"])
 
 
 def published(spark: SparkSession, path: str) -> list[str]:

@@ -48,19 +48,25 @@ class TableSource:
             return self.frame
         return incremental(self.frame, watermark_col, low, high)
 
-    def by_rowversion(self, rowver_col: str, low: int | None = None) -> DataFrame:
-        """All columns plus ``__rowver``, above ``low``."""
+    def by_rowversion(self, rowver_col: str, low: int | None = None, high: int | None = None) -> DataFrame:
+        """All columns plus ``__rowver``, above ``low`` and up to ``high``."""
         frame = self.frame
         if low is not None and low >= 0 and isinstance(frame.schema[rowver_col].dataType, T.BinaryType):
             # Row versions have 8 bytes, so their byte order is the order of the numbers from 0 on. This
             # comparison reaches the scan; the exact one below drops the negative numbers again.
             frame = frame.filter(F.col(rowver_col) > F.lit(bytearray(low.to_bytes(8, "big"))))
         rows = with_rowversion(frame, rowver_col)
-        return rows if low is None else rows.filter(F.col(ROWVER) > F.lit(low))
-
-    def rows_by_rowversion(self, rowver_col: str, low: int | None = None) -> int | None:
-        """How many rows lie above ``low``; not counted for a full load."""
-        return None if low is None else self.by_rowversion(rowver_col, low).count()
+        if low is not None:
+            rows = rows.filter(F.col(ROWVER) > F.lit(low))
+        if high is not None:
+            within = F.col(ROWVER) <= F.lit(high)
+            rows = rows.filter(within if low is not None else within | F.col(ROWVER).isNull())
+        return rows
+
+    def high_rowversion(self, rowver_col: str, low: int | None = None) -> int | None:
+        """The greatest row version above ``low``, taken before the read: a row that changes meanwhile lies
+        above it and waits for the next run."""
+        return self.by_rowversion(rowver_col, low).agg(F.max(ROWVER)).first()[0]
 
 
 @dataclass(frozen=True)

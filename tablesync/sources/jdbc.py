@@ -52,22 +52,51 @@ def rowversion_above(rowver_col: str, low: int) -> str:
     return f"{rowver_col} > CONVERT(BINARY(8), CAST({int(low)} AS BIGINT))"
 
 
-def rowversion_relation(table: str, rowver_col: str, low: int | None = None) -> str:
+def rowversion_relation(table: str, rowver_col: str, low: int | None = None, high: int | None = None) -> str:
     """A relation that adds ``__rowver``, converted and filtered by the source."""
     number = f"CONVERT(BIGINT, {rowver_col})"
-    above = ""
+    tests = []
     if low is not None:
-        above = f" WHERE {number} > {int(low)}"
+        tests.append(f"{number} > {int(low)}")
         if low >= 0:
-            above += f" AND {rowversion_above(rowver_col, low)}"
-    return f"(SELECT t.*, {number} AS {ROWVER} FROM {table} t{above}) q"
+            tests.append(rowversion_above(rowver_col, low))
+    if high is not None:
+        within = f"{number} <= {int(high)}"
+        tests.append(within if low is not None else f"({within} OR {rowver_col} IS NULL)")
+    where = f" WHERE {' AND '.join(tests)}" if tests else ""
+    return f"(SELECT t.*, {number} AS {ROWVER} FROM {table} t{where}) q"
 
 
-def timestamp_literal(dialect: str, value: dt.datetime) -> str:
-    text = value.replace(tzinfo=None).isoformat(sep=" ")
+def moment(value: dt.date | None) -> dt.datetime | None:
+    """A watermark as a wall-clock time; a DATE is its midnight."""
+    if value is None or isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None) if value is not None else None
+    return dt.datetime(value.year, value.month, value.day)
+
+
+def timestamp_literal(dialect: str, value: dt.date) -> str:
+    text = moment(value).isoformat(sep=" ")
     return f"CAST('{text}' AS datetime2)" if dialect == "mssql" else f"TIMESTAMP '{text}'"
 
 
+def timestamp_relation(
+    dialect: str, table: str, watermark_col: str, low: dt.date | None, high: dt.date | None
+) -> str:
+    """A relation of the rows with ``low < watermark <= high``, filtered by the source itself.
+
+    Spark's dialects do not all write a local date-time as a literal. A column may hold finer digits than the
+    microseconds of ``high``, so the bound is the next microsecond, left out.
+    """
+    tests = []
+    if low is not None:
+        tests.append(f"{watermark_col} > {timestamp_literal(dialect, low)}")
+    if high is not None:
+        end = moment(high) + dt.timedelta(microseconds=1)
+        within = f"{watermark_col} < {timestamp_literal(dialect, end)}"
+        tests.append(within if low is not None else f"({within} OR {watermark_col} IS NULL)")
+    return f"(SELECT * FROM {table} WHERE {' AND '.join(tests)}) q" if tests else table
+
+
 def oracle_columns(df: DataFrame) -> DataFrame:
     """Oracle's rows as the target knows them: lower-case names, and whole numbers as bigint.
 
@@ -114,21 +143,22 @@ class JdbcSource(TableSource):
         """Run a query at the source."""
         return read_jdbc(self.session, self.options, query=text)
 
-    def bounds_query(self) -> str:
+    def bounds_query(self, relation: str) -> str:
+        """The range of the rows that are read, not of the whole table: a delta has mostly new keys."""
         column = self.partition_column
-        return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {self.table}"
+        return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {relation}"
 
     def _read(self, relation: str) -> DataFrame:
         more = {"dbtable": relation}
         if self.custom_schema:
             more["customSchema"] = self.custom_schema
         if self.partition_column and self.num_partitions > 1:
-            lo, hi = self.query(self.bounds_query()).first()
+            lo, hi = self.query(self.bounds_query(relation)).first()
             if lo is not None and lo != hi:
                 more |= {
                     "partitionColumn": self.partition_column,
-                    "lowerBound": str(lo),
-                    "upperBound": str(hi),
+                    "lowerBound": str(int(lo)),
+                    "upperBound": str(int(hi)),
                     "numPartitions": str(self.num_partitions),
                 }
         rows = read_jdbc(self.session, self.options, **more)
@@ -138,24 +168,31 @@ class JdbcSource(TableSource):
         self, watermark_col: str, low: dt.datetime | None = None
     ) -> tuple[dt.datetime | None, int | None]:
         """The source computes both itself; the plain JDBC relation would send every row."""
-        top = self.query(f"SELECT MAX({watermark_col}) AS high FROM {self.table}").first()[0]
-        if isinstance(top, dt.datetime):
-            top = top.replace(tzinfo=None)
+        top = moment(self.query(f"SELECT MAX({watermark_col}) AS high FROM {self.table}").first()[0])
         if low is None:
             return top, None
         above = f"{watermark_col} > {timestamp_literal(self.dialect, low)}"
         return top, int(self.query(f"SELECT COUNT(*) AS n FROM {self.table} WHERE {above}").first()[0])
 
-    def by_rowversion(self, rowver_col: str, low: int | None = None) -> DataFrame:
+    def high(self, watermark_col: str, low: dt.datetime | None = None) -> dt.datetime | None:
+        return moment(self.query(f"SELECT MAX({watermark_col}) AS high FROM {self.table}").first()[0])
+
+    def by_timestamp(
+        self, watermark_col: str, low: dt.datetime | None = None, high: dt.datetime | None = None
+    ) -> DataFrame:
+        return self._read(timestamp_relation(self.dialect, self.table, watermark_col, low, high))
+
+    def by_rowversion(self, rowver_col: str, low: int | None = None, high: int | None = None) -> DataFrame:
         if self.dialect != "mssql":
-            return super().by_rowversion(rowver_col, low)
-        return self._read(rowversion_relation(self.table, rowver_col, low))
+            return super().by_rowversion(rowver_col, low, high)
+        return self._read(rowversion_relation(self.table, rowver_col, low, high))
 
-    def rows_by_rowversion(self, rowver_col: str, low: int | None = None) -> int | None:
-        if low is None or self.dialect != "mssql":
-            return None
+    def high_rowversion(self, rowver_col: str, low: int | None = None) -> int | None:
+        if self.dialect != "mssql":
+            return super().high_rowversion(rowver_col, low)
         relation = rowversion_relation(self.table, rowver_col, low)
-        return int(self.query(f"SELECT COUNT(*) AS n FROM {relation}").first()[0])
+        top = self.query(f"SELECT MAX({ROWVER}) AS high FROM {relation}").first()[0]
+        return None if top is None else int(top)
 
 
 @dataclass(frozen=True)

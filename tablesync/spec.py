@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Mapping
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,6 +111,9 @@ class TargetSpec:
     def column(self, name: str) -> ColumnSpec:
         return next(c for c in self.columns if c.name == name)
 
+    def without_defaults(self) -> TargetSpec:
+        return replace(self, columns=tuple(replace(c, default=None) for c in self.columns))
+
     def struct(self) -> T.StructType:
         return T.StructType([T.StructField(c.name, storage_type(c.data_type)) for c in self.columns])
 

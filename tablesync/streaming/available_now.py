@@ -33,7 +33,9 @@ def sync_available_now(
     def load(rows: DataFrame, batch: int) -> None:
         staged = target.stage(rows, order_by)
         if validate_schema and any(staged.nulls.values()):
-            ValidationResult.of(null_issues(staged.null_counts())).check()
+            violations = ValidationResult.of(null_issues(staged.null_counts()))
+            staged.discard()
+            violations.check()
         summary = target.load(staged, config=config)
         total.total_rows += summary.total_rows
         total.chunks_ok += summary.chunks_ok

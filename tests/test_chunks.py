@@ -59,35 +59,27 @@ def test_first_chunk_in_watermark_order(spark):
     assert [r["id"] for r in first_chunk(people_frame(spark), "updated_at", ["id"], 2).collect()] == [1, 2]
 
 
-def test_first_chunk_is_exact_when_rows_are_dropped_early(spark, monkeypatch):
-    monkeypatch.setattr(chunks, "FRONT_ROWS", 500)
-    hot = F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-02-01")).cast("timestamp_ntz")
-    df = spark.range(0, 20000, 1, 8).select((F.col("id") * 7919 % 20000).alias("id"), hot.alias("w"))
-    near = chunks._near_the_front(df, [F.col("w").isNull(), F.col("w"), F.col("id")], 50)
-    assert 50 <= near.count() < 20000
-    want = sorted(df.collect(), key=lambda r: (r["w"], r["id"]))[:50]
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+def test_first_chunk_is_exact_when_rows_are_dropped_early(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(chunks, "ACCURACY", accuracy)
+    hot = F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).when(F.col("id") % 7 > 0, F.lit("2024-02-01"))
+    df = spark.range(0, 20000, 1, 8).select((F.col("id") * 7919 % 20000).alias("id"), hot.cast("timestamp_ntz").alias("w"))
+    want = sorted((r for r in df.collect() if r["w"]), key=lambda r: (r["w"], r["id"]))[:50]
     assert first_chunk(df, "w", ["id"], 50).collect() == want
+    numbers = spark.range(0, 5000, 1, 4).select((F.col("id") * 37 % 5000).alias("w"))
+    assert [r["w"] for r in first_chunk(numbers, "w", [], 100).collect()] == list(range(100))
+    assert first_chunk(numbers, "w", [], 6000).count() == 5000
 
 
-def test_early_drop_falls_back_when_the_bound_is_too_low(spark, monkeypatch):
-    monkeypatch.setattr(chunks, "FRONT_ROWS", 100)
-    df = spark.range(0, 1000, 1, 4).withColumn("w", F.lit("2024-01-01").cast("timestamp_ntz"))
-    assert first_chunk(df, "w", ["id"], 999).count() == 999
-
-
-def test_sample_is_reproducible_with_keys(spark, monkeypatch):
+def test_sample_is_reproducible_with_keys(spark):
     df = spark.range(5000)
-    once = rows(sample_rows(df, 20, ["id"]))
-    assert once == rows(sample_rows(df.repartition(7), 20, ["id"]))
-    monkeypatch.setattr(chunks, "FRONT_ROWS", 1000)
-    assert once == rows(sample_rows(df, 20, ["id"]))
+    assert rows(sample_rows(df, 20, ["id"])) == rows(sample_rows(df.repartition(7), 20, ["id"]))
 
 
-def test_random_sample_has_the_wanted_size(spark, monkeypatch):
-    assert sample_rows(spark.range(100), 10, seed=1).count() == 10
+def test_random_sample_has_the_wanted_size(spark):
     assert sample_rows(spark.range(5), 10).count() == 5
-    monkeypatch.setattr(chunks, "FRONT_ROWS", 1000)
     assert sample_rows(spark.range(5000), 10, seed=1).distinct().count() == 10
+    assert rows(sample_rows(spark.range(5000), 10, seed=1)) == rows(sample_rows(spark.range(5000), 10, seed=1))
 
 
 def test_first_chunk_needs_no_sort_of_the_whole(spark, folder):

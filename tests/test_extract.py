@@ -99,7 +99,9 @@ def test_rowversion_filter_is_signed(spark, low):
     numbers = [-(2**63), -5, -1, 0, 1, 255, 256, 257, 2**40, 2**40 + 1, 2**63 - 1]
     source = TableSource(versions_of(spark, *numbers))
     assert [r[0] for r in rows(source.by_rowversion("rv", low), "n")] == [n for n in numbers if n > low]
-    assert source.rows_by_rowversion("rv", low) == sum(n > low for n in numbers)
+    assert source.high_rowversion("rv", low) == max((n for n in numbers if n > low), default=None)
+    within = [n for n in numbers if low < n <= 5]
+    assert [r[0] for r in rows(source.by_rowversion("rv", low, 5), "n")] == within
 
 
 def test_rowversion_filter_reaches_the_scan(spark, folder):
@@ -195,12 +197,47 @@ def test_jdbc_read_is_partitioned_and_the_maximum_is_asked_for(spark, monkeypatc
         "SELECT COUNT(*) AS n FROM ventas WHERE updated_at > TIMESTAMP '2024-01-01 00:00:00'"
     )
     delta = source.by_timestamp("updated_at", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
-    assert rows(delta, "id") == [(2,)]
     assert delta.columns == ["id", "name", "updated_at", "amount"]
-    last = fake.calls[-1]
-    assert last == {
-        "dbtable": "ventas", "customSchema": "ID BIGINT", "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8",
+    relation = (
+        "(SELECT * FROM ventas WHERE updated_at > TIMESTAMP '2024-01-01 00:00:00' "
+        "AND updated_at < TIMESTAMP '2024-01-02 00:00:00.000001') q"
+    )
+    assert fake.calls[-1] == {
+        "dbtable": relation, "customSchema": "ID BIGINT", "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8",
     }
+    assert fake.calls[-2]["query"] == f"SELECT MIN(id) AS lo, MAX(id) AS hi FROM {relation}"
+
+
+@pytest.mark.parametrize("dialect", ["oracle", "mssql", "postgresql"])
+def test_the_source_filters_the_timestamp_itself(spark, monkeypatch, dialect):
+    """No date-time is left for Spark's dialect to write, and finer digits than microseconds stay within the bound."""
+    fake = FakeReads(lambda more: people_frame(spark))
+    monkeypatch.setattr(jdbc, "read_jdbc", fake)
+    source = JdbcSource(spark, {"url": "u"}, "t", dialect)
+    high = dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
+    delta = source.by_timestamp("w", dt.datetime(2024, 1, 1), high)
+    assert "Filter" not in delta._jdf.queryExecution().optimizedPlan().toString()
+    text = fake.calls[-1]["dbtable"]
+    assert "2024-01-02 03:04:05.123457" in text and ("datetime2" in text) == (dialect == "mssql")
+    source.by_timestamp("w", None, high)
+    assert fake.calls[-1]["dbtable"].endswith("OR w IS NULL)) q")
+    source.by_timestamp("w")
+    assert fake.calls[-1]["dbtable"] == "t"
+
+
+def test_date_watermarks_and_decimal_bounds(spark, monkeypatch):
+    def answers(more):
+        if "MIN(" in more.get("query", ""):
+            return spark.sql("SELECT CAST(1 AS DECIMAL(38, 10)) AS lo, CAST(90 AS DECIMAL(38, 10)) AS hi")
+        return spark.sql("SELECT DATE '2024-05-06' AS high") if "query" in more else people_frame(spark)
+
+    fake = FakeReads(answers)
+    monkeypatch.setattr(jdbc, "read_jdbc", fake)
+    source = JdbcSource(spark, {"url": "u"}, "t", "oracle", "id", 4)
+    assert source.high("w") == dt.datetime(2024, 5, 6)
+    source.by_timestamp("w", dt.date(2024, 5, 1), source.high("w"))
+    assert "TIMESTAMP '2024-05-01 00:00:00'" in fake.calls[-1]["dbtable"]
+    assert (fake.calls[-1]["lowerBound"], fake.calls[-1]["upperBound"]) == ("1", "90")
 
 
 def test_mssql_converts_and_filters_the_rowversion_itself(spark, monkeypatch):
@@ -216,8 +253,12 @@ def test_mssql_converts_and_filters_the_rowversion_itself(spark, monkeypatch):
     assert fake.calls[-1]["dbtable"] == "(SELECT t.*, CONVERT(BIGINT, rowver) AS __rowver FROM accounts t) q"
     source.by_rowversion("rowver", -3)
     assert fake.calls[-1]["dbtable"].endswith("WHERE CONVERT(BIGINT, rowver) > -3) q")
-    assert source.rows_by_rowversion("rowver") is None and source.rows_by_rowversion("rowver", 5) == 2
-    assert fake.calls[-1]["query"].startswith("SELECT COUNT(*) AS n FROM (SELECT")
+    source.by_rowversion("rowver", 5, 9)
+    assert fake.calls[-1]["dbtable"].endswith("AND CONVERT(BIGINT, rowver) <= 9) q")
+    source.by_rowversion("rowver", None, 9)
+    assert fake.calls[-1]["dbtable"].endswith("WHERE (CONVERT(BIGINT, rowver) <= 9 OR rowver IS NULL)) q")
+    assert source.high_rowversion("rowver", 5) == 2
+    assert fake.calls[-1]["query"].startswith("SELECT MAX(__rowver) AS high FROM (SELECT")
 
 
 def test_options_carry_fetch_size_and_zone_free_timestamps():

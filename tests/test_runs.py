@@ -11,7 +11,7 @@ from tablesync.plans import run_many, run_pipeline, run_sync
 from tablesync.plans.job import main
 from tablesync.sinks import AuditTable, BucketedTable, Mark, PartialLoadError, WatermarkStore, marks_frame
 from tablesync.sources import FileLocation, TableSource
-from tablesync.spec import SyncConfig, TableConfig, TargetSpec
+from tablesync.spec import ColumnSpec, SyncConfig, TableConfig, TargetSpec
 from tablesync.streaming import sync_available_now
 
 SYNC = TableConfig("people", "updated_at", ("id",))
@@ -303,3 +303,61 @@ def test_stream_refuses_bad_rows(people, spark, tmp_path):
     with pytest.raises(Exception, match="nullable_violation"):
         sync_available_now(stream, people, str(tmp_path / "progress"))
     assert people.is_empty()
+
+
+def test_runs_side_by_side_leave_all_their_audit_rows(spark, audit):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tablesync.sinks.audit import RunResult
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda k: audit.append(RunResult(f"t{k}", "t", "timestamp", total_rows=k, high=dt.datetime(2024, 1, 1, 0, 0, 0, k))), range(40)))
+    found = audit.read().collect()
+    assert sorted(r["total_rows"] for r in found) == list(range(40))
+    assert {r["high"] for r in found} == {dt.datetime(2024, 1, 1, 0, 0, 0, k) for k in range(40)}
+
+
+def test_an_audit_error_does_not_change_the_run(people, spark, monkeypatch, audit):
+    monkeypatch.setattr("tablesync.files.publish_text", publish_unless_audit(audit.path))
+    assert run_sync(source(spark), people, SYNC, audit=audit).total_rows == 3
+
+
+def publish_unless_audit(path):
+    from tablesync import files
+
+    publish = files.publish_text
+
+    def refuse(spark, name, text):
+        if name.startswith(path):
+            raise OSError("no space left")
+        publish(spark, name, text)
+
+    return refuse
+
+
+def test_an_empty_source_is_not_validated(spark, folder):
+    spec = TargetSpec("people", (ColumnSpec("id", "integer", nullable=False), ColumnSpec("updated_at", "integer")))
+    target = BucketedTable.create(spark, folder, spec, ["id"], 2)
+    assert run_sync(source(spark, []), target, SYNC).status == "success"
+
+
+def test_intermediate_data_is_shared(spark, monkeypatch):
+    from tablesync import files
+
+    class Unset:
+        def __init__(self):
+            self.sparkContext, self.conf, self.named = self, self, None
+
+        def getConf(self):
+            return {}
+
+        def get(self, name, default=None):
+            return "hdfs:///warehouse" if name == "spark.sql.warehouse.dir" else default
+
+        def getCheckpointDir(self):
+            return self.named
+
+        def setCheckpointDir(self, path):
+            self.named = path
+
+    assert files.checkpoint_root(Unset()) == "hdfs:///warehouse/_tablesync"

@@ -107,11 +107,10 @@ def join_limit(spark, request):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("share, join_limit", [(0.0, "-1"), (0.7, None), (50.0, None)], indirect=["join_limit"])
-def test_random_batches_match_a_dictionary(spark, folder, monkeypatch, share, join_limit):
-    """Replays, partial columns and repeated keys against the obvious model, with all changes going
-    to the buckets by sort-merge joins, some, and (but for the first load) none."""
-    monkeypatch.setattr(BucketedTable, "RECENT_SHARE", share)
+@pytest.mark.parametrize("every, join_limit", [(1, "-1"), (2, None), (9, None), (9, "-1")], indirect=["join_limit"])
+def test_random_batches_match_a_dictionary(spark, folder, every, join_limit):
+    """Replays, partial columns and repeated keys against the obvious model, compacted after each load,
+    some, and none."""
     rng = random.Random(5)
     spec = TargetSpec(
         "t",
@@ -129,7 +128,10 @@ def test_random_batches_match_a_dictionary(spark, folder, monkeypatch, share, jo
             kept = model.get((a, b), [None, -1])[1]
             model[a, b] = [x, y if with_y else kept]
         assert rows(target.read()) == sorted((a, b, x, y) for (a, b), (x, y) in model.items())
-        assert target.version().recent is not None or target.version().bucket_rows == len(model)
+        if step % every == every - 1:
+            target.compact()
+            assert rows(target.read()) == sorted((a, b, x, y) for (a, b), (x, y) in model.items())
+            assert target.version().layers == () and target.version().bucket_rows == len(model)
 
 
 def test_absent_column_keeps_its_value_and_defaults_on_insert(spark, folder):
@@ -173,105 +175,106 @@ def test_value_that_does_not_fit_fails_the_load(people, spark):
     assert people.is_empty()
 
 
-def test_new_keys_extend_a_bucket_without_rewriting_it(people, spark):
-    people.upsert(people_frame(spark))
-    before = people.version().live
-    people.upsert(people_frame(spark, [(i, "n", DAY, 0.0) for i in range(10, 40)]))
-    after = people.version().live
-    assert all(set(parts) <= set(after[b]) for b, parts in before.items())
+def written_rows(target, before):
+    """Rows in the folders that came since a version."""
+    new = [n for n in files.names(target.spark, target.path) if n[0] not in "_." and n not in before]
+    return sum(target.spark.read.parquet(f"{target.path}/{n}").count() for n in new)
 
 
-def test_small_delta_leaves_the_buckets_alone(spark, folder):
+@pytest.mark.parametrize("changed", [5, 400, 1000, 3000])
+def test_a_load_writes_no_more_rows_than_it_brings(spark, folder, changed):
     target = table(spark, folder, "id bigint, v string", ["id"], buckets=8)
     target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
-    before = target.version().live
-    for i in (0, 1):
-        target.upsert(spark.range(i, 1000, 25).withColumn("v", F.lit(f"b{i}")))
-        assert target.version().live == before
-    assert target.version().recent_rows == 80
-    target.upsert(spark.range(2, 1000, 25).withColumn("v", F.lit("b2")))
-    assert target.version().recent is None and target.version().bucket_rows == 1000
+    live, before = target.version().live, set(files.names(spark, folder))
+    target.upsert(spark.range(changed).withColumn("v", F.lit("b")))
+    assert written_rows(target, before) == changed
+    assert target.version().live == live and target.version().layer_rows == changed
+    before = set(files.names(spark, folder))
+    target.upsert(spark.range(changed).select("id"))
+    assert written_rows(target, before) <= 2 * changed
     counts = {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()}
-    assert counts == {"a": 880, "b0": 40, "b1": 40, "b2": 40}
-
-
-def test_recent_changes_hide_older_rows_without_a_shuffle(spark, folder):
-    target = table(spark, folder, "id bigint, v string", ["id"], buckets=4)
-    target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
-    target.upsert(spark.range(990, 1010).withColumn("v", F.lit("b")))
-    assert target.version().recent_rows == 20 and not target.is_empty()
-    plan = target.read()._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
-    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 990, "b": 20}
+    assert counts == {k: n for k, n in (("a", max(1000 - changed, 0)), ("b", changed)) if n}
 
 
-def test_expected_small_deltas(spark, folder):
-    """The first is taken over as it was staged, the next is merged with it."""
+def test_later_layers_hide_earlier_ones(spark, folder):
     target = table(spark, folder, "id bigint, v string", ["id"], buckets=4)
-    target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
-    for ids, letter in ((range(5), "b"), (range(3, 8), "c")):
-        delta = spark.range(ids.start, ids.stop).withColumn("v", F.lit(letter))
-        staged = target.stage(delta, expected_rows=5)
-        assert not staged.bucketed
-        assert target.load(staged).total_rows == 5
-        assert target.version().runs >= {staged.path.split("/")[-1]} or letter == "c"
-    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 992, "b": 3, "c": 5}
+    target.upsert(spark.range(100).withColumn("v", F.lit("a")))
+    for ids, letter in ((range(5), "b"), (range(3, 8), "c"), (range(90, 110), "d"), (range(4, 5), "e")):
+        target.upsert(spark.range(ids.start, ids.stop).withColumn("v", F.lit(letter)))
+    want = {"a": 82, "b": 3, "c": 4, "d": 20, "e": 1}
+    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == want
+    assert len(target.version().layers) == 4
+    target.compact()
+    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == want
+    assert target.version().bucket_rows == 110
 
 
-def test_wrong_expectation_of_a_small_delta(spark, folder):
+def test_compaction_does_not_shuffle_the_buckets(spark, folder, monkeypatch):
     target = table(spark, folder, "id bigint, v string", ["id"], buckets=4)
     target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
-    staged = target.stage(spark.range(500).withColumn("v", F.lit("b")), expected_rows=5)
-    assert not staged.bucketed
-    target.load(staged)
-    assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 500, "b": 500}
-
-
-def test_only_buckets_with_changed_keys_are_rewritten(spark, folder, monkeypatch):
-    monkeypatch.setattr(BucketedTable, "RECENT_SHARE", 0.0)
-    target = table(spark, folder, "id bigint, v string", ["id"], buckets=8)
-    target.upsert(spark.range(1000).withColumn("v", F.lit("a")))
-    before = target.version().live
-    target.upsert(local_frame(spark, [(5, "b")], "id bigint, v string"))
-    after = target.version().live
-    assert sum(before[b] != after[b] for b in before) == 1
-    assert target.read().count() == 1000
-
-
-def test_small_folders_of_a_bucket_are_put_together(spark, folder, monkeypatch):
-    monkeypatch.setattr(BucketedTable, "MAX_FOLDERS", 3)
-    monkeypatch.setattr(BucketedTable, "RECENT_SHARE", 0.0)
-    target = table(spark, folder, "id bigint, v string", ["id"], buckets=2)
-    target.upsert(spark.range(100, 140).withColumn("v", F.lit("a")))
-    first = target.version().live
-    for step in range(5):
-        target.upsert(spark.range(step * 20, step * 20 + 20).withColumn("v", F.lit("a")))
-        live = target.version().live
-        assert max(len(parts) for parts in live.values()) <= 3
-    assert any(first[b][0] in live[b] for b in live)
-    assert target.read().distinct().count() == 140 == target.version().bucket_rows
+    target.upsert(spark.range(500, 1500).withColumn("v", F.lit("b")))
+    plans = []
+    kept = bucketed.write_bucketed
+    monkeypatch.setattr(bucketed, "write_bucketed", lambda df, *a: (plans.append(df._jdf.queryExecution().executedPlan().toString()), kept(df, *a))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target.compact()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rewriting = plans[-1].split("Initial Plan")[-1]
+    assert "LeftAnti" in rewriting and rewriting.count("Exchange") <= 1
+    assert target.version().bucket_rows == 1500 == target.read().count()
 
 
-def test_only_folders_with_changed_keys_are_rewritten(spark, folder, monkeypatch):
-    monkeypatch.setattr(BucketedTable, "RECENT_SHARE", 0.0)
+def test_only_folders_with_changed_keys_are_rewritten(spark, folder):
     target = table(spark, folder, "id bigint, v string", ["id"], buckets=2)
     target.upsert(spark.range(100).withColumn("v", F.lit("a")))
     first = target.version().live
-    target.upsert(spark.range(100, 150).withColumn("v", F.lit("a")))
-    target.upsert(spark.range(140, 160).withColumn("v", F.lit("b")))
+    for ids, letter in ((range(100, 150), "a"), (range(140, 160), "b")):
+        target.upsert(spark.range(ids.start, ids.stop).withColumn("v", F.lit(letter)))
+        target.compact()
     live = target.version().live
     assert all(first[b][0] in live[b] for b in live)
     assert target.version().bucket_rows == 160
     assert {r["v"]: r["count"] for r in target.read().groupBy("v").count().collect()} == {"a": 140, "b": 20}
 
 
-def test_compact_and_append_with_recent_changes(spark, folder):
+def test_appended_nulls_are_refused(spark, folder):
+    spec = TargetSpec("t", (ColumnSpec("id", "bigint"), ColumnSpec("v", "text", nullable=False), ColumnSpec("w", "text")))
+    target = BucketedTable.create(spark, folder, spec, ["id"], 2)
+    before = files.names(spark, folder)
+    for row in ((None, "a", "x"), (1, None, "x")):
+        with pytest.raises(ValueError, match="hold NULLs"):
+            target.append(local_frame(spark, [row], "id bigint, v string, w string"))
+    assert files.names(spark, folder) == before
+    target.append(local_frame(spark, [(1, "a", None), (1, "b", None)], "id bigint, v string, w string"))
+    assert target.read().count() == 2
+
+
+def test_nested_values_become_json(spark, folder):
+    spec = TargetSpec("t", (ColumnSpec("id", "bigint"), ColumnSpec("v", "jsonb"), ColumnSpec("a", "text")))
+    target = BucketedTable.create(spark, folder, spec, ["id"], 2)
+    df = spark.sql("SELECT 1L AS id, struct(1 AS n, 'q' AS s) AS v, array(1, 2) AS a")
+    target.upsert(df)
+    assert rows(target.read()) == [(1, '{"n":1,"s":"q"}', "[1,2]")]
+    target.append(df)
+    assert target.read().distinct().count() == 1
+
+
+def test_version_files_of_the_last_release(spark, folder):
+    from tablesync.sinks.versions import Version
+
+    old = Version.from_json('{"number": 3, "live": {}, "recent": ["run/__batch=0", 5], "marks": {}}')
+    assert old.layers == (("run/__batch=0", 5),) and Version.from_json(old.to_json()) == old
+
+
+def test_compact_and_append_with_layers(spark, folder):
     target = table(spark, folder, "id bigint, v string", ["id"], buckets=2)
     target.upsert(spark.range(100).withColumn("v", F.lit("a")))
     target.upsert(spark.range(5).withColumn("v", F.lit("b")))
     before = rows(target.read())
     target.compact()
-    assert target.version().recent is None and target.version().bucket_rows == 100
+    assert target.version().layers == () and target.version().bucket_rows == 100
     assert rows(target.read()) == before
     target.upsert(spark.range(5).withColumn("v", F.lit("c")))
     target.append(spark.range(3).withColumn("v", F.lit("d")))
@@ -591,3 +594,27 @@ def test_database_load_stages_writes_and_merges(spark, tmp_path, monkeypatch, qu
     assert written[0] == [(r[0], r[2], r[3]) for r in PEOPLE_ROWS]
     assert store.mark("people", "public.people") == Mark(DAY, 5) == target.mark("people")
     assert store.mark("people", "other") == Mark()
+
+
+def test_marks_in_the_database_move_with_the_last_batch(spark, monkeypatch, quick):
+    transactions = []
+    monkeypatch.setattr("tablesync.sinks.jdbc_table.run_transaction", lambda connection, statements: transactions.append(statements))
+    monkeypatch.setattr(JdbcTable, "_write_staging", lambda self, df: df.count())
+    target = JdbcTable(spark, {"url": "u"}, PEOPLE, ["id"], connect=lambda: None)
+    staged = target.stage(people_frame(spark).drop("name"), ["updated_at"], batches=2)
+    target.load(staged, "o'people", Mark(DAY, 5), quick)
+    kinds = [[s.split(" ")[0] for s in t] for t in transactions]
+    assert kinds[-1] == ["INSERT", "DROP", "CREATE", "INSERT"] and all(k == ["INSERT", "DROP"] for k in kinds[:-1])
+    last = transactions[-1][-1]
+    assert "public.etl_watermarks" in last and "'o''people'" in last and "'2024-02-01 00:00:00+00', 5, now()" in last
+    monkeypatch.setattr("tablesync.sinks.jdbc_table.read_jdbc", lambda *a, **k: local_frame(spark, [(DAY, 5)], "last_value timestamp_ntz, last_rowver bigint"))
+    assert target.mark("people") == Mark(DAY, 5)
+    transactions.clear()
+    target.record("people", Mark(None, 7))
+    assert "NULL, 7, now()" in transactions[0][-1] and transactions[0][0].startswith("CREATE TABLE IF NOT EXISTS")
+
+
+def test_database_defaults_are_left_to_the_database(spark):
+    spec = TargetSpec("t", (ColumnSpec("id", "bigint"), ColumnSpec("s", "text", default="'x'::text"), ColumnSpec("n", "bigint", default="nextval('q'::regclass)")))
+    staged = JdbcTable(spark, {}, spec, ["id"]).stage(local_frame(spark, [(1,)], "id bigint"))
+    assert staged.absent == ("s", "n") and staged.total_rows == 1
