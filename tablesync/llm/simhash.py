@@ -250,15 +250,17 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
 def _through_midpoints(fps: DataFrame, radius: int) -> DataFrame:
     masks = np.array([sum(1 << b for b in bits) for n in range(radius + 1) for bits in combinations(range(BITS), n)], np.uint64)
 
-    def spread(columns: dict) -> dict:
-        values = columns["fp"].to_numpy().view(np.uint64)
-        return {
-            "middle": (values[:, None] ^ masks[None, :]).ravel().view(np.int64),
-            "fp": np.repeat(values, len(masks)).view(np.int64),
-        }
+    target = arrow_schema(fps.sparkSession, "middle long, fp long")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = batch.column(0).to_numpy().view(np.uint64)
+            for first in range(0, len(every), 128):  # each becomes as many rows as there are masks
+                values = every[first : first + 128]
+                middle = (values[:, None] ^ masks[None, :]).ravel()
+                yield record_batch({"middle": middle.view(np.int64), "fp": np.repeat(values, len(masks)).view(np.int64)}, target)
 
-    # Small batches: each fingerprint becomes as many rows as there are masks.
-    pieces = map_batches(fps.repartition(4 * partitions(fps.sparkSession)), spread, "middle long, fp long")
+    pieces = fps.repartition(4 * partitions(fps.sparkSession)).mapInArrow(spread, "middle long, fp long")
     least = pieces.groupBy("middle").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("middle", "a")
     return pieces.join(least, "middle").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
