@@ -321,7 +321,8 @@ def dedup_substrings(
 
     Windows are ``window`` consecutive words of one document, compared as they are, and all judged on the
     input. Returns ``id_col``, n_words, n_removed and kept_sha256 (of the kept words, joined by one space); with ``with_rows`` also
-    ``row`` (the whole input row) and ``kept_text`` (the text with the removed words cut out and white space kept elsewhere; a line break where a cut was).
+    ``row`` (the other input columns) and ``kept_text`` (the text, where words are removed with those cut out, white space kept
+    elsewhere and a line break where a cut was).
 
     Defined cases: a null or short text has no window and loses nothing; documents with one id do not remove each other's
     words; a null id counts as greater than all others; repeated rows lose the same words; an empty
@@ -332,7 +333,9 @@ def dedup_substrings(
     columns = [F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.shiftright(F.xxhash64(text), 32).cast("int").alias("digest"), text.alias("text")]
     keyed = docs.select(*columns)
     lists = repeated_spans(keyed, window).groupBy("id", "digest").agg(F.collect_list("span").alias("spans"))
-    row = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if with_rows else []
+    others = [F.col(c) for c in docs.columns if c != text_col]
+    row = [F.struct(*others).alias("row")] if with_rows else []
+    columns[2] = F.col(text_col).cast("string").alias("text")
     rows = docs.select(*columns, F.col(id_col).cast("long").alias("own_id"), *row).join(lists, ["id", "digest"], "left")
     row_type = f", row {rows.schema['row'].dataType.simpleString()}" if with_rows else ""
     schema = "own_id long, n_words long, n_removed long, kept_sha256 string" + (f"{row_type}, kept_text string" if with_rows else "")
@@ -345,7 +348,7 @@ def dedup_substrings(
         out["kept_sha256"] = [hashlib.sha256(c[2]).hexdigest() for c in cut]
         if with_rows:
             out["row"] = columns["row"]
-            out["kept_text"] = [None if c[3] is None else c[3].decode() for c in cut]
+            out["kept_text"] = [t if c[3] is None else c[3].decode() for t, c in zip(columns["text"].to_pylist(), cut, strict=True)]
         return out
 
     return map_batches(rows, finish, schema).withColumnRenamed("own_id", id_col)
@@ -357,10 +360,13 @@ def without_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", t
     A document that loses all its words goes; one that loses none stays as it is.
     """
     cut = dedup_substrings(docs, window, id_col, text_col, with_rows=True).where("n_removed = 0 OR n_removed < n_words")
-    changed = F.col("kept_text").isNotNull()
-    new = {text_col: F.col("kept_text"), chars_col: F.length("kept_text")}
     columns = []
     for name, kind in docs.dtypes:
-        old = F.col("row")[name]
-        columns.append((F.when(changed, new[name].cast(kind)).otherwise(old) if name in new else old).alias(name))
+        if name == text_col:
+            column = F.col("kept_text").cast(kind)
+        elif name == chars_col:
+            column = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(kind)).otherwise(F.col("row")[name])
+        else:
+            column = F.col("row")[name]
+        columns.append(column.alias(name))
     return cut.select(*columns)

@@ -53,7 +53,7 @@ def test_rows_keep_their_columns_and_white_space(spark):
     assert set(found) == {1, 2, 4, 5} and found[1]["id"] == 9
     assert found[1]["text"] == rows[0][1] and found[4]["text"] == "as  it\nis" and found[5]["text"] is None
     assert found[2]["text"] == "Mine:\n\n first\nlast\tword" and found[2]["n_chars"] == len(found[2]["text"])
-    assert found[1]["n_chars"] == 0
+    assert found[1]["n_chars"] == found[4]["n_chars"] == 0 and found[5]["n_chars"] is None
 
 
 def test_no_documents(no_docs):
