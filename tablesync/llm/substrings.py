@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import SPACES, arrow_schema, encoded, map_batches, mixed, partitions, record_batch, stored, text_or_empty
 
 MER = 3  # words per minimiser candidate
-PARTS_PER_TASK, CELLS_PER_PART = 8, 16
+PARTS_PER_TASK, CELLS_PER_PART = 8, 2
 #: A cell with fewer windows is never worth another route.
 SMALL_CELL = 20_000
 #: Texts are hashed together up to CHUNK bytes and packed together up to PACKED bytes.
@@ -128,6 +128,7 @@ def covered_windows(ids: np.ndarray, counts: np.ndarray, texts: list[bytes], win
         joined.append(words.data.tobytes())
         base += len(words.data)
     keys, begins, ends, data = np.concatenate(keys), np.concatenate(begins), np.concatenate(ends), b"".join(joined)
+    del joined
     owner = np.repeat(ids, counts - window + 1)
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
@@ -251,7 +252,7 @@ def _packed(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataF
         return own // CELLS_PER_PART, pa.table([*columns, pa.array(strings, pa.binary())], schema=PACK)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
             ids, digests, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), encoded(batch.column(2))
             for start, group in _chunks(texts, PACKED):
                 found = []
@@ -341,14 +342,16 @@ def dedup_substrings(
     schema = "own_id long, n_words long, n_removed long, kept_sha256 string" + (f"{row_type}, kept_text string" if with_rows else "")
 
     def finish(columns: dict) -> dict:
-        none = np.zeros(0, np.int64)
-        spans = [none if s is None else np.array(s, np.int64) for s in columns["spans"].to_pylist()]
-        cut = [_cut(t, s) for t, s in zip(encoded(columns["text"]), spans, strict=True)]
-        out = {"own_id": columns["own_id"], "n_words": [c[0] for c in cut], "n_removed": [c[1] for c in cut]}
-        out["kept_sha256"] = [hashlib.sha256(c[2]).hexdigest() for c in cut]
+        out: dict = {"own_id": columns["own_id"], "n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []}
+        for text, spans in zip(columns["text"], columns["spans"], strict=True):
+            data = (text.as_py() or "").encode()
+            n, removed, kept, rest = _cut(data, np.array(spans.as_py() or (), np.int64))
+            out["n_words"].append(n), out["n_removed"].append(removed)
+            out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+            if with_rows:
+                out["kept_text"].append(text.as_py() if rest is None else rest.decode())
         if with_rows:
             out["row"] = columns["row"]
-            out["kept_text"] = [t if c[3] is None else c[3].decode() for t, c in zip(columns["text"].to_pylist(), cut, strict=True)]
         return out
 
     return map_batches(rows, finish, schema).withColumnRenamed("own_id", id_col)
