@@ -109,7 +109,8 @@ def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cells(smallest: np.ndarray, cells: int) -> np.ndarray:
-    return ((smallest >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+    """Cells of minimisers, mixed once more: as smallest hashes they crowd at the low end."""
+    return ((mixed(smallest) >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
 
 
 def covered_windows(ids: np.ndarray, counts: np.ndarray, texts: list[bytes], window: int) -> np.ndarray:
@@ -279,22 +280,23 @@ def _packed(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataF
 def _hot_spans(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataFrame:
     """The same answer for windows of hot minimisers: grouped by their text, each window a row."""
 
-    def single(columns: dict) -> dict:
-        ids, digests = columns["id"].to_numpy(), columns["digest"].to_numpy()
-        out: dict[str, list] = {"window": [], "id": [], "digest": [], "span": []}
-        for start, some in _chunks(encoded(columns["text"]), CHUNK):
-            words = Words.of(some)
-            at, smallest = _windows(words, window)
-            at = at[np.isin(_cells(smallest, cells), hot)]
-            data, text = words.data.tobytes(), words.text[at]
-            place = at - np.searchsorted(words.text, text)
-            out["window"] += [data[a:b] for a, b in zip(words.begins[at].tolist(), words.ends[at + window - 1].tolist(), strict=True)]
-            out["span"] += (place << 32 | place + window).tolist()
-            out["id"] += ids[start + text].tolist()
-            out["digest"] += digests[start + text].tolist()
-        return out
+    schema = "window binary, id long, digest int, span long"
+    target = arrow_schema(keyed.sparkSession, schema)
 
-    rows = stored(map_batches(keyed, single, "window binary, id long, digest int, span long"), "substrings-hot")
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
+            ids, digests = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for start, some in _chunks(encoded(batch.column(2)), CHUNK):
+                words = Words.of(some)
+                at, smallest = _windows(words, window)
+                at = at[np.isin(_cells(smallest, cells), hot)]
+                data, text = words.data.tobytes(), words.text[at]
+                place = at - np.searchsorted(words.text, text)
+                found = [data[a:b] for a, b in zip(words.begins[at].tolist(), words.ends[at + window - 1].tolist(), strict=True)]
+                own = {"id": ids[start + text], "digest": digests[start + text], "span": place << 32 | place + window}
+                yield record_batch({"window": found} | own, target)
+
+    rows = stored(keyed.select("id", "digest", "text").mapInArrow(single, schema), "substrings-hot")
     first = rows.groupBy("window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("most > least")
     return rows.join(first.select("window", "least"), "window").where("id > least").select("id", "digest", "span")
 
