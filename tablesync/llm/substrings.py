@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import SPACES, arrow_schema, encoded, map_batches, mixed, partitions, record_batch, stored, text_or_empty
 
 MER = 3  # words per minimiser candidate
-PARTS_PER_TASK, CELLS_PER_PART = 8, 2
+PARTS_PER_TASK, CELLS_PER_PART, LEAST_CELLS = 8, 2, 4096
 #: A cell with fewer windows is never worth another route.
 SMALL_CELL = 20_000
 #: Texts are hashed together up to CHUNK bytes and packed together up to PACKED bytes.
@@ -196,7 +196,8 @@ def repeated_spans(keyed: DataFrame, window: int) -> DataFrame:
     spark = keyed.sparkSession
     tasks = partitions(spark)
     parts = PARTS_PER_TASK * tasks
-    cells = CELLS_PER_PART * parts
+    per_part = max(CELLS_PER_PART, -(-LEAST_CELLS // parts))
+    cells = per_part * parts
     hot = _hot_cells(keyed, window, cells, parts)
     schema = "id long, digest int, span long"
     target = arrow_schema(spark, schema)
@@ -209,7 +210,7 @@ def repeated_spans(keyed: DataFrame, window: int) -> DataFrame:
         string, begin, end = _spans(flags, counts - window + 1, starts, window)
         return pa.Table.from_batches([record_batch({"id": ids[string], "digest": digests[string], "span": begin << 32 | end}, target)])
 
-    packed = _packed(keyed, window, cells, hot)
+    packed = _packed(keyed, window, cells, per_part, hot)
     spans = packed.repartition(tasks, "part").groupBy("part").applyInArrow(solve, schema)
     if len(hot):
         spans = spans.union(_hot_spans(keyed, window, cells, hot))
@@ -232,7 +233,7 @@ def _hot_cells(keyed: DataFrame, window: int, cells: int, parts: int) -> np.ndar
     return np.array(sorted(c for (c,) in sums.where(F.col("n") > limit).select("cell").collect()), np.int64)
 
 
-def _packed(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataFrame:
+def _packed(keyed: DataFrame, window: int, cells: int, per_part: int, hot: np.ndarray) -> DataFrame:
     """Super-k-mers; those of some texts that go to one part travel as one compressed pack."""
     schema = "part long, pack binary"
     target = arrow_schema(keyed.sparkSession, schema)
@@ -250,7 +251,7 @@ def _packed(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataF
         begin = np.searchsorted(words.text, text)
         strings = [data[a:b] for a, b in zip(words.begins[first].tolist(), words.ends[last].tolist(), strict=True)]
         columns = [ids[text], digests[text], (first - begin).astype(np.int32), (last - first + 1).astype(np.int32)]
-        return own // CELLS_PER_PART, pa.table([*columns, pa.array(strings, pa.binary())], schema=PACK)
+        return own // per_part, pa.table([*columns, pa.array(strings, pa.binary())], schema=PACK)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
