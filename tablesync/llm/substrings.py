@@ -23,7 +23,7 @@ SMALL_CELL = 20_000
 CHUNK, PACKED = 1 << 19, 1 << 22
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 STEP = 0x9E3779B97F4A7C15
-PACK = pa.schema([("id", pa.int64()), ("digest", pa.int32()), ("start", pa.int32()), ("words", pa.int32()), ("text", pa.binary())])
+PACK = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("more", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("text", pa.binary())])
 _WHITE = np.isin(np.arange(256), list(SPACES))
 
 
@@ -185,8 +185,8 @@ def _spans(flags: np.ndarray, windows: np.ndarray, starts: np.ndarray, window: i
 def repeated_spans(keyed: DataFrame, window: int) -> DataFrame:
     """Spans of words covered by a window that also starts in a text with a smaller id.
 
-    ``keyed`` has id (long, not null), digest (int) and text. Returns id, digest, span (first word in the
-    upper, word after the last in the lower half).
+    ``keyed`` has id (long, not null), digest and more (long, together 128 bits that tell texts of one id apart) and text. Returns
+    id, digest, more, span (first word in the upper, word after the last in the lower half).
 
     Consecutive windows with one minimiser travel as one string to the part of their minimiser, where a
     sort by window hash brings equal windows together. A minimiser with more windows than an average part holds (at most
@@ -199,16 +199,16 @@ def repeated_spans(keyed: DataFrame, window: int) -> DataFrame:
     per_part = max(CELLS_PER_PART, -(-LEAST_CELLS // parts))
     cells = per_part * parts
     hot = _hot_cells(keyed, window, cells, parts)
-    schema = "id long, digest int, span long"
+    schema = "id long, digest long, more long, span long"
     target = arrow_schema(spark, schema)
 
     def solve(table: pa.Table) -> pa.Table:
         packs = [pa.ipc.open_stream(pa.py_buffer(blob.as_py())).read_all() for blob in table.column("pack")]
         every = pa.concat_tables(packs).combine_chunks()
-        ids, digests, starts, counts = (every.column(n).to_numpy().astype(np.int64) for n in ("id", "digest", "start", "words"))
+        ids, digests, more, starts, counts = (every.column(n).to_numpy().astype(np.int64) for n in ("id", "digest", "more", "start", "words"))
         flags = covered_windows(ids, counts, every.column("text").to_pylist(), window)
         string, begin, end = _spans(flags, counts - window + 1, starts, window)
-        return pa.Table.from_batches([record_batch({"id": ids[string], "digest": digests[string], "span": begin << 32 | end}, target)])
+        return pa.Table.from_batches([record_batch({"id": ids[string], "digest": digests[string], "more": more[string], "span": begin << 32 | end}, target)])
 
     packed = _packed(keyed, window, cells, per_part, hot)
     spans = packed.repartition(tasks, "part").groupBy("part").applyInArrow(solve, schema)
@@ -238,7 +238,7 @@ def _packed(keyed: DataFrame, window: int, cells: int, per_part: int, hot: np.nd
     schema = "part long, pack binary"
     target = arrow_schema(keyed.sparkSession, schema)
 
-    def pieces(some: list[bytes], ids: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, pa.Table]:
+    def pieces(some: list[bytes], ids: np.ndarray, digests: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, pa.Table]:
         words = Words.of(some)
         at, smallest = _windows(words, window)
         new = np.r_[True, (np.diff(at) != 1) | (smallest[1:] != smallest[:-1])] if len(at) else np.zeros(0, bool)
@@ -250,17 +250,17 @@ def _packed(keyed: DataFrame, window: int, cells: int, per_part: int, hot: np.nd
         data, text = words.data.tobytes(), words.text[first]
         begin = np.searchsorted(words.text, text)
         strings = [data[a:b] for a, b in zip(words.begins[first].tolist(), words.ends[last].tolist(), strict=True)]
-        columns = [ids[text], digests[text], (first - begin).astype(np.int32), (last - first + 1).astype(np.int32)]
+        columns = [ids[text], digests[text], more[text], (first - begin).astype(np.int32), (last - first + 1).astype(np.int32)]
         return own // per_part, pa.table([*columns, pa.array(strings, pa.binary())], schema=PACK)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
-            ids, digests, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), encoded(batch.column(2))
+            ids, digests, more, texts = *(batch.column(c).to_numpy() for c in range(3)), encoded(batch.column(3))
             for start, group in _chunks(texts, PACKED):
                 found = []
                 for first, some in _chunks(group, CHUNK):
                     own = slice(start + first, start + first + len(some))
-                    found.append(pieces(some, ids[own], digests[own]))
+                    found.append(pieces(some, ids[own], digests[own], more[own]))
                 part = np.concatenate([p for p, _ in found])
                 if not len(part):
                     continue
@@ -275,31 +275,31 @@ def _packed(keyed: DataFrame, window: int, cells: int, per_part: int, hot: np.nd
                     packs.append(sink.getvalue().to_pybytes())
                 yield record_batch({"part": part[edges[:-1]], "pack": packs}, target)
 
-    return keyed.select("id", "digest", "text").mapInArrow(pack, schema)
+    return keyed.select("id", "digest", "more", "text").mapInArrow(pack, schema)
 
 
 def _hot_spans(keyed: DataFrame, window: int, cells: int, hot: np.ndarray) -> DataFrame:
     """The same answer for windows of hot minimisers: grouped by their text, each window a row."""
 
-    schema = "window binary, id long, digest int, span long"
+    schema = "window binary, id long, digest long, more long, span long"
     target = arrow_schema(keyed.sparkSession, schema)
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
-            ids, digests = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for start, some in _chunks(encoded(batch.column(2)), CHUNK):
+            ids, digests, more = (batch.column(c).to_numpy() for c in range(3))
+            for start, some in _chunks(encoded(batch.column(3)), CHUNK):
                 words = Words.of(some)
                 at, smallest = _windows(words, window)
                 at = at[np.isin(_cells(smallest, cells), hot)]
                 data, text = words.data.tobytes(), words.text[at]
                 place = at - np.searchsorted(words.text, text)
                 found = [data[a:b] for a, b in zip(words.begins[at].tolist(), words.ends[at + window - 1].tolist(), strict=True)]
-                own = {"id": ids[start + text], "digest": digests[start + text], "span": place << 32 | place + window}
+                own = {"id": ids[start + text], "digest": digests[start + text], "more": more[start + text], "span": place << 32 | place + window}
                 yield record_batch({"window": found} | own, target)
 
-    rows = stored(keyed.select("id", "digest", "text").mapInArrow(single, schema), "substrings-hot")
+    rows = stored(keyed.select("id", "digest", "more", "text").mapInArrow(single, schema), "substrings-hot")
     first = rows.groupBy("window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("most > least")
-    return rows.join(first.select("window", "least"), "window").where("id > least").select("id", "digest", "span")
+    return rows.join(first.select("window", "least"), "window").where("id > least").select("id", "digest", "more", "span")
 
 
 def _cut(text: bytes, spans: np.ndarray) -> tuple[int, int, bytes, bytes | None]:
@@ -334,13 +334,14 @@ def dedup_substrings(
     """
     text = text_or_empty(text_col)
     last = F.lit((1 << 63) - 1)
-    columns = [F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.shiftright(F.xxhash64(text), 32).cast("int").alias("digest"), text.alias("text")]
+    digests = [F.xxhash64(text).alias("digest"), F.xxhash64(F.lit(1), text).alias("more")]
+    columns = [F.coalesce(F.col(id_col).cast("long"), last).alias("id"), *digests, text.alias("text")]
     keyed = docs.select(*columns)
-    lists = repeated_spans(keyed, window).groupBy("id", "digest").agg(F.collect_list("span").alias("spans"))
+    lists = repeated_spans(keyed, window).groupBy("id", "digest", "more").agg(F.collect_set("span").alias("spans"))
     others = [F.col(c) for c in docs.columns if c != text_col]
     row = [F.struct(*others).alias("row")] if with_rows else []
-    columns[2] = F.col(text_col).cast("string").alias("text")
-    rows = docs.select(*columns, F.col(id_col).cast("long").alias("own_id"), *row).join(lists, ["id", "digest"], "left")
+    columns[3] = F.col(text_col).cast("string").alias("text")
+    rows = docs.select(*columns, F.col(id_col).cast("long").alias("own_id"), *row).join(lists, ["id", "digest", "more"], "left")
     row_type = f", row {rows.schema['row'].dataType.simpleString()}" if with_rows else ""
     schema = "own_id long, n_words long, n_removed long, kept_sha256 string" + (f"{row_type}, kept_text string" if with_rows else "")
 

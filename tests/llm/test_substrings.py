@@ -59,3 +59,24 @@ def test_rows_keep_their_columns_and_white_space(spark):
 def test_no_documents(no_docs):
     assert dedup_substrings(no_docs).count() == 0
     assert without_repeats(no_docs).columns == no_docs.columns
+
+
+def test_null_ids_with_digests_alike_keep_their_own_words(spark):
+    """Two texts whose hashes agree in the upper 32 bits: only the one with an earlier passage loses it."""
+    import xxhash
+
+    passage, other = " ".join(f"p{k}" for k in range(20)), " ".join(f"q{k}" for k in range(20))
+    upper = {xxhash.xxh64_intdigest(f"{passage} a{k}", 42) >> 32: f"{passage} a{k}" for k in range(300_000)}
+    one, two = next((upper[h], t) for t in (f"{other} b{k}" for k in range(300_000)) if (h := xxhash.xxh64_intdigest(t, 42) >> 32) in upper)
+    docs = spark.createDataFrame([(1, passage), (None, one), (None, two)], "doc_id long, text string")
+    found = {(r["doc_id"], r["n_words"] - r["n_removed"]) for r in dedup_substrings(docs).collect()}
+    assert found == {(1, 20), (None, 1), (None, 21)}
+
+
+def test_spans_of_rows_alike_are_there_once(spark, monkeypatch):
+    passage = " ".join(f"p{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, passage)] + [(2, passage + " more")] * 50, "doc_id long, text string")
+    held = []
+    monkeypatch.setattr(substrings, "map_batches", lambda rows, f, s, g=substrings.map_batches: (held.append(rows), g(rows, f, s))[1])
+    assert {(r["doc_id"], r["n_removed"]) for r in dedup_substrings(docs).collect()} == {(1, 0), (2, 20)}
+    assert all(len(r["spans"] or ()) == len(set(r["spans"] or ())) for rows in held if "spans" in rows.columns for r in rows.collect())
