@@ -38,3 +38,9 @@ def test_stages_work_on_what_is_left(spark):
             assert now < seen, name
         seen = now
     assert "sequence_id" in docs.columns
+
+
+def test_packed_pieces_carry_their_tokens(spark):
+    docs = spark.createDataFrame([(1, "some words to pack"), (2, "more of them")], "doc_id long, text string")
+    rows = corpus_pipeline.packing(spark, docs, SF_DIR).collect()
+    assert rows and all(len(r["ids"]) == 4 * r["length"] > 0 for r in rows)
