@@ -21,8 +21,8 @@ FREQUENT = CLUSTERS * MEMBERS - BUCKETS
 PAD = CLUSTERS * MEMBERS
 REACH, WIDTH = 3, 16
 OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
-#: Of every document, each STRIDE-th position is a training target, in ROUNDS passes over disjoint documents.
-STRIDE, ROUNDS, BATCH = 8, 2, 2048
+#: Every position of every document is a training target, in ROUNDS passes over disjoint documents.
+ROUNDS, BATCH = 2, 16384
 RATE = 0.3
 SLICE = 4096
 FIXED = float(1 << 24)
@@ -180,11 +180,11 @@ def score_tokens(network: Network, texts: list[np.ndarray]) -> np.ndarray:
             pending.clear()
 
     for k, tokens in enumerate(texts):
-        for begin in range(0, len(tokens), 8 * BATCH):
-            at = np.arange(begin, min(begin + 8 * BATCH, len(tokens)))
+        for begin in range(0, len(tokens), BATCH):
+            at = np.arange(begin, min(begin + BATCH, len(tokens)))
             pending.append((k, contexts(tokens, at), tokens[at]))
             held += len(at)
-            if held >= 8 * BATCH:
+            if held >= BATCH:
                 flush()
                 held = 0
     flush()
@@ -223,7 +223,7 @@ def _vocabulary(rows: DataFrame) -> tuple[list[bytes], np.ndarray]:
 def _trained(rows: DataFrame, network: Network, frequent: list[bytes], round_: int) -> Network:
     """Train one network per task on all its documents of this round, then average them by their number of targets.
 
-    Weights travel in slices as whole numbers, so the sum is the same in any order; tasks are summed in groups first.
+    Weights travel in slices as whole numbers in two halves, so the sum is the same in any order; tasks are summed in groups first.
     """
     spark = rows.sparkSession
     schema = "slice int, task long, n long, sums binary"
@@ -236,22 +236,21 @@ def _trained(rows: DataFrame, network: Network, frequent: list[bytes], round_: i
             for text, mark in zip(encoded(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 first = mark if first is None else first
                 tokens = classes.of(text)
-                at = np.arange(mark % STRIDE, len(tokens), STRIDE)
-                around.append(contexts(tokens, at)), wanted.append(tokens[at])
-                held += len(at)
-                if held >= BATCH:
-                    around, wanted = [np.concatenate(around)], [np.concatenate(wanted)]
-                    whole = held - held % BATCH
-                    for a in range(0, whole, BATCH):
-                        own.train(around[0][a : a + BATCH], wanted[0][a : a + BATCH])
-                    seen += whole
-                    around, wanted, held = [around[0][whole:]], [wanted[0][whole:]], held - whole
+                for begin in range(0, len(tokens), BATCH):
+                    at = np.arange(begin, min(begin + BATCH, len(tokens)))
+                    around.append(contexts(tokens, at)), wanted.append(tokens[at])
+                    held += len(at)
+                    if held >= BATCH:
+                        around, wanted = [np.concatenate(around)], [np.concatenate(wanted)]
+                        own.train(around[0][:BATCH], wanted[0][:BATCH])
+                        seen += BATCH
+                        around, wanted, held = [around[0][BATCH:]], [wanted[0][BATCH:]], held - BATCH
         if held:
             own.train(np.concatenate(around), np.concatenate(wanted))
             seen += held
         if seen:
             sums = np.round(own.flat().astype(float) * FIXED).astype(np.int64) * seen
-            pieces = [sums[a : a + SLICE].tobytes() for a in range(0, len(sums), SLICE)]
+            pieces = [np.r_[s >> 32, s & 0xFFFFFFFF].tobytes() for s in (sums[a : a + SLICE] for a in range(0, len(sums), SLICE))]
             k = len(pieces)
             yield record_batch({"slice": range(k), "task": [first & 0x3F] * k, "n": [seen] * k, "sums": pieces}, target)
 
@@ -265,12 +264,13 @@ def _trained(rows: DataFrame, network: Network, frequent: list[bytes], round_: i
     whole = sorted(sums.groupBy("slice").applyInArrow(add, schema).collect(), key=lambda r: r["slice"])
     if not whole:
         return network
-    values = np.concatenate([np.frombuffer(bytes(r["sums"]), np.int64).astype(float) / r["n"] for r in whole]) / FIXED
+    halves = [np.frombuffer(bytes(r["sums"]), np.int64).reshape(2, -1).astype(float) for r in whole]
+    values = np.concatenate([(high * (1 << 32) + low) / r["n"] for (high, low), r in zip(halves, whole, strict=True)]) / FIXED
     return network.with_values(values)
 
 
 def train_network(docs: DataFrame, text_col: str = "text", seed: int = 5) -> tuple[Network, list[bytes]]:
-    """Word counts of all documents, then ROUNDS of training in which every document takes part once."""
+    """Word counts of all documents, then ROUNDS of training in which every token of every document is a target once."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(1 << 40)).alias("mark"))
     frequent, counts = _vocabulary(rows)

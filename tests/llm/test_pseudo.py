@@ -67,3 +67,11 @@ def test_a_token_does_not_see_itself():
 
 def test_no_documents(no_docs):
     assert pseudo_likelihood(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("text", [f"short text {k}" for k in range(8)])
+def test_every_short_text_is_trained_on(spark, text):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    network, frequent = train_network(docs)
+    counts = np.bincount(Classes(frequent).of(text.encode()), minlength=pseudo.PAD + 1).astype(float)
+    assert (network.flat() != Network.from_counts(counts, 5).flat()).any()
