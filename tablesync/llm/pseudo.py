@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -9,6 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ ROUNDS, BATCH = 2, 16384
 RATE = 0.3
 SLICE = 4096
 FIXED = float(1 << 24)
+#: Logarithms of word shares travel as whole numbers of this part of one, so their sum is the same in any order.
+SHARE = float(1 << 32)
 
 
 def bucket_of(word: bytes) -> int:
@@ -191,8 +195,25 @@ def score_tokens(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     return totals
 
 
-def _vocabulary(rows: DataFrame) -> tuple[list[bytes], np.ndarray]:
-    """The most frequent words of the whole corpus and how often each class occurs."""
+@dataclass
+class Shares:
+    """How often each word occurs (word, n), and for each bucket its tokens and distinct words."""
+
+    counts: DataFrame
+    tokens: np.ndarray
+    distinct: np.ndarray
+
+    def unseen(self, bucket: int) -> float:
+        """Each word counts once more than it is there, and one word stands for all unseen ones."""
+        return -math.log(self.tokens[bucket] + self.distinct[bucket] + 1)
+
+
+def _word_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, 7) - (1 << 63)
+
+
+def _vocabulary(rows: DataFrame) -> tuple[list[bytes], np.ndarray, Shares]:
+    """The most frequent words of the whole corpus, how often each class occurs, and the other words' shares."""
 
     def count(columns: dict) -> dict:
         found: Counter[bytes] = Counter()
@@ -209,15 +230,44 @@ def _vocabulary(rows: DataFrame) -> tuple[list[bytes], np.ndarray]:
         table[own[bytes(r["word"])]] = r["n"]
 
     def rest(columns: dict) -> dict:
-        sums = np.zeros(BUCKETS, np.int64)
+        sums, words = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for word, n in zip(columns["word"].to_pylist(), columns["n"].to_pylist(), strict=True):
             if word not in own:
                 sums[bucket_of(word) - FREQUENT] += n
-        return {"bucket": np.arange(BUCKETS), "n": sums}
+                words[bucket_of(word) - FREQUENT] += 1
+        return {"bucket": np.arange(BUCKETS), "n": sums, "words": words}
 
-    for bucket, n in map_batches(counts, rest, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).collect():
-        table[FREQUENT + bucket] = n
-    return frequent, table
+    distinct = np.zeros(BUCKETS)
+    buckets = map_batches(counts, rest, "bucket long, n long, words long").groupBy("bucket").agg(F.sum("n"), F.sum("words"))
+    for bucket, n, words in buckets.collect():
+        table[FREQUENT + bucket], distinct[bucket] = n, words
+    return frequent, table, Shares(counts, table[FREQUENT:PAD], distinct)
+
+
+def _word_shares(rows: DataFrame, frequent: list[bytes], shares: Shares) -> DataFrame:
+    """For each text, by its two hashes, the summed logarithms of its words' shares in their buckets, over all rows of that text."""
+    own, unseen = set(frequent), [shares.unseen(k) for k in range(BUCKETS)]
+
+    def rest(columns: dict) -> dict:
+        out: dict[str, list] = {"k1": [], "k2": [], "word": [], "times": [], "unseen": []}
+        for text, k1, k2 in zip(encoded(columns["text"]), columns["k1"].to_pylist(), columns["k2"].to_pylist(), strict=True):
+            found = [(w, n) for w, n in Counter(text.lower().split()).items() if w not in own]
+            out["k1"] += [k1] * len(found)
+            out["k2"] += [k2] * len(found)
+            out["word"] += [_word_hash(w) for w, _ in found]
+            out["times"] += [n for _, n in found]
+            out["unseen"] += [round(SHARE * unseen[bucket_of(w) - FREQUENT]) for w, _ in found]
+        return out
+
+    def known(columns: dict) -> dict:
+        some = [(w, n) for w, n in zip(columns["word"].to_pylist(), columns["n"].to_pylist(), strict=True) if w not in own]
+        values = [round(SHARE * (math.log(n + 1) + unseen[bucket_of(w) - FREQUENT])) for w, n in some]
+        return {"word": [_word_hash(w) for w, _ in some], "value": values}
+
+    words = map_batches(rows.select("text", "k1", "k2"), rest, "k1 long, k2 long, word long, times long, unseen long")
+    table = map_batches(shares.counts, known, "word long, value long")
+    valued = words.join(table, "word", "left").withColumn("value", F.coalesce("value", "unseen") * F.col("times"))
+    return valued.groupBy("k1", "k2").agg(F.sum("value").alias("value"))
 
 
 def _trained(rows: DataFrame, network: Network, frequent: list[bytes], round_: int) -> Network:
@@ -270,28 +320,34 @@ def _trained(rows: DataFrame, network: Network, frequent: list[bytes], round_: i
 
 
 def train_network(docs: DataFrame, text_col: str = "text", seed: int = 5) -> tuple[Network, list[bytes]]:
+    """The network and the frequent words, without the shares of the others."""
+    return train_model(docs, text_col, seed)[:2]
+
+
+def train_model(docs: DataFrame, text_col: str = "text", seed: int = 5) -> tuple[Network, list[bytes], Shares]:
     """Word counts of all documents, then ROUNDS of training in which every token of every document is a target once."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(1 << 40)).alias("mark"))
-    frequent, counts = _vocabulary(rows)
+    frequent, counts, shares = _vocabulary(rows)
     network = Network.from_counts(counts, seed)
     for round_ in range(ROUNDS):
         network = _trained(rows, network, frequent, round_)
-    return network, frequent
+    return network, frequent, shares
 
 
 def pseudo_likelihood(
-    docs: DataFrame, model: tuple[Network, list[bytes]] | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, model: tuple[Network, list[bytes]] | tuple[Network, list[bytes], Shares] | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Score every whole document by the summed log-probability of each token given its neighbours on both sides.
 
     Words (split at ASCII white space, A-Z lower-cased) are FREQUENT classes of their own and BUCKETS of others. A network
-    predicts each class from the REACH classes before and after it; it is trained here on all documents unless given.
+    predicts each class from the REACH classes before and after it; it is trained here on all documents unless given. A word
+    without a class of its own has its share of the bucket, by its count, as a factor; a model given without shares scores classes.
 
     Returns ``id_col``, n_tokens, log_likelihood (0 without tokens) and mean_log_likelihood (null without tokens). Defined cases: a null
     or empty text has no tokens; repeated rows and null ids get a row each; an empty table gives no rows; other columns are not looked at.
     """
-    network, frequent = model or train_network(docs, text_col)
+    network, frequent, *shares = model or train_model(docs, text_col)
     shared: list[Classes] = []
 
     def run(columns: dict) -> dict:
@@ -299,9 +355,20 @@ def pseudo_likelihood(
         shared[:] = [classes]
         texts = [classes.of(t) for t in encoded(columns["text"])]
         sizes, totals = [len(t) for t in texts], score_tokens(network, texts)
-        means = [float(t) / n if n else None for t, n in zip(totals, sizes, strict=True)]
-        return {"id": columns["id"], "n_tokens": sizes, "log_likelihood": totals, "mean_log_likelihood": means}
+        found = {"id": columns["id"], "n_tokens": sizes, "log_likelihood": totals}
+        return found | {k: columns[k] for k in ("k1", "k2") if k in columns}
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
-    return map_batches(rows, run, schema).withColumnRenamed("id", id_col)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keys = [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")] if shares else []
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *keys)
+    scored = map_batches(rows, run, "id long, n_tokens long, log_likelihood double" + (", k1 long, k2 long" if shares else ""))
+    if shares:
+        scored = stored(scored, "pseudo-classes")
+        sums = _word_shares(rows, frequent, shares[0])
+        # Rows of one text each add the same sum.
+        each = sums.join(scored.groupBy("k1", "k2").agg(F.count("*").alias("rows")), ["k1", "k2"])
+        each = each.select("k1", "k2", (F.col("value") / F.col("rows") / SHARE).alias("share"))
+        whole = F.col("log_likelihood") + F.coalesce("share", F.lit(0.0))
+        scored = scored.join(each, ["k1", "k2"], "left").select("id", "n_tokens", whole.alias("log_likelihood"))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return scored.select(F.col("id").alias(id_col), "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"))

@@ -75,3 +75,23 @@ def test_every_short_text_is_trained_on(spark, text):
     network, frequent = train_network(docs)
     counts = np.bincount(Classes(frequent).of(text.encode()), minlength=pseudo.PAD + 1).astype(float)
     assert (network.flat() != Network.from_counts(counts, 5).flat()).any()
+
+
+def test_words_without_a_class_are_scored_themselves(spark):
+    """By hand: the class's log-probability and the logarithm of each rare word's share in its bucket."""
+    r = np.random.default_rng(3)
+    words = [f"v{k}end" for k in range(1500)]
+    texts = [" ".join(words[k] for k in (r.random(60) ** 2 * 1500).astype(int)) for _ in range(80)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, texts[0]])], "doc_id long, text string").repartition(3)
+    model = pseudo.train_model(docs)
+    n = pseudo.Counter(w for t in [*texts, texts[0]] for w in t.split())
+    rare = {w: k for w, k in n.items() if w.encode() not in set(model[1])}
+    assert rare
+    classes = Classes(model[1])
+    for r_ in pseudo_likelihood(docs, model).collect():
+        text = [*texts, texts[0]][r_["doc_id"]]
+        share = sum(np.log((rare[w] + 1) / (sum(rare.values()) + len(rare) + 1)) for w in text.split() if w in rare)
+        assert r_["log_likelihood"] == pytest.approx(score_tokens(model[0], [classes.of(text.encode())])[0] + share, rel=1e-4)
+    other = spark.createDataFrame([(0, texts[0]), (1, " ".join("inventedend" if w in rare else w for w in texts[0].split()))], "doc_id long, text string")
+    a, b = sorted(pseudo_likelihood(other, model).collect())
+    assert ("inventedend" in " ".join(x for x in other.toPandas()["text"])) and a["log_likelihood"] > b["log_likelihood"]
