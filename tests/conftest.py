@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -8,10 +7,10 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from tablesync.frames import local_frame
+from sync_helpers import PEOPLE
 from tablesync.session import builder
 from tablesync.sinks import BucketedTable
-from tablesync.spec import ColumnSpec, SyncConfig, TargetSpec
+from tablesync.spec import SyncConfig
 
 
 @pytest.fixture(scope="session")
@@ -43,31 +42,6 @@ def quick():
     return SyncConfig(chunk_size=3, max_workers=2, retry_attempts=2, retry_wait_min=0.01, retry_wait_max=0.05)
 
 
-PEOPLE = TargetSpec(
-    "people",
-    (
-        ColumnSpec("id", "integer", nullable=False),
-        ColumnSpec("name", "character varying"),
-        ColumnSpec("updated_at", "timestamp with time zone", nullable=False),
-        ColumnSpec("amount", "double precision"),
-    ),
-)
-PEOPLE_ROWS = [
-    (1, "Alice", dt.datetime(2024, 1, 1), 100.0),
-    (2, "Bob", dt.datetime(2024, 1, 2), 200.0),
-    (3, "Charlie", dt.datetime(2024, 1, 3), 300.0),
-]
-PEOPLE_SCHEMA = "id bigint, name string, updated_at timestamp_ntz, amount double"
-
-
-def people_frame(spark, rows=PEOPLE_ROWS):
-    return local_frame(spark, rows, PEOPLE_SCHEMA)
-
-
 @pytest.fixture
 def people(spark, folder):
     return BucketedTable.create(spark, folder, PEOPLE, ["id"], buckets=4)
-
-
-def rows(df, *order):
-    return sorted(tuple(r) for r in df.select(*(order or df.columns)).collect())

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import people_frame, rows
+from sync_helpers import people_frame, rows
 from tablesync.frames import local_frame
 from tablesync.operators import assign_chunks, chunk_report, chunks, first_chunk, sample_rows
 

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import PEOPLE, PEOPLE_ROWS, people_frame, rows
+from sync_helpers import PEOPLE, PEOPLE_ROWS, people_frame, rows
 from tablesync.frames import local_frame
 from tablesync.operators import SchemaValidationError
 from tablesync.plans import run_many, run_pipeline, run_sync
@@ -30,12 +30,12 @@ def audit(spark, tmp_path):
 def test_runs_load_all_then_only_what_is_new(people, spark, audit):
     first = run_sync(source(spark), people, SYNC, audit=audit)
     assert (first.low, first.high, first.total_rows, first.status) == (None, LAST, 3, "success")
-    later = [*PEOPLE_ROWS, (2, "Bobby", dt.datetime(2024, 2, 1), 2.0), (4, "Dora", dt.datetime(2024, 2, 2), 4.0)]
+    later = [*PEOPLE_ROWS, (2, "Jarle", dt.datetime(2024, 2, 1), 2.0), (4, "Lena", dt.datetime(2024, 2, 2), 4.0)]
     second = run_sync(source(spark, later), people, SYNC, audit=audit)
     assert (second.low, second.high, second.total_rows) == (LAST, dt.datetime(2024, 2, 2), 2)
     third = run_sync(source(spark, later), people, SYNC, audit=audit)
     assert (third.total_rows, third.chunks_ok) == (0, 0)
-    assert rows(people.read(), "name") == [("Alice",), ("Bobby",), ("Charlie",), ("Dora",)]
+    assert rows(people.read(), "name") == [("Ines",), ("Jarle",), ("Kofi",), ("Lena",)]
     assert [r["total_rows"] for r in audit.read().collect()] == [3, 2, 0]
     assert people.mark("people") == Mark(dt.datetime(2024, 2, 2))
 
@@ -99,13 +99,13 @@ def test_rowversion_runs(spark, folder):
     spec = TargetSpec.from_frame("accounts", versioned(spark, []).frame)
     target = BucketedTable.create(spark, folder, spec, ["id"], 2)
     config = TableConfig("accounts", "rv", ("id",), mode="rowversion")
-    data = [(1, "Alice", 1001), (2, "Bob", 1002)]
+    data = [(1, "Ines", 1001), (2, "Jarl", 1002)]
     first = run_sync(versioned(spark, data), target, config)
     assert (first.low_rowver, first.high_rowver, first.total_rows) == (None, 1002, 2)
     assert "__rowver" not in target.read().columns and "rv" in target.read().columns
     second = run_sync(versioned(spark, [*data, (1, "Al", 1003), (1, "Ali", 1004)]), target, config)
     assert (second.low_rowver, second.high_rowver, second.total_rows) == (1002, 1004, 2)
-    assert rows(target.read(), "name") == [("Ali",), ("Bob",)]
+    assert rows(target.read(), "name") == [("Ali",), ("Jarl",)]
     third = run_sync(versioned(spark, data), target, config)
     assert (third.total_rows, target.mark("accounts")) == (0, Mark(None, 1004))
 
@@ -293,7 +293,7 @@ def test_stream_loads_what_is_there_and_goes_on(people, spark, tmp_path):
     arrive((1, "Al", LAST, 1.0))
     assert start().total_rows == 1
     assert start().total_rows == 0
-    assert rows(people.read(), "name") == [("Al",), ("Bob",), ("Charlie",)]
+    assert rows(people.read(), "name") == [("Al",), ("Jarl",), ("Kofi",)]
 
 
 def test_stream_refuses_bad_rows(people, spark, tmp_path):

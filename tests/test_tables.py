@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sync_helpers import rows
 from tablesync.frames import local_frame
 from tablesync.functions import with_generated
 from tablesync.operators import sample_rows
@@ -91,16 +91,16 @@ def test_decimal_columns_do_not_pass_for_integers(spark, target):
 
 def test_omitted_flag_takes_its_default_and_keeps_its_value(spark, folder):
     target = BucketedTable.create(spark, folder, CUSTOMERS, ["id"], 2)
-    target.upsert(local_frame(spark, [(1, "ACME", START), (2, "Tech", START)], "id int, nombre string, updated_at timestamp_ntz"))
+    target.upsert(local_frame(spark, [(1, "Norden", START), (2, "Ostsee", START)], "id int, nombre string, updated_at timestamp_ntz"))
     assert rows(target.read(), "id", "activo") == [(1, 1), (2, 1)]
-    target.upsert(local_frame(spark, [(1, 0)], "id int, activo smallint").withColumn("nombre", F.lit("ACME")))
-    target.upsert(local_frame(spark, [(1, "ACME Corp")], "id int, nombre string"))
-    assert rows(target.read(), "id", "nombre", "activo") == [(1, "ACME Corp", 0), (2, "Tech", 1)]
+    target.upsert(local_frame(spark, [(1, 0)], "id int, activo smallint").withColumn("nombre", F.lit("Norden")))
+    target.upsert(local_frame(spark, [(1, "Norden AB")], "id int, nombre string"))
+    assert rows(target.read(), "id", "nombre", "activo") == [(1, "Norden AB", 0), (2, "Ostsee", 1)]
 
 
 def test_rows_go_in_only_while_the_table_is_empty(spark, tmp_path):
     path = str(tmp_path / "clientes")
-    frame = local_frame(spark, [(1, "ACME")], "id int, nombre string")
+    frame = local_frame(spark, [(1, "Norden")], "id int, nombre string")
     assert append_rows(frame, path, only_if_empty=True)
     assert not append_rows(frame, path, only_if_empty=True)
     assert spark.read.parquet(path).count() == 1

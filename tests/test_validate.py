@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import types as T
 
-from conftest import PEOPLE, people_frame
+from sync_helpers import PEOPLE, people_frame
 from tablesync.frames import local_frame
 from tablesync.operators import (
     SchemaValidationError,
