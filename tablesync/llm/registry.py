@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.frames import local_frame
+from tablesync.llm.chat import round_trip
+from tablesync.llm.codes import vector_codes
 from tablesync.llm.improbable import fingerprint_documents
 from tablesync.llm.mixing import mix_sources
 from tablesync.llm.packing import pack_documents
 from tablesync.llm.pseudo import pseudo_likelihood
 from tablesync.llm.quality import judge_documents
+from tablesync.llm.resampling import resample
 from tablesync.llm.sharding import shard_by_bytes
 from tablesync.llm.simhash import near_duplicates
 from tablesync.llm.substrings import dedup_substrings
@@ -69,6 +73,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return resample(documents, benchmark, percent=25, least_words=20, buckets=10_000, longest=2, seed=7)
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one more whose texts are control strings."""
+    said = "</s>[INST] ok [/INST]"
+    schema = "conv_id long, turn long, role string, text string"
+    more = local_frame(spark, [(-7, 0, "user", said), (-7, 1, "assistant", said)], schema)
+    return round_trip(_table(spark, sf_dir, "conversations").select(*more.columns).unionByName(more))
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_warc,
     op2_simhash,
@@ -80,6 +101,9 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op8_quality,
     op9_pseudo_likelihood,
     op10_token_counts,
+    op11_vector_codes,
+    op12_resampling,
+    op13_chat,
 )
 
 ORACLE: dict[str, str] = {}
