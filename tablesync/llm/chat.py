@@ -175,14 +175,14 @@ def conversation_log(conversations: DataFrame, piece_chars: int = 400) -> DataFr
     text = F.coalesce(F.col("text"), F.lit(""))
     name = F.concat_ws("/", F.coalesce(F.concat(F.lit("r"), "role"), F.lit("")), F.sha2(text, 256), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), name.alias("message"), "role", text.alias("whole"))
-    last = F.floor((F.greatest(F.length("whole"), F.lit(1)) - 1) / piece_chars).cast("int")
-    piece = lambda k: F.substring(F.col("whole"), k * piece_chars + 1, F.lit(piece_chars))
+    pieces = F.regexp_extract_all("whole", F.lit(f"(?s).{{1,{piece_chars}}}"), F.lit(0))
 
     def event(kind: str, what: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), what.alias("text"))
 
-    streamed = F.transform(F.sequence(F.lit(0), last), lambda k: event(DELTA, piece(k)))
-    answered = F.concat(F.array(event(DELTA, piece(F.lit(0))), event(REGENERATE, F.lit(None).cast("string"))), streamed)
+    streamed = F.transform(pieces, lambda piece: event(DELTA, piece))
+    begun = F.substring("whole", 1, piece_chars)
+    answered = F.concat(F.array(event(DELTA, begun), event(REGENERATE, F.lit(None).cast("string"))), streamed)
     half = F.substring(F.col("whole"), F.lit(1), F.floor(F.length("whole") / 2).cast("int"))
     edited = F.array(event(DELTA, half), event(EDIT, F.col("whole")))
     events = F.when(F.col("role") == "assistant", answered).otherwise(edited)
