@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,7 @@ from tablesync.operators import (
 )
 from tablesync.plans import run_many, run_sync
 from tablesync.sinks import BucketedTable, WatermarkStore, suggest_buckets
+from tablesync.sinks.layers import FAN
 from tablesync.sinks.audit import AuditTable, RunResult
 from tablesync.sources import TableSource
 from tablesync.spec import ColumnSpec, SyncConfig, TableConfig, TargetSpec
@@ -382,6 +384,39 @@ def ups_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+MANY_LOADS = 20
+
+
+def ups_many_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty loads, each with some keys of its own and some that others bring, too, every third without a column: few layers."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus")
+    table = _target(spark, sf_dir, "orders", orders, ["o_orderkey"])
+    for load in range(MANY_LOADS):
+        some = orders.filter(f"o_orderkey % {MANY_LOADS} = {load} OR o_orderkey % 7 = {load} % 7")
+        some = some.withColumn("o_custkey", F.lit(load).cast("bigint"))
+        table.upsert(some.drop("o_orderstatus") if load % 3 == 2 else some.withColumn("o_orderstatus", F.lit(f"s{load}")))
+    layers = table.version().layers
+    few = len(layers) <= (FAN - 1) * (max(layer.tier for layer in layers) + 1)
+    return table.read().withColumn("few_layers", F.lit(few))
+
+
+def ups_sparse_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads that bring one column each, some values NULL: the last one given decides, column by column, before and after
+    the layers are compacted."""
+    rows = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    columns = tuple(ColumnSpec(c, t, default=d) for c, t, d in (
+        ("o_orderkey", "bigint", None), ("o_custkey", "bigint", "-1"), ("o_orderstatus", "text", "'new'"), ("o_totalprice", "double precision", None),
+    ))
+    table = _target(spark, sf_dir, "orders", TargetSpec("orders", columns), ["o_orderkey"])
+    table.upsert(rows.filter("o_orderkey % 2 = 0"))
+    table.upsert(rows.filter("o_orderkey % 3 = 0").select("o_orderkey", F.lit(3).cast("bigint").alias("o_custkey")))
+    table.upsert(rows.filter("o_orderkey % 5 = 0").select("o_orderkey", F.lit(None).cast("string").alias("o_orderstatus")))
+    table.upsert(rows.filter("o_orderkey % 7 = 0").select("o_orderkey", "o_totalprice"))
+    layered = table.read().withColumn("state", F.lit("layered"))
+    table.compact()
+    return layered.unionByName(table.read().withColumn("state", F.lit("compacted")))
+
+
 def ups_stale_overwrites(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate")
     table = _target(spark, sf_dir, "orders", rows, ["o_orderkey"])
@@ -429,10 +464,9 @@ def ups_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 class _FirstBatchFails(BucketedTable):
     """A target whose batch 0 cannot be written."""
 
-    def _merge(self, staged, batch, version):
+    def _prepare(self, staged, batch):
         if batch == 0:
             raise OSError("injected: no space left")
-        return super()._merge(staged, batch, version)
 
 
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,11 +486,10 @@ class _FailsOnce(BucketedTable):
 
     failed = False
 
-    def _merge(self, staged, batch, version):
+    def _prepare(self, staged, batch):
         if not self.failed:
             self.failed = True
             raise OSError("injected: connection reset")
-        return super()._merge(staged, batch, version)
 
 
 def ups_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -614,6 +647,39 @@ def str_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return local_frame(spark, rows, "start int, n bigint")
 
 
+class _DiesOnce(BucketedTable):
+    """A target whose process ends after the second commit, before the stream can record the batch."""
+
+    commits = 0
+
+    def load(self, *args, **options):
+        summary = super().load(*args, **options)
+        self.commits += 1
+        if self.commits == 2:
+            raise OSError("injected: lost after the commit")
+        return summary
+
+
+def str_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that was committed but not recorded comes again with the next start: it is left out."""
+    events = _read(spark, sf_dir, "events")
+    folder, progress = files.scratch(spark, "arrivals"), files.scratch(spark, "progress")
+    _arrive(events, folder)
+    table = _target(spark, sf_dir, "events", events, ["event_id"], _DiesOnce)
+    stream = _stream(spark, folder, events.schema)
+    failed = 0
+    try:
+        sync_available_now(stream, table, progress, ["ts"])
+    except StreamingQueryException:
+        failed = 1
+    before = table.version()
+    stored = before.bucket_rows + before.layer_rows
+    resumed = sync_available_now(stream, table, progress, ["ts"]).total_rows
+    return table.read().agg(
+        F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.lit(stored + resumed).cast("bigint").alias("n_loaded"), F.lit(failed).alias("failed_starts")
+    )
+
+
 # -- contract ---------------------------------------------------------------------------------
 
 QUERIES: tuple[Query, ...] = (
@@ -647,6 +713,8 @@ QUERIES: tuple[Query, ...] = (
     ups_composite_last_wins,
     ups_dedup_latest,
     ups_partial_columns,
+    ups_many_layers,
+    ups_sparse_layers,
     ups_stale_overwrites,
     ups_idempotent_replay,
     ups_key_only,
@@ -664,6 +732,7 @@ QUERIES: tuple[Query, ...] = (
     pipe_multi_table,
     str_available_now,
     str_resume,
+    str_replay,
 )
 
 ORACLE = """
@@ -800,6 +869,19 @@ WHERE r = 1
 SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
        CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE 0 END AS o_totalprice
 FROM orders
+-- name: ups_many_layers
+WITH l AS (SELECT o_orderkey, k, k % 3 <> 2 AS given FROM orders, range(20) t(k)
+           WHERE o_orderkey % 20 = k OR o_orderkey % 7 = k % 7)
+SELECT o_orderkey, max(k) AS o_custkey, 's' || max(k) FILTER (WHERE given) AS o_orderstatus, TRUE AS few_layers
+FROM l GROUP BY o_orderkey
+-- name: ups_sparse_layers
+WITH r AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderkey % 3 = 0 THEN 3 WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE -1 END AS o_custkey,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'new' END AS o_orderstatus,
+         CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice
+  FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 OR o_orderkey % 7 = 0)
+SELECT r.*, state FROM r CROSS JOIN (VALUES ('layered'), ('compacted')) s(state)
 -- name: ups_stale_overwrites
 SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_orderdate - INTERVAL 10 YEAR ELSE o_orderdate END AS o_orderdate
 FROM orders
@@ -858,6 +940,8 @@ SELECT * FROM events
 -- name: str_resume
 SELECT 1 AS start, count(*) FILTER (WHERE event_id % 4 <> 3) AS n FROM events
 UNION ALL SELECT 2, count(*) FILTER (WHERE event_id % 4 = 3) FROM events
+-- name: str_replay
+SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, count(*) AS n_loaded, 1 AS failed_starts FROM events
 """
 
 

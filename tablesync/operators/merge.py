@@ -5,34 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
-def complete_delta(delta: DataFrame, current: DataFrame, keys: Sequence[str], absent: Sequence[str]) -> DataFrame:
-    """Give the delta's rows the current values of the columns it does not carry.
-
-    ``delta`` already holds the defaults for new keys; ``__hit`` tells whether the key exists.
-    ``current`` is reduced to the delta's keys first, so only matching rows are joined back.
-    """
-    hits = current.select(*keys, *[F.col(c).alias(f"__was_{c}") for c in absent]).join(
-        delta.select(*keys), list(keys), "left_semi"
-    )
-    joined = delta.join(hits.withColumn("__hit", F.lit(True)), list(keys), "left")
-    hit = F.coalesce(F.col("__hit"), F.lit(False))
-    return joined.select(
-        *[
-            (F.when(hit, F.col(f"__was_{c}")).otherwise(F.col(c)) if c in absent else F.col(c)).alias(c)
-            for c in delta.columns
-        ],
-        hit.alias("__hit"),
-    )
-
-
-def merge_frames(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_frames(
+    target: DataFrame, delta: DataFrame, keys: Sequence[str], hiding: DataFrame | None = None
+) -> DataFrame:
     """Target rows whose key the delta does not hold, and all rows of the delta.
 
-    The delta has one row per key and the target's columns; it wins whatever its timestamps say.
-    Catalyst decides from its size whether its keys are broadcast, which leaves the target unshuffled.
+    The delta has one row per key and the target's columns; it wins whatever its timestamps say. ``hiding`` may give its
+    keys where they are had for less. Catalyst decides from their size whether they are broadcast, which leaves the
+    target unshuffled.
     """
-    kept = target.join(delta.select(*keys), list(keys), "left_anti")
+    kept = target.join((delta if hiding is None else hiding).select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(delta.select(*target.columns))

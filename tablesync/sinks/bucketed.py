@@ -2,8 +2,10 @@
 
 Rows lie in ``buckets`` hash buckets of the key, in the layout of Spark's own bucketed tables. A load
 does not touch them: whatever its size, the delta becomes a layer whose keys hide the same keys below it,
-so a load writes as many rows as it brings. :meth:`BucketedTable.compact` moves the layers into the buckets,
-joining each bucket where it lies: the target is not shuffled. Every load writes new folders only.
+so a load writes as many rows as it brings and reads nothing of the target. Layers become fewer and larger
+as they come (:mod:`tablesync.sinks.layers`), so a reader meets few of them, all in one scan.
+:meth:`BucketedTable.compact` moves them into the buckets, joining each bucket where it lies: the target is
+not shuffled. Every load writes new folders only.
 A small JSON file per version lists what is live together with the watermark, so rows and watermark
 appear at once, a crash leaves the old version, and frames that were read before stay readable. One
 writer per table at a time.
@@ -12,11 +14,11 @@ writer per table at a time.
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +27,16 @@ from pyspark.sql import types as T
 from tablesync import files
 from tablesync.frames import local_frame
 from tablesync.functions.columns import as_declared, with_defaults
-from tablesync.operators.fold import dedup_last
-from tablesync.operators.merge import complete_delta, merge_frames
+from tablesync.operators.merge import merge_frames
 from tablesync.sinks import versions
+from tablesync.sinks.layers import Layer, filled, lacking, merged, newest_to_merge
 from tablesync.sinks.report import LoadSummary, Mark, PartialLoadError, run_batches
 from tablesync.sinks.staging import BATCH, BUCKET, CATALOG, StagedDelta, bucket_of, stage_delta, write_bucketed
 from tablesync.sinks.versions import Live, Version
 from tablesync.spec import SyncConfig, TargetSpec
 
-FOLDER, LAYER = "__folder", "__layer"
+FOLDER = "__folder"
+log = logging.getLogger("tablesync")
 
 
 def suggest_buckets(spark: SparkSession, *paths: str, bucket_bytes: int = 8 << 30, least: int = 8) -> int:
@@ -117,19 +120,20 @@ class BucketedTable:
         ]
         changes = self._changes(version)
         if not paths:
-            return local_frame(self.spark, [], self.spec.struct()) if changes is None else changes
+            return local_frame(self.spark, [], self.spec.struct()) if changes is None else changes.select(*self.spec.names)
         base = self.spark.read.schema(self.spec.struct()).parquet(*paths)
-        return base if changes is None else merge_frames(base, changes, self.keys)
+        return base if changes is None else self._over(base, changes, version)
 
     def _changes(self, version: Version) -> DataFrame | None:
         """The last row of each key in the layers."""
-        layers = [
-            self.spark.read.schema(self.spec.struct()).parquet(f"{self.path}/{folder}").withColumn(LAYER, F.lit(k))
-            for k, (folder, _) in enumerate(version.layers)
-        ]
-        if len(layers) > 1:
-            return dedup_last(reduce(DataFrame.unionByName, layers), self.keys, [LAYER]).drop(LAYER)
-        return layers[0].drop(LAYER) if layers else None
+        if not version.layers:
+            return None
+        return merged(self.spark, self.path, version.layers, self.spec.struct(), self.keys)
+
+    def _over(self, base: DataFrame, changes: DataFrame, version: Version) -> DataFrame:
+        """Rows of the buckets under the changes."""
+        whole = filled(changes, base, self.keys, lacking(version.layers, self.spec.struct()))
+        return merge_frames(base, whole, self.keys, changes)
 
     def is_empty(self) -> bool:
         version = self.version()
@@ -163,18 +167,6 @@ class BucketedTable:
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    @contextmanager
-    def _visible(self, version: Version, wanted: Iterable[int]) -> Iterator[DataFrame | None]:
-        """The current rows of some buckets, for the length of one action."""
-        changes = self._changes(version)
-        occupied = [b for b in wanted if version.live.get(b)]
-        if not occupied:
-            yield changes
-            return
-        with self._bucketed(version.live, occupied) as base:
-            rows = base.select(*self.spec.names)
-            yield rows if changes is None else merge_frames(rows, changes, self.keys)
-
     # -- loading ------------------------------------------------------------------------------
 
     def stage(
@@ -198,21 +190,39 @@ class BucketedTable:
         source: str | None = None,
         mark: Mark | None = None,
         config: SyncConfig = SyncConfig(),
+        stream: tuple[str, int] | None = None,
     ) -> LoadSummary:
-        """Merge a staged delta, batch by batch. The mark is stored with the last one, if all went well."""
+        """Add a staged delta to the table. Its batches are prepared side by side, and those that succeed appear together.
+
+        The mark is stored with them if none failed, and so is the micro-batch they came from (``stream``: a stream's id and
+        the batch's number). Layers that are due are merged afterwards.
+        """
         staged.check_keys()
 
-        def one(batch: int, final: bool) -> None:
-            following = self._merge(staged, batch, self.version())
-            self._commit(following, source if final else None, mark)
+        def finish(loaded: list[int], complete: bool) -> None:
+            following = self.version()
+            for batch in loaded:
+                following = self._with_batch(staged, batch, following)
+            if complete and stream is not None:
+                following = following.with_batch(*stream)
+            self._commit(following, source if complete else None, mark)
 
-        summary = run_batches(staged.batches, one, config, self.spec.table)
+        def prepare(batch: int, final: bool) -> None:
+            self._prepare(staged, batch)
+
+        summary = run_batches(staged.batches, prepare, config, self.spec.table, last_alone=False, finish=finish)
         if not staged.batches:
             staged.discard()
             if source is not None and mark is not None:
                 self.record(source, mark)
+        elif summary.chunks_ok:
+            self._merge_due_layers()
         return summary
 
+    def loaded_batch(self, stream: str) -> int | None:
+        """The last micro-batch of a stream that is in the table."""
+        return self.version().streams.get(stream)
+
     def record(self, source: str, mark: Mark) -> None:
         """Store a watermark without loading anything."""
         if mark != self.mark(source):
@@ -239,7 +249,8 @@ class BucketedTable:
     def append(self, df: DataFrame) -> None:
         """Add rows without looking at keys. NULLs in keys and NOT NULL columns are refused.
 
-        Keys may repeat here, so a bucket can be large: adaptive execution splits it over tasks.
+        Keys may repeat here, so a bucket can be large: adaptive execution splits it over tasks. The rows go to the buckets;
+        layers, which would hide them, are compacted first, so on a table with layers this costs a :meth:`compact`.
         """
         path = f"{self.path}/{uuid.uuid4().hex}"
         struct = self.spec.struct()
@@ -280,9 +291,32 @@ class BucketedTable:
         if changes is None:
             return version
         folder = f"{uuid.uuid4().hex}/{BATCH}=0"
-        self._write_placed(changes, folder)
+        sparse = lacking(version.layers, self.spec.struct())
+        if sparse and any(version.live.values()):
+            with self._bucketed(version.live, version.live) as base:
+                self._write_placed(filled(changes, base, self.keys, sparse), folder)
+        else:
+            self._write_placed(changes.select(*self.spec.names), folder)
         return version.with_live(self._into_buckets(folder, self._written(folder), version.live))
 
+    def _merge_due_layers(self) -> None:
+        """Keep the layers few. The rows are in the table already, so an error here only puts the merge off."""
+        try:
+            version = self.version()
+            many = newest_to_merge(version.layers)
+            if many:
+                self._commit(version.with_layer(self._merged_layer(version.layers[-many:]), many))
+        except Exception as error:
+            log.warning("%s: layers were not merged: %s", self.spec.table, error)
+
+    def _merged_layer(self, layers: Sequence[Layer]) -> Layer:
+        struct = self.spec.struct()
+        rows = merged(self.spark, self.path, layers, struct, self.keys)
+        folder = f"{uuid.uuid4().hex}/{BATCH}=0"
+        rows.write.parquet(f"{self.path}/{folder}")
+        count = self.spark.read.schema(struct).parquet(f"{self.path}/{folder}").count()
+        return Layer(folder, count, tuple(lacking(layers, struct)))
+
     def _write_placed(self, rows: DataFrame, folder: str) -> None:
         placed = rows.withColumn(BATCH, F.lit(0)).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
         placed = placed.repartition(self.buckets, *self.keys)
@@ -297,27 +331,19 @@ class BucketedTable:
         counted = self.spark.read.schema(schema).parquet(path).groupBy(BUCKET).count()
         return {r[BUCKET]: r["count"] for r in counted.collect()}
 
-    def _merge(self, staged: StagedDelta, batch: int, version: Version) -> Version:
-        """Write what one batch changes and return the version that holds it."""
+    def _prepare(self, staged: StagedDelta, batch: int) -> None:
+        """What a batch needs before it can appear. Its files are written already: nothing of the target is read."""
+
+    def _with_batch(self, staged: StagedDelta, batch: int, version: Version) -> Version:
+        """The version that holds a batch, too."""
         incoming = staged.counts[batch]
         folder = staged.batch_path(batch)[len(self.path) + 1 :]
-        held = bool(version.layers) or any(version.live.get(b) for b in incoming)
-        if staged.bucketed and not held:
+        if staged.bucketed and not version.layers and not any(staged.is_other(f) for b in incoming for f, _ in version.live.get(b, [])):
             live = dict(version.live)
             for b, rows in incoming.items():
-                live[b] = [(folder, rows)]
+                live[b] = [*live.get(b, []), (folder, rows)]
             return version.with_live(live)
-        if staged.absent and held:
-            folder = self._completed(staged, batch, version)
-        return version.with_layer(folder, sum(incoming.values()))
-
-    def _completed(self, staged: StagedDelta, batch: int, version: Version) -> str:
-        """The delta with the current values of the columns it lacks, in a new folder."""
-        folder = f"{uuid.uuid4().hex}/{BATCH}=0"
-        with self._visible(version, staged.counts[batch]) as current:
-            delta = complete_delta(staged.batch(batch), current, self.keys, staged.absent).drop("__hit")
-            delta.write.parquet(f"{self.path}/{folder}")
-        return folder
+        return version.with_layer(Layer(folder, sum(incoming.values()), staged.absent))
 
     def _into_buckets(self, folder: str, incoming: dict[int, int], current: Live) -> Live:
         """Add a folder of bucketed rows whose keys replace the same keys in the buckets.

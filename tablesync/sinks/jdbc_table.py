@@ -142,9 +142,9 @@ class JdbcTable:
     def name(self) -> str:
         return f"{self.spec.schema}.{self.spec.table}"
 
-    @property
-    def staging_name(self) -> str:
-        return f"{self.name}__staging"
+    def staging_name(self, batch: int) -> str:
+        """Batches load side by side, each through a staging table of its own."""
+        return f"{self.name}__staging_{batch}"
 
     def read(self) -> DataFrame:
         return read_jdbc(self.spark, self.options, dbtable=self.name)
@@ -178,14 +178,15 @@ class JdbcTable:
         mark: Mark | None = None,
         config: SyncConfig = SyncConfig(),
     ) -> LoadSummary:
-        """Merge each batch in its own transaction; the mark follows when all are committed."""
+        """Merge each batch in its own transaction, side by side; the mark follows when all are committed."""
         staged.check_keys()
         columns = [c for c in self.spec.names if c not in staged.absent]
 
         def one(batch: int, final: bool) -> None:
-            self._write_staging(staged.batch(batch).select(*columns))
-            merge = merge_sql(self.spec, self.staging_name, columns, self.keys)
-            statements = [merge, f"DROP TABLE {self.staging_name}"]
+            name = self.staging_name(batch)
+            self._write_staging(staged.batch(batch).select(*columns), name)
+            merge = merge_sql(self.spec, name, columns, self.keys)
+            statements = [merge, f"DROP TABLE {name}"]
             if final and self.store is None and source is not None and mark is not None:
                 statements += [watermarks_sql(self.spec.schema), mark_sql(self.spec.schema, source, mark)]
             run_transaction(self._connect(), statements)
@@ -208,8 +209,8 @@ class JdbcTable:
         if mark.last_rowver is not None and mark.last_rowver != stored.last_rowver:
             self.store.update_rowversion(source, mark.last_rowver, self.name)
 
-    def _write_staging(self, rows: DataFrame) -> None:
-        options = {**self.options, "dbtable": self.staging_name, "numPartitions": str(self.connections)}
+    def _write_staging(self, rows: DataFrame, name: str) -> None:
+        options = {**self.options, "dbtable": name, "numPartitions": str(self.connections)}
         rows.write.format("jdbc").mode("overwrite").options(**options, batchsize="10000").save()
 
     def _driver_connection(self) -> Any:

@@ -5,11 +5,15 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any, TypeVar
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.errors import AnalysisException, ParseException
+from pyspark.sql import SparkSession
 
 from tablesync.spec import SyncConfig
 
@@ -70,24 +74,72 @@ def with_retry(action: Callable[[], R], config: SyncConfig, what: str) -> R:
 
 
 def run_batches(
-    batches: list[tuple[int, int]], load: Callable[[int, bool], Any], config: SyncConfig, what: str
+    batches: list[tuple[int, int]],
+    load: Callable[[int, bool], Any],
+    config: SyncConfig,
+    what: str,
+    last_alone: bool = True,
+    finish: Callable[[list[int], bool], Any] | None = None,
 ) -> LoadSummary:
-    """Load ``(batch, rows)`` one after another; a failed batch does not stop the others.
+    """Load ``(batch, rows)`` side by side, up to ``config.max_workers`` at a time; a failed batch stops no other.
 
-    ``load(batch, final)`` gets ``final`` true for the last batch when none failed before it.
+    Each has a scheduler pool of its own, so none waits for all tasks of another. With ``last_alone`` the last batch waits for
+    the others, and ``load(batch, final)`` gets ``final`` true for it when none failed. ``finish(loaded, complete)``
+    then makes the loaded batches visible, in their order; if it fails, so has every batch.
     """
     start = time.monotonic()
     summary = LoadSummary()
-    for i, (batch, rows) in enumerate(batches):
-        final = i == len(batches) - 1 and summary.chunks_failed == 0
+    loaded: dict[int, int] = {}
+
+    def attempt(name: str, action: Callable[[], Any]) -> bool:
         try:
-            with_retry(lambda: load(batch, final), config, f"{what} batch {batch}")
-            summary.chunks_ok += 1
-            summary.total_rows += rows
+            with_retry(action, config, name)
+            return True
         except Exception as error:
-            log.error("%s: batch %d failed: %s", what, batch, error)
-            summary.chunks_failed += 1
+            log.error("%s failed: %s", name, error)
             summary.error = summary.error or f"{type(error).__name__}: {error}"
+            return False
+
+    def one(batch: int, rows: int, final: bool) -> None:
+        name = f"{what} batch {batch}"
+        with _pool(name):
+            if attempt(name, lambda: load(batch, final)):
+                loaded[batch] = rows
+
+    first, last = (batches[:-1], batches[-1:]) if last_alone else (batches, [])
+    if len(first) > 1:
+        with ThreadPoolExecutor(max_workers=max(config.max_workers, 1)) as pool:
+            session = SparkSession.getActiveSession()
+            task = inheritable_thread_target(session)(one) if session is not None else one
+            waiting = [pool.submit(task, batch, rows, False) for batch, rows in first]
+            for future in waiting:
+                future.result()
+    else:
+        for batch, rows in first:
+            one(batch, rows, False)
+    for batch, rows in last:
+        one(batch, rows, len(loaded) == len(first))
+    if finish is not None and loaded:
+        order = [batch for batch, _ in batches if batch in loaded]
+        if not attempt(f"{what} commit", lambda: finish(order, len(loaded) == len(batches))):
+            loaded.clear()
+    summary.chunks_ok, summary.total_rows = len(loaded), sum(loaded.values())
+    summary.chunks_failed = len(batches) - len(loaded)
     summary.elapsed_s = round(time.monotonic() - start, 2)
     log.info("%s: %s %s", what, summary.status, summary)
     return summary
+
+
+@contextmanager
+def _pool(name: str) -> Iterator[None]:
+    """Spark jobs of this thread run in a scheduler pool of the given name."""
+    context = SparkContext._active_spark_context
+    if context is None:
+        yield
+        return
+    before = context.getLocalProperty("spark.scheduler.pool")
+    context.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        yield
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", before)

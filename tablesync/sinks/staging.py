@@ -72,6 +72,10 @@ class StagedDelta:
     def batch(self, batch: int) -> DataFrame:
         return self.spark.read.schema(self.spec.struct()).parquet(self.batch_path(batch))
 
+    def is_other(self, folder: str) -> bool:
+        """Whether a folder of the table is not one of this delta's batches, which share no key."""
+        return folder.split("/")[0] != self.path.split("/")[-1]
+
     @property
     def batches(self) -> list[tuple[int, int]]:
         return sorted(self.source_rows.items())

@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import SparkSession
 
 from tablesync import files
+from tablesync.sinks.layers import Layer
 from tablesync.sinks.report import Mark
 
 # A folder below the table and its number of rows; the live ones of each bucket.
@@ -32,12 +33,13 @@ def _moment(text: str | None) -> dt.datetime | None:
 @dataclass(frozen=True)
 class Version:
     """The live folders of each bucket, the layers of later changes that hide rows below them, oldest first,
-    and the slots by source and target."""
+    the slots by source and target, and the last micro-batch of each stream."""
 
     number: int = 0
     live: Live = field(default_factory=dict)
-    layers: tuple[Part, ...] = ()
+    layers: tuple[Layer, ...] = ()
     marks: dict[str, dict[str, dict[str, Any]]] = field(default_factory=dict)
+    streams: dict[str, int] = field(default_factory=dict)
 
     @property
     def bucket_rows(self) -> int:
@@ -46,12 +48,12 @@ class Version:
     @property
     def layer_rows(self) -> int:
         """Rows in the layers; a key may be in several."""
-        return sum(rows for _, rows in self.layers)
+        return sum(layer.rows for layer in self.layers)
 
     @property
     def runs(self) -> set[str]:
-        parts = [part for listed in self.live.values() for part in listed]
-        return {folder.split("/")[0] for folder, _ in [*parts, *self.layers]}
+        folders = [folder for parts in self.live.values() for folder, _ in parts]
+        return {folder.split("/")[0] for folder in [*folders, *[layer.folder for layer in self.layers]]}
 
     def mark(self, source: str, target: str) -> Mark:
         slots = self.marks.get(source, {}).get(target, {})
@@ -69,8 +71,12 @@ class Version:
         """All rows in buckets: nothing is left in layers."""
         return replace(self, live={b: parts for b, parts in live.items() if parts}, layers=())
 
-    def with_layer(self, folder: str, rows: int) -> Version:
-        return replace(self, layers=(*self.layers, (folder, rows)))
+    def with_layer(self, layer: Layer, instead_of: int = 0) -> Version:
+        """Add a layer on top, in place of some of the newest ones."""
+        return replace(self, layers=(*self.layers[: len(self.layers) - instead_of], layer))
+
+    def with_batch(self, stream: str, batch: int) -> Version:
+        return replace(self, streams={**self.streams, stream: batch})
 
     def mark_rows(self) -> list[tuple[Any, ...]]:
         return [
@@ -81,14 +87,16 @@ class Version:
 
     def to_json(self) -> str:
         live = {str(b): parts for b, parts in sorted(self.live.items())}
-        return json.dumps({"number": self.number, "live": live, "layers": self.layers, "marks": self.marks})
+        layers = [layer.to_json() for layer in self.layers]
+        value = {"number": self.number, "live": live, "layers": layers, "marks": self.marks, "streams": self.streams}
+        return json.dumps(value)
 
     @classmethod
     def from_json(cls, text: str) -> Version:
         value = json.loads(text)
         live = {int(b): [(folder, rows) for folder, rows in parts] for b, parts in value["live"].items()}
         layers = value["layers"] if "layers" in value else [part for part in [value.get("recent")] if part]
-        return cls(value["number"], live, tuple((folder, rows) for folder, rows in layers), value["marks"])
+        return cls(value["number"], live, tuple(map(Layer.from_json, layers)), value["marks"], value.get("streams", {}))
 
 
 def published(spark: SparkSession, path: str) -> list[str]:

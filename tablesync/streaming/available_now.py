@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import logging
 from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
 
+from tablesync import files
 from tablesync.operators.validate import ValidationResult, null_issues, schema_issues
 from tablesync.sinks.report import LoadSummary, PartialLoadError
 from tablesync.spec import SyncConfig
 
+log = logging.getLogger("tablesync")
+
 
 def sync_available_now(
     stream: DataFrame,
@@ -20,23 +25,32 @@ def sync_available_now(
     config: SyncConfig = SyncConfig(),
     validate_schema: bool = True,
 ) -> LoadSummary:
-    """Upsert every micro-batch of a streaming frame.
+    """Upsert every micro-batch of a streaming frame, exactly once.
 
-    A batch that was merged but not yet recorded in the checkpoint is merged again after a restart;
-    the upsert gives the same table, so the stream is exact. A failing batch stops the query and
-    stays unrecorded.
+    A table on files stores the stream's id and the number of the batch in the version that holds its rows. A batch that was
+    committed there but not yet recorded in the checkpoint is recognised after a restart and left out; other targets merge it
+    again, which gives the same rows. A failing batch stops the query and stays unrecorded.
     """
     total = LoadSummary()
     if validate_schema:
         ValidationResult.of(schema_issues(stream.sparkSession, stream.schema, target.spec)).check()
 
     def load(rows: DataFrame, batch: int) -> None:
+        once: dict[str, Any] = {}
+        if hasattr(target, "loaded_batch"):
+            # Spark names a stream in its checkpoint before the first batch.
+            stream_id = json.loads(files.read_text(stream.sparkSession, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+            done = target.loaded_batch(stream_id)
+            if done is not None and batch <= done:
+                log.info("%s: batch %d of the stream is in the table already", target.spec.table, batch)
+                return
+            once = {"stream": (stream_id, batch)}
         staged = target.stage(rows, order_by)
         if validate_schema and any(staged.nulls.values()):
             violations = ValidationResult.of(null_issues(staged.null_counts()))
             staged.discard()
             violations.check()
-        summary = target.load(staged, config=config)
+        summary = target.load(staged, config=config, **once)
         total.total_rows += summary.total_rows
         total.chunks_ok += summary.chunks_ok
         total.chunks_failed += summary.chunks_failed
