@@ -22,6 +22,8 @@ from tablesync.operators import (
     assign_chunks,
     chunk_report,
     count_since,
+    differences,
+    differing_buckets,
     first_chunk,
     high_watermark,
     null_counts,
@@ -557,6 +559,17 @@ def pipe_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(_orders(spark, sf_dir), table.read(), "o_orderdate")
 
 
+def pipe_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loaded target equals its source. With rows changed, lost and added, the keys that differ are found."""
+    table, _ = _three_runs(spark, sf_dir)
+    orders, loaded = _orders(spark, sf_dir), table.read()
+    equal = differing_buckets(orders, loaded, ["o_orderkey"]).isEmpty()
+    status = F.when(F.col("o_orderkey") % 1000 == 7, F.lit(None).cast("string")).otherwise(F.col("o_orderstatus"))
+    added = loaded.filter("o_orderkey % 3000 = 5").withColumn("o_orderkey", -F.col("o_orderkey"))
+    spoiled = loaded.filter("o_orderkey % 1500 <> 11").withColumn("o_orderstatus", status).unionByName(added)
+    return differences(orders, spoiled, ["o_orderkey"]).withColumn("equal_before", F.lit(equal))
+
+
 def pipe_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = {
         "orders": _orders(spark, sf_dir),
@@ -729,6 +742,7 @@ QUERIES: tuple[Query, ...] = (
     pipe_three_runs_target,
     pipe_rowversion_runs,
     pipe_reconcile,
+    pipe_compare,
     pipe_multi_table,
     str_available_now,
     str_resume,
@@ -931,6 +945,10 @@ UNION ALL SELECT 3, max(o_orderkey) + 1000, CAST(0 AS BIGINT) FROM orders
 -- name: pipe_reconcile
 SELECT 'source' AS side, count(*) AS n, max(o_orderdate) AS max_w FROM orders
 UNION ALL SELECT 'target', count(*), max(o_orderdate) FROM orders
+-- name: pipe_compare
+SELECT o_orderkey, 'changed' AS kind, TRUE AS equal_before FROM orders WHERE o_orderkey % 1000 = 7 AND o_orderkey % 1500 <> 11
+UNION ALL SELECT o_orderkey, 'missing', TRUE FROM orders WHERE o_orderkey % 1500 = 11
+UNION ALL SELECT -o_orderkey, 'extra', TRUE FROM orders WHERE o_orderkey % 3000 = 5 AND o_orderkey % 1500 <> 11
 -- name: pipe_multi_table
 SELECT 'orders' AS table_name, 'timestamp' AS mode, count(*) AS n, 'success' AS status FROM orders
 UNION ALL SELECT 'events', 'timestamp', count(*), 'success' FROM events

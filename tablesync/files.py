@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -74,6 +77,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current
 
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
 def scratch(spark: SparkSession, label: str = "scratch") -> str:
-    """A fresh path below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below that of the :func:`scratch_run` that is under way."""
+    root = _RUN.get() or checkpoint_root(spark).rstrip("/")
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """A folder for all intermediate data of a piece of work, removed at its end: write the result elsewhere before."""
+    path = scratch(spark, label)
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        delete_tree(spark, path)

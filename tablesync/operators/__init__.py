@@ -4,7 +4,7 @@ from tablesync.operators.chunks import assign_chunks, chunk_report, first_chunk,
 from tablesync.operators.extract import high_watermark, incremental
 from tablesync.operators.fold import dedup_last
 from tablesync.operators.merge import merge_frames
-from tablesync.operators.reconcile import count_since, reconcile
+from tablesync.operators.reconcile import count_since, differences, differing_buckets, reconcile
 from tablesync.operators.validate import (
     SchemaValidationError,
     ValidationResult,
@@ -22,6 +22,8 @@ __all__ = [
     "chunk_report",
     "count_since",
     "dedup_last",
+    "differences",
+    "differing_buckets",
     "first_chunk",
     "high_watermark",
     "incremental",

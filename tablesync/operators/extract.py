@@ -32,6 +32,11 @@ def incremental(
     return rows
 
 
+def at_watermark(df: DataFrame, watermark_col: str, mark: dt.datetime | int) -> DataFrame:
+    """The rows whose watermark is a given one, without their columns. The comparison reaches the scan."""
+    return df.filter(F.col(watermark_col) == mark_literal(mark, df.schema[watermark_col].dataType)).select(watermark_col)
+
+
 def high_watermark(df: DataFrame, watermark_col: str, low: dt.datetime | int | None = None) -> DataFrame:
     """One row ``high, rows``: the greatest watermark above ``low``, NULL when there is none, and the
     number of rows there.

@@ -52,6 +52,15 @@ def _config(args: argparse.Namespace) -> SyncConfig:
         with open(args.options, encoding="utf-8") as handle:
             options.update(json.load(handle))
     loaded = load_config(options)
+
+    def by_table(name: str) -> dict[str, str]:
+        """A mapping by table: an object in the options file, or one as JSON text, as in the environment."""
+        value = options.get(name) or {}
+        value = json.loads(value) if isinstance(value, str) else value
+        if not isinstance(value, dict):
+            raise ValueError(f"{name} maps tables to text.")
+        return value
+
     return SyncConfig(
         chunk_size=loaded.chunk_size,
         max_workers=loaded.max_workers,
@@ -59,8 +68,8 @@ def _config(args: argparse.Namespace) -> SyncConfig:
         batches=args.batches,
         source=JdbcLocation(
             loaded.source,
-            partition_columns=options.get("PARTITION_COLUMNS", {}),
-            custom_schemas=options.get("CUSTOM_SCHEMAS", {}),
+            partition_columns=by_table("PARTITION_COLUMNS"),
+            custom_schemas=by_table("CUSTOM_SCHEMAS"),
             num_partitions=loaded.max_workers,
         ),
         target=JdbcLocation(loaded.target, args.watermarks, num_partitions=loaded.max_workers),

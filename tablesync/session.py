@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     # Tasks that hold a few buckets write them side by side instead of sorting by bucket first.
     "spark.sql.maxConcurrentOutputFileWriters": "64",
+    # Checkpointed rows are removed when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Tables that are synced side by side share the cluster.
     "spark.scheduler.mode": "FAIR",
 }

@@ -141,7 +141,12 @@ def stage_delta(
     order = [c if c in present else f"__order_{c}" for c in order_by if c in df.columns]
     folded = with_defaults(dedup_last(rows, keys, order, counters), spec if defaults else spec.without_defaults())
     bucket = bucket_of(keys, buckets)
-    batch = F.col(BATCH) if batch_by is not None else F.pmod(bucket, F.lit(batches))
+    batch = F.pmod(bucket, F.lit(batches))
+    if batch_by is not None:
+        # One summary row per batch and bucket reaches the driver, so their number is fixed beforehand.
+        fits = F.col(BATCH).between(0, batches - 1)
+        refused = F.concat(F.lit("batch_by gives "), F.coalesce(F.col(BATCH).cast("string"), F.lit("NULL")), F.lit(f", not 0 to {batches - 1}."))
+        batch = F.when(fits, F.col(BATCH)).otherwise(F.raise_error(refused).cast("int"))
     staged = folded.select(
         *spec.names, *counters, batch.cast("int").alias(BATCH), bucket.alias(BUCKET)
     )

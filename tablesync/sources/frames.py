@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tablesync import files
 from tablesync.functions.columns import ROWVER, with_rowversion
-from tablesync.operators.extract import high_watermark, incremental
+from tablesync.operators.extract import at_watermark, high_watermark, incremental
 
 
 class TableSource:
@@ -33,13 +33,16 @@ class TableSource:
     ) -> tuple[dt.datetime | None, int | None]:
         """The greatest watermark, and how many rows lie above ``low`` if that is known.
 
-        The usual case reads only what lies above the last one. With nothing new the whole column is
-        read: a source that was set back moves the mark back.
+        The usual case reads only what lies above the last one. With nothing new, a row at the mark shows that it still
+        is the greatest: that is looked for in the row groups around the mark, up to the first one. Only a source that
+        was set back, which moves the mark back, has its whole column read.
         """
         top, rows = high_watermark(self.frame, watermark_col, low).first()
-        if top is None and low is not None:
-            return high_watermark(self.frame, watermark_col).first()["high"], 0
-        return top, rows
+        if top is not None or low is None:
+            return top, rows
+        if not at_watermark(self.frame, watermark_col, low).isEmpty():
+            return low, 0
+        return high_watermark(self.frame, watermark_col).first()["high"], 0
 
     def by_timestamp(
         self, watermark_col: str, low: dt.datetime | None = None, high: dt.datetime | None = None

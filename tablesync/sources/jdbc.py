@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,41 @@ def read_jdbc(spark: SparkSession, options: Mapping[str, str], **more: str) -> D
     return spark.read.format("jdbc").options(**{**options, **more}).load()
 
 
+def read_jdbc_split(
+    spark: SparkSession, options: Mapping[str, str], predicates: list[str], **more: str
+) -> DataFrame:
+    """One partition, and one connection, per predicate."""
+    properties = {**options, **more}
+    return spark.read.jdbc(properties.pop("url"), properties.pop("dbtable"), predicates=predicates, properties=properties)
+
+
+def literal(dialect: str, value: Any) -> str | None:
+    """A value as the source writes it; None if it has no ordered literal."""
+    if isinstance(value, bool) or value is None:
+        return None
+    if isinstance(value, Decimal):
+        return format(value, "f")
+    if isinstance(value, (int, float)):
+        return repr(value)
+    if isinstance(value, dt.date):
+        return timestamp_literal(dialect, value)
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else None
+
+
+def split_predicates(dialect: str, column: str, tops: list[Any]) -> list[str]:
+    """Conditions that split a relation at the greatest values of its shares: every row meets exactly one.
+
+    Shares that end at one value are one. NULLs go with the first, and rows that come meanwhile with a greater value with the last.
+    """
+    known = sorted({top for top in tops if top is not None})
+    written = [literal(dialect, top) for top in known[:-1]]
+    if not written or None in written:
+        return []
+    first = f"({column} <= {written[0]} OR {column} IS NULL)"
+    middle = [f"{column} > {a} AND {column} <= {b}" for a, b in zip(written[:-1], written[1:], strict=True)]
+    return [first, *middle, f"{column} > {written[-1]}"]
+
+
 def rowversion_above(rowver_col: str, low: int) -> str:
     """A condition the source can answer from an index on the row version."""
     return f"{rowver_col} > CONVERT(BINARY(8), CAST({int(low)} AS BIGINT))"
@@ -118,8 +155,9 @@ def oracle_columns(df: DataFrame) -> DataFrame:
 class JdbcSource(TableSource):
     """One database table.
 
-    ``partition_column`` (a numeric key is best: it has no hot values) splits the read into
-    ``num_partitions`` ranges; without it one connection streams the rows. ``custom_schema`` names
+    ``partition_column`` splits the read into up to ``num_partitions`` ranges with about as many rows each, whatever the
+    column's type and skew: the source itself finds where they end. A single value is never split, so a key
+    without hot values is best. Without it one connection streams the rows. ``custom_schema`` names
     the types of columns where the database's own are too wide, e.g. ``"ID BIGINT"``.
     """
 
@@ -144,24 +182,24 @@ class JdbcSource(TableSource):
         return read_jdbc(self.session, self.options, query=text)
 
     def bounds_query(self, relation: str) -> str:
-        """The range of the rows that are read, not of the whole table: a delta has mostly new keys."""
+        """The greatest value of each of as many equal shares of the rows that are read, not of the whole table: a
+        delta has mostly new keys."""
         column = self.partition_column
-        return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {relation}"
+        tiles = f"SELECT {column} AS v, NTILE({self.num_partitions}) OVER (ORDER BY {column}) AS tile FROM {relation} WHERE {column} IS NOT NULL"
+        return f"SELECT MAX(v) AS hi FROM ({tiles}) q GROUP BY tile"
 
     def _read(self, relation: str) -> DataFrame:
         more = {"dbtable": relation}
         if self.custom_schema:
             more["customSchema"] = self.custom_schema
+        predicates: list[str] = []
         if self.partition_column and self.num_partitions > 1:
-            lo, hi = self.query(self.bounds_query(relation)).first()
-            if lo is not None and lo != hi:
-                more |= {
-                    "partitionColumn": self.partition_column,
-                    "lowerBound": str(int(lo)),
-                    "upperBound": str(int(hi)),
-                    "numPartitions": str(self.num_partitions),
-                }
-        rows = read_jdbc(self.session, self.options, **more)
+            found = self.query(self.bounds_query(relation)).collect()  # a row per range
+            predicates = split_predicates(self.dialect, self.partition_column, [r[0] for r in found])
+        if predicates:
+            rows = read_jdbc_split(self.session, self.options, predicates, **more)
+        else:
+            rows = read_jdbc(self.session, self.options, **more)
         return oracle_columns(rows) if self.dialect == "oracle" else rows
 
     def window(

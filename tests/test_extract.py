@@ -180,8 +180,8 @@ class FakeReads:
 
 def test_jdbc_read_is_partitioned_and_the_maximum_is_asked_for(spark, monkeypatch):
     def answers(more):
-        if "MIN(id)" in more.get("query", ""):
-            return spark.sql("SELECT 1 AS lo, 100 AS hi")
+        if "NTILE(8)" in more.get("query", ""):
+            return spark.sql("SELECT id AS hi FROM VALUES (100), (7), (NULL), (7), (50) v(id)")
         if "COUNT(" in more.get("query", ""):
             return spark.sql("SELECT 2 AS n")
         if "MAX(" in more.get("query", ""):
@@ -190,6 +190,7 @@ def test_jdbc_read_is_partitioned_and_the_maximum_is_asked_for(spark, monkeypatc
 
     fake = FakeReads(answers)
     monkeypatch.setattr(jdbc, "read_jdbc", fake)
+    monkeypatch.setattr(jdbc, "read_jdbc_split", lambda spark, options, predicates, **more: fake(spark, options, predicates=predicates, **more))
     source = JdbcSource(spark, {"url": "u"}, "ventas", "oracle", "id", 8, "ID BIGINT")
     assert source.high("updated_at") == dt.datetime(2024, 6, 1, 12)
     assert source.window("updated_at", dt.datetime(2024, 1, 1)) == (dt.datetime(2024, 6, 1, 12), 2)
@@ -203,9 +204,44 @@ def test_jdbc_read_is_partitioned_and_the_maximum_is_asked_for(spark, monkeypatc
         "AND updated_at < TIMESTAMP '2024-01-02 00:00:00.000001') q"
     )
     assert fake.calls[-1] == {
-        "dbtable": relation, "customSchema": "ID BIGINT", "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8",
+        "dbtable": relation, "customSchema": "ID BIGINT", "predicates": ["(id <= 7 OR id IS NULL)", "id > 7 AND id <= 50", "id > 50"],
     }
-    assert fake.calls[-2]["query"] == f"SELECT MIN(id) AS lo, MAX(id) AS hi FROM {relation}"
+    assert fake.calls[-2]["query"] == (
+        f"SELECT MAX(v) AS hi FROM (SELECT id AS v, NTILE(8) OVER (ORDER BY id) AS tile FROM {relation} WHERE id IS NOT NULL) q GROUP BY tile"
+    )
+
+
+@pytest.mark.parametrize(
+    "kind, value",
+    [
+        ("BIGINT", "CAST(exp(i / 60.0) AS BIGINT)"),  # numbers that grow exponentially
+        ("DOUBLE", "CASE WHEN i % 50 = 0 THEN 1e12 ELSE i / 7.0 END"),
+        ("DECIMAL(20,4)", "CAST(i * i * 0.25 AS DECIMAL(20,4))"),
+        ("VARCHAR", "'it''s ' || lpad(CAST(i * 37 % 1000 AS VARCHAR), 6, '0')"),
+        ("TIMESTAMP", "TIMESTAMP '2024-01-01' + to_microseconds(i * i * i)"),
+        ("BIGINT", "CASE WHEN i < 300 THEN 5 ELSE i END"),  # one value with a third of the rows
+    ],
+)
+def test_ranges_hold_equal_shares_of_skewed_keys(spark, kind, value):
+    """The statements run in an engine in this process; every row meets one condition, NULLs included."""
+    duckdb = pytest.importorskip("duckdb")
+    db = duckdb.connect()
+    db.execute(f"CREATE TABLE t AS SELECT CAST({value} AS {kind}) AS k FROM range(1000) r(i) UNION ALL SELECT NULL FROM range(20)")
+    source = JdbcSource(spark, {"url": "u"}, "t", "postgresql", "k", 8)
+    tops = [r[0] for r in db.execute(source.bounds_query("t")).fetchall()]
+    predicates = jdbc.split_predicates("postgresql", "k", tops)
+    counts = [db.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in predicates]
+    nulls = [db.execute(f"SELECT count(*) FROM t WHERE k IS NULL AND {p}").fetchone()[0] for p in predicates]
+    assert sum(counts) == 1020 and sorted(nulls) == [0] * (len(predicates) - 1) + [20]
+    hot = db.execute("SELECT max(n) FROM (SELECT count(*) AS n FROM t WHERE k IS NOT NULL GROUP BY k) q").fetchone()[0]
+    mean = 1020 / 8
+    assert max(counts) <= max(2 * mean, hot + mean + 20)
+
+
+def test_what_cannot_be_split_is_read_whole():
+    assert jdbc.split_predicates("oracle", "k", [5, 5, None]) == []
+    assert jdbc.split_predicates("oracle", "k", []) == []
+    assert jdbc.split_predicates("oracle", "k", [b"a", b"b"]) == []
 
 
 @pytest.mark.parametrize("dialect", ["oracle", "mssql", "postgresql"])
@@ -227,17 +263,18 @@ def test_the_source_filters_the_timestamp_itself(spark, monkeypatch, dialect):
 
 def test_date_watermarks_and_decimal_bounds(spark, monkeypatch):
     def answers(more):
-        if "MIN(" in more.get("query", ""):
-            return spark.sql("SELECT CAST(1 AS DECIMAL(38, 10)) AS lo, CAST(90 AS DECIMAL(38, 10)) AS hi")
+        if "NTILE(" in more.get("query", ""):
+            return spark.sql("SELECT CAST(id AS DECIMAL(38, 10)) AS hi FROM VALUES (1), (90) v(id)")
         return spark.sql("SELECT DATE '2024-05-06' AS high") if "query" in more else people_frame(spark)
 
     fake = FakeReads(answers)
     monkeypatch.setattr(jdbc, "read_jdbc", fake)
+    monkeypatch.setattr(jdbc, "read_jdbc_split", lambda spark, options, predicates, **more: fake(spark, options, predicates=predicates, **more))
     source = JdbcSource(spark, {"url": "u"}, "t", "oracle", "id", 4)
     assert source.high("w") == dt.datetime(2024, 5, 6)
     source.by_timestamp("w", dt.date(2024, 5, 1), source.high("w"))
     assert "TIMESTAMP '2024-05-01 00:00:00'" in fake.calls[-1]["dbtable"]
-    assert (fake.calls[-1]["lowerBound"], fake.calls[-1]["upperBound"]) == ("1", "90")
+    assert fake.calls[-1]["predicates"] == ["(id <= 1.0000000000 OR id IS NULL)", "id > 1.0000000000"]
 
 
 def test_mssql_converts_and_filters_the_rowversion_itself(spark, monkeypatch):

@@ -1,0 +1,69 @@
+"""What differs between a source and its target."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sync_helpers import rows
+from tablesync.frames import local_frame
+from tablesync.operators import differences, differing_buckets
+
+SCHEMA = "a long, b string, x double, y string"
+
+
+def test_equal_sides_have_no_differing_bucket(spark):
+    some = [(k % 7, f"k{k}", k / 3, None if k % 5 == 0 else "y") for k in range(200)]
+    one = local_frame(spark, some, SCHEMA)
+    other = one.orderBy(F.rand(3)).select("y", "x", "b", "a", F.lit(1).alias("more")).repartition(7)
+    assert differing_buckets(one, other, ["a", "b"]).count() == 0
+    assert differences(one, other, ["a", "b"]).count() == 0
+
+
+@pytest.mark.parametrize("column, value", [("x", -1.0), ("x", None), ("y", ""), ("y", None)])
+def test_one_changed_row_is_found(spark, column, value):
+    one = local_frame(spark, [(k, "b", float(k), "y") for k in range(500)], SCHEMA)
+    changed = one.withColumn(column, F.when(F.col("a") == 123, F.lit(value)).otherwise(F.col(column)))
+    assert differing_buckets(one, changed, ["a", "b"], buckets=64).count() == 1
+    assert rows(differences(one, changed, ["a", "b"], buckets=64)) == [(123, "b", "changed")]
+    assert differences(one, changed, ["a", "b"], [c for c in ("x", "y") if c != column]).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 16, 1024])
+def test_random_differences_against_dictionaries(spark, buckets):
+    rng = random.Random(buckets)
+    value = lambda: (rng.choice([None, 1.0, 2.0]), rng.choice([None, "", "s"]))
+    left = {(rng.choice([None, *range(30)]), rng.choice("pq")): value() for _ in range(60)}
+    right = {k: v if rng.random() < 0.8 else value() for k, v in left.items() if rng.random() < 0.9}
+    right |= {(100 + k, "p"): value() for k in range(4)}
+    frames = [local_frame(spark, [(*k, *v) for k, v in side.items()], SCHEMA) for side in (left, right)]
+    want = [(*k, "missing" if k not in right else "extra" if k not in left else "changed") for k in {**left, **right} if left.get(k) != right.get(k)]
+    assert sorted(map(tuple, differences(*frames, ["a", "b"], buckets=buckets).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_repeated_rows_count(spark):
+    one = local_frame(spark, [(1, "b", 1.0, "y"), (2, "b", 1.0, "y")], SCHEMA)
+    twice = one.union(one.filter("a = 1"))
+    assert rows(differences(one, twice, ["a", "b"])) == [(1, "b", "changed")]
+    # The same row twice more on one side does not cancel out.
+    assert differing_buckets(one, one.union(one.filter("a = 1")).union(one.filter("a = 1")), ["a", "b"]).count() == 1
+
+
+def test_types_are_the_source_s(spark):
+    one = local_frame(spark, [(1, "b", 2.0, "y")], SCHEMA)
+    assert differences(one, one.withColumn("x", F.lit(2)), ["a", "b"]).count() == 0
+
+
+def test_empty_sides(spark):
+    one = local_frame(spark, [(1, "b", 2.0, "y")], SCHEMA)
+    assert differences(one.limit(0), one.limit(0), ["a", "b"]).count() == 0
+    assert rows(differences(one, one.limit(0), ["a", "b"])) == [(1, "b", "missing")]
+    assert rows(differences(one.limit(0), one, ["a", "b"])) == [(1, "b", "extra")]
+
+
+def test_only_differing_buckets_are_compared(spark):
+    one = spark.range(10_000).select(F.col("id").alias("a"), F.lit("v").alias("y"))
+    other = one.withColumn("y", F.when(F.col("a") == 77, "w").otherwise(F.col("y")))
+    plan = differences(one, other, ["a"], buckets=256)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert rows(differences(one, other, ["a"], buckets=256)) == [(77, "changed")]

@@ -90,6 +90,24 @@ def test_source_that_was_set_back_moves_the_mark_back(people, spark):
     assert people.mark("people") == Mark(dt.datetime(2024, 1, 2))
 
 
+def test_an_idle_run_reads_the_rows_around_the_mark_only(people, spark, monkeypatch, tmp_path):
+    for k, row in enumerate(PEOPLE_ROWS):
+        people_frame(spark, [row]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    there = TableSource(spark.read.parquet(str(tmp_path / "in")))
+    run_sync(there, people, SYNC)
+    from tablesync.sources import frames
+
+    scans = []
+    whole = frames.high_watermark
+    monkeypatch.setattr(frames, "high_watermark", lambda df, column, low=None: (scans.append(low), whole(df, column, low))[1])
+    assert run_sync(there, people, SYNC).total_rows == 0
+    assert scans == [LAST]  # only above the mark: the column is not read from the start
+    plan = frames.at_watermark(there.frame, "updated_at", LAST)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(updated_at" in plan
+    run_sync(TableSource(there.frame.filter("id < 3")), people, SYNC)
+    assert scans == [LAST, LAST, None] and people.mark("people") == Mark(dt.datetime(2024, 1, 2))
+
+
 def versioned(spark, data):
     df = local_frame(spark, data, "id bigint, name string, n bigint")
     return TableSource(df.withColumn("rv", F.unhex(F.lpad(F.hex("n"), 16, "0"))).drop("n"))
@@ -238,6 +256,25 @@ def test_job(spark, place):
         main(["--table", "people", *folders])
 
 
+def test_mappings_by_table_come_from_the_environment_as_json(monkeypatch):
+    from tablesync.plans.job import _config, parser
+
+    for side in ("SOURCE", "TARGET"):
+        for name, value in {"DIALECT": "oracle", "HOST": "h", "DATABASE": "d", "USER": "u", "PASSWORD": "p"}.items():
+            monkeypatch.setenv(f"{side}_{name}", value)
+    args = parser().parse_args(["--table", "t", "--watermark-col", "w", "--conflict-cols", "id"])
+    assert _config(args).source.partition_columns == {} == _config(args).source.custom_schemas
+    monkeypatch.setenv("PARTITION_COLUMNS", '{"t": "id"}')
+    monkeypatch.setenv("CUSTOM_SCHEMAS", '{"t": "ID BIGINT"}')
+    location = _config(args).source
+    assert location.partition_columns.get("t") == "id" and location.custom_schemas["t"] == "ID BIGINT"
+    source = location.source(None, "t")
+    assert (source.partition_column, source.num_partitions, source.custom_schema) == ("id", 4, "ID BIGINT")
+    monkeypatch.setenv("PARTITION_COLUMNS", '["t"]')
+    with pytest.raises(ValueError, match="PARTITION_COLUMNS maps"):
+        _config(args)
+
+
 # -- watermark store ----------------------------------------------------------------------------
 
 

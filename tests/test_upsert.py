@@ -468,6 +468,13 @@ def test_batches_by_bucket_load_everything(people, spark):
     assert people.read().count() == 200
 
 
+@pytest.mark.parametrize("number", ["3", "-1", "NULL"])
+def test_batch_numbers_are_bounded(people, spark, number):
+    with pytest.raises(Exception, match=f"batch_by gives {number}, not 0 to 2"):
+        people.stage(people_frame(spark), batches=3, batch_by=F.expr(f"CAST({number} AS INT)"))
+    assert people.is_empty()
+
+
 def test_waits_grow_and_are_bounded():
     config = SyncConfig()
     assert [config.retry_wait(i) for i in (1, 2, 3, 4, 5, 6)] == [2.0, 3.0, 6.0, 12.0, 24.0, 30.0]
