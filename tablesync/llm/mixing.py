@@ -131,7 +131,11 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The input rows as often as the mix takes them, documents whole. One that it does not take goes."""
+    """The input rows as often as the mix takes them, documents whole. One that it does not take goes.
+
+    Documents without words are never taken; null sources are one source; repeated rows are documents of their own; all columns
+    stay; an empty table gives no rows.
+    """
     taken = mix_sources(docs, cut_last=False, with_row=True, **options).where("taken > 0")
     times = F.round(F.col("taken") / F.col("size")).cast("int")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), times))).select("row.*")
