@@ -138,8 +138,8 @@ def _candidates(file: str, block: int, parts: list[bytes], keep: bool) -> Iterat
         stop = begin + int(fields[b"content-length"])
         row = {"file": file, "block": block, "at": places[k] - len(MAGIC), "next": places[k] + stop + 4}
         content = None
-        if stop + 4 == len(part):
-            content = part[begin:stop] if part.endswith(b"\r\n\r\n") else None
+        if stop + 4 <= len(part):  # where anything but the magic line follows, the chain ends after the record
+            content = part[begin:stop] if part[stop : stop + 4] == b"\r\n\r\n" else None
         elif places[k] + stop + 4 <= end and stop + 4 > len(part):
             joined = MAGIC.join(parts) if joined is None else joined
             here = joined[places[k] : places[k] + stop + 4]

@@ -67,3 +67,11 @@ def test_payloads_come_back(spark):
 
 def test_no_pages(spark):
     assert archive_round_trip(pages(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("junk", [b"junk", b"\r\n\r\n\r\n", b"WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n", b"x" * 9000 + FAKE.encode()])
+def test_the_chain_ends_after_the_last_record_before_other_bytes(spark, tmp_path, junk):
+    record = lambda k: b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n" % k
+    (tmp_path / "a.warc").write_bytes(record(1) + record(2) + junk)
+    found = [r["record_id"] for r in read_warc(spark, str(tmp_path)).select("record_id").collect()]
+    assert sorted(found) == ["<urn:page:1>", "<urn:page:2>"]
