@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import arrow_schema, encoded, map_batches, record_batch, stored
@@ -28,6 +28,8 @@ ROUNDS, BATCH = 2, 16384
 RATE = 0.3
 SLICE = 4096
 FIXED = float(1 << 24)
+#: So many of the words without a class of their own at most, the most frequent, have their shares looked up where a text is scored.
+KNOWN = 200_000
 #: Logarithms of word shares travel as whole numbers of this part of one, so their sum is the same in any order.
 SHARE = float(1 << 32)
 
@@ -108,8 +110,11 @@ class Network:
         h = self.hidden(context)
         cluster, member = target // MEMBERS, target % MEMBERS
         result = _log_share(h @ self.to_cluster + self.cluster_bias, cluster)
-        for c, at in _by_cluster(cluster):
-            result[at] += _log_share(h[at] @ self.to_member[c] + self.member_bias[c], member[at])
+        order, runs = _by_cluster(cluster)
+        h, member, found = h[order], member[order], np.zeros(len(h), result.dtype)
+        for c, a, b in runs:
+            found[a:b] = _log_share(h[a:b] @ self.to_member[c] + self.member_bias[c], member[a:b])
+        result[order] += found
         return result.astype(float)
 
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
@@ -121,20 +126,24 @@ class Network:
         wrong[np.arange(n), cluster] -= 1
         back = wrong @ self.to_cluster.T
         grads = [np.zeros_like(p) for p in self.parts]
-        grads[2], grads[4] = h.T @ wrong, wrong.sum(axis=0)
-        for c, at in _by_cluster(cluster):
-            near = h[at]
-            own = _shares(near @ self.to_member[c] + self.member_bias[c])
-            own[np.arange(len(at)), member[at]] -= 1
-            grads[3][c], grads[5][c] = near.T @ own, own.sum(axis=0)
-            back[at] += own @ self.to_member[c].T
+        ones = np.ones(n, h.dtype)  # a product with ones adds up columns faster than a sum does
+        grads[2], grads[4] = h.T @ wrong, ones @ wrong
+        order, runs = _by_cluster(cluster)
+        near, member, more = h[order], member[order], np.empty_like(back)
+        for c, a, b in runs:
+            own = _shares(near[a:b] @ self.to_member[c] + self.member_bias[c])
+            own[np.arange(b - a), member[a:b]] -= 1
+            grads[3][c], grads[5][c] = near[a:b].T @ own, ones[a:b] @ own
+            more[a:b] = own @ self.to_member[c].T
+        back[order] += more
         back *= 1 - h * h
+        columns = np.ascontiguousarray(back.T, float)
         for k, weight in enumerate(self.weigh):
-            word = context[:, k]
-            grads[1][k] = (self.embed[word] * back).sum(axis=0)
-            order = np.argsort(word, kind="stable")
-            first = np.flatnonzero(np.r_[True, np.diff(word[order]) != 0])
-            grads[0][word[order][first]] += np.add.reduceat(back[order], first, axis=0) * weight
+            word = np.ascontiguousarray(context[:, k])
+            # What arrives at each word from this offset: one sum per word and dimension.
+            arrived = np.stack([np.bincount(word, weights=c, minlength=PAD + 1) for c in columns], axis=1).astype(np.float32)
+            grads[1][k] = (self.embed * arrived).sum(axis=0)
+            grads[0] += arrived * weight
         grads[0][PAD] = 0
         if not self.squares:
             self.squares = [np.full_like(p, 1e-3) for p in self.parts]
@@ -144,24 +153,29 @@ class Network:
             p -= RATE * g / np.sqrt(s)
 
 
+#: Inputs of the softmax beyond this, which no trained network comes near, are taken for it: their exponentials stay finite.
+STEEP = 80.0
+
+
 def _shares(x: np.ndarray) -> np.ndarray:
-    np.exp(x - x.max(axis=1, keepdims=True), out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    """The softmax of each row, in place. A product with ones adds up rows faster than a sum does."""
+    np.exp(np.clip(x, -STEEP, STEEP, out=x), out=x)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
     return x
 
 
 def _log_share(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    most = x.max(axis=1)
-    own = x[np.arange(len(x)), chosen] - most
-    return own - np.log(np.exp(x - most[:, None]).sum(axis=1))
+    np.clip(x, -STEEP, STEEP, out=x)
+    own = x[np.arange(len(x)), chosen]
+    return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
 
-def _by_cluster(cluster: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _by_cluster(cluster: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by cluster, and where each cluster's run begins and ends in it."""
+    cluster = cluster.astype(np.int8)  # sorted by radix
     order = np.argsort(cluster, kind="stable")
-    ranked = cluster[order]
-    edges = np.r_[np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]), len(ranked)]
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        yield int(ranked[a]), order[a:b]
+    edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1)).tolist()
+    return order, [(c, a, b) for c, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
 
 
 def contexts(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -195,11 +209,44 @@ def score_tokens(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     return totals
 
 
+class Scored(dict):
+    """A number for each word: its class, its place among the known words above the classes, or less than 0 for a rare one of
+    that bucket. Keeps a bounded number of rare words."""
+
+    LIMIT = 200_000
+
+    def __init__(self, frequent: list[bytes], known: dict[bytes, int]):
+        super().__init__()
+        self.fixed = {w: k for k, w in enumerate(sorted(frequent))} | {w: PAD + 1 + k for k, w in enumerate(known)}
+        self.update(self.fixed)
+        self.classes = np.array([bucket_of(w) for w in known], np.int64)
+        self.values = np.array(list(known.values()), np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > self.LIMIT + len(self.fixed):
+            self.clear()
+            self.update(self.fixed)
+        self[word] = found = -bucket_of(word)
+        return found
+
+    def of(self, text: bytes) -> tuple[np.ndarray, int, list[bytes]]:
+        """The classes of a text's words, the summed shares of its known words, and its rare words."""
+        words = text.lower().split()
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        known = numbers > PAD
+        places = numbers[known] - PAD - 1
+        rare = numbers < 0
+        tokens = np.abs(numbers)
+        tokens[known] = self.classes[places]
+        return tokens, int(self.values[places].sum()), [words[k] for k in np.flatnonzero(rare).tolist()]
+
+
 @dataclass
 class Shares:
-    """How often each word occurs (word, n), and for each bucket its tokens and distinct words."""
+    """For each bucket its tokens and distinct words, the logarithms of known words' shares, and the counts of the rare ones (word, n)."""
 
-    counts: DataFrame
+    rare: DataFrame
+    known: dict[bytes, int]
     tokens: np.ndarray
     distinct: np.ndarray
 
@@ -207,6 +254,9 @@ class Shares:
         """Each word counts once more than it is there, and one word stands for all unseen ones."""
         return -math.log(self.tokens[bucket] + self.distinct[bucket] + 1)
 
+    def value(self, word: bytes, n: int) -> int:
+        return round(SHARE * (math.log(n + 1) + self.unseen(bucket_of(word) - FREQUENT)))
+
 
 def _word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 7) - (1 << 63)
@@ -241,51 +291,79 @@ def _vocabulary(rows: DataFrame) -> tuple[list[bytes], np.ndarray, Shares]:
     buckets = map_batches(counts, rest, "bucket long, n long, words long").groupBy("bucket").agg(F.sum("n"), F.sum("words"))
     for bucket, n, words in buckets.collect():
         table[FREQUENT + bucket], distinct[bucket] = n, words
-    return frequent, table, Shares(counts, table[FREQUENT:PAD], distinct)
-
-
-def _word_shares(rows: DataFrame, frequent: list[bytes], shares: Shares) -> DataFrame:
-    """For each text, by its two hashes, the summed logarithms of its words' shares in their buckets, over all rows of that text."""
-    own, unseen = set(frequent), [shares.unseen(k) for k in range(BUCKETS)]
-
-    def rest(columns: dict) -> dict:
-        out: dict[str, list] = {"k1": [], "k2": [], "word": [], "times": [], "unseen": []}
-        for text, k1, k2 in zip(encoded(columns["text"]), columns["k1"].to_pylist(), columns["k2"].to_pylist(), strict=True):
-            found = [(w, n) for w, n in Counter(text.lower().split()).items() if w not in own]
-            out["k1"] += [k1] * len(found)
-            out["k2"] += [k2] * len(found)
-            out["word"] += [_word_hash(w) for w, _ in found]
-            out["times"] += [n for _, n in found]
-            out["unseen"] += [round(SHARE * unseen[bucket_of(w) - FREQUENT]) for w, _ in found]
-        return out
-
-    def known(columns: dict) -> dict:
+    # Sixteen levels for each doubling of a count, so a table of bounded size tells from which level on words are few enough.
+    level = F.floor(F.log2("n") * 16)
+    sizes = sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True)
+    least, held = 1 << 20, 0
+    for row in sizes:
+        held += row["count"]
+        if held > KNOWN:
+            break
+        least = row["level"]
+    shares = Shares(counts.where(level < least), {}, table[FREQUENT:PAD], distinct)
+    near = counts.where(level >= least).orderBy("word").collect()
+    shares.known = {w: shares.value(w, r["n"]) for r in near if (w := bytes(r["word"])) not in own}
+    return frequent, table, shares
+
+
+NUMBERED = "id long, k1 long, k2 long, mark long, tokens binary, value long, word array<long>, times array<long>, unseen array<long>"
+
+
+def _numbered(rows: DataFrame, frequent: list[bytes], shares: Shares | None) -> DataFrame:
+    """Texts as the classes of their words in 16 bits, once for training and scoring; with the summed shares of their known words and
+    their rare words, how often each is there, and what it counts for if the corpus does not have it."""
+    known = shares.known if shares else {}
+    unseen = [round(SHARE * shares.unseen(k)) for k in range(BUCKETS)] if shares else []
+    shared: list[Scored] = []
+
+    def number(columns: dict) -> dict:
+        words = shared[0] if shared else Scored(frequent, known)
+        shared[:] = [words]
+        texts, values, rare = zip(*[words.of(t) for t in encoded(columns["text"])], strict=True)
+        times = [Counter(r) for r in rare] if unseen else [Counter()] * len(rare)
+        return {k: columns[k] for k in ("id", "k1", "k2", "mark")} | {
+            "tokens": [t.astype("<i2").tobytes() for t in texts], "value": values,
+            "word": [[_word_hash(w) for w in t] for t in times], "times": [list(t.values()) for t in times],
+            "unseen": [[unseen[bucket_of(w) - FREQUENT] for w in t] for t in times],
+        }
+
+    return stored(map_batches(rows, number, NUMBERED), "pseudo-tokens")
+
+
+def _tokens(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(data, "<i2").astype(np.int64) for data in column.to_pylist()]
+
+
+def _rare_shares(numbered: DataFrame, frequent: list[bytes], shares: Shares) -> DataFrame:
+    """For each text, by its two hashes, the summed logarithms of its rare words' shares in their buckets, over all rows of that text."""
+    own = set(frequent)
+
+    def valued(columns: dict) -> dict:
         some = [(w, n) for w, n in zip(columns["word"].to_pylist(), columns["n"].to_pylist(), strict=True) if w not in own]
-        values = [round(SHARE * (math.log(n + 1) + unseen[bucket_of(w) - FREQUENT])) for w, n in some]
-        return {"word": [_word_hash(w) for w, _ in some], "value": values}
+        return {"word": [_word_hash(w) for w, _ in some], "value": [shares_only.value(w, n) for w, n in some]}
 
-    words = map_batches(rows.select("text", "k1", "k2"), rest, "k1 long, k2 long, word long, times long, unseen long")
-    table = map_batches(shares.counts, known, "word long, value long")
-    valued = words.join(table, "word", "left").withColumn("value", F.coalesce("value", "unseen") * F.col("times"))
-    return valued.groupBy("k1", "k2").agg(F.sum("value").alias("value"))
+    shares_only = Shares(None, {}, shares.tokens, shares.distinct)
+    words = numbered.select("k1", "k2", F.explode(F.arrays_zip("word", "times", "unseen")).alias("w")).select("k1", "k2", "w.*")
+    table = map_batches(shares.rare, valued, "word long, value long")
+    found = words.join(table, "word", "left").withColumn("value", F.coalesce("value", "unseen") * F.col("times"))
+    return found.groupBy("k1", "k2").agg(F.sum("value").alias("value"))
 
 
-def _trained(rows: DataFrame, network: Network, frequent: list[bytes], round_: int) -> Network:
+def _trained(numbered: DataFrame, network: Network, round_: int) -> Network:
     """Train one network per task on all its documents of this round, then average them by their number of targets.
 
     Weights travel in slices as whole numbers in two halves, so the sum is the same in any order; tasks are summed in groups first.
     """
-    spark = rows.sparkSession
+    spark = numbered.sparkSession
     schema = "slice int, task long, n long, sums binary"
     target = arrow_schema(spark, schema)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, classes, seen, first = network.with_values(network.flat()), Classes(frequent), 0, None
+        own, seen, first = network.with_values(network.flat()), 0, None
         around, wanted, held = [], [], 0
         for batch in batches:
-            for text, mark in zip(encoded(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+            for tokens, mark in zip(_tokens(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 first = mark if first is None else first
-                tokens = classes.of(text)
                 for begin in range(0, len(tokens), BATCH):
                     at = np.arange(begin, min(begin + BATCH, len(tokens)))
                     around.append(contexts(tokens, at)), wanted.append(tokens[at])
@@ -309,7 +387,7 @@ def _trained(rows: DataFrame, network: Network, frequent: list[bytes], round_: i
         values = {"slice": [table.column("slice")[0].as_py()], "task": [table.column("task")[0].as_py()]}
         return pa.Table.from_batches([record_batch(values | {"n": [sum(table.column("n").to_pylist())], "sums": [total.tobytes()]}, target)])
 
-    part = rows.where(F.pmod(F.col("mark"), F.lit(ROUNDS)) == round_).select("text", F.shiftright("mark", 8).alias("mark"))
+    part = numbered.where(F.pmod(F.col("mark"), F.lit(ROUNDS)) == round_).select("tokens", F.shiftright("mark", 8).alias("mark"))
     sums = part.mapInArrow(fit, schema).groupBy("slice", "task").applyInArrow(add, schema)
     whole = sorted(sums.groupBy("slice").applyInArrow(add, schema).collect(), key=lambda r: r["slice"])
     if not whole:
@@ -326,13 +404,24 @@ def train_network(docs: DataFrame, text_col: str = "text", seed: int = 5) -> tup
 
 def train_model(docs: DataFrame, text_col: str = "text", seed: int = 5) -> tuple[Network, list[bytes], Shares]:
     """Word counts of all documents, then ROUNDS of training in which every token of every document is a target once."""
+    return _model(_rows(docs, F.lit(None), text_col), seed)[:3]
+
+
+def _rows(docs: DataFrame, doc_id: Column, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(1 << 40)).alias("mark"))
+    first = F.xxhash64(text)
+    keys = [first.alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"), F.pmod(first, F.lit(1 << 40)).alias("mark")]
+    return docs.select(doc_id.cast("long").alias("id"), text.alias("text"), *keys)
+
+
+def _model(rows: DataFrame, seed: int = 5) -> tuple[Network, list[bytes], Shares, DataFrame]:
+    """The model and the rows' texts as numbers."""
     frequent, counts, shares = _vocabulary(rows)
+    numbered = _numbered(rows, frequent, shares)
     network = Network.from_counts(counts, seed)
     for round_ in range(ROUNDS):
-        network = _trained(rows, network, frequent, round_)
-    return network, frequent, shares
+        network = _trained(numbered, network, round_)
+    return network, frequent, shares, numbered
 
 
 def pseudo_likelihood(
@@ -347,28 +436,27 @@ def pseudo_likelihood(
     Returns ``id_col``, n_tokens, log_likelihood (0 without tokens) and mean_log_likelihood (null without tokens). Defined cases: a null
     or empty text has no tokens; repeated rows and null ids get a row each; an empty table gives no rows; other columns are not looked at.
     """
-    network, frequent, *shares = model or train_model(docs, text_col)
-    shared: list[Classes] = []
+    rows = _rows(docs, F.col(id_col), text_col)
+    if model is None:
+        network, frequent, shares, numbered = _model(rows)
+    else:
+        network, frequent, *rest = model
+        shares = rest[0] if rest else None
+        numbered = _numbered(rows, frequent, shares)
 
     def run(columns: dict) -> dict:
-        classes = shared[0] if shared else Classes(frequent)
-        shared[:] = [classes]
-        texts = [classes.of(t) for t in encoded(columns["text"])]
-        sizes, totals = [len(t) for t in texts], score_tokens(network, texts)
-        found = {"id": columns["id"], "n_tokens": sizes, "log_likelihood": totals}
-        return found | {k: columns[k] for k in ("k1", "k2") if k in columns}
+        texts = _tokens(columns["tokens"])
+        found = {"n_tokens": [len(t) for t in texts], "log_likelihood": score_tokens(network, texts)}
+        return {k: columns[k] for k in ("id", "k1", "k2", "value")} | found
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keys = [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")] if shares else []
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *keys)
-    scored = map_batches(rows, run, "id long, n_tokens long, log_likelihood double" + (", k1 long, k2 long" if shares else ""))
+    given = numbered.select("id", "k1", "k2", "value", "tokens")
+    scored = map_batches(given, run, "id long, k1 long, k2 long, value long, n_tokens long, log_likelihood double")
     if shares:
-        scored = stored(scored, "pseudo-classes")
-        sums = _word_shares(rows, frequent, shares[0])
+        sums = _rare_shares(numbered.where(F.size("word") > 0), frequent, shares).withColumnRenamed("value", "rare")
         # Rows of one text each add the same sum.
-        each = sums.join(scored.groupBy("k1", "k2").agg(F.count("*").alias("rows")), ["k1", "k2"])
-        each = each.select("k1", "k2", (F.col("value") / F.col("rows") / SHARE).alias("share"))
-        whole = F.col("log_likelihood") + F.coalesce("share", F.lit(0.0))
-        scored = scored.join(each, ["k1", "k2"], "left").select("id", "n_tokens", whole.alias("log_likelihood"))
+        each = sums.join(numbered.groupBy("k1", "k2").agg(F.count("*").alias("rows")), ["k1", "k2"])
+        each = each.select("k1", "k2", (F.col("rare") / F.col("rows")).alias("rare"))
+        whole = F.col("log_likelihood") + (F.col("value") + F.coalesce("rare", F.lit(0.0))) / SHARE
+        scored = scored.join(each, ["k1", "k2"], "left").withColumn("log_likelihood", whole)
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return scored.select(F.col("id").alias(id_col), "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"))

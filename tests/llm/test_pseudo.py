@@ -77,8 +77,10 @@ def test_every_short_text_is_trained_on(spark, text):
     assert (network.flat() != Network.from_counts(counts, 5).flat()).any()
 
 
-def test_words_without_a_class_are_scored_themselves(spark):
-    """By hand: the class's log-probability and the logarithm of each rare word's share in its bucket."""
+@pytest.mark.parametrize("known", [200_000, 150, 0])
+def test_words_without_a_class_are_scored_themselves(spark, monkeypatch, known):
+    """By hand: the class's log-probability and the logarithm of each other word's share in its bucket, wherever it is looked up."""
+    monkeypatch.setattr(pseudo, "KNOWN", known)
     r = np.random.default_rng(3)
     words = [f"v{k}end" for k in range(1500)]
     texts = [" ".join(words[k] for k in (r.random(60) ** 2 * 1500).astype(int)) for _ in range(80)]
@@ -86,7 +88,7 @@ def test_words_without_a_class_are_scored_themselves(spark):
     model = pseudo.train_model(docs)
     n = pseudo.Counter(w for t in [*texts, texts[0]] for w in t.split())
     rare = {w: k for w, k in n.items() if w.encode() not in set(model[1])}
-    assert rare
+    assert rare and (len(model[2].known) == len(rare) if known > 1500 else len(model[2].known) <= known)
     classes = Classes(model[1])
     for r_ in pseudo_likelihood(docs, model).collect():
         text = [*texts, texts[0]][r_["doc_id"]]
@@ -95,3 +97,34 @@ def test_words_without_a_class_are_scored_themselves(spark):
     other = spark.createDataFrame([(0, texts[0]), (1, " ".join("inventedend" if w in rare else w for w in texts[0].split()))], "doc_id long, text string")
     a, b = sorted(pseudo_likelihood(other, model).collect())
     assert ("inventedend" in " ".join(x for x in other.toPandas()["text"])) and a["log_likelihood"] > b["log_likelihood"]
+
+
+def test_gradient_against_differences():
+    """Each parameter moved a little, in doubles: the change of the mean log-probability is what a step follows."""
+    r = np.random.default_rng(4)
+    tokens = r.integers(0, pseudo.PAD, 60)
+    counts = np.bincount(tokens, minlength=pseudo.PAD + 1).astype(float)
+    network = Network.from_counts(counts, 2)
+    for p in network.parts:
+        p += r.normal(0, 0.05, p.shape).astype(np.float32)
+    network.embed[pseudo.PAD] = 0
+    context, target = contexts(tokens, np.arange(60)), tokens
+
+    def mean(parts):
+        moved = Network(*parts)
+        return moved.log_probabilities(context, target).mean()
+
+    exact = [p.astype(float) for p in network.parts]
+    stepped = Network(*[p.copy() for p in network.parts])
+    stepped.squares = [np.full_like(p, 1e-20) for p in network.parts]
+    before = [p.copy() for p in stepped.parts]
+    stepped.train(context, target)
+    for k, (old, new, squares) in enumerate(zip(before, stepped.parts, stepped.squares)):
+        size = np.sqrt(squares.ravel())  # of the gradient, since the squares were next to zero
+        sign = -np.sign((new - old).ravel())
+        for at in r.permutation(np.flatnonzero(size > 1e-4))[:12].tolist():
+            up, down = [p.copy() for p in exact], [p.copy() for p in exact]
+            up[k].ravel()[at] += 1e-4
+            down[k].ravel()[at] -= 1e-4
+            slope = -(mean(up) - mean(down)) / 2e-4
+            assert sign[at] * size[at] == pytest.approx(slope, rel=0.02, abs=2e-5)
