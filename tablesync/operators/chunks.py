@@ -67,22 +67,25 @@ def chunk_report(df: DataFrame, chunk_size: int) -> DataFrame:
 
 # Ranks of an approximate quantile are exact to one part in so many.
 ACCURACY = 10_000
+# Quantiles that are taken in one pass with the count; each is half of the next.
+SHARES = [2.0**-k for k in range(13, 0, -1)]
 
 
 def first_chunk(df: DataFrame, watermark_col: str, keys: Sequence[str], chunk_size: int) -> DataFrame:
     """The first chunk alone, without a full sort.
 
     A top-n collects the first rows of every task in one task, so rows above an approximate quantile of
-    the watermark are dropped before. Its share leaves room for the error, and NULLs come last, so at least
-    a chunk stays.
+    the watermark are dropped before. One pass gives the count and a ladder of quantiles, of which the lowest that surely
+    leaves a chunk is taken: its share has room for the error, and NULLs come last.
     """
     mark = _number(df, watermark_col)
     if mark is not None:
-        known = df.agg(F.count(watermark_col)).first()[0]
-        share = 2 * (chunk_size + 1) / max(known, 1) + 2 / ACCURACY
-        if share < 1:
-            bound = df.agg(F.percentile_approx(mark, F.lit(share), F.lit(ACCURACY))).first()[0]
-            df = df.filter(mark <= F.lit(bound))
+        ladder = F.percentile_approx(mark, F.array(*map(F.lit, SHARES)), F.lit(ACCURACY))
+        known, bounds = df.agg(F.count(watermark_col), ladder).first()
+        least = 2 * (chunk_size + 1) / max(known, 1) + 2 / ACCURACY
+        enough = [bound for share, bound in zip(SHARES, bounds or [], strict=False) if share >= least]
+        if enough:
+            df = df.filter(mark <= F.lit(enough[0]))
     return df.orderBy(*_load_order(watermark_col, keys)).limit(chunk_size)
 
 
