@@ -71,6 +71,26 @@ def fingerprints_of(texts: list[bytes], shingle_words: int) -> np.ndarray:
     return result
 
 
+def fingerprints_of_hashes(every_hash: list[np.ndarray]) -> np.ndarray:
+    """As ``fingerprints_of``, for texts whose shingle hashes are known."""
+    result, hashes, places, held = np.zeros(len(every_hash), np.uint64), [], [], 0
+
+    def flush() -> None:
+        if places:
+            result[places] = _majority(np.concatenate(hashes), np.array(list(map(len, hashes)), np.int64))
+            hashes.clear(), places.clear()
+
+    for k, found in enumerate(every_hash):
+        if len(found):
+            hashes.append(found), places.append(k)
+            held += len(found)
+            if held >= FLUSH:
+                flush()
+                held = 0
+    flush()
+    return result
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id`` and ``fp``, the 64 bits of the SimHash as a long. A null text has no words."""
 

@@ -1,4 +1,4 @@
-"""Near-duplicates by the exact Jaccard index of word shingles, with candidates from least hashes and long SimHash fingerprints."""
+"""Near-duplicates by the exact Jaccard index of word shingles, with candidates from SimHash links and from least hashes."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.common import arrow_schema, encoded, map_batches, mixed, partitions, record_batch, stored
 from tablesync.llm.components import components
-from tablesync.llm.simhash import FLUSH, _majority
+from tablesync.llm.simhash import FLUSH, _majority, fingerprints_of_hashes, links
 
 WORDS = 8
 BITS = 64 * WORDS
@@ -27,6 +27,8 @@ STARS, SMALL = 2, 2048
 SMALL_BYTES = 1 << 24
 #: Texts whose shingle hashes are held at a time.
 MARKED = 1000
+#: Differing bits of the 64 up to which SimHash links texts.
+LINK_BITS = 4
 #: Standard deviations of the distance above its mean that still count as near.
 DEVIATIONS = 4
 
@@ -253,18 +255,30 @@ def rest_links(rows: DataFrame, limit: int, similarity: float) -> DataFrame:
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def simhash_keys(classes: DataFrame) -> DataFrame:
+    """``key`` and ``node``: nodes whose 64-bit fingerprints SimHash links, directly or through others, share a key.
+
+    The links are those of operator 2, by pigeonring, so every pair within LINK_BITS has the same key. Nodes without shingles have none.
+    """
+    known = classes.where("sim IS NOT NULL").select("node", F.col("sim").alias("fp"))
+    tied = stored(components(links(stored(known.select("fp").distinct(), "widehash-fps"), LINK_BITS)), "widehash-tied")
+    rooted = known.join(tied, known["fp"] == tied["node"]).select(F.xxhash64(F.lit("simhash"), tied["root"]).alias("key"), known["node"])
+    alone = known.join(tied, known["fp"] == tied["node"], "left_anti").select(F.xxhash64(F.lit("simhash"), "fp").alias("key"), "node")
+    return rooted.union(alone)
+
+
 def similar_roots(marked: DataFrame, keyed: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
     """``node`` and ``root`` for the nodes linked with others, directly or through others, by their exact Jaccard index.
 
-    ``marked`` has id, digest, more, node, fp and keys per document, ``keyed`` id, digest, more and text. Nodes that share a key are
-    candidates. First, in STARS turns, one node of each key is compared with the others, which ties most of a large group together
+    ``marked`` has id, digest, more, node, fp, sim and keys per document, ``keyed`` id, digest, more and text. Nodes that share a key
+    are candidates: SimHash gives one to all that its links tie, least hashes give the others. First, in STARS turns, one node of each key is compared with the others, which ties most of a large group together
     in as many rows as it has. What is left of a key with several components is compared within groups that give
     forests of verified links. None is left out but those of texts without a common key (MISSED of the pairs at 0.8, less
     above) or with fingerprints over the limit. Null ids stand for the greatest; an empty table gives no rows.
     """
     limit = most_bits(similarity)
-    classes = stored(marked.select("node", "fp", "keys").dropDuplicates(["node"]), "widehash-classes")
-    keys = classes.select(F.explode("keys").alias("key"), "node")
+    classes = stored(marked.select("node", "fp", "sim", "keys").dropDuplicates(["node"]), "widehash-classes")
+    keys = classes.select(F.explode("keys").alias("key"), "node").union(simhash_keys(classes))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     rows = stored(keys.join(shared, "key"), "widehash-keys")
     roots: DataFrame | None = None
@@ -296,9 +310,9 @@ def keep_one_of_similar(
 ) -> DataFrame:
     """The input rows without near-duplicates: of each group the document with the smallest id stays, of equal rows one.
 
-    Texts are linked if their sets of word shingles have a Jaccard index of ``similarity`` or more. Candidates come from least hashes
-    of the shingles and pass a loose limit on the bits of long SimHash fingerprints; the sets themselves decide. Texts with the same set
-    are one node. Defined cases: a null id is greater than all others; texts without words are one group;
+    Texts are linked if their sets of word shingles have a Jaccard index of ``similarity`` or more. Candidates come from operator 2, the
+    pigeonring join of SimHash fingerprints, and, as texts at ``similarity`` seldom come that near, from least hashes of the shingles, too; they
+    pass a loose limit on the bits of long SimHash fingerprints, and the sets themselves decide. Texts with the same set are one node. Defined cases: a null id is greater than all others; texts without words are one group;
     an empty table gives no rows; all columns stay as they are.
     """
     known_text = F.coalesce(F.col(text_col), F.lit(""))
@@ -308,16 +322,19 @@ def keep_one_of_similar(
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *digests)
 
     def marks(columns: dict) -> dict:
-        found: dict[str, list] = {"node": [], "fp": [], "keys": []}
+        found: dict[str, list] = {"node": [], "fp": [], "sim": [], "keys": []}
         texts = encoded(columns["text"])
         for first in range(0, len(texts), MARKED):
             hashes = [shingle_hashes(t, shingle_words) for t in texts[first : first + MARKED]]
             found["node"] += [node_of(np.unique(h)) for h in hashes]
             found["fp"] += [row.astype("<u8").tobytes() for row in wide_fingerprints_of(hashes)]
+            sims = fingerprints_of_hashes(hashes).view(np.int64).tolist()
+            found["sim"] += [s if len(h) else None for s, h in zip(sims, hashes, strict=True)]
             found["keys"] += least_hashes_of(hashes)
         return {name: columns[name] for name in ("id", "digest", "more")} | found
 
-    marked = stored(map_batches(keyed, marks, "id long, digest long, more long, node long, fp binary, keys array<long>"), "widehash")
+    spec = "id long, digest long, more long, node long, fp binary, sim long, keys array<long>"
+    marked = stored(map_batches(keyed, marks, spec), "widehash")
     roots = similar_roots(marked, keyed, similarity, shingle_words)
     rooted = marked.select("id", "digest", "more", "node").join(roots, "node", "left")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "digest", "more")

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tablesync.llm import widehash
+from tablesync.llm import simhash, widehash
 from tablesync.llm.widehash import keep_one_of_similar, most_bits, shingle_hashes, wide_fingerprints_of
 
 
@@ -123,3 +123,25 @@ def test_large_group_is_found_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     kept = {r["doc_id"] for r in keep_one_of_similar(docs).collect()}
     assert kept == {k for k in range(len(texts)) if find(k) == k}
+
+
+def test_simhash_links_give_candidates(spark, monkeypatch):
+    """Without any key from least hashes, texts within four bits are found, and the exact index still decides."""
+    monkeypatch.setattr(widehash, "least_hashes_of", lambda every_hash: [np.zeros(0, np.int64)] * len(every_hash))
+    r = random.Random(9)
+    texts = []
+    for _ in range(100):
+        words = [f"w{r.randrange(10**6)}" for _ in range(400)]
+        texts += [" ".join(words), " ".join([*words[:-1], "other"])]
+    texts += [t for _ in range(50) for t in near_the_limit(r, 40, 0.5, 0.79)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in keep_one_of_similar(docs).collect()}
+    found = simhash.fingerprints_of([t.encode() for t in texts], 5)
+    near = {2 * k + 1 for k in range(100) if np.bitwise_count(found[2 * k] ^ found[2 * k + 1]) <= 4}
+    assert len(near) >= 90 and kept == set(range(len(texts))) - near
+
+
+def test_fingerprints_are_those_of_operator_2():
+    texts = [b"", b"one two", b" ".join(b"w%d" % k for k in range(300)), b"\n"]
+    hashes = [shingle_hashes(t, 5) for t in texts]
+    assert (simhash.fingerprints_of_hashes(hashes) == simhash.fingerprints_of(texts, 5)).all()
