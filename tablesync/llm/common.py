@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -31,6 +32,18 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs started inside pass rows to Python in batches of about ``size`` bytes (a longer row alone)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def map_batches(frame: DataFrame, function: Callable[[dict[str, Any]], dict[str, Any] | None], schema: str) -> DataFrame:
     """Apply a function from columns to columns to every Arrow batch of a frame.
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import arrow_schema, encoded, map_batches, mixed, partitions, record_batch, stored
+from tablesync.llm.common import arrow_schema, bounded_batches, encoded, map_batches, mixed, partitions, record_batch, stored
 from tablesync.llm.components import components
 from tablesync.llm.simhash import FLUSH, _majority, fingerprints_of_hashes, links
 
@@ -29,6 +29,8 @@ SMALL_BYTES = 1 << 24
 MARKED = 1000
 #: Differing bits of the 64 up to which SimHash links texts.
 LINK_BITS = 4
+#: Bytes of the batches that go to Python: texts and shingle sets are long, and each is held several times there.
+BATCH_BYTES = 1 << 22
 #: Standard deviations of the distance above its mean that still count as near.
 DEVIATIONS = 4
 
@@ -143,13 +145,14 @@ def shingle_sets(wanted: DataFrame, marked: DataFrame, keyed: DataFrame, shingle
     known = F.coalesce(F.col("id"), F.lit((1 << 63) - 1))
     place = ["key", "digest", "more"]
     texts = keyed.withColumn("key", known).select(*place, "text").join(chosen.select(known.alias("key"), "digest", "more", "node"), place)
+    texts = texts.dropDuplicates(place)  # dealt by place already, so rows alike go without a shuffle of what is made of them
 
     def sets(columns: dict) -> dict:
         found = [shingle_set(t, shingle_words) for t in encoded(columns["text"])]
         own = [k for k, (s, n) in enumerate(zip(found, columns["node"].to_pylist(), strict=True)) if node_of(s) == n]
         return {"node": columns["node"].take(pa.array(own, pa.int64())), "shingles": [found[k].tobytes() for k in own]}
 
-    return map_batches(texts.select("node", "text"), sets, "node long, shingles binary").dropDuplicates(["node"])
+    return map_batches(texts.select("node", "text"), sets, "node long, shingles binary")
 
 
 def _alike(one: np.ndarray, others: list[np.ndarray], similarity: float) -> np.ndarray:
@@ -334,8 +337,9 @@ def keep_one_of_similar(
         return {name: columns[name] for name in ("id", "digest", "more")} | found
 
     spec = "id long, digest long, more long, node long, fp binary, sim long, keys array<long>"
-    marked = stored(map_batches(keyed, marks, spec), "widehash")
-    roots = similar_roots(marked, keyed, similarity, shingle_words)
+    with bounded_batches(docs.sparkSession, BATCH_BYTES):
+        marked = stored(map_batches(keyed, marks, spec), "widehash")
+        roots = similar_roots(marked, keyed, similarity, shingle_words)
     rooted = marked.select("id", "digest", "more", "node").join(roots, "node", "left")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "digest", "more")
     keepers = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(order).alias("least")).select("least.id", "least.digest", "least.more")

@@ -141,6 +141,25 @@ def test_simhash_links_give_candidates(spark, monkeypatch):
     assert len(near) >= 90 and kept == set(range(len(texts))) - near
 
 
+def test_batches_are_bounded(spark, monkeypatch):
+    """A partition of long texts never comes to Python at once; the setting is as before afterwards."""
+    whole = widehash.encoded
+
+    def counted(column):
+        assert column.nbytes < 1 << 20, column.nbytes
+        return whole(column)
+
+    monkeypatch.setattr(widehash, "encoded", counted)
+    monkeypatch.setattr(widehash, "BATCH_BYTES", 1 << 18)
+    r = random.Random(10)
+    base = " ".join(f"w{r.randrange(10**6)}" for _ in range(2000))
+    docs = spark.createDataFrame([(k, f"{base} x{k}") for k in range(200)], "doc_id long, text string").coalesce(1)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    assert [r["doc_id"] for r in keep_one_of_similar(docs).collect()] == [0]
+    assert spark.conf.get(name, None) == before
+
+
 def test_fingerprints_are_those_of_operator_2():
     texts = [b"", b"one two", b" ".join(b"w%d" % k for k in range(300)), b"\n"]
     hashes = [shingle_hashes(t, 5) for t in texts]
