@@ -79,3 +79,24 @@ def test_no_documents(spark, no_docs):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert judge_documents(no_docs, labels).count() == 0
     assert kept_documents(no_docs, labels).count() == 0
+
+
+def test_forest_is_fitted_on_all_labelled_rows(spark):
+    """More rows than any bounded sample: ranks, rows in the leaves and the threshold against numpy on all of them."""
+    random = np.random.default_rng(4)
+    stats = random.integers(60, 400, (21_003, len(quality.STATISTICS)))
+    stats[:, 4] = random.integers(0, 20, len(stats))
+    bad = np.arange(len(stats)) % 7 == 0
+    stats[bad, 2] += 300
+    rows = [(k, *map(int, row)) for k, row in enumerate(stats)]
+    frame = spark.createDataFrame(rows, "id long, " + ", ".join(f"{n} long" for n in quality.STATISTICS)).repartition(4)
+    labels = spark.createDataFrame([(k, int(not b)) for k, b in enumerate(bad.tolist())], "doc_id long, quality int")
+    forest = quality.fit_forest(frame, labels)
+    values = quality.features(stats)
+    half = np.array([r[0] % 2 == 0 for r in frame.selectExpr("xxhash64(id) as h", "id").orderBy("id").collect()])
+    fit = ~bad & half
+    want = quality.grow(values[fit], values, 11)
+    assert all((a == b).all() for a, b in zip(forest.knots, want.knots, strict=True))
+    assert (forest.feature == want.feature).all() and (forest.path == want.path).all() and forest.rows == fit.sum()
+    threshold = quality.threshold_of(want.scores(values[~fit]), ~bad[~fit], 0.99)
+    assert forest.threshold == threshold
