@@ -17,6 +17,8 @@ from tablesync import files
 SPACES = b" \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORD_END = np.uint64(0x9E3779B97F4A7C15)
+#: Rows of a few numbers, and texts or sets of their shingles, that make a task of their own, see ``gathered``.
+ROWS_A_TASK, TEXTS_A_TASK = 1 << 14, 1 << 12
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -32,6 +34,15 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def gathered(frame: DataFrame, rows: int, each: int = ROWS_A_TASK) -> DataFrame:
+    """The frame in about one partition for ``each`` of so many rows, and never in more than it has.
+
+    ``rows`` bounds, from counts of stored tables, what its last stage reads. After a shuffle a small table lies in as many partitions as a
+    large one; each that is written costs a folder and files, for which the JVM of an executor starts processes on a local file system.
+    """
+    return frame.coalesce(max(1, -(-rows // each)))
+
+
 @contextmanager
 def bounded_batches(spark: SparkSession, size: int) -> Iterator[None]:
     """Jobs started inside pass rows to Python in batches of about ``size`` bytes (a longer row alone)."""

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import stored
+from tablesync.llm.common import gathered, stored
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, at_most: int | None = None) -> DataFrame:
     """The smallest node each node is connected with, for edges ``a``, ``b`` (long, not null).
 
     Alternating stars: every node's greater neighbours are tied to its smallest neighbour, then
     every node's smaller ones are, until nothing changes. No step gathers a neighbourhood: the smallest
     neighbour is an aggregate, and a join (which Spark splits where a node has very many edges) ties the others to it.
-    Each round is a table in the shared folder. Returns node, root; nodes without an edge to another are absent.
+    Each round is a table in the shared folder, never of more edges than the one before, and laid out for its size; ``at_most`` bounds
+    the edges of the first. Returns node, root; nodes without an edge to another are absent.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    tied = stored(pairs.distinct(), "components")
+    tied = stored(pairs.distinct() if at_most is None else gathered(pairs.distinct(), at_most), "components")
     before = _mark(tied)
     while before[0]:
         both = tied.union(tied.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -26,13 +27,13 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         kept = least.select("u", F.col("m").alias("v"))
-        tied = stored(kept.union(moved).distinct(), "components")
+        tied = stored(gathered(kept.union(moved).distinct(), before[0]), "components")
         after = _mark(tied)
         if after == before:
             break
         before = after
     leaves = tied.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-    return leaves.union(leaves.select(F.col("root").alias("node"), "root").distinct())
+    return gathered(leaves.union(leaves.select(F.col("root").alias("node"), "root").distinct()), 2 * before[0])
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:

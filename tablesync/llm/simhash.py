@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import arrow_schema, encoded, map_batches, partitions, record_batch, stored
+from tablesync.llm.common import arrow_schema, encoded, gathered, map_batches, partitions, record_batch, stored
 from tablesync.llm.components import components
 
 BITS, SEGMENTS = 64, 16
@@ -193,7 +193,8 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     if max_bits % 2 or not 0 < max_bits < SEGMENTS:
         raise ValueError("max_bits is even, from 2 to 14")
     spark = fps.sparkSession
-    length = chain_length(fps.count(), max_bits)
+    count = fps.count()
+    length = chain_length(count, max_bits)
 
     def spread(columns: dict) -> dict:
         values = columns["fp"].to_numpy().view(np.uint64)
@@ -259,7 +260,8 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
 
     rows = map_batches(fps.select("fp"), spread, "key long, fp long")
     sorted_rows = rows.repartition(partitions(spark), "key").sortWithinPartitions("key")
-    found = stored(sorted_rows.mapInArrow(buckets, "a long, b long, crowded boolean").distinct(), "simhash-links")
+    found = sorted_rows.mapInArrow(buckets, "a long, b long, crowded boolean").distinct()
+    found = stored(gathered(found, count * SEGMENTS * n_patterns), "simhash-links")  # a bucket has fewer links than fingerprints
     direct = found.where("NOT crowded").select("a", "b")
     crowd = found.where("crowded").select(F.col("a").alias("fp")).distinct()
     if crowd.isEmpty():

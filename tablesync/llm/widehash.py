@@ -11,7 +11,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import arrow_schema, bounded_batches, encoded, map_batches, mixed, partitions, record_batch, stored
+from tablesync.llm.common import (
+    TEXTS_A_TASK,
+    arrow_schema,
+    bounded_batches,
+    encoded,
+    gathered,
+    map_batches,
+    mixed,
+    partitions,
+    record_batch,
+    stored,
+)
 from tablesync.llm.components import components
 from tablesync.llm.simhash import FLUSH, _majority, fingerprints_of_hashes, links
 
@@ -127,8 +138,8 @@ def _words_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, WORDS)
 
 
-def near_pairs(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of nodes whose fingerprints differ in at most ``limit`` bits."""
+def near_pairs(pairs: DataFrame, classes: DataFrame, limit: int, rows: int) -> DataFrame:
+    """The pairs ``a``, ``b`` of nodes whose fingerprints differ in at most ``limit`` bits. There are ``rows`` pairs and classes at most."""
 
     def near(columns: dict) -> dict:
         hit = pa.array(_near(_words_of(columns["fp_a"]), _words_of(columns["fp_b"]), limit))
@@ -136,11 +147,12 @@ def near_pairs(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
 
     left = classes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a"))
     right = classes.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"))
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "fp_a", "fp_b"), near, "a long, b long")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "fp_a", "fp_b")
+    return map_batches(gathered(both, rows), near, "a long, b long")
 
 
 def shingle_sets(wanted: DataFrame, marked: DataFrame, keyed: DataFrame, shingle_words: int) -> DataFrame:
-    """``node`` and ``shingles`` (sorted hashes as bytes) for the nodes of a frame, from one text of each."""
+    """``node`` and ``shingles`` (sorted hashes as bytes) for the nodes of a frame, from one text of each. ``marked`` is stored."""
     chosen = marked.select("id", "digest", "more", "node").join(wanted.select("node").distinct(), "node").dropDuplicates(["node"])
     known = F.coalesce(F.col("id"), F.lit((1 << 63) - 1))
     place = ["key", "digest", "more"]
@@ -152,7 +164,7 @@ def shingle_sets(wanted: DataFrame, marked: DataFrame, keyed: DataFrame, shingle
         own = [k for k, (s, n) in enumerate(zip(found, columns["node"].to_pylist(), strict=True)) if node_of(s) == n]
         return {"node": columns["node"].take(pa.array(own, pa.int64())), "shingles": [found[k].tobytes() for k in own]}
 
-    return map_batches(texts.select("node", "text"), sets, "node long, shingles binary")
+    return map_batches(gathered(texts.select("node", "text"), marked.count(), TEXTS_A_TASK), sets, "node long, shingles binary")
 
 
 def _alike(one: np.ndarray, others: list[np.ndarray], similarity: float) -> np.ndarray:
@@ -166,7 +178,7 @@ def _alike(one: np.ndarray, others: list[np.ndarray], similarity: float) -> np.n
 
 
 def exact_links(pairs: DataFrame, marked: DataFrame, keyed: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard index of ``similarity`` or more, from the texts themselves."""
+    """The pairs, a stored table, whose shingle sets have a Jaccard index of ``similarity`` or more, from the texts themselves."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
     known_sets = stored(shingle_sets(wanted, marked, keyed, shingle_words), "widehash-sets")
 
@@ -180,7 +192,8 @@ def exact_links(pairs: DataFrame, marked: DataFrame, keyed: DataFrame, similarit
 
     left = known_sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = known_sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), alike, "a long, b long")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return map_batches(gathered(both, 2 * pairs.count(), TEXTS_A_TASK), alike, "a long, b long")
 
 
 def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
@@ -264,7 +277,8 @@ def simhash_keys(classes: DataFrame) -> DataFrame:
     The links are those of operator 2, by pigeonring, so every pair within LINK_BITS has the same key. Nodes without shingles have none.
     """
     known = classes.where("sim IS NOT NULL").select("node", F.col("sim").alias("fp"))
-    tied = stored(components(links(stored(known.select("fp").distinct(), "widehash-fps"), LINK_BITS)), "widehash-tied")
+    distinct = stored(gathered(known.select("fp").distinct(), classes.count()), "widehash-fps")
+    tied = stored(components(links(distinct, LINK_BITS)), "widehash-tied")
     rooted = known.join(tied, known["fp"] == tied["node"]).select(F.xxhash64(F.lit("simhash"), tied["root"]).alias("key"), known["node"])
     alone = known.join(tied, known["fp"] == tied["node"], "left_anti").select(F.xxhash64(F.lit("simhash"), "fp").alias("key"), "node")
     return rooted.union(alone)
@@ -280,10 +294,12 @@ def similar_roots(marked: DataFrame, keyed: DataFrame, similarity: float, shingl
     above) or with fingerprints over the limit. Null ids stand for the greatest; an empty table gives no rows.
     """
     limit = most_bits(similarity)
-    classes = stored(marked.select("node", "fp", "sim", "keys").dropDuplicates(["node"]), "widehash-classes")
+    classes = stored(gathered(marked.select("node", "fp", "sim", "keys").dropDuplicates(["node"]), marked.count()), "widehash-classes")
+    nodes = classes.count()
     keys = classes.select(F.explode("keys").alias("key"), "node").union(simhash_keys(classes))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    rows = stored(keys.join(shared, "key"), "widehash-keys")
+    rows = stored(gathered(keys.join(shared, "key"), (BANDS + 1) * nodes), "widehash-keys")
+    n_rows = rows.count()
     roots: DataFrame | None = None
 
     def open_rows() -> DataFrame:
@@ -292,20 +308,20 @@ def similar_roots(marked: DataFrame, keyed: DataFrame, similarity: float, shingl
             return rows.withColumn("root", F.col("node"))
         rooted = rows.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        return stored(rooted.join(several, "key"), "widehash-open")
+        return stored(gathered(rooted.join(several, "key"), n_rows), "widehash-open")
 
     def tie(links: DataFrame) -> DataFrame:
         """Components with new links: those there are count as one link per node."""
         every = links if roots is None else links.union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
-        return stored(components(every), "widehash-roots")
+        return stored(components(every, links.count() + (0 if roots is None else roots.count())), "widehash-roots")
 
     for turn in range(STARS):
-        pairs = near_pairs(_star_pairs(open_rows(), turn), classes, limit)
+        pairs = near_pairs(_star_pairs(open_rows(), turn), classes, limit, n_rows + nodes)
         roots = tie(stored(exact_links(stored(pairs, "widehash-pairs"), marked, keyed, similarity, shingle_words), "widehash-links"))
     left = open_rows()
     sets = stored(shingle_sets(left, marked, keyed, shingle_words), "widehash-sets")
     full = left.join(classes.select("node", "fp"), "node").join(sets, "node")
-    return tie(stored(rest_links(full, limit, similarity), "widehash-links"))
+    return tie(stored(gathered(rest_links(full, limit, similarity), left.count()), "widehash-links"))
 
 
 def keep_one_of_similar(
