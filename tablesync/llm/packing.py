@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -21,16 +23,45 @@ Pattern = tuple[int, ...]
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Visible characters that are composed already and whose lower case is in the same range.
 PLAIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u00ff]+")
+#: A text of these and of white space only, as Latin-1, and how PIECE splits it: there the classes are few characters.
+PLAIN_BYTES = bytes(b for b in range(256) if PLAIN.fullmatch(chr(b))) + b" \t\n\x0b\x0c\r"
+
+
+def _latin(kind: str) -> str:
+    return "".join(re.escape(chr(b)) for b in range(256) if unicodedata.category(chr(b))[0] == kind)
+
+
+PLAIN_PIECE = re.compile(f"[{_latin('L')}]+|[{_latin('N')}]|'(?:[stmd]|re|ve|ll)|[^\\s{_latin('L')}{_latin('N')}]+")
+
+
+class PieceIds(dict):
+    """What a function gives for pieces; those not used for long go first, results do not change."""
+
+    def __init__(self, function: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.function, self.limit = function, limit
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(piece)
+        if found is None:
+            found = self.function(piece)
+        self[piece] = found
+        return found
 
 
 class WordIds(dict):
     """The ids of words as little-endian bytes, by a word-end BPE that lower-cases and drops white space.
 
     Such a tokenizer never looks across white space, so a text's ids are those of its words in turn. The pieces of a plain word
-    go to the BPE model itself, once per distinct piece; any other word goes through the whole tokenizer.
+    go to the BPE model itself, once per distinct piece; any other word goes through the whole tokenizer. A plain text is
+    split into its pieces at once, and its words, of which far more are distinct, are not looked at.
     """
 
-    #: Distinct words kept per Python worker, twice; older ones go first, results do not change.
+    #: Distinct words and pieces kept per Python worker, twice; older ones go first, results do not change.
     LIMIT = 180_000
 
     def __init__(self, path: str):
@@ -40,7 +71,7 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.older: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = PieceIds(self._piece, self.LIMIT)
         self.shown = {b: c for c, b in byte_characters().items()}
 
     def __missing__(self, word: bytes) -> bytes:
@@ -51,23 +82,28 @@ class WordIds(dict):
         if found is None:
             text = word.decode()
             if text.isascii() and text.isalpha():
-                found = self._piece(text.lower())
+                found = self.pieces[text.lower()]
             elif PLAIN.fullmatch(text) and "<|" not in text:
-                found = b"".join(map(self._piece, PIECE.findall(text.lower())))
+                found = b"".join(map(self.pieces.__getitem__, PIECE.findall(text.lower())))
             else:
                 found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         self[word] = found
         return found
 
+    def of_text(self, text: bytes) -> bytes:
+        """The ids of a text, given and returned as bytes."""
+        shown = text.decode()
+        try:
+            plain = not shown.encode("latin-1").translate(None, PLAIN_BYTES) and "<|" not in shown
+        except UnicodeEncodeError:
+            plain = False
+        if plain:
+            return b"".join(map(self.pieces.__getitem__, PLAIN_PIECE.findall(shown.lower())))
+        return b"".join(map(self.__getitem__, text.split()))
+
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= self.LIMIT:
-                self.pieces.clear()
-            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
-            found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
-            self.pieces[piece] = found
-        return found
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
 
 
 @lru_cache(maxsize=2)
@@ -85,7 +121,7 @@ def token_pieces(
         known, end = word_ids(tokenizer), np.array([end_id], "<u4").tobytes()
         out: dict[str, list] = {name.split()[0]: [] for name in schema.split(", ")}
         for doc, text in zip(columns["id"].to_pylist(), encoded(columns["text"]), strict=True):
-            data = b"".join(map(known.__getitem__, text.split())) + end
+            data = known.of_text(text) + end
             for piece, at in enumerate(range(0, len(data), 4 * length)):
                 part = data[at : at + 4 * length]
                 out["id"].append(doc)

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tablesync.llm.packing import WordIds, pack_documents, packing_plan
+from tablesync.llm.packing import PLAIN_BYTES, PieceIds, WordIds, pack_documents, packing_plan
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -42,6 +42,29 @@ def test_words_have_the_ids_of_the_library():
         assert b"".join(words[w] for w in text.encode().split()) == want, repr(text)
 
 
+def test_texts_have_the_ids_of_the_library():
+    """Plain texts are split into pieces at once: their words are not looked up, and fewer pieces than words are kept."""
+    tokenizer, words, r = Tokenizer.from_file(PATH), WordIds(PATH), random.Random(3)
+    plain = [chr(b) for b in PLAIN_BYTES] + list("'srtmdlve 're'll  ")
+    for odd in ("", "ΣσİẞÀ語😀\x1c\x85\xa0\xad\u0301"):
+        for _ in range(3000):
+            text = "".join(r.choice(plain + list(odd) * 3) for _ in range(r.randrange(40)))
+            text = text + r.choice(["", " <|endoftext|>", "<|"]) if odd else text.replace("<|", "|<")
+            want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert words.of_text(text.encode()) == want, repr(text)
+        assert bool(words) == bool(odd)
+    words, some = WordIds(PATH), [f"{w}{end}" for w in ("House", "tree", "écran", "x1") for end in ("", ",", ".", ").", "'s", "!!", "-")]
+    assert words.of_text(" ".join(some).encode()) and not words and len(words.pieces) < len(some)
+
+
+def test_pieces_go_in_turn():
+    asked = []
+    pieces = PieceIds(lambda piece: asked.append(piece) or piece.encode(), 3)
+    for _ in range(2):
+        assert [pieces[p] for p in "abcdeab"] == [p.encode() for p in "abcdeab"]
+    assert asked[:5] == list("abcde") and len(pieces) <= 3 and len(pieces.older) <= 3
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_a_plan_uses_every_piece_once(seed):
     r = random.Random(seed)
