@@ -58,7 +58,8 @@ def bounded_batches(spark: SparkSession, size: int) -> Iterator[None]:
 def map_batches(frame: DataFrame, function: Callable[[dict[str, Any]], dict[str, Any] | None], schema: str) -> DataFrame:
     """Apply a function from columns to columns to every Arrow batch of a frame.
 
-    It gets a dictionary of Arrow arrays and gives one of arrays or lists; None stands for no rows.
+    It gets a dictionary of Arrow arrays and gives one of arrays or lists; None stands for no rows. A worker goes on to other tasks
+    and stages, so at a task's end it gives back the memory that is free.
     """
     target = _arrow(frame.sparkSession, schema)
 
@@ -68,10 +69,17 @@ def map_batches(frame: DataFrame, function: Callable[[dict[str, Any]], dict[str,
                 out = function(dict(zip(batch.schema.names, batch.columns, strict=True)))
                 if out is not None:
                     yield record_batch(out, target)
+        release_memory()
 
     return frame.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Give memory that Arrow, numpy and Python have freed back to the machine, which their allocators do not always do."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def record_batch(columns: dict[str, Any], schema: pa.Schema) -> pa.RecordBatch:
     arrays = []
     for field in schema:
